@@ -167,3 +167,261 @@ def q_ato(spark, sf_dir):
     return kpis.account_takeover_rate(
         silver.user_activity(r["transactions"], r["logins"]), travel.impossible_travel(r["logins"])
     )
+
+
+# ---- step 6: scoring -------------------------------------------------------------------------------
+
+from riskflow.operators import scoring, similarity, triage  # noqa: E402
+
+AS_OF = oracle.AS_OF
+
+
+def _scored(spark, sf_dir) -> DataFrame:
+    r = _rel(spark, sf_dir)
+    act = silver.user_activity(r["transactions"], r["logins"])
+    sc = scoring.default_score(act, travel.impossible_travel(r["logins"]))
+    return sc.withColumn("automated_action", scoring.risk_action("risk_level", "risk_score"))
+
+
+@register(
+    "transaction_summary",
+    oracle.BASE + f"SELECT transaction_id, user_id, {oracle.SUMMARY} AS summary FROM silver",
+)
+def q_summary(spark, sf_dir):
+    return scoring.transaction_summary(_activity(spark, sf_dir))
+
+
+@register(
+    "risk_action_ladder",
+    f"""WITH tr AS ({oracle.TRIAGE})
+SELECT transaction_id, risk_level, risk_score, {oracle.LADDER.format(l='risk_level', s='risk_score')} AS ladder_action
+FROM tr""",
+)
+def q_ladder(spark, sf_dir):
+    t = _rel(spark, sf_dir)["triage"]
+    return t.select("transaction_id", "risk_level", "risk_score", scoring.risk_action().alias("ladder_action"))
+
+
+_SCORE_COLS = "transaction_id, user_id, risk_score, risk_level, automated_action, reason, matched_signatures"
+
+
+@register("default_risk_score", oracle.FULL + f"SELECT {_SCORE_COLS} FROM scored")
+def q_default_score(spark, sf_dir):
+    return _scored(spark, sf_dir).select(*[c.strip() for c in _SCORE_COLS.split(",")])
+
+
+@register(
+    "parse_scorer_reply",
+    oracle.FULL
+    + f"""SELECT transaction_id, risk_score, risk_level, automated_action, reason, matched_signatures FROM scored
+WHERE transaction_type IS DISTINCT FROM 'card'
+UNION ALL
+SELECT transaction_id, 0.0 AS risk_score, 'LOW' AS risk_level, 'MONITOR' AS automated_action,
+       'unparseable reply: ' || substring('not json: ' || {oracle.SUMMARY}, 1, 200) AS reason,
+       CAST(NULL AS VARCHAR[]) AS matched_signatures
+FROM scored WHERE transaction_type = 'card'""",
+)
+def q_parse_reply(spark, sf_dir):
+    """Replies rendered from the default scores (wire: ```json fence, ach: bare fence, pos: raw JSON,
+    card: not JSON) and parsed back; unparseable replies take the fallback row."""
+    sc = _scored(spark, sf_dir)
+    kind = F.when(F.col("transaction_type") == "wire", "json").when(F.col("transaction_type") == "ach", "plain")
+    reply = F.when(
+        F.col("transaction_type") == "card", F.concat(F.lit("not json: "), scoring.summary_text())
+    ).otherwise(scoring.render_reply(sc, kind))
+    replies = sc.select("transaction_id", reply.alias("reply"))
+    parsed = scoring.with_action_and_fallback(scoring.parse_reply(replies, "reply"))
+    return parsed.select(
+        "transaction_id", "risk_score", "risk_level", "automated_action", "reason",
+        F.when(F.col("parse_error").isNull(), F.col("matched_signatures")).alias("matched_signatures"),
+    )
+
+
+@register("score_batch", oracle.FULL + "SELECT * FROM gold_new")
+def q_score_batch(spark, sf_dir):
+    return triage.gold_rows(_scored(spark, sf_dir), AS_OF)
+
+
+# ---- step 5: triage state ---------------------------------------------------------------------------
+
+
+@register(
+    "triage_upsert",
+    oracle.FULL
+    + f""", upd AS (SELECT transaction_id AS u_id, user_id AS u_user, risk_score AS u_score, risk_level AS u_level,
+                    automated_action AS u_action, reason AS u_reason FROM scored),
+st AS (SELECT *, CAST(NULL AS VARCHAR) AS review_notes FROM tr)
+SELECT coalesce(st.transaction_id, u_id) AS transaction_id,
+       CASE WHEN st.transaction_id IS NULL THEN u_user ELSE st.user_id END AS user_id,
+       CASE WHEN u_id IS NULL THEN st.risk_score ELSE u_score END AS risk_score,
+       CASE WHEN u_id IS NULL THEN st.risk_level ELSE u_level END AS risk_level,
+       CASE WHEN u_id IS NULL THEN st.automated_action ELSE u_action END AS automated_action,
+       CASE WHEN u_id IS NULL THEN st.action_reason ELSE u_reason END AS action_reason,
+       CASE WHEN u_id IS NULL THEN st.action_timestamp ELSE {oracle._AS_OF} END AS action_timestamp,
+       CASE WHEN st.transaction_id IS NULL THEN 'PENDING' ELSE st.review_status END AS review_status,
+       st.reviewed_by, st.review_timestamp,
+       CASE WHEN st.transaction_id IS NULL THEN {oracle._AS_OF} ELSE st.created_at END AS created_at,
+       st.review_notes
+FROM st FULL OUTER JOIN upd ON st.transaction_id = upd.u_id""",
+)
+def q_upsert(spark, sf_dir):
+    r = _rel(spark, sf_dir)
+    updates = _scored(spark, sf_dir).withColumnRenamed("reason", "action_reason")
+    return triage.upsert_triage(triage.to_operational(r["triage"]), updates, AS_OF)
+
+
+@register(
+    "gold_merge",
+    oracle.FULL
+    + """SELECT * FROM tr WHERE transaction_id NOT IN (SELECT transaction_id FROM gold_new)
+UNION ALL SELECT * FROM gold_new""",
+)
+def q_merge(spark, sf_dir):
+    r = _rel(spark, sf_dir)
+    return triage.merge_gold(r["triage"], triage.gold_rows(_scored(spark, sf_dir), AS_OF))
+
+
+@register(
+    "review_queue",
+    f"""WITH tr AS ({oracle.TRIAGE})
+SELECT transaction_id, user_id, risk_score, risk_level, automated_action, action_reason, review_status, created_at
+FROM tr WHERE review_status = 'PENDING' AND automated_action IN ('CHALLENGE', 'MONITOR')
+ORDER BY created_at DESC NULLS LAST, transaction_id LIMIT 100""",
+)
+def q_queue(spark, sf_dir):
+    return triage.review_queue(_rel(spark, sf_dir)["triage"])
+
+
+def _reviewed(spark, sf_dir) -> DataFrame:
+    r = _rel(spark, sf_dir)
+    return triage.apply_reviews(triage.to_operational(r["triage"]), r["decisions"], AS_OF)
+
+
+@register("apply_reviews", oracle.FULL + "SELECT * FROM reviewed")
+def q_apply_reviews(spark, sf_dir):
+    return _reviewed(spark, sf_dir)
+
+
+@register(
+    "review_sync",
+    oracle.FULL
+    + """SELECT t.transaction_id, t.user_id, t.risk_score, t.risk_level, t.automated_action, t.action_reason,
+       t.action_timestamp, r.review_status, r.reviewed_by, r.review_timestamp, t.created_at
+FROM tr t JOIN reviewed r ON t.transaction_id = r.transaction_id""",
+)
+def q_review_sync(spark, sf_dir):
+    return triage.sync_reviews(_rel(spark, sf_dir)["triage"], _reviewed(spark, sf_dir))
+
+
+@register(
+    "snapshot_diff",
+    oracle.FULL
+    + """, o AS (SELECT *, CAST(NULL AS VARCHAR) AS review_notes FROM tr),
+chg AS (SELECT o.transaction_id FROM o JOIN reviewed n USING (transaction_id)
+        WHERE o.review_status IS DISTINCT FROM n.review_status OR o.reviewed_by IS DISTINCT FROM n.reviewed_by
+           OR o.review_timestamp IS DISTINCT FROM n.review_timestamp OR o.review_notes IS DISTINCT FROM n.review_notes
+           OR o.user_id IS DISTINCT FROM n.user_id OR o.risk_score IS DISTINCT FROM n.risk_score
+           OR o.risk_level IS DISTINCT FROM n.risk_level OR o.automated_action IS DISTINCT FROM n.automated_action
+           OR o.action_reason IS DISTINCT FROM n.action_reason OR o.action_timestamp IS DISTINCT FROM n.action_timestamp
+           OR o.created_at IS DISTINCT FROM n.created_at)
+SELECT o.*, 'update_preimage' AS _change_type FROM o WHERE transaction_id IN (SELECT transaction_id FROM chg)
+UNION ALL
+SELECT n.*, 'update_postimage' AS _change_type FROM reviewed n WHERE transaction_id IN (SELECT transaction_id FROM chg)""",
+)
+def q_snapshot_diff(spark, sf_dir):
+    r = _rel(spark, sf_dir)
+    return triage.snapshot_diff(triage.to_operational(r["triage"]), _reviewed(spark, sf_dir), ["transaction_id"])
+
+
+@register("incremental_sync", oracle.FULL + "SELECT * FROM reviewed")
+def q_incremental_sync(spark, sf_dir):
+    r = _rel(spark, sf_dir)
+    old = triage.to_operational(r["triage"])
+    changes = triage.snapshot_diff(old, _reviewed(spark, sf_dir), ["transaction_id"])
+    return triage.apply_changes(old, changes, ["transaction_id"])
+
+
+# ---- step 7: similarity ----------------------------------------------------------------------------
+
+
+def _text_topk_sql(q_sql: str, q_id: str, q_text: str, d_sql: str, d_id: str, d_text: str, k: int = 5) -> str:
+    return f"""
+q_src AS ({q_sql}), d_src AS ({d_sql}),
+d_tok AS (SELECT {d_id} AS d, t AS term FROM (SELECT {d_id}, unnest(regexp_split_to_array(lower({d_text}), '[^a-z0-9]+')) AS t FROM d_src) WHERE t <> ''),
+d_tf AS (SELECT d, term, count(*) AS tf FROM d_tok GROUP BY d, term),
+n_docs AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM d_src),
+idf AS (SELECT term, ln((n + 1.0) / (count(*) + 1.0)) + 1.0 AS idf FROM d_tf, n_docs GROUP BY term, n),
+d_w AS (SELECT d, term, tf * idf AS w FROM d_tf JOIN idf USING (term)),
+d_norm AS (SELECT d, sqrt(sum(w * w)) AS d_norm FROM d_w GROUP BY d),
+q_tok AS (SELECT {q_id} AS q, t AS term FROM (SELECT {q_id}, unnest(regexp_split_to_array(lower({q_text}), '[^a-z0-9]+')) AS t FROM q_src) WHERE t <> ''),
+q_tf AS (SELECT q, term, count(*) AS tf FROM q_tok GROUP BY q, term),
+q_w AS (SELECT q, term, tf * coalesce(idf, ln(n + 1.0) + 1.0) AS qw FROM q_tf LEFT JOIN idf USING (term), n_docs),
+q_norm AS (SELECT q, sqrt(sum(qw * qw)) AS q_norm FROM q_w GROUP BY q),
+dots AS (SELECT q, d, sum(qw * w) AS dot FROM q_w JOIN d_w USING (term) GROUP BY q, d),
+scores AS (SELECT q AS query_id, d AS doc_id, round(dot / (q_norm * d_norm), 6) AS score
+           FROM dots JOIN q_norm USING (q) JOIN d_norm USING (d)),
+topk AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank
+                        FROM scores) WHERE rank <= {k})"""
+
+
+@register(
+    "document_topk",
+    "WITH "
+    + _text_topk_sql("SELECT * FROM benchmark", "item_id", "text", "SELECT * FROM documents", "doc_id", "text")
+    + "\nSELECT query_id, doc_id, score, rank FROM topk",
+)
+def q_document_topk(spark, sf_dir):
+    bench = fixtures.table(spark, sf_dir, "benchmark")
+    docs = fixtures.table(spark, sf_dir, "documents")
+    return similarity.text_topk(bench, docs, "item_id", "text", "doc_id", "text")
+
+
+@register(
+    "signature_topk",
+    oracle.BASE
+    + ", "
+    + _text_topk_sql(
+        f"SELECT transaction_id, {oracle.SUMMARY} AS summary FROM silver", "transaction_id", "summary",
+        oracle._signature_values(), "signature_id", "description",
+    )
+    + """, sig AS (""" + oracle._signature_values() + """)
+SELECT topk.query_id AS transaction_id, topk.doc_id AS signature_id, sig.signature_type, sig.risk_weight,
+       topk.score AS similarity_score, topk.rank FROM topk JOIN sig ON topk.doc_id = sig.signature_id""",
+)
+def q_signature_topk(spark, sf_dir):
+    sigs = fixtures.fraud_signatures(spark)
+    summaries = scoring.transaction_summary(_activity(spark, sf_dir))
+    hits = similarity.text_topk(summaries, sigs, "transaction_id", "summary", "signature_id", "description")
+    # The signature dimension is a 6-row literal: its size is bounded by the code, so broadcast it.
+    return hits.join(
+        F.broadcast(sigs.select(F.col("signature_id").alias("doc_id"), "signature_type", "risk_weight")), "doc_id"
+    ).select(
+        F.col("query_id").alias("transaction_id"),
+        F.col("doc_id").alias("signature_id"),
+        "signature_type",
+        "risk_weight",
+        F.col("score").alias("similarity_score"),
+        "rank",
+    )
+
+
+@register(
+    "vector_topk",
+    """WITH e AS (SELECT vec_id, label, embedding FROM embeddings),
+pos AS (SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS m
+        FROM (SELECT label, embedding, generate_subscripts(embedding, 1) AS i FROM e) GROUP BY label, i),
+cent AS (SELECT label, list(m ORDER BY i) AS centroid FROM pos GROUP BY label),
+sc AS (SELECT c.label AS query_id, e.vec_id AS doc_id,
+              round(list_dot_product(CAST(c.centroid AS DOUBLE[]), CAST(e.embedding AS DOUBLE[]))
+                    / (sqrt(list_dot_product(CAST(c.centroid AS DOUBLE[]), CAST(c.centroid AS DOUBLE[])))
+                       * sqrt(list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])))), 6) AS score
+       FROM cent c JOIN e ON c.label = e.label)
+SELECT query_id, doc_id, score, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC NULLS LAST, doc_id) AS rank FROM sc)
+WHERE rank <= 5""",
+)
+def q_vector_topk(spark, sf_dir):
+    """For each label, the 5 stored embeddings closest (cosine) to the label's centroid."""
+    emb = fixtures.table(spark, sf_dir, "embeddings")
+    cents = similarity.centroids(emb, "label", "embedding").withColumn("qid", F.col("label").cast("long"))
+    return similarity.vector_topk(cents, emb, "qid", "centroid", "vec_id", "embedding", by="label")

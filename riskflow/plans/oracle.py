@@ -131,3 +131,102 @@ j AS (
           LEFT JOIN mfa m ON tx.user_id = m.user_id)
 {_FLAGS.format(src='j')}
 """
+
+# ---- triage, scoring and similarity ---------------------------------------------------------------
+
+AS_OF = "2024-02-01 00:00:00"
+_AS_OF = f"TIMESTAMP '{AS_OF}'"
+
+DECISIONS = """
+SELECT 'TXN-' || lpad(CAST(l_orderkey AS VARCHAR), 8, '0') AS transaction_id,
+       CASE l_returnflag WHEN 'A' THEN 'ALLOW' WHEN 'R' THEN 'BLOCK' ELSE 'ESCALATE' END AS action,
+       CASE WHEN l_linestatus = 'F' THEN 'clerk-' || lpad(CAST(l_suppkey AS VARCHAR), 3, '0') END AS reviewed_by,
+       'line ' || CAST(l_linenumber AS VARCHAR) AS notes,
+       l_shipdate AS decided_at,
+       CAST(l_linenumber AS BIGINT) AS decision_id
+FROM lineitem
+"""
+
+
+def _signature_values() -> str:
+    from riskflow.constants import FRAUD_SIGNATURE_ROWS
+
+    def q(s: str) -> str:
+        return "'" + s.replace("'", "''") + "'"
+
+    rows = ", ".join(f"({q(a)}, {q(b)}, {q(c)}, CAST({d!r} AS DOUBLE))" for a, b, c, d in FRAUD_SIGNATURE_ROWS)
+    return f"SELECT * FROM (VALUES {rows}) AS v(signature_id, signature_type, description, risk_weight)"
+
+
+def _weight_case(var: str) -> str:
+    from riskflow.constants import FRAUD_SIGNATURE_ROWS
+
+    whens = " ".join(f"WHEN '{t}' THEN CAST({w!r} AS DOUBLE)" for _, t, _, w in FRAUD_SIGNATURE_ROWS)
+    return f"CASE {var} {whens} END"
+
+
+LEVEL = "CASE WHEN {s} >= 85 THEN 'CRITICAL' WHEN {s} >= 70 THEN 'HIGH' WHEN {s} >= 50 THEN 'MEDIUM' ELSE 'LOW' END"
+LADDER = (
+    "CASE WHEN {l} = 'CRITICAL' OR {s} >= 85 THEN 'BLOCK' WHEN {l} = 'HIGH' OR {s} >= 70 THEN 'CHALLENGE' "
+    "WHEN {l} = 'MEDIUM' OR {s} >= 50 THEN 'MONITOR' ELSE 'APPROVE' END"
+)
+
+SUMMARY = """coalesce(nullif(concat_ws(' ',
+    CASE WHEN coalesce(transaction_type, '') <> '' THEN 'Transaction type: ' || transaction_type END,
+    CASE WHEN amount IS NOT NULL THEN 'Amount: ' || printf('%.2f', amount) END,
+    CASE WHEN coalesce(mfa_change_flag, false) THEN 'MFA or security changed recently.' END,
+    CASE WHEN coalesce(ip_changed_recently, false) THEN 'IP address changed recently.' END,
+    CASE WHEN coalesce(high_value_wire, false) THEN 'High-value wire transfer.' END), ''),
+  'Transaction with no extra signals.')"""
+
+SCORED = f""",
+m AS (
+  SELECT s.*, list_filter([
+      CASE WHEN coalesce(wire_over_10k_within_1h_ip_change, false) THEN 'high_value_wire_ip_change' END,
+      CASE WHEN coalesce(mfa_change_flag, false) AND coalesce(amount >= 10000, false)
+                AND coalesce(transaction_type IN ('wire', 'ach'), false) THEN 'mfa_change_high_value' END,
+      CASE WHEN s.user_id IN (SELECT user_id FROM travel) THEN 'impossible_travel' END],
+      lambda x: x IS NOT NULL) AS matched_signatures
+  FROM silver s),
+sc AS (
+  SELECT *, round(greatest(
+      (CASE WHEN coalesce(high_value_wire, false) THEN 30.0 ELSE 0.0 END
+       + CASE WHEN coalesce(ip_changed_recently, false) THEN 15.0 ELSE 0.0 END
+       + CASE WHEN coalesce(mfa_change_flag, false) THEN 5.0 ELSE 0.0 END)::DOUBLE,
+      coalesce(list_max(list_transform(matched_signatures, lambda t: {_weight_case('t')})), 0.0) * 100.0), 2) AS risk_score,
+    coalesce(nullif(concat_ws(' ',
+      CASE WHEN len(matched_signatures) > 0
+           THEN 'Matched signatures: ' || array_to_string(matched_signatures, ', ') || '.' END,
+      CASE WHEN coalesce(high_value_wire, false) THEN 'High-value wire.' END,
+      CASE WHEN coalesce(ip_changed_recently, false) THEN 'New IP within the last hour.' END,
+      CASE WHEN coalesce(mfa_change_flag, false) THEN 'Recent MFA change.' END), ''), 'No risk signals.') AS reason
+  FROM m),
+scored AS (
+  SELECT *, {LADDER.format(l='risk_level', s='risk_score')} AS automated_action
+  FROM (SELECT *, {LEVEL.format(s='risk_score')} AS risk_level FROM sc)),
+gold_new AS (
+  SELECT transaction_id, user_id, risk_score, risk_level, automated_action, reason AS action_reason,
+         {_AS_OF} AS action_timestamp, 'PENDING' AS review_status, CAST(NULL AS VARCHAR) AS reviewed_by,
+         CAST(NULL AS TIMESTAMP) AS review_timestamp, {_AS_OF} AS created_at
+  FROM scored),
+tr AS ({TRIAGE}),
+dec AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY decided_at DESC, decision_id DESC, action DESC,
+                                reviewed_by DESC NULLS LAST, notes DESC) AS rn
+                 FROM ({DECISIONS})) WHERE rn = 1),
+reviewed AS (
+  SELECT t.transaction_id, t.user_id, t.risk_score, t.risk_level, t.automated_action, t.action_reason,
+         t.action_timestamp,
+         CASE WHEN d.transaction_id IS NULL THEN t.review_status
+              WHEN d.action = 'ALLOW' THEN 'APPROVED' WHEN d.action = 'BLOCK' THEN 'REJECTED' ELSE 'ESCALATED' END
+           AS review_status,
+         CASE WHEN d.transaction_id IS NULL THEN t.reviewed_by ELSE coalesce(nullif(d.reviewed_by, ''), 'analyst') END
+           AS reviewed_by,
+         CASE WHEN d.transaction_id IS NULL THEN t.review_timestamp ELSE coalesce(d.decided_at, {_AS_OF}) END
+           AS review_timestamp,
+         t.created_at,
+         CASE WHEN d.transaction_id IS NULL THEN NULL ELSE d.notes END AS review_notes
+  FROM tr t LEFT JOIN dec d ON t.transaction_id = d.transaction_id)
+"""
+
+FULL = BASE + SCORED

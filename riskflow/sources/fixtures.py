@@ -101,6 +101,22 @@ def triage_from_orders(orders: DataFrame) -> DataFrame:
     )
 
 
+def decisions_from_lineitem(lineitem: DataFrame) -> DataFrame:
+    """Each line item is an analyst decision on its order's transaction (several per key: the
+    latest wins). Return flag A → ALLOW, R → BLOCK, else ESCALATE; finished lines name a clerk."""
+    return lineitem.select(
+        _padded("TXN-", F.col("l_orderkey"), 8).alias("transaction_id"),
+        F.when(F.col("l_returnflag") == "A", "ALLOW")
+        .when(F.col("l_returnflag") == "R", "BLOCK")
+        .otherwise("ESCALATE")
+        .alias("action"),
+        F.when(F.col("l_linestatus") == "F", _padded("clerk-", F.col("l_suppkey"), 3)).alias("reviewed_by"),
+        F.concat(F.lit("line "), F.col("l_linenumber").cast("string")).alias("notes"),
+        F.col("l_shipdate").alias("decided_at"),
+        F.col("l_linenumber").cast("long").alias("decision_id"),
+    )
+
+
 def fraud_signatures(spark: SparkSession) -> DataFrame:
     """The fixed 6-row signature dimension (a literal relation; its size is bounded by the code)."""
     return spark.createDataFrame(FRAUD_SIGNATURE_ROWS, FRAUD_SIGNATURES)
@@ -113,5 +129,6 @@ def load(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "transactions": transactions_from_events(events),
         "logins": logins_from_events(events),
         "triage": triage_from_orders(table(spark, sf_dir, "orders")),
+        "decisions": decisions_from_lineitem(table(spark, sf_dir, "lineitem")),
         "signatures": fraud_signatures(spark),
     }
