@@ -245,12 +245,10 @@ def q_score_batch(spark, sf_dir):
 # ---- step 5: triage state ---------------------------------------------------------------------------
 
 
-@register(
-    "triage_upsert",
-    oracle.FULL
-    + f""", upd AS (SELECT transaction_id AS u_id, user_id AS u_user, risk_score AS u_score, risk_level AS u_level,
-                    automated_action AS u_action, reason AS u_reason FROM scored),
-st AS (SELECT *, CAST(NULL AS VARCHAR) AS review_notes FROM tr)
+_UPSERT_CTE = f""", upd AS (SELECT transaction_id AS u_id, user_id AS u_user, risk_score AS u_score,
+                    risk_level AS u_level, automated_action AS u_action, reason AS u_reason FROM scored),
+st AS (SELECT *, CAST(NULL AS VARCHAR) AS review_notes FROM tr),
+upserted AS (
 SELECT coalesce(st.transaction_id, u_id) AS transaction_id,
        CASE WHEN st.transaction_id IS NULL THEN u_user ELSE st.user_id END AS user_id,
        CASE WHEN u_id IS NULL THEN st.risk_score ELSE u_score END AS risk_score,
@@ -262,8 +260,11 @@ SELECT coalesce(st.transaction_id, u_id) AS transaction_id,
        st.reviewed_by, st.review_timestamp,
        CASE WHEN st.transaction_id IS NULL THEN {oracle._AS_OF} ELSE st.created_at END AS created_at,
        st.review_notes
-FROM st FULL OUTER JOIN upd ON st.transaction_id = upd.u_id""",
-)
+FROM st FULL OUTER JOIN upd ON st.transaction_id = upd.u_id)
+"""
+
+
+@register("triage_upsert", oracle.FULL + _UPSERT_CTE + "SELECT * FROM upserted")
 def q_upsert(spark, sf_dir):
     r = _rel(spark, sf_dir)
     updates = _scored(spark, sf_dir).withColumnRenamed("reason", "action_reason")
@@ -425,3 +426,92 @@ def q_vector_topk(spark, sf_dir):
     emb = fixtures.table(spark, sf_dir, "embeddings")
     cents = similarity.centroids(emb, "label", "embedding").withColumn("qid", F.col("label").cast("long"))
     return similarity.vector_topk(cents, emb, "qid", "centroid", "vec_id", "embedding", by="label")
+
+
+# ---- step 8: quality and masking -------------------------------------------------------------------
+
+from riskflow.operators import governance, quality  # noqa: E402
+
+
+def _rule_sql(r: quality.Rule) -> str:
+    c = r.column
+    if r.name == "not_null":
+        return f"{c} IS NULL"
+    if r.name == "max_length":
+        return f"length({c}) > {int(r.arg)}"
+    if r.name == "abs_below":
+        return f"abs({c}) >= {float(r.arg)}"
+    if r.name == "in_set":
+        vals = ", ".join(f"'{v}'" for v in r.arg)
+        return f"{c} IS NOT NULL AND {c} NOT IN ({vals})"
+    raise ValueError(r.name)
+
+
+def _quality_sql() -> str:
+    parts = [
+        f"SELECT '{r.name}' AS rule, '{r.column}' AS column_name, CAST(count(*) FILTER (WHERE {_rule_sql(r)}) AS BIGINT)"
+        " AS violations FROM upserted"
+        for r in quality.triage_rules()
+    ]
+    parts.append(
+        "SELECT 'unique_key' AS rule, 'transaction_id' AS column_name, CAST(count(*) AS BIGINT) AS violations FROM "
+        "(SELECT transaction_id FROM upserted GROUP BY transaction_id HAVING count(*) > 1)"
+    )
+    return oracle.FULL + _UPSERT_CTE + "\nUNION ALL\n".join(parts)
+
+
+@register("quality_report", _quality_sql())
+def q_quality(spark, sf_dir):
+    return quality.quality_report(q_upsert(spark, sf_dir), quality.triage_rules(), key="transaction_id")
+
+
+PII_COLUMNS = ["user_id", "ip_address", "device_id"]
+
+
+@register(
+    "masked_activity",
+    oracle.BASE
+    + "SELECT * REPLACE ("
+    + ", ".join(f"CASE WHEN {c} IS NULL THEN NULL ELSE '****' END AS {c}" for c in PII_COLUMNS)
+    + ") FROM silver",
+)
+def q_masked(spark, sf_dir):
+    """Silver activity seen by a viewer outside the fraud-analyst group: PII columns masked."""
+    act = governance.tag_columns(_activity(spark, sf_dir), {c: "pii" for c in PII_COLUMNS})
+    return governance.mask_columns(act, {"pii": ["fraud_analyst_group"]}, viewer_groups=["support"])
+
+
+# ---- step 9: CSV ingestion round trip ------------------------------------------------------------
+
+
+def _roundtrip_dir(spark, name: str) -> str:
+    import uuid
+
+    from riskflow.session import scratch_path
+
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@register(
+    "bronze_transactions",
+    f"SELECT * REPLACE (date_trunc('second', transaction_time) AS transaction_time) FROM ({oracle.TX})",
+)
+def q_bronze_tx(spark, sf_dir):
+    """Transactions written as header CSV (strings, second-resolution times) and ingested back."""
+    from riskflow.sources import ingest
+
+    path = _roundtrip_dir(spark, "raw-transactions")
+    ingest.write_csv(ingest.to_raw_transactions(_rel(spark, sf_dir)["transactions"]), path)
+    return ingest.read_transactions(spark, path)
+
+
+@register(
+    "bronze_logins",
+    f"SELECT * REPLACE (date_trunc('second', login_time) AS login_time) FROM ({oracle.LG})",
+)
+def q_bronze_logins(spark, sf_dir):
+    from riskflow.sources import ingest
+
+    path = _roundtrip_dir(spark, "raw-logins")
+    ingest.write_csv(ingest.to_raw_logins(_rel(spark, sf_dir)["logins"]), path)
+    return ingest.read_logins(spark, path)
