@@ -40,21 +40,24 @@ def previous_in_sequence(
     """``lag(c)`` for each ``c`` in ``cols`` over ``partitionBy(by).orderBy(time_col, tie_col)``.
 
     Adds ``prefix + c`` columns (NULL on a key's first row). Rows with a NULL key or time are
-    dropped. Plan: one shuffle of ``df`` on (by, bucket) for the in-bucket ``lag``; the first row
-    of each bucket takes the last row of the key's previous non-empty bucket from a per-bucket
-    summary (partial aggregation, then a small per-key window).
+    dropped. Plan: one shuffle of ``df`` on (by, bucket) feeding one Window that yields both the
+    in-bucket ``lag`` and each bucket's last row (where ``lead`` is NULL). Only those bucket tails
+    are shuffled by key to find each bucket's predecessor, and joined back on (by, bucket).
     """
     base = df.filter(F.col(by).isNotNull() & F.col(time_col).isNotNull()).withColumn(
         _B, time_bucket(time_col, bucket_seconds)
     )
     payload = F.struct(*[F.col(c).alias(c) for c in cols])
-    order = F.struct(F.col(time_col).alias("t"), F.col(tie_col).alias("id"))
-
     w_in = Window.partitionBy(by, _B).orderBy(*_ordered([time_col, tie_col]))
-    rows = base.withColumn("__prev_in", F.lag(payload).over(w_in))
-
-    last_per_bucket = base.groupBy(by, _B).agg(F.max_by(payload, order).alias("__last"))
-    carried = last_per_bucket.withColumn(
+    rows = base.withColumns(
+        {
+            "__prev_in": F.lag(payload).over(w_in),
+            "__is_tail": F.lead(F.lit(1)).over(w_in).isNull(),
+            "__self": payload,
+        }
+    )
+    tails = rows.filter("__is_tail").select(by, _B, F.col("__self").alias("__last"))
+    carried = tails.withColumn(
         "__prev_bucket", F.lag("__last").over(Window.partitionBy(by).orderBy(_B))
     ).select(by, _B, "__prev_bucket")
 
@@ -82,11 +85,12 @@ def asof_join(
 
     ``right.right_time <= left.left_time``; among right rows with equal times the greatest
     ``right_tie`` wins. Returns every left row once, plus ``right_cols`` (NULL when no match). No
-    pairs are formed: both sides are unioned and the last right row is carried forward, inside a
-    (key, bucket) partition and, for earlier buckets, through a per-bucket summary.
+    pairs are formed: both sides are unioned, shuffled once on (key, bucket), and one Window carries
+    the last right row forward inside the bucket and marks each bucket's tail. The tails (one row
+    per key and bucket) are shuffled by key to carry values across buckets and joined back.
 
     ``key_attrs`` (one row per key, keyed by ``by``) is an optional N:1 left join fused into the
-    same plan: it is joined to the small per-bucket summary, so the left rows are still shuffled
+    same plan: it is joined to the small per-bucket tails, so the left rows are still shuffled
     only once.
     """
     right_by = right_by or by
@@ -97,6 +101,10 @@ def asof_join(
     tie = F.col(right_tie) if right_tie else F.lit(None).cast("string")
 
     payload_type = F.struct(*[F.col(c).alias(c) for c in right_cols])
+    # Left rows without a key match nothing; they skip the union and are appended at the end.
+    # Filtering them explicitly also keeps both consumers of the union identical (see below).
+    keyless = left.filter(F.col(by).isNull())
+    left = left.filter(F.col(by).isNotNull())
     l_side = left.select(
         F.col(by).alias("__key"),
         F.col(left_time).alias("__t"),
@@ -119,23 +127,27 @@ def asof_join(
     )
 
     # Right rows sort before left rows at equal times, so "at or before" includes equality.
-    w_in = (
-        Window.partitionBy("__key", _B)
-        .orderBy(*_ordered(["__t", "__side", "__tie"]))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    order = Window.partitionBy("__key", _B).orderBy(*_ordered(["__t", "__side", "__tie"]))
+    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    win = u.withColumns(
+        {
+            "__in": F.last("__r", ignorenulls=True).over(running),
+            "__is_tail": F.lead(F.lit(1)).over(order).isNull(),
+        }
     )
-    rows = u.withColumn("__in", F.last("__r", ignorenulls=True).over(w_in)).filter(
-        F.col("__side") == 1
+    rows = win.filter(F.col("__side") == 1)
+    # The tails also carry the packed left row (``__tail_l``), which the output reads as a fallback
+    # that never applies. It makes both branches read identical columns from the union, so Spark
+    # reuses one shuffle of the union for both instead of computing the union twice.
+    tails = win.filter("__is_tail").select(
+        "__key", _B, F.col("__in").alias("__last"), F.col("__l").alias("__tail_l")
     )
-
-    right_order = F.when(F.col("__side") == 0, F.struct(F.col("__t").alias("t"), F.col("__tie").alias("id")))
-    per_bucket = u.groupBy("__key", _B).agg(F.max_by("__r", right_order).alias("__last"))
-    carried = per_bucket.withColumn(
+    carried = tails.withColumn(
         "__before",
         F.last("__last", ignorenulls=True).over(
             Window.partitionBy("__key").orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
         ),
-    ).select("__key", _B, "__before")
+    ).select("__key", _B, "__before", "__tail_l")
     attr_cols: list[str] = []
     if key_attrs is not None:
         attr_cols = [c for c in key_attrs.columns if c != by]
@@ -150,11 +162,17 @@ def asof_join(
         F.col("__key").isNotNull() & F.col("__t").isNotNull(),
         F.coalesce(F.col("__in"), F.col("__before")),
     )
-    return joined.select(
-        *[F.col("__l").getField(c).alias(c) for c in lcols],
+    left_row = F.coalesce(F.col("__l"), F.col("__tail_l"))
+    out = joined.select(
+        *[left_row.getField(c).alias(c) for c in lcols],
         *[matched.getField(c).alias(c) for c in right_cols],
         *[F.col("__attrs").getField(c).alias(c) for c in attr_cols],
     )
+    nulls = keyless.select(
+        *lcols,
+        *[F.lit(None).cast(out.schema[c].dataType).alias(c) for c in right_cols + attr_cols],
+    )
+    return out.unionByName(nulls)
 
 
 def interval_join(
