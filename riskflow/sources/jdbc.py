@@ -17,6 +17,12 @@ from riskflow.constants import PENDING
 
 UPDATE_COLUMNS = ["risk_score", "risk_level", "automated_action", "action_reason"]
 INSERT_COLUMNS = ["transaction_id", "user_id", "risk_score", "risk_level", "automated_action", "action_reason"]
+# Staging column types matching the target's (default string mappings may not compare with keys).
+UPDATE_STAGE_TYPES = (
+    "transaction_id VARCHAR(255), user_id VARCHAR(255), risk_level VARCHAR(20), "
+    "automated_action VARCHAR(20), action_reason VARCHAR(4000)"
+)
+REVIEW_STAGE_TYPES = "transaction_id VARCHAR(255), action VARCHAR(20), reviewed_by VARCHAR(255), notes VARCHAR(4000)"
 
 
 def read_table(
@@ -58,25 +64,41 @@ def execute(spark: SparkSession, url: str, statements: Sequence[str], properties
         conn.close()
 
 
-def upsert_statement(target: str, staging: str, dialect: str = "merge") -> str:
+def _q(c: str) -> str:
+    # The staging table is created by Spark's JDBC writer, which quotes (case-preserves) names.
+    return f'"{c}"'
+
+
+def upsert_statements(target: str, staging: str, dialect: str = "ansi") -> list[str]:
     """The set-based upsert: existing keys get new score/level/action/reason and a fresh
-    action_timestamp; new keys are inserted (the table's defaults fill the rest)."""
+    action_timestamp; new keys are inserted (the table's defaults fill the rest).
+
+    ``ansi``: correlated UPDATE of existing keys, then INSERT of missing ones (run in one
+    transaction); ``merge``: one MERGE statement; ``postgres``: INSERT … ON CONFLICT.
+    """
+    cols = ", ".join(INSERT_COLUMNS)
+    src = ", ".join(f"s.{_q(c)}" for c in INSERT_COLUMNS)
+    key = f"s.{_q('transaction_id')} = {target}.transaction_id"
     if dialect == "postgres":
-        cols = ", ".join(INSERT_COLUMNS)
         sets = ", ".join(f"{c} = EXCLUDED.{c}" for c in UPDATE_COLUMNS)
-        return (
-            f"INSERT INTO {target} ({cols}) SELECT {cols} FROM {staging} "
+        return [
+            f"INSERT INTO {target} ({cols}) SELECT {src} FROM {staging} s "
             f"ON CONFLICT (transaction_id) DO UPDATE SET {sets}, action_timestamp = CURRENT_TIMESTAMP"
-        )
-    sets = ", ".join(f"{c} = s.{c}" for c in UPDATE_COLUMNS)
-    cols = ", ".join(INSERT_COLUMNS)
-    vals = ", ".join(f"s.{c}" for c in INSERT_COLUMNS)
-    return (
-        f"MERGE INTO {target} t USING {staging} s ON t.transaction_id = s.transaction_id "
-        f"WHEN MATCHED THEN UPDATE SET {sets}, action_timestamp = CURRENT_TIMESTAMP "
-        f"WHEN NOT MATCHED THEN INSERT ({cols}, action_timestamp, review_status, created_at) "
-        f"VALUES ({vals}, CURRENT_TIMESTAMP, '{PENDING}', CURRENT_TIMESTAMP)"
-    )
+        ]
+    if dialect == "merge":
+        sets = ", ".join(f"{c} = s.{_q(c)}" for c in UPDATE_COLUMNS)
+        return [
+            f"MERGE INTO {target} USING {staging} s ON {key} "
+            f"WHEN MATCHED THEN UPDATE SET {sets}, action_timestamp = CURRENT_TIMESTAMP "
+            f"WHEN NOT MATCHED THEN INSERT ({cols}) VALUES ({src})"
+        ]
+    sets = ", ".join(f"{c} = (SELECT s.{_q(c)} FROM {staging} s WHERE {key})" for c in UPDATE_COLUMNS)
+    return [
+        f"UPDATE {target} SET {sets}, action_timestamp = CURRENT_TIMESTAMP "
+        f"WHERE EXISTS (SELECT 1 FROM {staging} s WHERE {key})",
+        f"INSERT INTO {target} ({cols}) SELECT {src} FROM {staging} s "
+        f"WHERE NOT EXISTS (SELECT 1 FROM {target} WHERE {key})",
+    ]
 
 
 def upsert_batch(
@@ -86,7 +108,7 @@ def upsert_batch(
     target: str,
     staging: str,
     properties: dict | None = None,
-    dialect: str = "merge",
+    dialect: str = "ansi",
 ) -> int:
     """Upsert a batch of score updates (keys must be unique in the batch; dedupe first with
     ``operators.triage.latest_per_key``). Scores are rounded to 2 places (DECIMAL(5,2))."""
@@ -100,21 +122,50 @@ def upsert_batch(
         "automated_action",
         "action_reason",
     )
-    staged.write.mode("overwrite").jdbc(url, staging, properties=dict(properties or {}))
-    return execute(spark, url, [upsert_statement(target, staging, dialect)], properties)[0]
+    (
+        staged.write.mode("overwrite")
+        .option("createTableColumnTypes", UPDATE_STAGE_TYPES)
+        .jdbc(url, staging, properties=dict(properties or {}))
+    )
+    return sum(execute(spark, url, upsert_statements(target, staging, dialect), properties))
+
+
+def apply_reviews_batch(
+    spark: SparkSession,
+    decisions: DataFrame,
+    url: str,
+    target: str,
+    staging: str,
+    properties: dict | None = None,
+) -> int:
+    """Stage one decision per key (dedupe first) and apply them with one keyed MERGE."""
+    (
+        decisions.select("transaction_id", "action", "reviewed_by", "notes")
+        .write.mode("overwrite")
+        .option("createTableColumnTypes", REVIEW_STAGE_TYPES)
+        .jdbc(url, staging, properties=dict(properties or {}))
+    )
+    return execute(spark, url, [review_statement(target, staging)], properties)[0]
 
 
 def review_statement(target: str, staging: str) -> str:
     """Apply staged decisions (one per key): status from the action, reviewer default, notes,
-    timestamp."""
+    timestamp. Keys absent from the target change nothing."""
+    key = f"s.{_q('transaction_id')} = {target}.transaction_id"
+    action, reviewer, notes = f"s.{_q('action')}", f"s.{_q('reviewed_by')}", f"s.{_q('notes')}"
     status = (
-        "CASE WHEN s.action = 'ALLOW' THEN 'APPROVED' WHEN s.action = 'BLOCK' THEN 'REJECTED' ELSE 'ESCALATED' END"
+        f"CASE WHEN {action} = 'ALLOW' THEN 'APPROVED' "
+        f"WHEN {action} = 'BLOCK' THEN 'REJECTED' ELSE 'ESCALATED' END"
     )
+    by = f"COALESCE(NULLIF({reviewer}, ''), 'analyst')"
+
+    def pick(expr: str) -> str:
+        return f"(SELECT {expr} FROM {staging} s WHERE {key})"
+
     return (
-        f"MERGE INTO {target} t USING {staging} s ON t.transaction_id = s.transaction_id "
-        f"WHEN MATCHED THEN UPDATE SET review_status = {status}, "
-        f"reviewed_by = COALESCE(NULLIF(s.reviewed_by, ''), 'analyst'), review_notes = s.notes, "
-        f"review_timestamp = CURRENT_TIMESTAMP"
+        f"UPDATE {target} SET review_status = {pick(status)}, reviewed_by = {pick(by)}, "
+        f"review_notes = {pick(notes)}, review_timestamp = CURRENT_TIMESTAMP "
+        f"WHERE EXISTS (SELECT 1 FROM {staging} s WHERE {key})"
     )
 
 
@@ -124,7 +175,7 @@ def triage_ddl(table: str) -> str:
         f"CREATE TABLE {table} ("
         "transaction_id VARCHAR(255) PRIMARY KEY, user_id VARCHAR(255) NOT NULL, "
         "risk_score DECIMAL(5,2) NOT NULL, risk_level VARCHAR(20) NOT NULL, "
-        "automated_action VARCHAR(20) NOT NULL, action_reason CLOB, "
+        "automated_action VARCHAR(20) NOT NULL, action_reason VARCHAR(4000), "
         "action_timestamp TIMESTAMP DEFAULT CURRENT_TIMESTAMP, review_status VARCHAR(20) DEFAULT 'PENDING', "
         "reviewed_by VARCHAR(255), review_timestamp TIMESTAMP, created_at TIMESTAMP DEFAULT CURRENT_TIMESTAMP, "
         "review_notes VARCHAR(4000))"
