@@ -1,0 +1,175 @@
+"""Per-user ordered processing on streams: IP-change detection and impossible travel.
+
+``lag`` is not available on streams, so the previous login per user is kept in state
+(``applyInPandasWithState``, grouped by user: each group's state lives on one executor and the
+groups are hash-partitioned across the cluster).
+
+Order: logins are buffered in state until the event-time watermark passes them, then processed in
+(time, login_id) order, so late arrivals within the watermark delay are placed correctly. Spark
+drops rows older than the watermark before they reach the processor. Expiry: an event-time timeout
+flushes the buffer when the watermark passes its oldest row, and drops the state of a user idle
+for ``expire_after`` (for travel, 10 minutes is enough: no later login can pair with an older one).
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from riskflow.constants import EARTH_RADIUS_MILES, TRAVEL_MILES_THRESHOLD, TRAVEL_MINUTES_THRESHOLD
+
+STATE_SCHEMA = "last_us long, last_id string, last_ip string, last_lat double, last_lon double, buffer string"
+IP_CHANGE_SCHEMA = "user_id string, new_ip string, ip_change_time timestamp, ip_lat double, ip_lon double, login_id string"
+TRAVEL_SCHEMA = (
+    "user_id string, login_time timestamp, prev_time timestamp, minutes_between_logins double, "
+    "miles_traveled double, ip_address string, city string"
+)
+_COLS = ["login_us", "login_id", "ip_address", "latitude", "longitude", "city"]
+
+
+def _haversine(lat1, lon1, lat2, lon2) -> float | None:
+    if any(v is None or (isinstance(v, float) and np.isnan(v)) for v in (lat1, lon1, lat2, lon2)):
+        return None
+    p1, p2 = np.radians(lat1), np.radians(lat2)
+    a = np.sin(np.radians(lat2 - lat1) / 2) ** 2 + np.cos(p1) * np.cos(p2) * np.sin(np.radians(lon2 - lon1) / 2) ** 2
+    a = min(1.0, max(0.0, float(a)))
+    return float(EARTH_RADIUS_MILES * 2 * np.arctan2(np.sqrt(a), np.sqrt(1 - a)))
+
+
+Emit = Callable[[str, dict | None, dict], dict | None]
+
+
+def _ip_change(user: str, prev: dict | None, cur: dict) -> dict | None:
+    if prev is None or cur["ip_address"] is None or cur["ip_address"] == prev["ip_address"]:
+        return None
+    return {
+        "user_id": user,
+        "new_ip": cur["ip_address"],
+        "ip_change_time": pd.Timestamp(cur["login_us"], unit="us"),
+        "ip_lat": cur["latitude"],
+        "ip_lon": cur["longitude"],
+        "login_id": cur["login_id"],
+    }
+
+
+def _travel(miles: float, minutes: float) -> Emit:
+    def emit(user: str, prev: dict | None, cur: dict) -> dict | None:
+        if prev is None:
+            return None
+        # Whole seconds, as in the batch form (unix_timestamp truncates).
+        mins = (cur["login_us"] // 1_000_000 - prev["login_us"] // 1_000_000) / 60.0
+        dist = _haversine(prev["latitude"], prev["longitude"], cur["latitude"], cur["longitude"])
+        if dist is None or mins > minutes or dist < miles:
+            return None
+        return {
+            "user_id": user,
+            "login_time": pd.Timestamp(cur["login_us"], unit="us"),
+            "prev_time": pd.Timestamp(prev["login_us"], unit="us"),
+            "minutes_between_logins": round(mins, 2),
+            "miles_traveled": round(dist, 2),
+            "ip_address": cur["ip_address"],
+            "city": cur["city"],
+        }
+
+    return emit
+
+
+def _processor(emit: Emit, out_cols: list[str], expire_ms: int):
+    expire_us = expire_ms * 1000
+
+    def fn(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        user = key[0]
+        if state.exists:
+            last_us, last_id, last_ip, last_lat, last_lon, buf = state.get
+            prev = None if last_us is None else {
+                "login_us": last_us, "login_id": last_id, "ip_address": last_ip,
+                "latitude": last_lat, "longitude": last_lon, "city": None,
+            }
+            pending = json.loads(buf) if buf else []
+        else:
+            prev, pending = None, []
+        for pdf in batches:
+            pending.extend(pdf[_COLS].astype(object).where(pdf[_COLS].notna(), None).values.tolist())
+        wm_us = state.getCurrentWatermarkMs() * 1000
+        pending.sort(key=lambda r: (r[0], r[1]))
+        ready = [r for r in pending if r[0] <= wm_us]
+        pending = [r for r in pending if r[0] > wm_us]
+        out = []
+        for r in ready:
+            cur = dict(zip(_COLS, r))
+            # Rows older than what was already processed cannot be re-ordered any more.
+            if prev is not None and (cur["login_us"], cur["login_id"]) < (prev["login_us"], prev["login_id"]):
+                continue
+            e = emit(user, prev, cur)
+            if e is not None:
+                out.append(e)
+            prev = cur
+        if not pending and (prev is None or prev["login_us"] + expire_us <= wm_us):
+            state.remove()
+        else:
+            p = prev or {}
+            state.update(
+                (p.get("login_us"), p.get("login_id"), p.get("ip_address"), p.get("latitude"), p.get("longitude"),
+                 json.dumps(pending) if pending else None)
+            )
+            nxt_us = pending[0][0] if pending else prev["login_us"] + expire_us
+            state.setTimeoutTimestamp(max(-(-int(nxt_us) // 1000), wm_us // 1000 + 1))
+        if out:
+            yield pd.DataFrame(out, columns=out_cols)
+
+    return fn
+
+
+def _prepared(logins: DataFrame, watermark: str) -> DataFrame:
+    """Event time must be a zoned TIMESTAMP for watermarks (session time zone UTC)."""
+    return (
+        logins.withColumn("login_time", F.col("login_time").cast("timestamp"))
+        .withWatermark("login_time", watermark)
+        .select(
+            "user_id", "login_id", "ip_address", "latitude", "longitude", "city",
+            F.unix_micros("login_time").alias("login_us"), "login_time",
+        )
+    )
+
+
+def ip_change_stream(logins: DataFrame, watermark: str = "10 minutes", expire_after: str = "30 days") -> DataFrame:
+    """Streaming twin of ``operators.features.ip_changes`` (append mode)."""
+    cols = [c.split()[0] for c in IP_CHANGE_SCHEMA.split(", ")]
+    return (
+        _prepared(logins, watermark)
+        .groupBy("user_id")
+        .applyInPandasWithState(
+            _processor(_ip_change, cols, _ms(expire_after)), IP_CHANGE_SCHEMA, STATE_SCHEMA, "append",
+            GroupStateTimeout.EventTimeTimeout,
+        )
+    )
+
+
+def travel_stream(
+    logins: DataFrame,
+    watermark: str = "10 minutes",
+    miles: float = TRAVEL_MILES_THRESHOLD,
+    minutes: float = TRAVEL_MINUTES_THRESHOLD,
+) -> DataFrame:
+    """Streaming twin of ``operators.travel.impossible_travel`` (append mode)."""
+    cols = [c.split()[0] for c in TRAVEL_SCHEMA.split(", ")]
+    return (
+        _prepared(logins, watermark)
+        .groupBy("user_id")
+        .applyInPandasWithState(
+            _processor(_travel(miles, minutes), cols, int(minutes * 60_000)), TRAVEL_SCHEMA, STATE_SCHEMA, "append",
+            GroupStateTimeout.EventTimeTimeout,
+        )
+    )
+
+
+def _ms(interval: str) -> int:
+    n, unit = interval.split()
+    mult = {"second": 1_000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000}
+    return int(float(n) * mult[unit.rstrip("s")])
