@@ -515,3 +515,59 @@ def q_bronze_logins(spark, sf_dir):
     path = _roundtrip_dir(spark, "raw-logins")
     ingest.write_csv(ingest.to_raw_logins(_rel(spark, sf_dir)["logins"]), path)
     return ingest.read_logins(spark, path)
+
+
+# ---- step 10: streaming twins (rows-only check: stateful streaming has no SQL form) ---------------
+
+
+def _stream_logins(spark, sf_dir):
+    events = fixtures.table(spark, sf_dir, "events")
+    src = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return fixtures.logins_from_events(src), fixtures.transactions_from_events(src)
+
+
+def _drain(spark, stream_df, name: str) -> DataFrame:
+    """Run a stream over everything available into a Parquet sink under the shared checkpoint
+    folder, then return the sink's contents."""
+    out = _roundtrip_dir(spark, f"stream-{name}")
+    q = (
+        stream_df.writeStream.format("parquet")
+        .option("path", out + "/data")
+        .option("checkpointLocation", out + "/checkpoint")
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    return spark.read.schema(stream_df.schema).parquet(out + "/data")
+
+
+@register("ip_change_stream")
+def q_ip_change_stream(spark, sf_dir):
+    """Streaming IP-change detection (watermark 0 s: input is complete; only logins at the very
+    last event time stay buffered, as they would until more data arrives)."""
+    from riskflow.streaming.stateful import ip_change_stream
+
+    logins, _ = _stream_logins(spark, sf_dir)
+    return _drain(spark, ip_change_stream(logins, watermark="0 seconds"), "ip-changes")
+
+
+@register("travel_stream")
+def q_travel_stream(spark, sf_dir):
+    from riskflow.streaming.stateful import travel_stream
+
+    logins, _ = _stream_logins(spark, sf_dir)
+    return _drain(spark, travel_stream(logins, watermark="0 seconds"), "travel")
+
+
+@register("wire_after_ip_change_stream")
+def q_wire_stream(spark, sf_dir):
+    """Stream–stream interval join of high-value wires with IP changes (changes read from the
+    batch feature table as a stream)."""
+    from riskflow.streaming.pipeline import wire_after_ip_change_stream
+
+    changes_dir = _roundtrip_dir(spark, "ip-changes-table")
+    features.ip_changes(_rel(spark, sf_dir)["logins"]).write.parquet(changes_dir)
+    changes = spark.readStream.schema(spark.read.parquet(changes_dir).schema).parquet(changes_dir)
+    _, txns = _stream_logins(spark, sf_dir)
+    return _drain(spark, wire_after_ip_change_stream(txns, changes, watermark="90 days"), "wire-rule")

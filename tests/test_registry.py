@@ -12,8 +12,11 @@ from tests.oracle_check import compare
 QUERIES = sorted(entry.queries())
 
 
-def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+STREAMING = {"ip_change_stream", "travel_stream", "wire_after_ip_change_stream"}
+
+
+def test_every_batch_query_has_an_oracle():
+    assert set(entry.oracle_sql()) == set(entry.queries()) - STREAMING
 
 
 @pytest.mark.parametrize("name", QUERIES)
