@@ -50,17 +50,22 @@ def triage_rules() -> list[Rule]:
 
 def quality_report(df: DataFrame, rules: list[Rule], key: str | None = None) -> DataFrame:
     """One row per rule: rule, column_name, violations (bigint). With ``key``, also
-    ``unique_key``: the number of key values that occur more than once."""
-    aggs = [F.count_if(r.violation()).alias(f"v{i}") for i, r in enumerate(rules)]
-    wide = df.agg(*aggs)
-    stack = ", ".join(f"'{r.name}', '{r.column}', v{i}" for i, r in enumerate(rules))
-    report = wide.selectExpr(f"stack({len(rules)}, {stack}) AS (rule, column_name, violations)")
+    ``unique_key``: the number of key values that occur more than once.
+
+    One pass over ``df``: with a key, rows are first aggregated per key (rule counts and row count
+    per key, combined map-side), then summed globally; without one, a single global aggregate."""
+    counts = [F.count_if(r.violation()).alias(f"v{i}") for i, r in enumerate(rules)]
     if key:
-        dups = (
-            df.groupBy(key)
-            .agg(F.count(F.lit(1)).alias("n"))
-            .agg(F.count_if(F.col("n") > 1).alias("violations"))
-            .select(F.lit("unique_key").alias("rule"), F.lit(key).alias("column_name"), "violations")
+        per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"), *counts)
+        wide = per_key.agg(
+            *[F.sum(f"v{i}").alias(f"v{i}") for i in range(len(rules))],
+            F.count_if(F.col("__n") > 1).alias("v_key"),
         )
-        report = report.unionByName(dups)
-    return report.withColumn("violations", F.col("violations").cast("long"))
+    else:
+        wide = df.agg(*counts)
+    entries = [(r.name, r.column, f"v{i}") for i, r in enumerate(rules)]
+    if key:
+        entries.append(("unique_key", key, "v_key"))
+    stack = ", ".join(f"'{name}', '{col}', {v}" for name, col, v in entries)
+    report = wide.selectExpr(f"stack({len(entries)}, {stack}) AS (rule, column_name, violations)")
+    return report.withColumn("violations", F.coalesce(F.col("violations").cast("long"), F.lit(0).cast("long")))

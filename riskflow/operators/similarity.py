@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskflow.constants import DEFAULT_TOP_K
+from riskflow.operators.partitioning import spread
 
 TOKEN_PATTERN = "[^a-z0-9]+"
 SCORE_DIGITS = 6
@@ -29,7 +30,8 @@ def tokens(text) -> Column:
 
 def _term_counts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return (
-        df.select(F.col(id_col).alias("__id"), F.explode(tokens(text_col)).alias("term"))
+        spread(df.select(id_col, text_col))
+        .select(F.col(id_col).alias("__id"), F.explode(tokens(text_col)).alias("term"))
         .groupBy("__id", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
