@@ -9,7 +9,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin the rows over ``min_partitions`` (default: the cluster's parallelism) when the
     input has fewer partitions, so CPU-heavy per-row work (tokenising whole texts) runs on every
     core. Inputs that already have enough partitions — any large table — are left untouched, so
-    this never adds a shuffle at scale. Decided at plan time from the input's split count."""
+    this never adds a shuffle at scale. Decided at plan time from the input's split count, so
+    apply it to a table scan (on a plan with shuffles, the count would need those stages to run)."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)

@@ -372,8 +372,11 @@ topk AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER
     + "\nSELECT query_id, doc_id, score, rank FROM topk",
 )
 def q_document_topk(spark, sf_dir):
-    bench = fixtures.table(spark, sf_dir, "benchmark")
-    docs = fixtures.table(spark, sf_dir, "documents")
+    from riskflow.operators.partitioning import spread
+
+    # Whole texts are tokenised per row: spread a scan with few splits over all cores first.
+    bench = spread(fixtures.table(spark, sf_dir, "benchmark"))
+    docs = spread(fixtures.table(spark, sf_dir, "documents"))
     return similarity.text_topk(bench, docs, "item_id", "text", "doc_id", "text")
 
 
