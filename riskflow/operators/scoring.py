@@ -124,11 +124,15 @@ def default_score(activity: DataFrame, travel: DataFrame | None = None) -> DataF
     matched_signatures: signature types whose rule holds. risk_score = max(base, 100 × the largest
     matched signature weight), rounded to 2, where base = 30·high-value wire + 15·recent IP change
     + 5·MFA flag. Level from the score bands. Everything is a row-local expression except the
-    optional travel membership, a join with the distinct flagged users.
+    optional travel membership: a ``has_travel_flag`` column when the activity carries one
+    (``silver.user_activity(..., user_attrs=silver.travel_flags(travel))``, no extra shuffle),
+    else a join with the distinct flagged users.
     """
     df = activity
     has_travel = F.lit(False)
-    if travel is not None:
+    if "has_travel_flag" in activity.columns:
+        has_travel = _true("has_travel_flag")
+    elif travel is not None:
         users = travel.select("user_id").where(F.col("user_id").isNotNull()).distinct()
         df = df.join(users.withColumn("__travel", F.lit(True)), "user_id", "left")
         has_travel = _true("__travel")

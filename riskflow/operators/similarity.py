@@ -27,12 +27,13 @@ def tokens(text) -> Column:
     return F.filter(F.split(F.lower(t), TOKEN_PATTERN), lambda x: x != "")
 
 
-def _term_counts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return (
-        df.select(F.col(id_col).alias("__id"), F.explode(tokens(text_col)).alias("term"))
-        .groupBy("__id", "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+def _term_counts(df: DataFrame, id_col: str, text_col: str, by_id: bool = False) -> DataFrame:
+    """(id, term, tf) postings. ``by_id`` hash-partitions the tokens by id first, so every later
+    per-id step (norms, dot-product sums, the top-k window) reuses that one shuffle."""
+    toks = df.select(F.col(id_col).alias("__id"), F.explode(tokens(text_col)).alias("term"))
+    if by_id:
+        toks = toks.repartition("__id")
+    return toks.groupBy("__id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def _top_k(scored: DataFrame, part: str, order: list[Column], k: int) -> DataFrame:
@@ -55,23 +56,33 @@ def text_topk(
     count in the query norm with df = 0. Columns: query_id, doc_id, score, rank.
     """
     n_docs = corpus.select(F.count(F.lit(1)).cast("double")).scalar()
-    d_tf = _term_counts(corpus, doc_id, doc_text)
-    d_freq = d_tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = d_freq.select("term", (F.log((n_docs + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf"))
-
-    d_w = d_tf.join(idf, "term").select(F.col("__id").alias("d"), "term", (F.col("tf") * F.col("idf")).alias("w"))
-    d_norm = d_w.groupBy("d").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("d_norm"))
-
-    q_tf = _term_counts(queries, query_id, query_text)
-    q_w = q_tf.join(idf, "term", "left").select(
-        F.col("__id").alias("q"),
-        "term",
-        (F.col("tf") * F.coalesce(F.col("idf"), F.log(n_docs + 1.0) + 1.0)).alias("qw"),
+    d_tf = _term_counts(corpus, doc_id, doc_text, by_id=True)
+    idf = (
+        d_tf.groupBy("term")
+        .agg(F.count(F.lit(1)).alias("df"))
+        .select("term", (F.log((n_docs + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf"))
     )
-    q_norm = q_w.groupBy("q").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("q_norm"))
-
-    dot = q_w.join(d_w, "term").groupBy("q", "d").agg(F.sum(F.col("qw") * F.col("w")).alias("dot"))
-    scored = dot.join(q_norm, "q").join(d_norm, "d").select(
+    # Norms are window sums over postings that are already partitioned by id: no extra shuffle
+    # and no second consumer of the postings.
+    d_w = (
+        d_tf.join(idf, "term")
+        .select(F.col("__id").alias("d"), "term", (F.col("tf") * F.col("idf")).alias("w"))
+        .withColumn("d_norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("d"))))
+    )
+    q_w = (
+        _term_counts(queries, query_id, query_text, by_id=True)
+        .join(idf, "term", "left")
+        .select(
+            F.col("__id").alias("q"),
+            "term",
+            (F.col("tf") * F.coalesce(F.col("idf"), F.log(n_docs + 1.0) + 1.0)).alias("qw"),
+        )
+        .withColumn("q_norm", F.sqrt(F.sum(F.col("qw") * F.col("qw")).over(Window.partitionBy("q"))))
+    )
+    dot = q_w.join(d_w, "term").groupBy("q", "d").agg(
+        F.sum(F.col("qw") * F.col("w")).alias("dot"), F.max("q_norm").alias("q_norm"), F.max("d_norm").alias("d_norm")
+    )
+    scored = dot.select(
         F.col("q").alias("query_id"),
         F.col("d").alias("doc_id"),
         F.round(F.col("dot") / (F.col("q_norm") * F.col("d_norm")), SCORE_DIGITS).alias("score"),

@@ -163,10 +163,7 @@ def q_fpr(spark, sf_dir):
 WHERE (mfa_change_flag = true AND high_value_wire = true) OR user_id IN (SELECT user_id FROM travel)""",
 )
 def q_ato(spark, sf_dir):
-    r = _rel(spark, sf_dir)
-    return kpis.account_takeover_rate(
-        silver.user_activity(r["transactions"], r["logins"]), travel.impossible_travel(r["logins"])
-    )
+    return kpis.account_takeover_rate(_activity_with_travel(spark, sf_dir))
 
 
 # ---- step 6: scoring -------------------------------------------------------------------------------
@@ -176,10 +173,14 @@ from riskflow.operators import scoring, similarity, triage  # noqa: E402
 AS_OF = oracle.AS_OF
 
 
-def _scored(spark, sf_dir) -> DataFrame:
+def _activity_with_travel(spark, sf_dir) -> DataFrame:
     r = _rel(spark, sf_dir)
-    act = silver.user_activity(r["transactions"], r["logins"])
-    sc = scoring.default_score(act, travel.impossible_travel(r["logins"]))
+    flags = silver.travel_flags(travel.impossible_travel(r["logins"]))
+    return silver.user_activity(r["transactions"], r["logins"], user_attrs=flags)
+
+
+def _scored(spark, sf_dir) -> DataFrame:
+    sc = scoring.default_score(_activity_with_travel(spark, sf_dir))
     return sc.withColumn("automated_action", scoring.risk_action("risk_level", "risk_score"))
 
 

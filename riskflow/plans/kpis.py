@@ -28,22 +28,23 @@ def false_positive_ratio(triage: DataFrame) -> DataFrame:
     )
 
 
-def account_takeover_rate(activity: DataFrame, travel: DataFrame) -> DataFrame:
+def account_takeover_rate(activity: DataFrame, travel: DataFrame | None = None) -> DataFrame:
     """Distinct users and events where (MFA flag AND high-value wire) OR the user has an
     impossible-travel flag.
 
     The ``IN (subquery)`` under ``OR`` becomes a left-semi membership column: the distinct flagged
     users (an aggregate of the travel table) are left-joined as a marker, which Spark plans as a
-    shuffle or a broadcast depending on the runtime size of that user set.
+    shuffle or a broadcast depending on the runtime size of that user set. When the activity
+    already carries ``has_travel_flag`` (see ``silver.travel_flags``) no join is needed.
     """
-    flagged_users = travel.select("user_id").where(F.col("user_id").isNotNull()).distinct().select(
-        "user_id", F.lit(True).alias("__traveller")
-    )
-    marked = activity.join(flagged_users, "user_id", "left")
-    cond = (
-        (F.col("mfa_change_flag") & F.col("high_value_wire"))
-        | F.coalesce(F.col("__traveller"), F.lit(False))
-    )
+    if "has_travel_flag" in activity.columns:
+        marked, flag = activity, F.col("has_travel_flag")
+    else:
+        flagged_users = travel.select("user_id").where(F.col("user_id").isNotNull()).distinct().select(
+            "user_id", F.lit(True).alias("__traveller")
+        )
+        marked, flag = activity.join(flagged_users, "user_id", "left"), F.col("__traveller")
+    cond = (F.col("mfa_change_flag") & F.col("high_value_wire")) | F.coalesce(flag, F.lit(False))
     return marked.filter(cond).agg(
         F.countDistinct("user_id").alias("ato_user_count"),
         F.count(F.lit(1)).alias("ato_event_count"),

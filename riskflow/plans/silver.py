@@ -49,7 +49,7 @@ def high_value_wire(type_col="transaction_type", amount_col="amount") -> Column:
     return (F.col(type_col) == F.lit(WIRE_TYPE)) & (F.col(amount_col) >= F.lit(HIGH_VALUE_AMOUNT))
 
 
-def _with_flags(df: DataFrame, mfa_mode: str) -> DataFrame:
+def _with_flags(df: DataFrame, mfa_mode: str, extra: list[str] | None = None) -> DataFrame:
     minutes = F.when(
         F.col("ip_change_time").isNotNull(),
         F.round(minutes_between("transaction_time", "ip_change_time"), 2),
@@ -86,7 +86,15 @@ def _with_flags(df: DataFrame, mfa_mode: str) -> DataFrame:
             F.col("high_value_wire") & F.col("ip_changed_recently"),
         )
         .withColumnsRenamed({"ip_lat": "ip_latitude", "ip_lon": "ip_longitude"})
-        .select(*ACTIVITY_COLUMNS)
+        .select(*ACTIVITY_COLUMNS, *(extra or []))
+    )
+
+
+def travel_flags(travel: DataFrame) -> DataFrame:
+    """``user_id, has_travel_flag``: one row per user with an impossible-travel flag."""
+    return (
+        travel.select("user_id").where(F.col("user_id").isNotNull()).distinct()
+        .withColumn("has_travel_flag", F.lit(True))
     )
 
 
@@ -96,8 +104,9 @@ def user_activity(
     ip_mode: str = "asof",
     mfa_mode: str = "calendar",
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    user_attrs: DataFrame | None = None,
 ) -> DataFrame:
-    """``silver_user_activity`` (15 columns).
+    """``silver_user_activity`` (15 columns, then any ``user_attrs`` columns).
 
     ``ip_address``/``device_id`` come from the user's latest login overall and ``ip_latitude``/
     ``ip_longitude`` from the matched IP change, as in the source pipeline. ``mfa_mode='calendar'``
@@ -107,6 +116,12 @@ def user_activity(
     state = user_login_state(logins).select("user_id", "ip_address", "device_id", "last_mfa_change")
     if mfa_mode == "trailing_24h":
         state = state.drop("last_mfa_change")
+    extra: list[str] = []
+    if user_attrs is not None:
+        # Per-user attributes ride along with the login state (both keyed by user), so they reach
+        # every transaction through the same small per-key join instead of another full shuffle.
+        extra = [c for c in user_attrs.columns if c != "user_id"]
+        state = state.join(user_attrs, "user_id", "full_outer")
     changes = ip_changes(logins, bucket_seconds).select(
         "user_id", "ip_change_time", "ip_lat", "ip_lon", F.col("login_id").alias("change_login_id")
     )
@@ -159,4 +174,4 @@ def user_activity(
             right_tie="mfa_login_id",
             bucket_seconds=bucket_seconds,
         )
-    return _with_flags(enriched, mfa_mode)
+    return _with_flags(enriched, mfa_mode, extra)
