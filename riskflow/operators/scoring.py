@@ -24,6 +24,9 @@ from riskflow.constants import (
     FALLBACK_SCORE,
     FRAUD_SIGNATURE_ROWS,
     HIGH_VALUE_AMOUNT,
+    PROMPT_FOOTER,
+    PROMPT_SIGNATURES_HEADER,
+    PROMPT_TRANSACTION_HEADER,
     RISK_LEVELS,
     SUMMARY_AMOUNT_PREFIX,
     SUMMARY_FALLBACK,
@@ -215,11 +218,12 @@ def render_reply(scored: DataFrame, fence_col: Column | None = None) -> Column:
     ).otherwise(body)
 
 
-def with_action_and_fallback(parsed: DataFrame) -> DataFrame:
+def with_action_and_fallback(parsed: DataFrame, error_prefix: str = "") -> DataFrame:
     """Apply the ladder; rows with a parse error take the fallback (0, LOW, MONITOR, error text).
 
     The level written is the scorer's level, defaulting to LOW when missing; the ladder sees an
-    empty level in that case, as in the source pipeline.
+    empty level in that case, as in the source pipeline. The operational store prefixes the error
+    text with ``Error: `` (``error_prefix=OPERATIONAL_ERROR_PREFIX``); the gold table keeps it bare.
     """
     err = F.col("parse_error").isNotNull()
     level_for_ladder = F.coalesce(F.col("risk_level"), F.lit(""))
@@ -227,7 +231,22 @@ def with_action_and_fallback(parsed: DataFrame) -> DataFrame:
         parsed.withColumn("automated_action", F.when(err, F.lit(FALLBACK_ACTION)).otherwise(risk_action(level_for_ladder, F.coalesce(F.col("risk_score"), F.lit(0.0)))))
         .withColumn("risk_score", F.when(err, F.lit(FALLBACK_SCORE)).otherwise(F.coalesce(F.col("risk_score"), F.lit(0.0))))
         .withColumn("risk_level", F.when(err, F.lit(FALLBACK_LEVEL)).otherwise(F.coalesce(F.col("risk_level"), F.lit(FALLBACK_LEVEL))))
-        .withColumn("reason", F.when(err, F.col("parse_error")).otherwise(F.coalesce(F.col("reason"), F.lit(""))))
+        .withColumn(
+            "reason",
+            F.when(err, F.concat(F.lit(error_prefix), F.col("parse_error"))).otherwise(F.coalesce(F.col("reason"), F.lit(""))),
+        )
+    )
+
+
+def prompt_text(summary, hits_json) -> Column:
+    """The user message sent with ``constants.SYSTEM_PROMPT``: the summary and the similar
+    signatures (JSON)."""
+    return F.concat(
+        F.lit(PROMPT_TRANSACTION_HEADER),
+        _c(summary),
+        F.lit(PROMPT_SIGNATURES_HEADER),
+        F.coalesce(_c(hits_json), F.lit("[]")),
+        F.lit(PROMPT_FOOTER),
     )
 
 
@@ -235,14 +254,19 @@ ExternalScorer = Callable[[pd.DataFrame], pd.Series]
 
 
 def score_external(activity: DataFrame, scorer: ExternalScorer, hits: DataFrame | None = None) -> DataFrame:
-    """Score with an external function of a pandas batch (columns transaction_id, summary, hits)
-    returning one reply string per row. Runs per Arrow batch on the executors via ``mapInPandas``;
-    a batch that raises gets the error text as its replies (→ fallback rows)."""
+    """Score with an external function of a pandas batch (columns transaction_id, summary, hits,
+    signatures_searched, prompt) returning one reply string per row. Runs per Arrow batch on the
+    executors via ``mapInPandas``; a batch that raises gets the error text as its replies (→
+    fallback rows). ``hits``: ``similarity.collect_hits`` output keyed by transaction_id.
+    The result keeps ``transaction_query_text`` and ``signatures_searched`` as in the source."""
     q = activity.select("transaction_id", summary_text().alias("summary"))
     if hits is not None:
-        q = q.join(hits.select("transaction_id", F.to_json("hits").alias("hits")), "transaction_id", "left")
+        q = q.join(
+            hits.select("transaction_id", F.to_json("hits").alias("hits"), "signatures_searched"), "transaction_id", "left"
+        )
     else:
-        q = q.withColumn("hits", F.lit(None).cast("string"))
+        q = q.withColumns({"hits": F.lit(None).cast("string"), "signatures_searched": F.lit(0)})
+    q = q.withColumn("prompt", prompt_text("summary", "hits"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -253,13 +277,15 @@ def score_external(activity: DataFrame, scorer: ExternalScorer, hits: DataFrame
                 pdf = pdf.assign(error=str(e))
             else:
                 pdf = pdf.assign(error=None)
-            yield pdf.assign(reply=replies)[["transaction_id", "summary", "reply", "error"]]
+            yield pdf.assign(reply=replies)[["transaction_id", "summary", "signatures_searched", "reply", "error"]]
 
-    replies = q.mapInPandas(run, "transaction_id string, summary string, reply string, error string")
+    replies = q.mapInPandas(
+        run, "transaction_id string, summary string, signatures_searched int, reply string, error string"
+    )
     parsed = parse_reply(replies, "reply").withColumn(
         "parse_error", F.coalesce(F.col("error"), F.col("parse_error"))
     ).drop("error")
-    return parsed
+    return parsed.withColumnRenamed("summary", "transaction_query_text")
 
 
 def validate_levels(df: DataFrame) -> Column:

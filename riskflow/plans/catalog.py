@@ -410,6 +410,28 @@ def q_signature_topk(spark, sf_dir):
     )
 
 
+@register(
+    "signature_hits",
+    oracle.BASE
+    + ", "
+    + _text_topk_sql(
+        f"SELECT transaction_id, {oracle.SUMMARY} AS summary FROM silver", "transaction_id", "summary",
+        oracle._signature_values(), "signature_id", "description",
+    )
+    + """
+SELECT query_id AS transaction_id, CAST(count(*) AS INTEGER) AS signatures_searched,
+       list(doc_id ORDER BY rank) AS hit_ids
+FROM topk GROUP BY query_id""",
+)
+def q_signature_hits(spark, sf_dir):
+    """Hits per transaction in rank order, with their count (the scorer's input)."""
+    hits = q_signature_topk(spark, sf_dir)
+    per_txn = similarity.collect_hits(hits, "transaction_id", ["signature_id", "signature_type", "risk_weight", "similarity_score"])
+    return per_txn.select(
+        "transaction_id", "signatures_searched", F.transform("hits", lambda h: h.getField("signature_id")).alias("hit_ids")
+    )
+
+
 @register(
     "vector_topk",
     """WITH e AS (SELECT vec_id, label, embedding FROM embeddings),

@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 LAYERS = ("raw", "silver", "gold")
 
@@ -19,6 +20,15 @@ def create_namespaces(spark: SparkSession, layers=LAYERS) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
 
 
+def create_empty(spark: SparkSession, name: str, schema: StructType, fmt: str = "parquet") -> bool:
+    """Create ``name`` with ``schema`` and no rows if it does not exist (never overwrites an
+    existing table). Returns True when created."""
+    if spark.catalog.tableExists(name):
+        return False
+    spark.createDataFrame([], schema).write.format(fmt).saveAsTable(name)
+    return True
+
+
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 

@@ -139,3 +139,24 @@ def test_centroids(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (0, [3.0, 4.0]), (1, [5.0, 5.0])], "g int, v array<float>")
     got = {r["g"]: r["centroid"] for r in similarity.centroids(df, "g", "v").collect()}
     assert got == {0: [2.0, 3.0], 1: [5.0, 5.0]}
+
+
+def test_external_scorer_sees_prompt_and_hits_and_prefixes_errors(spark):
+    from riskflow.constants import OPERATIONAL_ERROR_PREFIX
+
+    act = spark.createDataFrame(
+        [("t1", "wire", 20000.0, True, True, True)],
+        "transaction_id string, transaction_type string, amount double, mfa_change_flag boolean, "
+        "ip_changed_recently boolean, high_value_wire boolean",
+    )
+    raw_hits = spark.createDataFrame([("t1", "sig_a", 0.9, 1), ("t1", "sig_b", 0.5, 2)], "transaction_id string, signature_id string, similarity_score double, rank long")
+    hits = similarity.collect_hits(raw_hits, "transaction_id", ["signature_id", "similarity_score"])
+    def scorer(pdf):
+        return pd.Series(["nope"] * len(pdf))
+
+    out = scoring.with_action_and_fallback(scoring.score_external(act, scorer, hits), OPERATIONAL_ERROR_PREFIX).collect()[0]
+    assert out["signatures_searched"] == 2 and out["transaction_query_text"].startswith("Transaction type: wire")
+    assert out["reason"].startswith("Error: unparseable reply")
+    # The scorer ran on an executor; the prompt it saw is checked through the returned rows instead.
+    prompts = scoring.score_external(act, lambda pdf: pdf["prompt"], hits).collect()
+    assert prompts[0]["parse_error"].startswith("unparseable reply: Transaction:\n")

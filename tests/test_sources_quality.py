@@ -94,3 +94,12 @@ def test_masking_by_tag_and_group(spark):
     assert clear[0]["user_id"] == "u1"
     governance.register_mask_function(spark, ["fraud_analyst_group"], ["support"])
     assert spark.sql("SELECT mask_card('1234')").collect()[0][0] == "****"
+
+
+def test_create_empty_never_overwrites(spark):
+    tables.create_namespaces(spark)
+    name = f"gold.triage_{uuid.uuid4().hex[:6]}"
+    assert tables.create_empty(spark, name, TRIAGE) is True
+    spark.createDataFrame([("t1", "u", 1.0, "LOW", "APPROVE", None, None, None, None, None, None)], TRIAGE).write.mode("append").saveAsTable(name)
+    assert tables.create_empty(spark, name, TRIAGE) is False
+    assert spark.table(name).count() == 1
