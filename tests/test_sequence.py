@@ -126,3 +126,21 @@ def test_interval_join_matches_brute_force(spark):
         if lk == rk and rt <= lt and int(lt.timestamp()) - int(rt.timestamp()) <= 3600
     }
     assert got == want
+
+
+def test_hot_key_is_spread_over_tasks(spark):
+    """A user holding 40 % of the rows must not land in one task: rows are partitioned by
+    (user, hour), so the hot user's hours are hashed across partitions."""
+    rows = _random_events(3000, [f"u{i}" for i in range(50)], seed=7, span_hours=400, hot="hot")
+    df = spark.createDataFrame(rows, EV)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = previous_in_sequence(df, "k", "t", "id", ["v"]).withColumn("pid", F.spark_partition_id())
+        hot = out.filter(F.col("k") == "hot")
+        parts = hot.select("pid").distinct().count()
+        total = hot.count()
+        biggest = hot.groupBy("pid").count().agg(F.max("count")).collect()[0][0]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert parts == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert biggest < total / 2
