@@ -125,42 +125,59 @@ def vector_topk(
     doc_vec: str,
     k: int = DEFAULT_TOP_K,
     by: str | None = None,
-    max_index_rows: int = 1_000_000,
+    max_index_rows: int = 10_000,
 ) -> DataFrame:
     """Exact cosine top-k (scores rounded to 6 places, ties by ``doc_id``).
 
     With ``by``, queries only meet corpus rows of the same ``by`` value (an equi-join, e.g. a
-    partitioned index). Without it the corpus is an index that is broadcast to every task; its
-    row count is checked first and a larger corpus is refused (no silent truncation).
-    Columns: query_id, doc_id, score, rank.
+    partitioned index), and the top k per query come from a per-task group limit.
+
+    Without ``by`` the corpus is a small index (like the signature index): its row count is checked
+    first (a larger index is refused, never truncated), it is collected into one array by a scalar
+    subquery, and every query row scores the array with array functions and keeps its k best — no
+    join and no (query, index) pair rows. Columns: query_id, doc_id, score, rank.
     """
     q = queries.select(F.col(query_id).alias("query_id"), F.col(query_vec).alias("__qv"), *([F.col(by)] if by else []))
     d = corpus.select(F.col(doc_id).alias("doc_id"), F.col(doc_vec).alias("__dv"), *([F.col(by)] if by else []))
     if by:
-        pairs = q.join(d, by)
-    else:
-        n = corpus.count()
-        if n > max_index_rows:
-            raise ValueError(
-                f"vector index has {n} rows (> {max_index_rows}); partition it with `by` instead of broadcasting"
-            )
-        pairs = q.join(F.broadcast(d), how="cross")
-    scored = pairs.select(
-        "query_id", "doc_id", F.round(cosine("__qv", "__dv"), SCORE_DIGITS).alias("score")
-    )
-    return _top_k(scored, "query_id", [F.col("score").desc_nulls_last(), F.col("doc_id").asc()], k)
+        scored = q.join(d, by).select(
+            "query_id", "doc_id", F.round(cosine("__qv", "__dv"), SCORE_DIGITS).alias("score")
+        )
+        return _top_k(scored, "query_id", [F.col("score").desc_nulls_last(), F.col("doc_id").asc()], k)
 
+    n = corpus.count()
+    if n > max_index_rows:
+        raise ValueError(
+            f"vector index has {n} rows (> {max_index_rows}); partition it with `by` instead of attaching it"
+        )
+    index = d.agg(F.collect_list(F.struct("doc_id", "__dv")).alias("idx")).scalar()
+    q = q.withColumn("__idx", index)  # the subquery runs once; its result is a constant per task
+    scores = F.transform(
+        F.col("__idx"),
+        lambda e: F.struct(
+            F.round(cosine(F.col("__qv"), e.getField("__dv")), SCORE_DIGITS).alias("score"),
+            e.getField("doc_id").alias("doc_id"),
+        ),
+    )
 
-def collect_hits(hits: DataFrame, query_id: str, fields: list[str]) -> DataFrame:
-    """One row per query: ``hits`` (array of structs in rank order) and ``signatures_searched``
-    (its size). ``hits`` holds at most k rows per query, so each list is bounded by k."""
-    ordered = F.array_sort(F.collect_list(F.struct("rank", *fields)))
-    return (
-        hits.groupBy(query_id)
-        .agg(ordered.alias("__h"))
-        .select(
-            query_id,
-            F.transform("__h", lambda h: F.struct(*[h.getField(f).alias(f) for f in fields])).alias("hits"),
-            F.size("__h").alias("signatures_searched"),
+    def better(a, b):
+        # Best first: higher score (NULL last), then smaller doc_id.
+        sa, sb = a.getField("score"), b.getField("score")
+        return (
+            F.when(sa.isNull() & sb.isNull(), 0)
+            .when(sa.isNull(), 1)
+            .when(sb.isNull(), -1)
+            .when(sa > sb, -1)
+            .when(sa < sb, 1)
+            .when(a.getField("doc_id") < b.getField("doc_id"), -1)
+            .when(a.getField("doc_id") > b.getField("doc_id"), 1)
+            .otherwise(0)
         )
+
+    best = F.slice(F.array_sort(scores, better), 1, k)
+    return q.select("query_id", F.posexplode(best).alias("pos", "hit")).select(
+        "query_id",
+        F.col("hit.doc_id").alias("doc_id"),
+        F.col("hit.score").alias("score"),
+        (F.col("pos") + 1).cast("long").alias("rank"),
     )

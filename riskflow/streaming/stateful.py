@@ -5,7 +5,7 @@
 groups are hash-partitioned across the cluster).
 
 Order: logins are buffered in state until the event-time watermark passes them, then processed in
-(time, login_id) order, so late arrivals within the watermark delay are placed correctly. Spark
+(time, login_id) order as one pandas batch per user (sort, shift, vector masks; no per-row loop), so late arrivals within the watermark delay are placed correctly. Spark
 drops rows older than the watermark before they reach the processor. Expiry: an event-time timeout
 flushes the buffer when the watermark passes its oldest row, and drops the state of a user idle
 for ``expire_after`` (for travel, 10 minutes is enough: no later login can pair with an older one).
@@ -33,95 +33,117 @@ TRAVEL_SCHEMA = (
 _COLS = ["login_us", "login_id", "ip_address", "latitude", "longitude", "city"]
 
 
-def _haversine(lat1, lon1, lat2, lon2) -> float | None:
-    if any(v is None or (isinstance(v, float) and np.isnan(v)) for v in (lat1, lon1, lat2, lon2)):
-        return None
+def _haversine(lat1, lon1, lat2, lon2) -> np.ndarray:
+    """Vectorised haversine miles; NaN where any coordinate is missing (clamped term, no NaN from
+    rounding)."""
+    lat1, lon1, lat2, lon2 = (np.asarray(v, dtype="float64") for v in (lat1, lon1, lat2, lon2))
     p1, p2 = np.radians(lat1), np.radians(lat2)
     a = np.sin(np.radians(lat2 - lat1) / 2) ** 2 + np.cos(p1) * np.cos(p2) * np.sin(np.radians(lon2 - lon1) / 2) ** 2
-    a = min(1.0, max(0.0, float(a)))
-    return float(EARTH_RADIUS_MILES * 2 * np.arctan2(np.sqrt(a), np.sqrt(1 - a)))
+    a = np.clip(a, 0.0, 1.0)
+    return EARTH_RADIUS_MILES * 2 * np.arctan2(np.sqrt(a), np.sqrt(1 - a))
 
 
-Emit = Callable[[str, dict | None, dict], dict | None]
+# An emitter turns ordered rows plus their predecessors (``prev_*`` columns) into output rows.
+Emit = Callable[[str, pd.DataFrame], pd.DataFrame]
 
 
-def _ip_change(user: str, prev: dict | None, cur: dict) -> dict | None:
-    if prev is None or cur["ip_address"] is None or cur["ip_address"] == prev["ip_address"]:
-        return None
-    return {
-        "user_id": user,
-        "new_ip": cur["ip_address"],
-        "ip_change_time": pd.Timestamp(cur["login_us"], unit="us"),
-        "ip_lat": cur["latitude"],
-        "ip_lon": cur["longitude"],
-        "login_id": cur["login_id"],
-    }
+def _ip_change(user: str, rows: pd.DataFrame) -> pd.DataFrame:
+    hit = rows["prev_ip_address"].notna() & rows["ip_address"].notna() & (rows["ip_address"] != rows["prev_ip_address"])
+    r = rows[hit]
+    return pd.DataFrame(
+        {
+            "user_id": user,
+            "new_ip": r["ip_address"],
+            "ip_change_time": pd.to_datetime(r["login_us"].astype("int64"), unit="us"),
+            "ip_lat": r["latitude"],
+            "ip_lon": r["longitude"],
+            "login_id": r["login_id"],
+        }
+    )
 
 
 def _travel(miles: float, minutes: float) -> Emit:
-    def emit(user: str, prev: dict | None, cur: dict) -> dict | None:
-        if prev is None:
-            return None
+    def emit(user: str, rows: pd.DataFrame) -> pd.DataFrame:
+        has_prev = rows["prev_login_us"].notna()
         # Whole seconds, as in the batch form (unix_timestamp truncates).
-        mins = (cur["login_us"] // 1_000_000 - prev["login_us"] // 1_000_000) / 60.0
-        dist = _haversine(prev["latitude"], prev["longitude"], cur["latitude"], cur["longitude"])
-        if dist is None or mins > minutes or dist < miles:
-            return None
-        return {
-            "user_id": user,
-            "login_time": pd.Timestamp(cur["login_us"], unit="us"),
-            "prev_time": pd.Timestamp(prev["login_us"], unit="us"),
-            "minutes_between_logins": round(mins, 2),
-            "miles_traveled": round(dist, 2),
-            "ip_address": cur["ip_address"],
-            "city": cur["city"],
-        }
+        mins = (rows["login_us"] // 1_000_000 - rows["prev_login_us"] // 1_000_000) / 60.0
+        dist = _haversine(rows["prev_latitude"], rows["prev_longitude"], rows["latitude"], rows["longitude"])
+        hit = has_prev & ~np.isnan(dist) & (mins <= minutes) & (dist >= miles)
+        r = rows[hit]
+        return pd.DataFrame(
+            {
+                "user_id": user,
+                "login_time": pd.to_datetime(r["login_us"].astype("int64"), unit="us"),
+                "prev_time": pd.to_datetime(r["prev_login_us"].astype("int64"), unit="us"),
+                "minutes_between_logins": mins[hit].round(2),
+                "miles_traveled": np.round(dist[hit.to_numpy()], 2),
+                "ip_address": r["ip_address"],
+                "city": r["city"],
+            }
+        )
 
     return emit
 
 
-def _processor(emit: Emit, out_cols: list[str], expire_ms: int):
+_PREV = ["login_us", "login_id", "ip_address", "latitude", "longitude"]
+
+
+def _processor(emit: Emit, expire_ms: int):
     expire_us = expire_ms * 1000
 
     def fn(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         user = key[0]
+        prev: dict | None = None
+        frames = []
         if state.exists:
             last_us, last_id, last_ip, last_lat, last_lon, buf = state.get
-            prev = None if last_us is None else {
-                "login_us": last_us, "login_id": last_id, "ip_address": last_ip,
-                "latitude": last_lat, "longitude": last_lon, "city": None,
-            }
-            pending = json.loads(buf) if buf else []
-        else:
-            prev, pending = None, []
-        for pdf in batches:
-            pending.extend(pdf[_COLS].astype(object).where(pdf[_COLS].notna(), None).values.tolist())
+            if last_us is not None:
+                prev = dict(zip(_PREV, (last_us, last_id, last_ip, last_lat, last_lon)))
+            if buf:
+                frames.append(pd.DataFrame(json.loads(buf), columns=_COLS))
+        frames += [pdf[_COLS] for pdf in batches]
+        rows = pd.concat(frames, ignore_index=True) if frames else pd.DataFrame(columns=_COLS)
+        # Buffered rows come back from JSON as Python objects: restore the numeric dtypes.
+        rows["login_us"] = pd.to_numeric(rows["login_us"]).astype("int64")
+        for c in ("latitude", "longitude"):
+            rows[c] = pd.to_numeric(rows[c], errors="coerce").astype("float64")
+        rows = rows.sort_values(["login_us", "login_id"], kind="mergesort", ignore_index=True)
         wm_us = state.getCurrentWatermarkMs() * 1000
-        pending.sort(key=lambda r: (r[0], r[1]))
-        ready = [r for r in pending if r[0] <= wm_us]
-        pending = [r for r in pending if r[0] > wm_us]
-        out = []
-        for r in ready:
-            cur = dict(zip(_COLS, r))
+        final = rows["login_us"] <= wm_us
+        ready, pending = rows[final], rows[~final]
+        if prev is not None:
             # Rows older than what was already processed cannot be re-ordered any more.
-            if prev is not None and (cur["login_us"], cur["login_id"]) < (prev["login_us"], prev["login_id"]):
-                continue
-            e = emit(user, prev, cur)
-            if e is not None:
-                out.append(e)
-            prev = cur
-        if not pending and (prev is None or prev["login_us"] + expire_us <= wm_us):
+            newer = (ready["login_us"] > prev["login_us"]) | (
+                (ready["login_us"] == prev["login_us"]) & (ready["login_id"] > prev["login_id"])
+            )
+            ready = ready[newer]
+        out = None
+        if len(ready):
+            ready = ready.reset_index(drop=True)
+            for c in _PREV:
+                shifted = ready[c].shift(1).astype(object)
+                shifted.iloc[0] = None if prev is None else prev[c]
+                ready["prev_" + c] = shifted
+            ready["prev_login_us"] = pd.to_numeric(ready["prev_login_us"])
+            for c in ("prev_latitude", "prev_longitude"):
+                ready[c] = pd.to_numeric(ready[c])
+            out = emit(user, ready)
+            last = ready.iloc[-1]
+            prev = {c: (None if pd.isna(last[c]) else last[c]) for c in _PREV}
+            prev["login_us"] = int(prev["login_us"])
+        if not len(pending) and (prev is None or prev["login_us"] + expire_us <= wm_us):
             state.remove()
         else:
             p = prev or {}
+            buf = pending.astype(object).where(pending.notna(), None).values.tolist() if len(pending) else None
             state.update(
                 (p.get("login_us"), p.get("login_id"), p.get("ip_address"), p.get("latitude"), p.get("longitude"),
-                 json.dumps(pending) if pending else None)
+                 json.dumps(buf) if buf else None)
             )
-            nxt_us = pending[0][0] if pending else prev["login_us"] + expire_us
-            state.setTimeoutTimestamp(max(-(-int(nxt_us) // 1000), wm_us // 1000 + 1))
-        if out:
-            yield pd.DataFrame(out, columns=out_cols)
+            nxt_us = int(pending["login_us"].iloc[0]) if len(pending) else prev["login_us"] + expire_us
+            state.setTimeoutTimestamp(max(-(-nxt_us // 1000), wm_us // 1000 + 1))
+        if out is not None and len(out):
+            yield out
 
     return fn
 
@@ -140,12 +162,11 @@ def _prepared(logins: DataFrame, watermark: str) -> DataFrame:
 
 def ip_change_stream(logins: DataFrame, watermark: str = "10 minutes", expire_after: str = "30 days") -> DataFrame:
     """Streaming twin of ``operators.features.ip_changes`` (append mode)."""
-    cols = [c.split()[0] for c in IP_CHANGE_SCHEMA.split(", ")]
     return (
         _prepared(logins, watermark)
         .groupBy("user_id")
         .applyInPandasWithState(
-            _processor(_ip_change, cols, _ms(expire_after)), IP_CHANGE_SCHEMA, STATE_SCHEMA, "append",
+            _processor(_ip_change, _ms(expire_after)), IP_CHANGE_SCHEMA, STATE_SCHEMA, "append",
             GroupStateTimeout.EventTimeTimeout,
         )
     )
@@ -158,12 +179,11 @@ def travel_stream(
     minutes: float = TRAVEL_MINUTES_THRESHOLD,
 ) -> DataFrame:
     """Streaming twin of ``operators.travel.impossible_travel`` (append mode)."""
-    cols = [c.split()[0] for c in TRAVEL_SCHEMA.split(", ")]
     return (
         _prepared(logins, watermark)
         .groupBy("user_id")
         .applyInPandasWithState(
-            _processor(_travel(miles, minutes), cols, int(minutes * 60_000)), TRAVEL_SCHEMA, STATE_SCHEMA, "append",
+            _processor(_travel(miles, minutes), int(minutes * 60_000)), TRAVEL_SCHEMA, STATE_SCHEMA, "append",
             GroupStateTimeout.EventTimeTimeout,
         )
     )
