@@ -5,7 +5,7 @@
 groups are hash-partitioned across the cluster).
 
 Order: logins are buffered in state until the event-time watermark passes them, then processed in
-(time, login_id) order as one pandas batch per user (sort, shift, vector masks; no per-row loop), so late arrivals within the watermark delay are placed correctly. Spark
+(time, login_id) order as numpy arrays per user (lexsort, shifted copies, vector masks), so late arrivals within the watermark delay are placed correctly. Spark
 drops rows older than the watermark before they reach the processor. Expiry: an event-time timeout
 flushes the buffer when the watermark passes its oldest row, and drops the state of a user idle
 for ``expire_after`` (for travel, 10 minutes is enough: no later login can pair with an older one).
@@ -43,42 +43,48 @@ def _haversine(lat1, lon1, lat2, lon2) -> np.ndarray:
     return EARTH_RADIUS_MILES * 2 * np.arctan2(np.sqrt(a), np.sqrt(1 - a))
 
 
-# An emitter turns ordered rows plus their predecessors (``prev_*`` columns) into output rows.
-Emit = Callable[[str, pd.DataFrame], pd.DataFrame]
+# An emitter turns ordered rows (numpy arrays) plus their predecessors (``prev_*``; the first row's
+# predecessor comes from state) into the output rows.
+Emit = Callable[[str, dict], pd.DataFrame | None]
 
 
-def _ip_change(user: str, rows: pd.DataFrame) -> pd.DataFrame:
-    hit = rows["prev_ip_address"].notna() & rows["ip_address"].notna() & (rows["ip_address"] != rows["prev_ip_address"])
-    r = rows[hit]
+def _ip_change(user: str, r: dict) -> pd.DataFrame | None:
+    ip, prev_ip = r["ip_address"], r["prev_ip_address"]
+    hit = r["has_prev"] & pd.notna(ip) & pd.notna(prev_ip) & (ip != prev_ip)
+    if not hit.any():
+        return None
     return pd.DataFrame(
         {
             "user_id": user,
-            "new_ip": r["ip_address"],
-            "ip_change_time": pd.to_datetime(r["login_us"].astype("int64"), unit="us"),
-            "ip_lat": r["latitude"],
-            "ip_lon": r["longitude"],
-            "login_id": r["login_id"],
+            "new_ip": ip[hit],
+            "ip_change_time": pd.to_datetime(r["login_us"][hit], unit="us"),
+            "ip_lat": r["latitude"][hit],
+            "ip_lon": r["longitude"][hit],
+            "login_id": r["login_id"][hit],
         }
     )
 
 
 def _travel(miles: float, minutes: float) -> Emit:
-    def emit(user: str, rows: pd.DataFrame) -> pd.DataFrame:
-        has_prev = rows["prev_login_us"].notna()
+    def emit(user: str, r: dict) -> pd.DataFrame | None:
+        prev_us = r["prev_login_us"]
+        has_prev = r["has_prev"]
         # Whole seconds, as in the batch form (unix_timestamp truncates).
-        mins = (rows["login_us"] // 1_000_000 - rows["prev_login_us"] // 1_000_000) / 60.0
-        dist = _haversine(rows["prev_latitude"], rows["prev_longitude"], rows["latitude"], rows["longitude"])
-        hit = has_prev & ~np.isnan(dist) & (mins <= minutes) & (dist >= miles)
-        r = rows[hit]
+        mins = (r["login_us"] // 1_000_000 - prev_us // 1_000_000) / 60.0
+        dist = _haversine(r["prev_latitude"], r["prev_longitude"], r["latitude"], r["longitude"])
+        with np.errstate(invalid="ignore"):
+            hit = has_prev & ~np.isnan(dist) & (mins <= minutes) & (dist >= miles)
+        if not hit.any():
+            return None
         return pd.DataFrame(
             {
                 "user_id": user,
-                "login_time": pd.to_datetime(r["login_us"].astype("int64"), unit="us"),
-                "prev_time": pd.to_datetime(r["prev_login_us"].astype("int64"), unit="us"),
-                "minutes_between_logins": mins[hit].round(2),
-                "miles_traveled": np.round(dist[hit.to_numpy()], 2),
-                "ip_address": r["ip_address"],
-                "city": r["city"],
+                "login_time": pd.to_datetime(r["login_us"][hit], unit="us"),
+                "prev_time": pd.to_datetime(prev_us[hit], unit="us"),
+                "minutes_between_logins": np.round(mins[hit], 2),
+                "miles_traveled": np.round(dist[hit], 2),
+                "ip_address": r["ip_address"][hit],
+                "city": r["city"][hit],
             }
         )
 
@@ -86,6 +92,20 @@ def _travel(miles: float, minutes: float) -> Emit:
 
 
 _PREV = ["login_us", "login_id", "ip_address", "latitude", "longitude"]
+_NO_PREV = {"login_us": 0, "login_id": None, "ip_address": None, "latitude": np.nan, "longitude": np.nan}
+
+
+def _arrays(frames: list[pd.DataFrame]) -> dict:
+    """Column arrays with fixed dtypes (buffered rows come back from JSON as Python objects)."""
+    df = pd.concat(frames, ignore_index=True)
+    return {
+        "login_us": pd.to_numeric(df["login_us"]).to_numpy(dtype="int64"),
+        "login_id": df["login_id"].to_numpy(dtype=object),
+        "ip_address": df["ip_address"].astype(object).where(df["ip_address"].notna(), None).to_numpy(dtype=object),
+        "latitude": pd.to_numeric(df["latitude"], errors="coerce").to_numpy(dtype="float64"),
+        "longitude": pd.to_numeric(df["longitude"], errors="coerce").to_numpy(dtype="float64"),
+        "city": df["city"].astype(object).where(df["city"].notna(), None).to_numpy(dtype=object),
+    }
 
 
 def _processor(emit: Emit, expire_ms: int):
@@ -98,49 +118,56 @@ def _processor(emit: Emit, expire_ms: int):
         if state.exists:
             last_us, last_id, last_ip, last_lat, last_lon, buf = state.get
             if last_us is not None:
-                prev = dict(zip(_PREV, (last_us, last_id, last_ip, last_lat, last_lon)))
+                prev = {"login_us": last_us, "login_id": last_id, "ip_address": last_ip,
+                        "latitude": np.nan if last_lat is None else last_lat,
+                        "longitude": np.nan if last_lon is None else last_lon}
             if buf:
                 frames.append(pd.DataFrame(json.loads(buf), columns=_COLS))
-        frames += [pdf[_COLS] for pdf in batches]
-        rows = pd.concat(frames, ignore_index=True) if frames else pd.DataFrame(columns=_COLS)
-        # Buffered rows come back from JSON as Python objects: restore the numeric dtypes.
-        rows["login_us"] = pd.to_numeric(rows["login_us"]).astype("int64")
-        for c in ("latitude", "longitude"):
-            rows[c] = pd.to_numeric(rows[c], errors="coerce").astype("float64")
-        rows = rows.sort_values(["login_us", "login_id"], kind="mergesort", ignore_index=True)
+        frames += [pdf[_COLS] for pdf in batches if len(pdf)]
         wm_us = state.getCurrentWatermarkMs() * 1000
-        final = rows["login_us"] <= wm_us
-        ready, pending = rows[final], rows[~final]
-        if prev is not None:
-            # Rows older than what was already processed cannot be re-ordered any more.
-            newer = (ready["login_us"] > prev["login_us"]) | (
-                (ready["login_us"] == prev["login_us"]) & (ready["login_id"] > prev["login_id"])
-            )
-            ready = ready[newer]
         out = None
-        if len(ready):
-            ready = ready.reset_index(drop=True)
-            for c in _PREV:
-                shifted = ready[c].shift(1).astype(object)
-                shifted.iloc[0] = None if prev is None else prev[c]
-                ready["prev_" + c] = shifted
-            ready["prev_login_us"] = pd.to_numeric(ready["prev_login_us"])
-            for c in ("prev_latitude", "prev_longitude"):
-                ready[c] = pd.to_numeric(ready[c])
-            out = emit(user, ready)
-            last = ready.iloc[-1]
-            prev = {c: (None if pd.isna(last[c]) else last[c]) for c in _PREV}
-            prev["login_us"] = int(prev["login_us"])
-        if not len(pending) and (prev is None or prev["login_us"] + expire_us <= wm_us):
+        pending_rows: list = []
+        if frames:
+            a = _arrays(frames)
+            order = np.lexsort((a["login_id"].astype(str), a["login_us"]))
+            a = {c: v[order] for c, v in a.items()}
+            us, ids = a["login_us"], a["login_id"].astype(str)
+            n_ready = int(np.searchsorted(us, wm_us, side="right"))
+            start = 0
+            if prev is not None:
+                # Rows not after the last processed one cannot be re-ordered any more; sorted by
+                # (time, id), they form a prefix.
+                pu, pid = prev["login_us"], str(prev["login_id"])
+                older = (us[:n_ready] < pu) | ((us[:n_ready] == pu) & (ids[:n_ready] <= pid))
+                start = int(older.sum())
+            pending_rows = [[a[c][i] for c in _COLS] for i in range(n_ready, len(us))]
+            if n_ready > start:
+                r = {c: v[start:n_ready] for c, v in a.items()}
+                first = prev or _NO_PREV
+                for c in _PREV:
+                    r["prev_" + c] = np.concatenate([np.array([first[c]], dtype=r[c].dtype), r[c][:-1]])
+                r["has_prev"] = np.ones(n_ready - start, dtype=bool)
+                r["has_prev"][0] = prev is not None
+                out = emit(user, r)
+                prev = {c: r[c][-1] for c in _PREV}
+        if not pending_rows and (prev is None or prev["login_us"] + expire_us <= wm_us):
             state.remove()
         else:
+            buf = [[int(x[0]), x[1], x[2], None if x[3] != x[3] else float(x[3]),
+                    None if x[4] != x[4] else float(x[4]), x[5]] for x in pending_rows]
             p = prev or {}
-            buf = pending.astype(object).where(pending.notna(), None).values.tolist() if len(pending) else None
+            lat, lon = p.get("latitude"), p.get("longitude")
             state.update(
-                (p.get("login_us"), p.get("login_id"), p.get("ip_address"), p.get("latitude"), p.get("longitude"),
-                 json.dumps(buf) if buf else None)
+                (
+                    None if prev is None else int(prev["login_us"]),
+                    p.get("login_id"),
+                    p.get("ip_address"),
+                    None if lat is None or lat != lat else float(lat),
+                    None if lon is None or lon != lon else float(lon),
+                    json.dumps(buf) if buf else None,
+                )
             )
-            nxt_us = int(pending["login_us"].iloc[0]) if len(pending) else prev["login_us"] + expire_us
+            nxt_us = buf[0][0] if buf else int(prev["login_us"]) + expire_us
             state.setTimeoutTimestamp(max(-(-nxt_us // 1000), wm_us // 1000 + 1))
         if out is not None and len(out):
             yield out
