@@ -181,3 +181,18 @@ def vector_topk(
         F.col("hit.score").alias("score"),
         (F.col("pos") + 1).cast("long").alias("rank"),
     )
+
+
+def collect_hits(hits: DataFrame, query_id: str, fields: list[str]) -> DataFrame:
+    """One row per query: ``hits`` (array of structs in rank order) and ``signatures_searched``
+    (its size). ``hits`` holds at most k rows per query, so each list is bounded by k."""
+    ordered = F.array_sort(F.collect_list(F.struct("rank", *fields)))
+    return (
+        hits.groupBy(query_id)
+        .agg(ordered.alias("__h"))
+        .select(
+            query_id,
+            F.transform("__h", lambda h: F.struct(*[h.getField(f).alias(f) for f in fields])).alias("hits"),
+            F.size("__h").alias("signatures_searched"),
+        )
+    )

@@ -75,6 +75,9 @@ def create_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
-def preview(df: DataFrame, n: int = 20) -> DataFrame:
-    """First ``n`` rows (a sampling operator: the limit is the feature)."""
+def preview(df: DataFrame, n: int = 20, order_by: list | None = None) -> DataFrame:
+    """First ``n`` rows (a sampling operator: the limit is the feature). With ``order_by`` the
+    rows are deterministic (planned as a top-k: each task keeps its best ``n``)."""
+    if order_by:
+        return df.orderBy(*order_by).limit(n)
     return df.limit(n)
