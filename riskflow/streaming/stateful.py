@@ -6,9 +6,11 @@ groups are hash-partitioned across the cluster).
 
 Order: logins are buffered in state until the event-time watermark passes them, then processed in
 (time, login_id) order as numpy arrays per user (lexsort, shifted copies, vector masks), so late arrivals within the watermark delay are placed correctly. Spark
-drops rows older than the watermark before they reach the processor. Expiry: an event-time timeout
-flushes the buffer when the watermark passes its oldest row, and drops the state of a user idle
-for ``expire_after`` (for travel, 10 minutes is enough: no later login can pair with an older one).
+drops rows older than the watermark before they reach the processor. Expiry: a login more than
+``expire_after`` after the user's previous login has no predecessor (deterministic, independent of
+micro-batch boundaries), so an event-time timeout can drop the state of a user idle that long; the
+same timeout flushes the buffer when the watermark passes its oldest row. For travel 10 minutes is
+enough (no pair can be further apart); for IP changes the limit is a setting (default 30 days).
 """
 
 from __future__ import annotations
@@ -148,6 +150,9 @@ def _processor(emit: Emit, expire_ms: int):
                     r["prev_" + c] = np.concatenate([np.array([first[c]], dtype=r[c].dtype), r[c][:-1]])
                 r["has_prev"] = np.ones(n_ready - start, dtype=bool)
                 r["has_prev"][0] = prev is not None
+                # A login more than ``expire_after`` after the previous one starts a new sequence,
+                # however the rows were split into micro-batches.
+                r["has_prev"] &= (r["login_us"] - r["prev_login_us"]) <= expire_us
                 out = emit(user, r)
                 prev = {c: r[c][-1] for c in _PREV}
         if not pending_rows and (prev is None or prev["login_us"] + expire_us <= wm_us):
@@ -210,7 +215,8 @@ def travel_stream(
         _prepared(logins, watermark)
         .groupBy("user_id")
         .applyInPandasWithState(
-            _processor(_travel(miles, minutes), int(minutes * 60_000)), TRAVEL_SCHEMA, STATE_SCHEMA, "append",
+            # Whole-second minutes: a real gap just under (window + 1 s) can still count.
+            _processor(_travel(miles, minutes), int(minutes * 60_000) + 1_000), TRAVEL_SCHEMA, STATE_SCHEMA, "append",
             GroupStateTimeout.EventTimeTimeout,
         )
     )

@@ -127,3 +127,29 @@ def test_triage_sink_is_idempotent_per_batch(spark):
     sink(spark.createDataFrame([("t1", "u1", 1.0, "LOW", "APPROVE", "z", dt.datetime(2025, 1, 1))], schema), 0)
     assert sorted(map(tuple, spark.table(name).collect())) == before
     assert triage.KEY == "transaction_id"
+
+
+def test_late_rows_within_watermark_are_reordered_and_state_expires(spark):
+    """One file per micro-batch. u1: A 10:00 and B 10:30, then C 10:20 (late, within the 20-minute
+    delay) and D 12:00 → changes C (A→C) and B (C→B), none at D (same IP as B). E 09:00 arrives
+    after the watermark passed it and is dropped by Spark; F on Jan 3 (within the 3-day idle limit)
+    changes D→F. G on Jan 9 is more than 3 days after F, so it starts a new sequence (no change) —
+    whether or not u1's state was already dropped. Logins of u2 move the watermark and flush."""
+    d = tempfile.mkdtemp(prefix="riskflow-late-")
+    schema = "login_id string, user_id string, ip_address string, login_time timestamp_ntz, mfa_changed boolean, latitude double, longitude double, city string, device_id string"
+
+    def write(name, rows):
+        spark.createDataFrame(
+            [(i, u, ip, dt.datetime.fromisoformat(t), False, 0.0, 0.0, "X", "d") for i, u, ip, t in rows], schema
+        ).coalesce(1).write.parquet(f"{d}/data/{name}")
+
+    write("1", [("A", "u1", "1.1.1.1", "2024-01-01 10:00:00"), ("B", "u1", "2.2.2.2", "2024-01-01 10:30:00")])
+    write("2", [("C", "u1", "3.3.3.3", "2024-01-01 10:20:00"), ("D", "u1", "2.2.2.2", "2024-01-01 12:00:00")])
+    write("3", [("E", "u1", "9.9.9.9", "2024-01-01 09:00:00"), ("F", "u1", "5.5.5.5", "2024-01-03 12:00:00")])
+    write("4", [("S1", "u2", "7.7.7.7", "2024-01-05 12:00:00")])
+    write("5", [("G", "u1", "6.6.6.6", "2024-01-09 12:00:00")])
+    write("6", [("S2", "u2", "7.7.7.7", "2024-01-20 12:00:00")])
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{d}/data/*")
+    _run_memory(ip_change_stream(stream, watermark="20 minutes", expire_after="3 days"), "late_ipc", f"{d}/ck")
+    got = sorted(r["login_id"] for r in spark.table("late_ipc").collect())
+    assert got == ["B", "C", "F"]
