@@ -70,3 +70,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for staged tables and stream checkpoints."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized to the data, for a cluster run (pass as ``get_spark(conf=...)``).
+
+    Shuffle partitions start at about input / target size (at least 2 waves of the cores) and AQE
+    coalesces them at runtime toward the same advisory size, so tasks stay in memory and spill
+    rarely; file splits match; a partition is treated as skewed when it is 4× the median and above
+    1 GiB, and split. Example: 100 TB on 1,000 executors × 8 cores → ~400,000 initial partitions,
+    coalesced to the actual shuffle volume.
+    """
+    partitions = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
