@@ -6,14 +6,21 @@ row cap except where the limit is the feature (the review queue's newest 100).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.operators import features, travel
+from riskflow.functions.timefn import minutes_between
+from riskflow.operators import features, governance, quality, scoring, similarity, travel, triage
+from riskflow.operators.partitioning import spread
+from riskflow.operators.sequence import interval_join
 from riskflow.plans import kpis, oracle, silver
-from riskflow.sources import fixtures
+from riskflow.session import scratch_path
+from riskflow.sources import fixtures, ingest
+from riskflow.streaming.pipeline import wire_after_ip_change_stream
+from riskflow.streaming.stateful import ip_change_stream, travel_stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -103,9 +110,6 @@ FROM tx t JOIN ipc c ON t.user_id = c.user_id AND t.transaction_time >= c.ip_cha
 WHERE t.transaction_type = 'wire' AND t.amount >= 10000""",
 )
 def q_wire_interval(spark, sf_dir):
-    from riskflow.operators.sequence import interval_join
-    from riskflow.functions.timefn import minutes_between
-
     r = _rel(spark, sf_dir)
     wires = r["transactions"].filter(silver.high_value_wire())
     changes = features.ip_changes(r["logins"]).select(
@@ -168,7 +172,6 @@ def q_ato(spark, sf_dir):
 
 # ---- step 6: scoring -------------------------------------------------------------------------------
 
-from riskflow.operators import scoring, similarity, triage  # noqa: E402
 
 AS_OF = oracle.AS_OF
 
@@ -373,8 +376,6 @@ topk AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER
     + "\nSELECT query_id, doc_id, score, rank FROM topk",
 )
 def q_document_topk(spark, sf_dir):
-    from riskflow.operators.partitioning import spread
-
     # Whole texts are tokenised per row: spread a scan with few splits over all cores first.
     bench = spread(fixtures.table(spark, sf_dir, "benchmark"))
     docs = spread(fixtures.table(spark, sf_dir, "documents"))
@@ -456,7 +457,6 @@ def q_vector_topk(spark, sf_dir):
 
 # ---- step 8: quality and masking -------------------------------------------------------------------
 
-from riskflow.operators import governance, quality  # noqa: E402
 
 
 def _rule_sql(r: quality.Rule) -> str:
@@ -511,10 +511,6 @@ def q_masked(spark, sf_dir):
 
 
 def _roundtrip_dir(spark, name: str) -> str:
-    import uuid
-
-    from riskflow.session import scratch_path
-
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
@@ -524,8 +520,6 @@ def _roundtrip_dir(spark, name: str) -> str:
 )
 def q_bronze_tx(spark, sf_dir):
     """Transactions written as header CSV (strings, second-resolution times) and ingested back."""
-    from riskflow.sources import ingest
-
     path = _roundtrip_dir(spark, "raw-transactions")
     ingest.write_csv(ingest.to_raw_transactions(_rel(spark, sf_dir)["transactions"]), path)
     return ingest.read_transactions(spark, path)
@@ -536,8 +530,6 @@ def q_bronze_tx(spark, sf_dir):
     f"SELECT * REPLACE (date_trunc('second', login_time) AS login_time) FROM ({oracle.LG})",
 )
 def q_bronze_logins(spark, sf_dir):
-    from riskflow.sources import ingest
-
     path = _roundtrip_dir(spark, "raw-logins")
     ingest.write_csv(ingest.to_raw_logins(_rel(spark, sf_dir)["logins"]), path)
     return ingest.read_logins(spark, path)
@@ -572,16 +564,12 @@ def _drain(spark, stream_df, name: str) -> DataFrame:
 def q_ip_change_stream(spark, sf_dir):
     """Streaming IP-change detection (watermark 0 s: input is complete; only logins at the very
     last event time stay buffered, as they would until more data arrives)."""
-    from riskflow.streaming.stateful import ip_change_stream
-
     logins, _ = _stream_logins(spark, sf_dir)
     return _drain(spark, ip_change_stream(logins, watermark="0 seconds"), "ip-changes")
 
 
 @register("travel_stream")
 def q_travel_stream(spark, sf_dir):
-    from riskflow.streaming.stateful import travel_stream
-
     logins, _ = _stream_logins(spark, sf_dir)
     return _drain(spark, travel_stream(logins, watermark="0 seconds"), "travel")
 
@@ -590,8 +578,6 @@ def q_travel_stream(spark, sf_dir):
 def q_wire_stream(spark, sf_dir):
     """Stream–stream interval join of high-value wires with IP changes (changes read from the
     batch feature table as a stream)."""
-    from riskflow.streaming.pipeline import wire_after_ip_change_stream
-
     changes_dir = _roundtrip_dir(spark, "ip-changes-table")
     features.ip_changes(_rel(spark, sf_dir)["logins"]).write.parquet(changes_dir)
     changes = spark.readStream.schema(spark.read.parquet(changes_dir).schema).parquet(changes_dir)
