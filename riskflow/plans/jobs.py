@@ -84,6 +84,15 @@ def score_and_store(spark: SparkSession, names: Names, as_of, bucket_count: int
     tables.publish(spark, new_state, names.operational, bucket_by=bucket)
 
 
+def apply_review_decisions(spark: SparkSession, names: Names, decisions: DataFrame, as_of) -> None:
+    """Apply analyst decisions to the operational state, then copy the review fields to gold so
+    the false-positive view sees them (the source pipeline never copies them back)."""
+    reviewed = triage.apply_reviews(spark.table(names.operational), decisions, as_of)
+    tables.publish(spark, reviewed, names.operational)
+    synced = triage.sync_reviews(spark.table(names.gold), spark.table(names.operational))
+    tables.publish(spark, synced, names.gold)
+
+
 def create_kpi_views(spark: SparkSession, names: Names) -> None:
     """The three certified views, in SQL over the pipeline's tables."""
     spark.sql(
@@ -115,10 +124,14 @@ def run_pipeline(
     as_of,
     names: Names | None = None,
     bucket_count: int | None = None,
+    decisions: DataFrame | None = None,
 ) -> Names:
-    """Bronze → silver + travel → scoring → gold and operational triage → KPI views."""
+    """Bronze → silver + travel → scoring → gold and operational triage → (review decisions and
+    review sync) → KPI views."""
     names = names or Names()
     build_silver(spark, transactions, logins, names)
     score_and_store(spark, names, as_of, bucket_count)
+    if decisions is not None:
+        apply_review_decisions(spark, names, decisions, as_of)
     create_kpi_views(spark, names)
     return names

@@ -40,3 +40,27 @@ def test_pipeline_matches_queries(spark):
     op = spark.table(names.operational)
     assert op.count() == op.select("transaction_id").distinct().count() == before
     assert op.filter(F.col("review_status") != "PENDING").count() == 0
+
+
+def test_pipeline_reviews_reach_the_fpr_view(spark):
+    import datetime as dt
+
+    rel = fixtures.load(spark, SF001)
+    names = jobs.Names(prefix=f"r{uuid.uuid4().hex[:6]}_")
+    jobs.run_pipeline(spark, rel["transactions"], rel["logins"], AS_OF, names)
+    # Allow every BLOCK/CHALLENGE and block everything else: FPR = flagged share of the reviewed.
+    gold = spark.table(names.gold)
+    decisions = gold.select(
+        "transaction_id",
+        F.when(F.col("automated_action").isin("BLOCK", "CHALLENGE"), "ALLOW").otherwise("BLOCK").alias("action"),
+        F.lit("ann").alias("reviewed_by"),
+        F.lit(None).cast("string").alias("notes"),
+        F.lit(dt.datetime(2024, 2, 2)).cast("timestamp_ntz").alias("decided_at"),
+    )
+    total = gold.count()
+    flagged = gold.filter(F.col("automated_action").isin("BLOCK", "CHALLENGE")).count()
+    jobs.apply_review_decisions(spark, names, decisions, AS_OF)
+    fpr = spark.table(f"{names.prefix}v_false_positive_ratio").collect()[0]
+    assert fpr["total_flagged"] == total
+    assert fpr["false_positive_ratio"] == flagged / total
+    assert spark.table(names.gold).filter(F.col("reviewed_by") != "ann").count() == 0
