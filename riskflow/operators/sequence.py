@@ -105,12 +105,13 @@ def asof_join(
     # Filtering them explicitly also keeps both consumers of the union identical (see below).
     keyless = left.filter(F.col(by).isNull())
     left = left.filter(F.col(by).isNotNull())
+    lname = {c: f"__l{i}" for i, c in enumerate(lcols)}
     l_side = left.select(
         F.col(by).alias("__key"),
         F.col(left_time).alias("__t"),
         F.lit(1).alias("__side"),
         F.lit(None).cast(right.select(tie.alias("x")).schema["x"].dataType).alias("__tie"),
-        F.struct(*[F.col(c) for c in lcols]).alias("__l"),
+        *[F.col(c).alias(lname[c]) for c in lcols],
         F.lit(None).cast(right.select(payload_type.alias("x")).schema["x"].dataType).alias("__r"),
     )
     r_side = right.filter(F.col(right_by).isNotNull() & F.col(right_time).isNotNull()).select(
@@ -118,7 +119,7 @@ def asof_join(
         F.col(right_time).alias("__t"),
         F.lit(0).alias("__side"),
         tie.alias("__tie"),
-        F.lit(None).cast(left.select(F.struct(*lcols).alias("x")).schema["x"].dataType).alias("__l"),
+        *[F.lit(None).cast(left.schema[c].dataType).alias(lname[c]) for c in lcols],
         payload_type.alias("__r"),
     )
     # Left rows without a time still need their key attributes: give them a sentinel bucket.
@@ -135,19 +136,20 @@ def asof_join(
             "__is_tail": F.lead(F.lit(1)).over(order).isNull(),
         }
     )
-    rows = win.filter(F.col("__side") == 1)
-    # The tails also carry the packed left row (``__tail_l``), which the output reads as a fallback
-    # that never applies. It makes both branches read identical columns from the union, so Spark
-    # reuses one shuffle of the union for both instead of computing the union twice.
+    rows = win.filter(F.col("__side") == 1).withColumnRenamed("__side", "__row_side")
+    # The tails also carry the left columns of their tail row, which the output reads only in a
+    # branch that never applies (``__row_side`` is always 1). Both consumers of the union then need
+    # the same columns, so Spark plans one shuffle of the union and reuses it for both.
+    tail_l = {c: f"__t{lname[c]}" for c in lcols}
     tails = win.filter("__is_tail").select(
-        "__key", _B, F.col("__in").alias("__last"), F.col("__l").alias("__tail_l")
+        "__key", _B, F.col("__in").alias("__last"), *[F.col(lname[c]).alias(tail_l[c]) for c in lcols]
     )
     carried = tails.withColumn(
         "__before",
         F.last("__last", ignorenulls=True).over(
             Window.partitionBy("__key").orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
         ),
-    ).select("__key", _B, "__before", "__tail_l")
+    ).drop("__last")
     attr_cols: list[str] = []
     if key_attrs is not None:
         attr_cols = [c for c in key_attrs.columns if c != by]
@@ -162,9 +164,9 @@ def asof_join(
         F.col("__key").isNotNull() & F.col("__t").isNotNull(),
         F.coalesce(F.col("__in"), F.col("__before")),
     )
-    left_row = F.coalesce(F.col("__l"), F.col("__tail_l"))
+    is_row = F.col("__row_side") == 1
     out = joined.select(
-        *[left_row.getField(c).alias(c) for c in lcols],
+        *[F.when(is_row, F.col(lname[c])).otherwise(F.col(tail_l[c])).alias(c) for c in lcols],
         *[matched.getField(c).alias(c) for c in right_cols],
         *[F.col("__attrs").getField(c).alias(c) for c in attr_cols],
     )
