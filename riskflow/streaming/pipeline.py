@@ -119,3 +119,46 @@ def start_triage_sink(updates: DataFrame, sink: TriageSink, checkpoint: str, ava
     w = updates.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
+
+
+class JdbcTriageSink:
+    """``foreachBatch`` sink upserting each micro-batch of score updates into an operational SQL
+    table: latest update per key, parallel write to a staging table, one set-based statement.
+
+    Replays of a batch id are skipped using a small log table in the same database, written in the
+    same transaction as the upsert statements.
+    """
+
+    def __init__(self, url: str, target: str, staging: str, order: list[str], properties: dict | None = None,
+                 dialect: str = "ansi", log_table: str | None = None):
+        self.url, self.target, self.staging, self.order = url, target, staging, order
+        self.properties, self.dialect = properties or {}, dialect
+        self.log_table = log_table or f"{target}_BATCHES"
+
+    def _ensure_log(self, spark: SparkSession) -> None:
+        from riskflow.sources import jdbc
+
+        try:
+            jdbc.execute(spark, self.url, [f"CREATE TABLE {self.log_table} (batch_id BIGINT PRIMARY KEY)"], self.properties)
+        except Exception:  # noqa: BLE001 - already exists
+            pass
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        from riskflow.sources import jdbc
+
+        spark = batch.sparkSession
+        self._ensure_log(spark)
+        done = jdbc.read_table(spark, self.url, self.log_table, self.properties).filter(F.col("BATCH_ID") == batch_id)
+        if done.limit(1).count():
+            return
+        latest = triage.latest_per_key(batch, triage.KEY, self.order)
+        (
+            latest.select("transaction_id", "user_id", F.round("risk_score", 2).alias("risk_score"), "risk_level",
+                          "automated_action", "action_reason")
+            .write.mode("overwrite")
+            .option("createTableColumnTypes", jdbc.UPDATE_STAGE_TYPES)
+            .jdbc(self.url, self.staging, properties=dict(self.properties))
+        )
+        statements = jdbc.upsert_statements(self.target, self.staging, self.dialect)
+        statements.append(f"INSERT INTO {self.log_table} (batch_id) VALUES ({int(batch_id)})")
+        jdbc.execute(spark, self.url, statements, self.properties)

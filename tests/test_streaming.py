@@ -153,3 +153,28 @@ def test_late_rows_within_watermark_are_reordered_and_state_expires(spark):
     _run_memory(ip_change_stream(stream, watermark="20 minutes", expire_after="3 days"), "late_ipc", f"{d}/ck")
     got = sorted(r["login_id"] for r in spark.table("late_ipc").collect())
     assert got == ["B", "C", "F"]
+
+
+def test_jdbc_triage_sink_upserts_latest_per_key_and_skips_replays(spark):
+    from riskflow.sources import jdbc
+    from riskflow.streaming.pipeline import JdbcTriageSink
+
+    url = f"jdbc:derby:memory:s{uuid.uuid4().hex[:8]};create=true"
+    jdbc.execute(spark, url, [jdbc.triage_ddl("TRIAGE")])
+    d = tempfile.mkdtemp(prefix="riskflow-jdbc-sink-")
+    schema = "transaction_id string, user_id string, risk_score double, risk_level string, automated_action string, action_reason string, scored_at timestamp_ntz"
+    rows = [
+        ("t1", "u1", 10.0, "LOW", "APPROVE", "a", dt.datetime(2024, 1, 1, 10)),
+        ("t1", "u1", 90.0, "CRITICAL", "BLOCK", "b", dt.datetime(2024, 1, 1, 11)),
+        ("t2", "u2", 60.0, "MEDIUM", "MONITOR", "c", dt.datetime(2024, 1, 1, 9)),
+    ]
+    spark.createDataFrame(rows, schema).write.parquet(f"{d}/updates")
+    sink = JdbcTriageSink(url, "TRIAGE", "TRIAGE_STAGE", order=["scored_at"])
+    q = start_triage_sink(spark.readStream.schema(schema).parquet(f"{d}/updates"), sink, f"{d}/ck")
+    q.awaitTermination()
+    got = {r["TRANSACTION_ID"]: r for r in jdbc.read_table(spark, url, "TRIAGE").collect()}
+    assert float(got["t1"]["RISK_SCORE"]) == 90.0 and got["t1"]["AUTOMATED_ACTION"] == "BLOCK"
+    assert got["t2"]["REVIEW_STATUS"] == "PENDING"
+    sink(spark.createDataFrame([("t1", "u1", 1.0, "LOW", "APPROVE", "z", dt.datetime(2025, 1, 1))], schema), 0)
+    again = {r["TRANSACTION_ID"]: r for r in jdbc.read_table(spark, url, "TRIAGE").collect()}
+    assert float(again["t1"]["RISK_SCORE"]) == 90.0
