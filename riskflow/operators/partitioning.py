@@ -11,7 +11,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     core. Inputs that already have enough partitions — any large table — are left untouched, so
     this never adds a shuffle at scale. Decided at plan time from the input's split count, so
     apply it to a table scan (on a plan with shuffles, the count would need those stages to run)."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD API (e.g. a remote session): leave the plan as is
+        return df
+    if current < target:
         return df.repartition(target)
     return df

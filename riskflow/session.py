@@ -58,12 +58,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     runs), with a fresh folder so runs never share state.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: only the SQL conf is visible
+        sc = None
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="riskflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
+    if sc is not None:
+        sc.setCheckpointDir(configured)
     return configured
 
 
