@@ -451,8 +451,8 @@ WHERE rank <= 5""",
 def q_vector_topk(spark, sf_dir):
     """For each label, the 5 stored embeddings closest (cosine) to the label's centroid."""
     emb = fixtures.table(spark, sf_dir, "embeddings")
-    cents = similarity.centroids(emb, "label", "embedding").withColumn("qid", F.col("label").cast("long"))
-    return similarity.vector_topk(cents, emb, "qid", "centroid", "vec_id", "embedding", by="label")
+    cents = similarity.centroids(emb, "label", "embedding")
+    return similarity.vector_topk(cents, emb, "label", "centroid", "vec_id", "embedding", by="label")
 
 
 # ---- step 8: quality and masking -------------------------------------------------------------------
