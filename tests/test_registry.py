@@ -84,3 +84,24 @@ def test_top_k_is_limited_before_the_shuffle(spark):
         assert "TakeOrderedAndProject" in queue
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+_DUCK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+               "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz"}
+
+
+def _duck_type(t) -> str:
+    t = str(t)
+    return f"array<{_duck_type(t[:-2])}>" if t.endswith("[]") else _DUCK_TYPES.get(t, t)
+
+
+def test_column_types_match_the_oracle(spark):
+    from tests.oracle_check import duck
+
+    con = duck(SF001)
+    qs = entry.queries()
+    for name, sql in entry.oracle_sql().items():
+        spark_types = {f.name: f.dataType.simpleString() for f in qs[name](spark, SF001).schema.fields}
+        rel = con.sql(sql)
+        duck_types = {c: _duck_type(t) for c, t in zip(rel.columns, rel.types)}
+        assert spark_types == duck_types, name
