@@ -144,3 +144,21 @@ def test_hot_key_is_spread_over_tasks(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert parts == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert biggest < total / 2
+
+
+def test_asof_hot_key_is_spread_over_tasks(spark):
+    left = _random_events(3000, [f"u{i}" for i in range(50)], seed=8, span_hours=400, hot="hot")
+    right = [(k, "r" + i, t, v) for k, i, t, v in _random_events(1000, ["hot", "u1"], seed=9, span_hours=400)]
+    l_df = spark.createDataFrame(left, EV)
+    r_df = spark.createDataFrame(right, EV).select(
+        F.col("k").alias("rk"), F.col("id").alias("rid"), F.col("t").alias("rt"), F.col("v").alias("rv")
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = asof_join(l_df, r_df, "k", "t", "rt", ["rv"], right_tie="rid", right_by="rk")
+        hot = out.withColumn("pid", F.spark_partition_id()).filter(F.col("k") == "hot")
+        total = hot.count()
+        biggest = hot.groupBy("pid").count().agg(F.max("count")).collect()[0][0]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert biggest < total / 2
