@@ -189,22 +189,28 @@ def strip_fence(reply: Column) -> Column:
 
 def parse_reply(df: DataFrame, reply_col: str = "reply") -> DataFrame:
     """Parse a JSON reply into risk_score (double), risk_level, reason, matched_signatures and
-    ``parse_error`` (NULL when the reply is usable). A reply is unusable when it is not JSON or has
-    no numeric risk_score; the level is not validated here (see ``quality``)."""
-    parsed = F.from_json(strip_fence(F.col(reply_col)), _REPLY_JSON)
-    return (
-        df.withColumn("__p", parsed)
-        .withColumn("risk_score", F.col("__p.risk_score").try_cast("double"))
-        .withColumn("risk_level", F.col("__p.risk_level"))
-        .withColumn("reason", F.col("__p.reason"))
-        .withColumn("matched_signatures", F.col("__p.matched_signatures"))
-        .withColumn(
-            "parse_error",
-            F.when(F.col(reply_col).isNull(), F.lit("empty reply")).when(
-                F.col("risk_score").isNull(), F.concat(F.lit("unparseable reply: "), F.substring(F.col(reply_col), 1, 200))
-            ),
-        )
-        .drop("__p")
+    ``parse_error`` (NULL when the reply is usable).
+
+    Unusable: no reply, a reply that is not a JSON object, or a risk_score that is not a number.
+    An object without a risk_score scores 0 (as the source's default), and numeric strings are
+    accepted. The level is not validated here (see ``quality``)."""
+    text = strip_fence(F.col(reply_col))
+    parsed = F.from_json(text, _REPLY_JSON)
+    raw_score = parsed.getField("risk_score")
+    score = raw_score.try_cast("double")
+    is_object = F.json_object_keys(text).isNotNull()
+    error = (
+        F.when(F.col(reply_col).isNull(), F.lit("empty reply"))
+        .when(~F.coalesce(is_object, F.lit(False)), F.concat(F.lit("unparseable reply: "), F.substring(F.col(reply_col), 1, 200)))
+        .when(raw_score.isNotNull() & score.isNull(), F.concat(F.lit("invalid risk_score: "), F.substring(raw_score, 1, 50)))
+    )
+    return df.select(
+        "*",
+        F.coalesce(score, F.lit(0.0)).alias("risk_score"),
+        parsed.getField("risk_level").alias("risk_level"),
+        parsed.getField("reason").alias("reason"),
+        parsed.getField("matched_signatures").alias("matched_signatures"),
+        error.alias("parse_error"),
     )
 
 

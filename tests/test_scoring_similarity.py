@@ -46,7 +46,8 @@ def test_parse_reply_variants_and_fallback(spark):
     body = '{"risk_score": 91, "risk_level": "CRITICAL", "reason": "r", "matched_signatures": ["a"]}'
     df = spark.createDataFrame(
         [("1", "```json\n" + body + "\n```"), ("2", "```\n" + body + "```"), ("3", "  " + body), ("4", "not json"),
-         ("5", None), ("6", '{"risk_score": "72.5", "risk_level": "HIGH"}')],
+         ("5", None), ("6", '{"risk_score": "72.5", "risk_level": "HIGH"}'), ("7", '{"risk_level": "HIGH"}'),
+         ("8", '{"risk_score": "abc"}'), ("9", "[1, 2]")],
         "id string, reply string",
     )
     out = {r["id"]: r for r in scoring.with_action_and_fallback(scoring.parse_reply(df, "reply")).collect()}
@@ -56,6 +57,10 @@ def test_parse_reply_variants_and_fallback(spark):
     assert out["4"]["reason"].startswith("unparseable reply")
     assert out["5"]["automated_action"] == "MONITOR"
     assert (out["6"]["risk_score"], out["6"]["automated_action"]) == (72.5, "CHALLENGE")
+    # No score: 0, the level still drives the ladder. Non-numeric score or non-object: fallback.
+    assert (out["7"]["risk_score"], out["7"]["risk_level"], out["7"]["automated_action"]) == (0.0, "HIGH", "CHALLENGE")
+    assert out["8"]["reason"].startswith("invalid risk_score") and out["8"]["automated_action"] == "MONITOR"
+    assert out["9"]["reason"].startswith("unparseable reply") and out["9"]["risk_level"] == "LOW"
 
 
 def test_external_scorer_runs_per_batch_and_failures_fall_back(spark):
