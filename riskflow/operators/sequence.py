@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from riskflow.functions.timefn import time_bucket
 
@@ -99,6 +100,10 @@ def asof_join(
     if clash:
         raise ValueError(f"right columns clash with left columns: {sorted(clash)}")
     tie = F.col(right_tie) if right_tie else F.lit(None).cast("string")
+    # Types for the typed NULLs of each side, from the inputs' schemas (no extra analysis).
+    lschema, rschema = left.schema, right.schema
+    tie_type = rschema[right_tie].dataType if right_tie else StringType()
+    payload_struct = StructType([StructField(c, rschema[c].dataType, True) for c in right_cols])
 
     payload_type = F.struct(*[F.col(c).alias(c) for c in right_cols])
     # Left rows without a key match nothing; they skip the union and are appended at the end.
@@ -110,16 +115,16 @@ def asof_join(
         F.col(by).alias("__key"),
         F.col(left_time).alias("__t"),
         F.lit(1).alias("__side"),
-        F.lit(None).cast(right.select(tie.alias("x")).schema["x"].dataType).alias("__tie"),
+        F.lit(None).cast(tie_type).alias("__tie"),
         *[F.col(c).alias(lname[c]) for c in lcols],
-        F.lit(None).cast(right.select(payload_type.alias("x")).schema["x"].dataType).alias("__r"),
+        F.lit(None).cast(payload_struct).alias("__r"),
     )
     r_side = right.filter(F.col(right_by).isNotNull() & F.col(right_time).isNotNull()).select(
         F.col(right_by).alias("__key"),
         F.col(right_time).alias("__t"),
         F.lit(0).alias("__side"),
         tie.alias("__tie"),
-        *[F.lit(None).cast(left.schema[c].dataType).alias(lname[c]) for c in lcols],
+        *[F.lit(None).cast(lschema[c].dataType).alias(lname[c]) for c in lcols],
         payload_type.alias("__r"),
     )
     # Left rows without a time still need their key attributes: give them a sentinel bucket.
@@ -170,9 +175,11 @@ def asof_join(
         *[matched.getField(c).alias(c) for c in right_cols],
         *[F.col("__attrs").getField(c).alias(c) for c in attr_cols],
     )
+    attr_types = {c: key_attrs.schema[c].dataType for c in attr_cols} if key_attrs is not None else {}
+    null_types = {**{c: rschema[c].dataType for c in right_cols}, **attr_types}
     nulls = keyless.select(
         *lcols,
-        *[F.lit(None).cast(out.schema[c].dataType).alias(c) for c in right_cols + attr_cols],
+        *[F.lit(None).cast(null_types[c]).alias(c) for c in right_cols + attr_cols],
     )
     return out.unionByName(nulls)
 

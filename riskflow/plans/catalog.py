@@ -28,9 +28,20 @@ _QUERIES: dict[str, QueryFn] = {}
 _ORACLE: dict[str, str] = {}
 
 
+_RELATIONS: dict[tuple[int, str], dict[str, DataFrame]] = {}
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
-        _QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # Relations are shared by the helpers of one query call, never across calls.
+            _RELATIONS.clear()
+            try:
+                return fn(spark, sf_dir)
+            finally:
+                _RELATIONS.clear()
+
+        _QUERIES[name] = run
         if sql is not None:
             _ORACLE[name] = sql
         return fn
@@ -47,7 +58,10 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _rel(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return fixtures.load(spark, sf_dir)
+    key = (id(spark), sf_dir)
+    if key not in _RELATIONS:
+        _RELATIONS[key] = fixtures.load(spark, sf_dir)
+    return _RELATIONS[key]
 
 
 def _activity(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:

@@ -158,3 +158,20 @@ SCORER_REPLY = StructType(
         StructField("matched_signatures", ArrayType(StringType())),
     ]
 )
+
+# Source tables of the test folders (declared, so reads need no schema inference).
+SOURCE_TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "benchmark": "item_id bigint, text string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}

@@ -13,11 +13,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.constants import FRAUD_SIGNATURE_ROWS
-from riskflow.schemas import FRAUD_SIGNATURES
+from riskflow.schemas import FRAUD_SIGNATURES, SOURCE_TABLES
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """One source table; declared schemas skip schema inference (no footer reads at plan time)."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    if name in SOURCE_TABLES:
+        return spark.read.schema(SOURCE_TABLES[name]).parquet(path)
+    return spark.read.parquet(path)
 
 
 def _padded(prefix: str, col: Column, width: int) -> Column:
@@ -122,13 +126,31 @@ def fraud_signatures(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(FRAUD_SIGNATURE_ROWS, FRAUD_SIGNATURES)
 
 
+class Relations(dict):
+    """The pipeline relations over one scale-factor folder, each built on first use."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self._spark, self._dir = spark, sf_dir
+
+    def __missing__(self, name: str) -> DataFrame:
+        spark, d = self._spark, self._dir
+        if name in ("transactions", "logins"):
+            events = table(spark, d, "events")
+            df = transactions_from_events(events) if name == "transactions" else logins_from_events(events)
+        elif name == "triage":
+            df = triage_from_orders(table(spark, d, "orders"))
+        elif name == "decisions":
+            df = decisions_from_lineitem(table(spark, d, "lineitem"))
+        elif name == "signatures":
+            df = fraud_signatures(spark)
+        else:
+            raise KeyError(name)
+        self[name] = df
+        return df
+
+
 def load(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The pipeline relations over one scale-factor folder."""
-    events = table(spark, sf_dir, "events")
-    return {
-        "transactions": transactions_from_events(events),
-        "logins": logins_from_events(events),
-        "triage": triage_from_orders(table(spark, sf_dir, "orders")),
-        "decisions": decisions_from_lineitem(table(spark, sf_dir, "lineitem")),
-        "signatures": fraud_signatures(spark),
-    }
+    """The pipeline relations over one scale-factor folder (transactions, logins, triage,
+    decisions, signatures), built lazily on first access."""
+    return Relations(spark, sf_dir)
