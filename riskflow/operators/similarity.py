@@ -28,11 +28,17 @@ def tokens(text) -> Column:
 
 
 def _term_counts(df: DataFrame, id_col: str, text_col: str, by_id: bool = False) -> DataFrame:
-    """(id, term, tf) postings. ``by_id`` hash-partitions the tokens by id first, so every later
-    per-id step (norms, dot-product sums, the top-k window) reuses that one shuffle."""
-    toks = df.select(F.col(id_col).alias("__id"), F.explode(tokens(text_col)).alias("term"))
+    """(id, term, tf) postings. ``by_id`` hash-partitions the *rows* by id before tokenising: one
+    shuffle of whole texts (not of their tokens) that spreads the tokenising over all tasks, and
+    that every later per-id step (term counts, norm windows, dot-product sums, the top-k window)
+    reuses without another exchange."""
+    src = df.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
     if by_id:
-        toks = toks.repartition("__id")
+        # An explicit partition count: tokenising whole texts is CPU work, so the (small) text
+        # shuffle must not be coalesced into a few partitions by size.
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        src = src.repartition(n, "__id")
+    toks = src.select("__id", F.explode(tokens("__text")).alias("term"))
     return toks.groupBy("__id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
