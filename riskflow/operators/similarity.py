@@ -34,10 +34,9 @@ def _term_counts(df: DataFrame, id_col: str, text_col: str, by_id: bool = False)
     reuses without another exchange."""
     src = df.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
     if by_id:
-        # An explicit partition count: tokenising whole texts is CPU work, so the (small) text
-        # shuffle must not be coalesced into a few partitions by size.
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        src = src.repartition(n, "__id")
+        # No explicit count: AQE sizes this shuffle to the data (a 200-row query set must not
+        # become hundreds of thousands of tasks on a large cluster).
+        src = src.repartition("__id")
     toks = src.select("__id", F.explode(tokens("__text")).alias("term"))
     return toks.groupBy("__id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
