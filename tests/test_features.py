@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from riskflow.functions.geo import miles_between, register_sql_function
@@ -158,3 +159,39 @@ def test_kpis(spark, make_logins, make_txns):
     )
     ato = account_takeover_rate(user_activity(txns, logins), impossible_travel(logins)).collect()[0]
     assert (ato["ato_user_count"], ato["ato_event_count"]) == (2, 3)
+
+
+def test_interval_and_trailing_mfa_modes_match_brute_force(spark):
+    """On the sf0.001 fixture: the interval form pairs each transaction with every IP change in the
+    preceding hour (whole seconds), and the trailing-24h MFA flag uses the latest MFA change at or
+    before the transaction within 24 hours."""
+    from riskflow.operators.features import ip_changes
+    from riskflow.sources import fixtures
+    from tests.conftest import SF001
+
+    rel = fixtures.load(spark, SF001)
+    tx = rel["transactions"].toPandas()
+    ch = ip_changes(rel["logins"]).toPandas()
+    lg = rel["logins"].toPandas()
+    secs = lambda s: s.astype("datetime64[us]").astype("int64") // 1_000_000
+
+    got = user_activity(rel["transactions"], rel["logins"], ip_mode="interval").toPandas()
+    pairs = got[got["minutes_since_ip_change"].notna()]
+    m = tx.merge(ch, on="user_id")
+    d = secs(m["transaction_time"]) - secs(m["ip_change_time"])
+    want = m[(m["transaction_time"] >= m["ip_change_time"]) & (d <= 3600)]
+    assert len(pairs) == len(want)
+    assert set(got["transaction_id"]) == set(tx["transaction_id"])  # unmatched transactions kept once
+    assert got["ip_changed_recently"].sum() == len(want)
+
+    trailing = user_activity(rel["transactions"], rel["logins"], mfa_mode="trailing_24h").toPandas()
+    mfa = lg[lg["mfa_changed"]]
+    expect = {}
+    for _, t in tx.iterrows():
+        cand = mfa[(mfa["user_id"] == t["user_id"]) & (mfa["login_time"] <= t["transaction_time"])]
+        if len(cand):
+            last = cand["login_time"].max()
+            expect[t["transaction_id"]] = (secs(pd.Series([t["transaction_time"]]))[0] - secs(pd.Series([last]))[0]) / 60 <= 1440
+        else:
+            expect[t["transaction_id"]] = False
+    assert dict(zip(trailing["transaction_id"], trailing["mfa_change_flag"])) == expect
