@@ -178,3 +178,15 @@ def test_jdbc_triage_sink_upserts_latest_per_key_and_skips_replays(spark):
     sink(spark.createDataFrame([("t1", "u1", 1.0, "LOW", "APPROVE", "z", dt.datetime(2025, 1, 1))], schema), 0)
     again = {r["TRANSACTION_ID"]: r for r in jdbc.read_table(spark, url, "TRIAGE").collect()}
     assert float(again["t1"]["RISK_SCORE"]) == 90.0
+
+
+def test_login_csv_ingest_stream_equals_batch_read(spark, rel):
+    d = tempfile.mkdtemp(prefix="riskflow-w1l-")
+    ingest.write_csv(ingest.to_raw_logins(rel["logins"]).repartition(3), f"{d}/src")
+    q = start_ingest(spark, "logins", f"{d}/src", f"{d}/bronze", checkpoint=f"{d}/ck", max_files_per_trigger=1)
+    q.awaitTermination()
+    got = spark.read.parquet(f"{d}/bronze")
+    want = ingest.read_logins(spark, f"{d}/src")
+    assert got.count() == want.count() == 8019
+    assert want.subtract(got).count() == 0
+    assert got.filter("mfa_changed").count() == 2017
