@@ -162,3 +162,22 @@ class JdbcTriageSink:
         statements = jdbc.upsert_statements(self.target, self.staging, self.dialect)
         statements.append(f"INSERT INTO {self.log_table} (batch_id) VALUES ({int(batch_id)})")
         jdbc.execute(spark, self.url, statements, self.properties)
+
+
+def progress_summary(query: StreamingQuery) -> dict:
+    """Latency and throughput of a stream from its recent progress reports: batches, input rows,
+    rows/s while processing, the slowest trigger (ms) and the state rows kept."""
+    reports = [p for p in (query.recentProgress or []) if p]
+    rows = sum(int(p.get("numInputRows", 0)) for p in reports)
+    millis = sum(int(p.get("durationMs", {}).get("triggerExecution", 0)) for p in reports)
+    state = [
+        sum(int(op.get("numRowsTotal", 0)) for op in p.get("stateOperators", []))
+        for p in reports
+    ]
+    return {
+        "batches": len(reports),
+        "input_rows": rows,
+        "rows_per_sec": round(rows / (millis / 1000), 1) if millis else None,
+        "max_trigger_ms": max((int(p.get("durationMs", {}).get("triggerExecution", 0)) for p in reports), default=0),
+        "state_rows": state[-1] if state else 0,
+    }

@@ -14,7 +14,13 @@ from riskflow.operators import triage
 from riskflow.operators.features import ip_changes
 from riskflow.operators.travel import impossible_travel
 from riskflow.sources import fixtures, ingest
-from riskflow.streaming.pipeline import TriageSink, start_ingest, start_triage_sink, wire_after_ip_change_stream
+from riskflow.streaming.pipeline import (
+    TriageSink,
+    progress_summary,
+    start_ingest,
+    start_triage_sink,
+    wire_after_ip_change_stream,
+)
 from riskflow.streaming.stateful import ip_change_stream, travel_stream
 from tests.conftest import SF01
 
@@ -55,6 +61,8 @@ def test_ip_change_and_travel_streams_equal_batch(spark, rel, login_files):
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{d}/data/*")
     q = _run_memory(ip_change_stream(stream), "ipc_stream", f"{d}/ck1")
     assert q.lastProgress is not None
+    stats = progress_summary(q)
+    assert stats["input_rows"] == 8020 and stats["batches"] >= 3 and stats["rows_per_sec"] > 0
     got = spark.table("ipc_stream").withColumn("ip_change_time", F.col("ip_change_time").cast("timestamp_ntz"))
     want = ip_changes(rel["logins"])
     assert got.count() == want.count() == 6869
