@@ -201,8 +201,11 @@ def parse_reply(df: DataFrame, reply_col: str = "reply") -> DataFrame:
     is_object = F.json_object_keys(text).isNotNull()
     error = (
         F.when(F.col(reply_col).isNull(), F.lit("empty reply"))
-        .when(~F.coalesce(is_object, F.lit(False)), F.concat(F.lit("unparseable reply: "), F.substring(F.col(reply_col), 1, 200)))
-        .when(raw_score.isNotNull() & score.isNull(), F.concat(F.lit("invalid risk_score: "), F.substring(raw_score, 1, 50)))
+        .when(
+            ~F.coalesce(is_object, F.lit(False)),
+            F.concat(F.lit("unparseable reply ("), F.length(F.col(reply_col)).cast("string"), F.lit(" chars)")),
+        )
+        .when(raw_score.isNotNull() & score.isNull(), F.concat(F.lit("invalid risk_score: "), raw_score))
     )
     return df.select(
         "*",

@@ -234,7 +234,7 @@ def q_default_score(spark, sf_dir):
 WHERE transaction_type IS DISTINCT FROM 'card'
 UNION ALL
 SELECT transaction_id, 0.0 AS risk_score, 'LOW' AS risk_level, 'MONITOR' AS automated_action,
-       'unparseable reply: ' || substring('not json: ' || {oracle.SUMMARY}, 1, 200) AS reason,
+       'unparseable reply (' || CAST(length('not json: ' || {oracle.SUMMARY}) AS VARCHAR) || ' chars)' AS reason,
        CAST(NULL AS VARCHAR[]) AS matched_signatures
 FROM scored WHERE transaction_type = 'card'""",
 )

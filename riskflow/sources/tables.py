@@ -12,6 +12,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from riskflow.constants import PREVIEW_ROWS
+
 LAYERS = ("raw", "silver", "gold")
 
 
@@ -75,7 +77,7 @@ def create_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
-def preview(df: DataFrame, n: int = 20, order_by: list | None = None) -> DataFrame:
+def preview(df: DataFrame, n: int = PREVIEW_ROWS, order_by: list | None = None) -> DataFrame:
     """First ``n`` rows (a sampling operator: the limit is the feature). With ``order_by`` the
     rows are deterministic (planned as a top-k: each task keeps its best ``n``)."""
     if order_by:

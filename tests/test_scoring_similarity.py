@@ -164,4 +164,4 @@ def test_external_scorer_sees_prompt_and_hits_and_prefixes_errors(spark):
     assert out["reason"].startswith("Error: unparseable reply")
     # The scorer ran on an executor; the prompt it saw is checked through the returned rows instead.
     prompts = scoring.score_external(act, lambda pdf: pdf["prompt"], hits).collect()
-    assert prompts[0]["parse_error"].startswith("unparseable reply: Transaction:\n")
+    assert prompts[0]["parse_error"].startswith("unparseable reply (")
