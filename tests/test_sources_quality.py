@@ -47,6 +47,7 @@ def test_publish_replaces_a_table_its_plan_reads(spark):
     tables.append_or_create(spark.range(2), other)  # appends
     assert spark.table(other).count() == 3
     assert tables.preview(spark.table(name), 3).count() == 3
+    assert [r[0] for r in tables.preview(spark.table(name), 2, order_by=[F.col("id").desc()]).collect()] == [14, 13]
 
 
 def test_jdbc_upsert_and_reviews_in_process_derby(spark):
