@@ -65,12 +65,30 @@ def publish(
     fmt: str = "parquet",
     bucket_by: tuple[int, list[str]] | None = None,
 ) -> None:
-    """Replace ``name`` with ``df`` even when ``df`` reads ``name``: write a staging table, then
-    drop the old one and rename the staging table in (catalog operations only)."""
+    """Replace ``name`` with ``df`` even when ``df`` reads ``name``.
+
+    The new state is written in full under a staging name first (a failure there leaves ``name``
+    untouched). Then the old table is renamed to a backup, the staging table renamed in, and the
+    backup dropped; if the driver dies between the renames, the next ``publish`` (or ``recover``)
+    puts the backup back."""
+    recover(spark, name)
     stage = f"{name}__stage_{uuid.uuid4().hex[:8]}"
+    backup = f"{name}__previous"
     overwrite_table(df, stage, fmt=fmt, bucket_by=bucket_by)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {backup}")
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} RENAME TO {backup}")
     spark.sql(f"ALTER TABLE {stage} RENAME TO {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {backup}")
+
+
+def recover(spark: SparkSession, name: str) -> bool:
+    """Restore ``name`` from its backup after an interrupted swap. Returns True when restored."""
+    backup = f"{name}__previous"
+    if not spark.catalog.tableExists(name) and spark.catalog.tableExists(backup):
+        spark.sql(f"ALTER TABLE {backup} RENAME TO {name}")
+        return True
+    return False
 
 
 def create_view(df: DataFrame, name: str) -> None:
