@@ -78,18 +78,19 @@ def score_and_store(spark: SparkSession, names: Names, as_of, bucket_count: int
     )
     bucket = (bucket_count, [triage.KEY]) if bucket_count else None
     gold_rows = triage.gold_rows(scored, as_of)
-    tables.publish(spark, triage.merge_gold(spark.table(names.gold), gold_rows), names.gold, bucket_by=bucket)
+    gold = tables.read_state(spark, names.gold)
+    tables.publish(spark, triage.merge_gold(gold, gold_rows), names.gold, bucket_by=bucket)
     updates = scored.withColumnRenamed("reason", "action_reason")
-    new_state = triage.upsert_triage(spark.table(names.operational), updates, as_of)
+    new_state = triage.upsert_triage(tables.read_state(spark, names.operational), updates, as_of)
     tables.publish(spark, new_state, names.operational, bucket_by=bucket)
 
 
 def apply_review_decisions(spark: SparkSession, names: Names, decisions: DataFrame, as_of) -> None:
     """Apply analyst decisions to the operational state, then copy the review fields to gold so
     the false-positive view sees them (the source pipeline never copies them back)."""
-    reviewed = triage.apply_reviews(spark.table(names.operational), decisions, as_of)
+    reviewed = triage.apply_reviews(tables.read_state(spark, names.operational), decisions, as_of)
     tables.publish(spark, reviewed, names.operational)
-    synced = triage.sync_reviews(spark.table(names.gold), spark.table(names.operational))
+    synced = triage.sync_reviews(tables.read_state(spark, names.gold), spark.table(names.operational))
     tables.publish(spark, synced, names.gold)
 
 

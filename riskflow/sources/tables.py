@@ -25,6 +25,7 @@ def create_namespaces(spark: SparkSession, layers=LAYERS) -> None:
 def create_empty(spark: SparkSession, name: str, schema: StructType, fmt: str = "parquet") -> bool:
     """Create ``name`` with ``schema`` and no rows if it does not exist (never overwrites an
     existing table). Returns True when created."""
+    recover(spark, name)
     if spark.catalog.tableExists(name):
         return False
     spark.createDataFrame([], schema).write.format(fmt).saveAsTable(name)
@@ -69,28 +70,46 @@ def publish(
 
     The new state is written in full under a staging name first (a failure there leaves ``name``
     untouched). Then the old table is renamed to a backup, the staging table renamed in, and the
-    backup dropped; if the driver dies between the renames, the next ``publish`` (or ``recover``)
-    puts the backup back."""
-    recover(spark, name)
+    backup dropped. If the driver dies between the two renames, ``name`` is missing and the backup
+    holds the last state: ``read_state`` / ``recover`` put it back before the next step reads it,
+    and ``publish`` refuses to run over an unrecovered backup. One writer per state table.
+    """
+    backup = _backup(name)
+    if not spark.catalog.tableExists(name) and spark.catalog.tableExists(backup):
+        raise RuntimeError(f"{name} is missing and {backup} holds its last state: call recover() first")
     stage = f"{name}__stage_{uuid.uuid4().hex[:8]}"
-    backup = f"{name}__previous"
     overwrite_table(df, stage, fmt=fmt, bucket_by=bucket_by)
-    spark.sql(f"DROP TABLE IF EXISTS {backup}")
+    spark.sql(f"DROP TABLE IF EXISTS {backup}")  # left over by a swap that completed its renames
     if spark.catalog.tableExists(name):
         spark.sql(f"ALTER TABLE {name} RENAME TO {backup}")
     spark.sql(f"ALTER TABLE {stage} RENAME TO {name}")
     spark.sql(f"DROP TABLE IF EXISTS {backup}")
 
 
+def _backup(name: str) -> str:
+    return f"{name}__previous"
+
+
 def recover(spark: SparkSession, name: str) -> bool:
     """Restore ``name`` from its backup after an interrupted swap. Returns True when restored."""
-    backup = f"{name}__previous"
+    backup = _backup(name)
     if not spark.catalog.tableExists(name) and spark.catalog.tableExists(backup):
         spark.sql(f"ALTER TABLE {backup} RENAME TO {name}")
         return True
     return False
 
 
+def read_state(spark: SparkSession, name: str, schema: StructType | None = None) -> DataFrame:
+    """The current state table (recovered first if a swap was interrupted); an empty DataFrame of
+    ``schema`` when the table does not exist yet."""
+    recover(spark, name)
+    if spark.catalog.tableExists(name):
+        return spark.table(name)
+    if schema is None:
+        raise ValueError(f"table {name} does not exist")
+    return spark.createDataFrame([], schema)
+
+
 def create_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 

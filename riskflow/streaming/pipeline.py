@@ -105,11 +105,9 @@ class TriageSink:
         if self._done(batch_id):
             return
         as_of = batch.agg(F.max(self.order[0])).collect()[0][0]
-        state = (
-            self.spark.table(self.table)
-            if self.spark.catalog.tableExists(self.table)
-            else self.spark.createDataFrame([], OPERATIONAL_TRIAGE)
-        )
+        from riskflow.sources.tables import read_state
+
+        state = read_state(self.spark, self.table, OPERATIONAL_TRIAGE)
         new_state = triage.upsert_triage(state, batch, as_of, order=self.order)
         publish(self.spark, new_state, self.table)
         self.spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("append").saveAsTable(self.log_table)

@@ -42,9 +42,15 @@ def test_publish_replaces_a_table_its_plan_reads(spark):
     tables.publish(spark, nxt, name, bucket_by=(4, ["id"]))
     assert sorted(r[0] for r in spark.table(name).collect()) == [10, 11, 12, 13, 14]
     assert tables.table_exists(spark, name)
-    # An interrupted swap (old state renamed away, new one not yet in) is repaired.
+    # An interrupted swap (old state renamed away, new one not yet in): publishing over it is
+    # refused, and reading the state recovers it first.
     spark.sql(f"ALTER TABLE {name} RENAME TO {name}__previous")
-    assert tables.recover(spark, name) and sorted(r[0] for r in spark.table(name).collect())[0] == 10
+    import pytest
+
+    with pytest.raises(RuntimeError, match="recover"):
+        tables.publish(spark, spark.range(1), name)
+    assert sorted(r[0] for r in tables.read_state(spark, name).collect())[0] == 10
+    assert not tables.recover(spark, name)
     other = f"gold.a_{uuid.uuid4().hex[:6]}"
     tables.append_or_create(spark.range(1), other)  # creates
     tables.append_or_create(spark.range(2), other)  # appends
