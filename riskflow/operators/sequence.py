@@ -15,7 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructField, StructType
 
 from riskflow.functions.timefn import time_bucket
 
@@ -99,10 +99,15 @@ def asof_join(
     clash = set(lcols) & set(right_cols)
     if clash:
         raise ValueError(f"right columns clash with left columns: {sorted(clash)}")
-    tie = F.col(right_tie) if right_tie else F.lit(None).cast("string")
+    # Equal-time right rows need a total order: the tie column, else the payload itself.
+    tie = F.col(right_tie) if right_tie else F.struct(*[F.col(c).alias(c) for c in right_cols])
     # Types for the typed NULLs of each side, from the inputs' schemas (no extra analysis).
     lschema, rschema = left.schema, right.schema
-    tie_type = rschema[right_tie].dataType if right_tie else StringType()
+    tie_type = (
+        rschema[right_tie].dataType
+        if right_tie
+        else StructType([StructField(c, rschema[c].dataType, True) for c in right_cols])
+    )
     payload_struct = StructType([StructField(c, rschema[c].dataType, True) for c in right_cols])
 
     payload_type = F.struct(*[F.col(c).alias(c) for c in right_cols])
@@ -199,20 +204,30 @@ def interval_join(
     A range join done as an equi-join on (key, bucket): each right row is copied into the buckets
     its window reaches (at most ``lookback / bucket + 2``), so a hot key is spread over its time
     buckets instead of forming one key-wide product. Whole-second arithmetic is used for the
-    window, matching ``unix_timestamp`` semantics.
+    window, matching ``unix_timestamp`` semantics. ``how``: inner, left, left_semi or left_anti
+    (right rows are copied per bucket, so right-preserving joins are not offered). Output columns:
+    the left columns, then the right columns (the right key is dropped when it has the left key's
+    name).
     """
+    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
+        raise ValueError(f"interval_join supports inner/left/left_semi/left_anti, not {how!r}")
     right_by = right_by or by
     bucket = max(int(lookback_seconds), 1)
     r = right.filter(F.col(right_by).isNotNull() & F.col(right_time).isNotNull())
-    r_start = F.floor(F.unix_timestamp(right_time) / bucket).cast("long")
-    r_end = F.floor((F.unix_timestamp(right_time) + F.lit(lookback_seconds)) / bucket).cast("long")
+    r = r.withColumnsRenamed({right_by: "__rk", right_time: "__rt"})
+    r_start = F.floor(F.unix_timestamp("__rt") / bucket).cast("long")
+    r_end = F.floor((F.unix_timestamp("__rt") + F.lit(lookback_seconds)) / bucket).cast("long")
     r = r.withColumn("__rb", F.explode(F.sequence(r_start, r_end)))
     l_ = left.withColumn("__lb", F.floor(F.unix_timestamp(left_time) / bucket).cast("long"))
-    diff = F.unix_timestamp(l_[left_time]) - F.unix_timestamp(r[right_time])
+    diff = F.unix_timestamp(F.col(left_time)) - F.unix_timestamp(F.col("__rt"))
     cond = (
-        (l_[by] == r[right_by])
-        & (l_["__lb"] == r["__rb"])
-        & (l_[left_time] >= r[right_time])
+        (F.col(by) == F.col("__rk"))
+        & (F.col("__lb") == F.col("__rb"))
+        & (F.col(left_time) >= F.col("__rt"))
         & (diff <= F.lit(lookback_seconds))
     )
-    return l_.join(r, cond, how).drop("__lb", "__rb")
+    out = l_.join(r, cond, how).drop("__lb", "__rb")
+    if how in ("left_semi", "left_anti"):
+        return out
+    out = out.withColumnRenamed("__rt", right_time)
+    return out.drop("__rk") if right_by == by else out.withColumnRenamed("__rk", right_by)

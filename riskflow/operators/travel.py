@@ -12,7 +12,8 @@ from riskflow.operators.sequence import DEFAULT_BUCKET_SECONDS, previous_in_sequ
 
 
 def login_pairs(logins: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """Each login with the user's previous login (by time, then login_id).
+    """Each login that has a user and a time, with the user's previous login (by time, then
+    login_id; NULL ids first).
 
     Columns: user_id, login_id, login_time, prev_time, minutes_diff (whole seconds / 60,
     unrounded), miles_diff (unrounded), ip_address, city. A user's first login has NULL

@@ -10,7 +10,7 @@ drops rows older than the watermark before they reach the processor. Expiry: a l
 ``expire_after`` after the user's previous login has no predecessor (deterministic, independent of
 micro-batch boundaries), so an event-time timeout can drop the state of a user idle that long; the
 same timeout flushes the buffer when the watermark passes its oldest row. For travel 10 minutes is
-enough (no pair can be further apart); for IP changes the limit is a setting (default 30 days).
+enough (no pair can be further apart); for IP changes the limit is a setting (default 365 days).
 """
 
 from __future__ import annotations
@@ -131,16 +131,23 @@ def _processor(emit: Emit, expire_ms: int):
         pending_rows: list = []
         if frames:
             a = _arrays(frames)
-            order = np.lexsort((a["login_id"].astype(str), a["login_us"]))
+            # Order by (time, id) with NULL ids first, as the batch window orders them.
+            has_id = pd.notna(a["login_id"])
+            ids_all = np.where(has_id, a["login_id"], "").astype(str)
+            order = np.lexsort((ids_all, has_id, a["login_us"]))
             a = {c: v[order] for c, v in a.items()}
-            us, ids = a["login_us"], a["login_id"].astype(str)
+            us, has_id, ids = a["login_us"], has_id[order], ids_all[order]
             n_ready = int(np.searchsorted(us, wm_us, side="right"))
             start = 0
             if prev is not None:
                 # Rows not after the last processed one cannot be re-ordered any more; sorted by
                 # (time, id), they form a prefix.
-                pu, pid = prev["login_us"], str(prev["login_id"])
-                older = (us[:n_ready] < pu) | ((us[:n_ready] == pu) & (ids[:n_ready] <= pid))
+                pu, p_has = prev["login_us"], prev["login_id"] is not None
+                pid = str(prev["login_id"]) if p_has else ""
+                same = us[:n_ready] == pu
+                older = (us[:n_ready] < pu) | (same & (has_id[:n_ready] < p_has)) | (
+                    same & (has_id[:n_ready] == p_has) & (ids[:n_ready] <= pid)
+                )
                 start = int(older.sum())
             pending_rows = [[a[c][i] for c in _COLS] for i in range(n_ready, len(us))]
             if n_ready > start:
@@ -173,7 +180,9 @@ def _processor(emit: Emit, expire_ms: int):
                 )
             )
             nxt_us = buf[0][0] if buf else int(prev["login_us"]) + expire_us
-            state.setTimeoutTimestamp(max(-(-nxt_us // 1000), wm_us // 1000 + 1))
+            # A row is ready once the watermark reaches it; Spark fires a timeout only when the
+            # watermark passes it, hence one millisecond earlier.
+            state.setTimeoutTimestamp(max(-(-nxt_us // 1000) - 1, wm_us // 1000))
         if out is not None and len(out):
             yield out
 
@@ -183,7 +192,9 @@ def _processor(emit: Emit, expire_ms: int):
 def _prepared(logins: DataFrame, watermark: str) -> DataFrame:
     """Event time must be a zoned TIMESTAMP for watermarks (session time zone UTC)."""
     return (
-        logins.withColumn("login_time", F.col("login_time").cast("timestamp"))
+        # Like the batch twins, logins without a user or a time take part in no sequence.
+        logins.filter(F.col("user_id").isNotNull() & F.col("login_time").isNotNull())
+        .withColumn("login_time", F.col("login_time").cast("timestamp"))
         .withWatermark("login_time", watermark)
         .select(
             "user_id", "login_id", "ip_address", "latitude", "longitude", "city",
@@ -192,8 +203,11 @@ def _prepared(logins: DataFrame, watermark: str) -> DataFrame:
     )
 
 
-def ip_change_stream(logins: DataFrame, watermark: str = "10 minutes", expire_after: str = "30 days") -> DataFrame:
-    """Streaming twin of ``operators.features.ip_changes`` (append mode)."""
+def ip_change_stream(logins: DataFrame, watermark: str = "10 minutes", expire_after: str = "365 days") -> DataFrame:
+    """Streaming twin of ``operators.features.ip_changes`` (append mode). A login more than
+    ``expire_after`` after the user's previous one has no predecessor (the batch form has no
+    limit); state is one row per user active within that time, plus the rows awaiting the
+    watermark."""
     return (
         _prepared(logins, watermark)
         .groupBy("user_id")
