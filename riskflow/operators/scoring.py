@@ -175,14 +175,22 @@ _REPLY_JSON = StructType(
         StructField("risk_level", StringType()),
         StructField("reason", StringType()),
         StructField("matched_signatures", ArrayType(StringType())),
+        StructField("_corrupt", StringType()),
     ]
 )
+# Strict JSON: no single quotes, malformed input recorded instead of half-parsed.
+_JSON_OPTIONS = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"}
+
+
+def _strip(text: Column) -> Column:
+    """Remove leading and trailing whitespace of any kind (``trim`` removes only spaces)."""
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
 def strip_fence(reply: Column) -> Column:
-    """Trim; if the reply starts with a Markdown fence keep the text after it (up to the next fence)
-    and drop a leading ``json`` tag."""
-    t = F.trim(reply)
+    """Strip whitespace; if the reply starts with a Markdown fence keep the text after it (up to
+    the next fence) and drop a leading ``json`` tag."""
+    t = _strip(reply)
     inner = F.when(t.startswith("```"), F.split(t, "```", -1).getItem(1)).otherwise(t)
     return F.when(inner.startswith("json"), inner.substr(F.lit(5), F.lit(1 << 30))).otherwise(inner)
 
@@ -195,12 +203,17 @@ def parse_reply(df: DataFrame, reply_col: str = "reply") -> DataFrame:
     An object without a risk_score scores 0 (as the source's default), and numeric strings are
     accepted. The level is not validated here (see ``quality``)."""
     text = strip_fence(F.col(reply_col))
-    parsed = F.from_json(text, _REPLY_JSON)
+    parsed = F.from_json(text, _REPLY_JSON, _JSON_OPTIONS)
     raw_score = parsed.getField("risk_score")
     score = raw_score.try_cast("double")
-    is_object = F.json_object_keys(text).isNotNull()
+    # One JSON object and nothing after it (a JSON parser rejects trailing text).
+    is_object = (
+        F.json_object_keys(text).isNotNull()
+        & parsed.getField("_corrupt").isNull()
+        & _strip(text).endswith("}")
+    )
     error = (
-        F.when(F.col(reply_col).isNull(), F.lit("empty reply"))
+        F.when(F.coalesce(_strip(F.col(reply_col)), F.lit("")) == "", F.lit("empty reply"))
         .when(
             ~F.coalesce(is_object, F.lit(False)),
             F.concat(F.lit("unparseable reply ("), F.length(F.col(reply_col)).cast("string"), F.lit(" chars)")),
@@ -272,7 +285,7 @@ def score_external(activity: DataFrame, scorer: ExternalScorer, hits: DataFrame
     if hits is not None:
         q = q.join(
             hits.select("transaction_id", F.to_json("hits").alias("hits"), "signatures_searched"), "transaction_id", "left"
-        )
+        ).withColumn("signatures_searched", F.coalesce(F.col("signatures_searched"), F.lit(0)))
     else:
         q = q.withColumns({"hits": F.lit(None).cast("string"), "signatures_searched": F.lit(0)})
     q = q.withColumn("prompt", prompt_text("summary", "hits"))

@@ -56,11 +56,12 @@ def text_topk(
     k: int = DEFAULT_TOP_K,
 ) -> DataFrame:
     """For each query, the ``k`` corpus rows with the highest TF-IDF cosine (rounded to 6 places
-    before ranking; ties by ``doc_id``). Weight = tf · (ln((N + 1) / (df + 1)) + 1) with N the corpus
-    size and df the number of corpus rows holding the term; query terms absent from the corpus
-    count in the query norm with df = 0. Columns: query_id, doc_id, score, rank.
+    before ranking; ties by ``doc_id``). Documents are identified by ``doc_id`` (rows sharing an id
+    form one document). Weight = tf · (ln((N + 1) / (df + 1)) + 1) with N the number of documents
+    and df the number of documents holding the term; query terms absent from the corpus count in
+    the query norm with df = 0. Columns: query_id, doc_id, score, rank.
     """
-    n_docs = corpus.select(F.count(F.lit(1)).cast("double")).scalar()
+    n_docs = corpus.select(F.count_distinct(F.col(doc_id)).cast("double")).scalar()
     d_tf = _term_counts(corpus, doc_id, doc_text, by_id=True)
     idf = (
         d_tf.groupBy("term")
@@ -114,10 +115,15 @@ def centroids(vectors: DataFrame, group: str, vec: str) -> DataFrame:
     per_pos = (
         vectors.select(group, F.posexplode(vec).alias("pos", "x"))
         .groupBy(group, "pos")
-        .agg(F.avg(F.col("x").cast("double")).alias("m"))
+        .agg(F.avg(F.col("x").cast("double")).alias("m"), F.count(F.lit(1)).alias("n"))
     )
+    parts = F.array_sort(F.collect_list(F.struct("pos", "m", "n")))
+    counts = F.transform(parts, lambda s: s.getField("n"))
+    # Vectors of different lengths have no element-wise mean: NULL instead of a skewed one.
     return per_pos.groupBy(group).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "m"))), lambda s: s.getField("m")).alias("centroid")
+        F.when(
+            F.array_min(counts) == F.array_max(counts), F.transform(parts, lambda s: s.getField("m"))
+        ).alias("centroid")
     )
 
 

@@ -31,7 +31,8 @@ def _ts(as_of) -> Column:
     if isinstance(as_of, Column):
         return as_of.cast("timestamp_ntz")
     if isinstance(as_of, dt.datetime):
-        return F.lit(as_of).cast("timestamp_ntz")
+        # Wall-clock value as given: never through the driver's or the session's time zone.
+        return F.lit(as_of.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
     return F.lit(str(as_of)).cast("timestamp_ntz")
 
 
@@ -46,20 +47,30 @@ def latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     return df.groupBy(key).agg(best.alias("__row")).select(*[F.col("__row").getField(c).alias(c) for c in cols])
 
 
-def unique_by_key(df: DataFrame, key: str, what: str) -> DataFrame:
-    """``df`` unchanged, but the job fails if a key occurs twice (checked lazily, in the plan).
+def unique_by_key(df: DataFrame, key, what: str) -> DataFrame:
+    """``df`` unchanged, but the job fails if a key occurs twice or is NULL (checked lazily, in
+    the plan). ``key``: a column name or a list of them.
 
     The aggregation partitions by the key, which the following keyed join reuses.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     cols = df.columns
-    agg = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"), F.any_value(F.struct(*cols)).alias("__row"))
-    checked = F.when(
-        F.col("__n") > 1,
-        F.raise_error(F.concat(F.lit(f"duplicate {what} key: "), F.col(key).cast("string"))),
+    agg = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.any_value(F.struct(*cols)).alias("__row"))
+    shown = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+    any_null = F.lit(False)
+    for k in keys:
+        any_null = any_null | F.col(k).isNull()
+    checked = F.when(any_null, F.raise_error(F.concat(F.lit(f"NULL {what} key: "), shown))).when(
+        F.col("__n") > 1, F.raise_error(F.concat(F.lit(f"duplicate {what} key: "), shown))
     )
+    first = keys[0]
     return agg.select(
         *[
-            (F.col("__row").getField(c) if c != key else F.coalesce(checked.cast(df.schema[c].dataType), F.col(key))).alias(c)
+            (
+                F.coalesce(checked.cast(df.schema[c].dataType), F.col("__row").getField(c))
+                if c == first
+                else F.col("__row").getField(c)
+            ).alias(c)
             for c in cols
         ]
     )
@@ -179,7 +190,9 @@ def apply_reviews(state: DataFrame, decisions: DataFrame, as_of) -> DataFrame:
     is the decision time, else ``as_of``. Decisions for unknown keys change nothing."""
     order = [c for c in ("decided_at", "decision_id") if c in decisions.columns]
     d = latest_per_key(decisions, KEY, order) if order else unique_by_key(decisions, KEY, "decision")
-    decided = F.col("decided_at") if "decided_at" in decisions.columns else F.lit(None).cast("timestamp_ntz")
+    decided = (
+        F.col("decided_at").cast("timestamp_ntz") if "decided_at" in decisions.columns else F.lit(None).cast("timestamp_ntz")
+    )
     d = d.select(
         F.col(KEY).alias("d_key"),
         review_status_for(F.col("action")).alias("d_status"),
@@ -247,8 +260,7 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: list[str]) -> Dat
     preimages are ignored. Changes for one key must not repeat (the job fails)."""
     cols = target.columns
     effective = changes.filter(F.col(CHANGE_TYPE).isin("insert", "delete", "update_postimage"))
-    if len(keys) == 1:
-        effective = unique_by_key(effective.select(*cols, CHANGE_TYPE), keys[0], "change")
+    effective = unique_by_key(effective.select(*cols, CHANGE_TYPE), keys, "change")
     kept = target.join(effective.select(*keys), keys, "left_anti")
     upserts = effective.filter(F.col(CHANGE_TYPE) != "delete").select(*cols)
     return kept.unionByName(upserts)

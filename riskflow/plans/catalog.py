@@ -367,7 +367,7 @@ def _text_topk_sql(q_sql: str, q_id: str, q_text: str, d_sql: str, d_id: str, d_
 q_src AS ({q_sql}), d_src AS ({d_sql}),
 d_tok AS (SELECT {d_id} AS d, t AS term FROM (SELECT {d_id}, unnest(regexp_split_to_array(lower({d_text}), '[^a-z0-9]+')) AS t FROM d_src) WHERE t <> ''),
 d_tf AS (SELECT d, term, count(*) AS tf FROM d_tok GROUP BY d, term),
-n_docs AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM d_src),
+n_docs AS (SELECT CAST(count(DISTINCT {d_id}) AS DOUBLE) AS n FROM d_src),
 idf AS (SELECT term, ln((n + 1.0) / (count(*) + 1.0)) + 1.0 AS idf FROM d_tf, n_docs GROUP BY term, n),
 d_w AS (SELECT d, term, tf * idf AS w FROM d_tf JOIN idf USING (term)),
 d_norm AS (SELECT d, sqrt(sum(w * w)) AS d_norm FROM d_w GROUP BY d),

@@ -165,3 +165,17 @@ def test_external_scorer_sees_prompt_and_hits_and_prefixes_errors(spark):
     # The scorer ran on an executor; the prompt it saw is checked through the returned rows instead.
     prompts = scoring.score_external(act, lambda pdf: pdf["prompt"], hits).collect()
     assert prompts[0]["parse_error"].startswith("unparseable reply (")
+
+
+def test_strict_reply_parsing_and_mixed_length_centroids(spark):
+    df = spark.createDataFrame(
+        [("a", '{"risk_score": 90} trailing'), ("b", "{'risk_score': 90}"), ("c", " \n "),
+         ("d", '```json\n{"risk_score": 91}\n```')],
+        "id string, reply string",
+    )
+    out = {r["id"]: r for r in scoring.with_action_and_fallback(scoring.parse_reply(df, "reply")).collect()}
+    assert out["a"]["reason"].startswith("unparseable") and out["b"]["reason"].startswith("unparseable")
+    assert out["c"]["reason"] == "empty reply"
+    assert (out["d"]["risk_score"], out["d"]["automated_action"]) == (91.0, "BLOCK")
+    mixed = spark.createDataFrame([(0, [1.0, 2.0]), (0, [3.0])], "g int, v array<double>")
+    assert similarity.centroids(mixed, "g", "v").collect()[0]["centroid"] is None

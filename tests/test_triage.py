@@ -120,3 +120,29 @@ def test_snapshot_diff_then_apply_changes_reproduces_new(spark):
     assert kinds == [("t2", "update_postimage"), ("t2", "update_preimage"), ("t3", "delete"), ("t4", "insert")]
     applied = triage.apply_changes(old, diff, ["transaction_id"])
     assert sorted(map(tuple, applied.collect())) == sorted(map(tuple, new.collect()))
+
+
+def test_key_checks_composite_and_null_keys_and_naive_as_of(spark):
+    target = spark.createDataFrame([("k", "1", 1)], "a string, b string, v int")
+    changes = spark.createDataFrame(
+        [("k", "1", 2, "update_postimage"), ("k", "1", 3, "update_postimage")], "a string, b string, v int, _change_type string"
+    )
+    with pytest.raises(Exception, match="duplicate change key: k, 1"):
+        triage.apply_changes(target, changes, ["a", "b"]).collect()
+    state = triage.to_operational(gold(spark, [row("t1")]))
+    nullkey = spark.createDataFrame(
+        [(None, "u", 1.0, "LOW", "APPROVE", "a")],
+        "transaction_id string, user_id string, risk_score double, risk_level string, automated_action string, action_reason string",
+    )
+    with pytest.raises(Exception, match="NULL update key"):
+        triage.upsert_triage(state, nullkey, "2024-02-01").collect()
+    # A naive datetime is a wall-clock value, whatever the session time zone.
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = triage.gold_rows(
+            spark.createDataFrame([("t", "u", 1.0, "LOW", "APPROVE", "r")], "transaction_id string, user_id string, risk_score double, risk_level string, automated_action string, reason string"),
+            D(2024, 2, 1),
+        ).collect()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got["action_timestamp"] == D(2024, 2, 1)
