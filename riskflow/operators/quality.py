@@ -28,7 +28,8 @@ class Rule:
         if self.name == "max_length":
             return F.length(c) > F.lit(int(self.arg))
         if self.name == "abs_below":
-            return F.abs(c) >= F.lit(float(self.arg))
+            # Checked as stored: DECIMAL(5,2) columns receive the value rounded to 2 places.
+            return F.abs(F.round(c, 2)) >= F.lit(float(self.arg))
         if self.name == "in_set":
             return c.isNotNull() & ~c.isin(*self.arg)
         raise ValueError(f"unknown rule {self.name!r}")
@@ -59,7 +60,7 @@ def quality_report(df: DataFrame, rules: list[Rule], key: str | None = None) ->
         per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"), *counts)
         wide = per_key.agg(
             *[F.sum(f"v{i}").alias(f"v{i}") for i in range(len(rules))],
-            F.count_if(F.col("__n") > 1).alias("v_key"),
+            F.count_if((F.col("__n") > 1) & F.col(key).isNotNull()).alias("v_key"),
         )
     else:
         wide = df.agg(*counts)

@@ -478,7 +478,7 @@ def _rule_sql(r: quality.Rule) -> str:
     if r.name == "max_length":
         return f"length({c}) > {int(r.arg)}"
     if r.name == "abs_below":
-        return f"abs({c}) >= {float(r.arg)}"
+        return f"abs(round({c}, 2)) >= {float(r.arg)}"
     if r.name == "in_set":
         vals = ", ".join(f"'{v}'" for v in r.arg)
         return f"{c} IS NOT NULL AND {c} NOT IN ({vals})"
@@ -493,7 +493,7 @@ def _quality_sql() -> str:
     ]
     parts.append(
         "SELECT 'unique_key' AS rule, 'transaction_id' AS column_name, CAST(count(*) AS BIGINT) AS violations FROM "
-        "(SELECT transaction_id FROM upserted GROUP BY transaction_id HAVING count(*) > 1)"
+        "(SELECT transaction_id FROM upserted WHERE transaction_id IS NOT NULL GROUP BY transaction_id HAVING count(*) > 1)"
     )
     return oracle.FULL + _UPSERT_CTE + "\nUNION ALL\n".join(parts)
 

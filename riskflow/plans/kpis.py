@@ -39,6 +39,8 @@ def account_takeover_rate(activity: DataFrame, travel: DataFrame | None = None)
     """
     if "has_travel_flag" in activity.columns:
         marked, flag = activity, F.col("has_travel_flag")
+    elif travel is None:
+        raise ValueError("pass the impossible-travel flags (travel=...) or an activity with has_travel_flag")
     else:
         flagged_users = travel.select("user_id").where(F.col("user_id").isNotNull()).distinct().select(
             "user_id", F.lit(True).alias("__traveller")

@@ -45,7 +45,8 @@ ACTIVITY_COLUMNS = [
 
 
 def high_value_wire(type_col="transaction_type", amount_col="amount") -> Column:
-    """``type = 'wire' AND amount >= 10000`` with three-valued logic kept (NULL type → NULL)."""
+    """``type = 'wire' AND amount >= 10000`` with SQL three-valued logic kept: a NULL type gives
+    NULL when the amount test is true or NULL, and false when the amount is below 10,000."""
     return (F.col(type_col) == F.lit(WIRE_TYPE)) & (F.col(amount_col) >= F.lit(HIGH_VALUE_AMOUNT))
 
 

@@ -22,7 +22,10 @@ UPDATE_STAGE_TYPES = (
     "transaction_id VARCHAR(255), user_id VARCHAR(255), risk_level VARCHAR(20), "
     "automated_action VARCHAR(20), action_reason VARCHAR(4000)"
 )
-REVIEW_STAGE_TYPES = "transaction_id VARCHAR(255), action VARCHAR(20), reviewed_by VARCHAR(255), notes VARCHAR(4000)"
+REVIEW_STAGE_TYPES = (
+    "transaction_id VARCHAR(255), action VARCHAR(20), reviewed_by VARCHAR(255), notes VARCHAR(4000), "
+    "decided_at TIMESTAMP"
+)
 
 
 def read_table(
@@ -58,7 +61,10 @@ def execute(spark: SparkSession, url: str, statements: Sequence[str], properties
         conn.commit()
         return counts
     except Exception:
-        conn.rollback()
+        try:
+            conn.rollback()
+        except Exception:  # noqa: BLE001 - keep the original error
+            pass
         raise
     finally:
         conn.close()
@@ -138,9 +144,13 @@ def apply_reviews_batch(
     staging: str,
     properties: dict | None = None,
 ) -> int:
-    """Stage one decision per key (dedupe first) and apply them with one keyed MERGE."""
+    """Stage one decision per key (dedupe first) and apply them with one keyed statement; the
+    review time is the decision time when given (``decided_at``), else the database's now."""
+    from pyspark.sql import functions as F
+
+    decided = F.col("decided_at") if "decided_at" in decisions.columns else F.lit(None).cast("timestamp_ntz")
     (
-        decisions.select("transaction_id", "action", "reviewed_by", "notes")
+        decisions.select("transaction_id", "action", "reviewed_by", "notes", decided.cast("timestamp").alias("decided_at"))
         .write.mode("overwrite")
         .option("createTableColumnTypes", REVIEW_STAGE_TYPES)
         .jdbc(url, staging, properties=dict(properties or {}))
@@ -153,6 +163,7 @@ def review_statement(target: str, staging: str) -> str:
     timestamp. Keys absent from the target change nothing."""
     key = f"s.{_q('transaction_id')} = {target}.transaction_id"
     action, reviewer, notes = f"s.{_q('action')}", f"s.{_q('reviewed_by')}", f"s.{_q('notes')}"
+    decided = f"COALESCE(s.{_q('decided_at')}, CURRENT_TIMESTAMP)"
     status = (
         f"CASE WHEN {action} = 'ALLOW' THEN 'APPROVED' "
         f"WHEN {action} = 'BLOCK' THEN 'REJECTED' ELSE 'ESCALATED' END"
@@ -164,7 +175,8 @@ def review_statement(target: str, staging: str) -> str:
 
     return (
         f"UPDATE {target} SET review_status = {pick(status)}, reviewed_by = {pick(by)}, "
-        f"review_notes = {pick(notes)}, review_timestamp = CURRENT_TIMESTAMP "
+        f"review_notes = {pick(notes)}, "
+        f"review_timestamp = {pick(decided)} "
         f"WHERE EXISTS (SELECT 1 FROM {staging} s WHERE {key})"
     )
 

@@ -17,6 +17,12 @@ from riskflow.schemas import OPERATIONAL_TRIAGE
 from riskflow.session import scratch_path
 
 
+def _path_key(path: str) -> str:
+    import hashlib
+
+    return hashlib.sha1(path.encode()).hexdigest()[:12]
+
+
 def start_ingest(
     spark: SparkSession,
     kind: str,
@@ -36,7 +42,7 @@ def start_ingest(
     w = (
         stream.writeStream.format("parquet")
         .option("path", target_path)
-        .option("checkpointLocation", checkpoint or scratch_path(spark, f"ckpt-ingest-{kind}"))
+        .option("checkpointLocation", checkpoint or scratch_path(spark, f"ckpt-ingest-{kind}-{_path_key(target_path)}"))
         .outputMode("append")
     )
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
@@ -100,17 +106,20 @@ class TriageSink:
         return self.spark.table(self.log_table).filter(F.col("batch_id") == batch_id).limit(1).count() > 0
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        from riskflow.sources.tables import publish
+        from riskflow.sources.tables import publish, read_state
 
         if self._done(batch_id):
             return
-        as_of = batch.agg(F.max(self.order[0])).collect()[0][0]
-        from riskflow.sources.tables import read_state
-
-        state = read_state(self.spark, self.table, OPERATIONAL_TRIAGE)
-        new_state = triage.upsert_triage(state, batch, as_of, order=self.order)
-        publish(self.spark, new_state, self.table)
-        self.spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("append").saveAsTable(self.log_table)
+        batch = batch.persist()  # read twice below (the batch time, then the upsert)
+        try:
+            as_of = batch.agg(F.max(self.order[0])).collect()[0][0]
+            stamp = as_of if as_of is not None else F.current_timestamp()
+            state = read_state(self.spark, self.table, OPERATIONAL_TRIAGE)
+            new_state = triage.upsert_triage(state, batch, stamp, order=self.order)
+            publish(self.spark, new_state, self.table)
+            self.spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("append").saveAsTable(self.log_table)
+        finally:
+            batch.unpersist()
 
 
 def start_triage_sink(updates: DataFrame, sink: TriageSink, checkpoint: str, available_now: bool = True) -> StreamingQuery:
@@ -134,12 +143,16 @@ class JdbcTriageSink:
         self.log_table = log_table or f"{target}_BATCHES"
 
     def _ensure_log(self, spark: SparkSession) -> None:
+        """Create the batch log table once per sink (if the database does not have it yet)."""
         from riskflow.sources import jdbc
 
+        if getattr(self, "_log_ready", False):
+            return
         try:
+            jdbc.read_table(spark, self.url, self.log_table, self.properties).schema
+        except Exception:  # noqa: BLE001 - not there yet
             jdbc.execute(spark, self.url, [f"CREATE TABLE {self.log_table} (batch_id BIGINT PRIMARY KEY)"], self.properties)
-        except Exception:  # noqa: BLE001 - already exists
-            pass
+        self._log_ready = True
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         from riskflow.sources import jdbc
