@@ -15,7 +15,6 @@ enough (no pair can be further apart); for IP changes the limit is a setting (de
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -26,7 +25,12 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from riskflow.constants import EARTH_RADIUS_MILES, TRAVEL_MILES_THRESHOLD, TRAVEL_MINUTES_THRESHOLD
 
-STATE_SCHEMA = "last_us long, last_id string, last_ip string, last_lat double, last_lon double, buffer string"
+# Last processed login, then the rows still waiting for the watermark, as typed arrays.
+STATE_SCHEMA = (
+    "last_us long, last_id string, last_ip string, last_lat double, last_lon double, "
+    "buf_us array<long>, buf_id array<string>, buf_ip array<string>, buf_lat array<double>, "
+    "buf_lon array<double>, buf_city array<string>"
+)
 IP_CHANGE_SCHEMA = "user_id string, new_ip string, ip_change_time timestamp, ip_lat double, ip_lon double, login_id string"
 TRAVEL_SCHEMA = (
     "user_id string, login_time timestamp, prev_time timestamp, minutes_between_logins double, "
@@ -98,7 +102,7 @@ _NO_PREV = {"login_us": 0, "login_id": None, "ip_address": None, "latitude": np.
 
 
 def _arrays(frames: list[pd.DataFrame]) -> dict:
-    """Column arrays with fixed dtypes (buffered rows come back from JSON as Python objects)."""
+    """Column arrays with fixed dtypes (buffered rows come back from state as Python lists)."""
     df = pd.concat(frames, ignore_index=True)
     return {
         "login_us": pd.to_numeric(df["login_us"]).to_numpy(dtype="int64"),
@@ -118,17 +122,17 @@ def _processor(emit: Emit, expire_ms: int):
         prev: dict | None = None
         frames = []
         if state.exists:
-            last_us, last_id, last_ip, last_lat, last_lon, buf = state.get
+            last_us, last_id, last_ip, last_lat, last_lon, *buf = state.get
             if last_us is not None:
                 prev = {"login_us": last_us, "login_id": last_id, "ip_address": last_ip,
                         "latitude": np.nan if last_lat is None else last_lat,
                         "longitude": np.nan if last_lon is None else last_lon}
-            if buf:
-                frames.append(pd.DataFrame(json.loads(buf), columns=_COLS))
+            if buf[0]:
+                frames.append(pd.DataFrame(dict(zip(_COLS, (list(v) for v in buf)))))
         frames += [pdf[_COLS] for pdf in batches if len(pdf)]
         wm_us = state.getCurrentWatermarkMs() * 1000
         out = None
-        pending_rows: list = []
+        pending: dict | None = None
         if frames:
             a = _arrays(frames)
             # Order by (time, id) with NULL ids first, as the batch window orders them.
@@ -149,7 +153,8 @@ def _processor(emit: Emit, expire_ms: int):
                     same & (has_id[:n_ready] == p_has) & (ids[:n_ready] <= pid)
                 )
                 start = int(older.sum())
-            pending_rows = [[a[c][i] for c in _COLS] for i in range(n_ready, len(us))]
+            if n_ready < len(us):
+                pending = {c: a[c][n_ready:] for c in _COLS}
             if n_ready > start:
                 r = {c: v[start:n_ready] for c, v in a.items()}
                 first = prev or _NO_PREV
@@ -162,13 +167,22 @@ def _processor(emit: Emit, expire_ms: int):
                 r["has_prev"] &= (r["login_us"] - r["prev_login_us"]) <= expire_us
                 out = emit(user, r)
                 prev = {c: r[c][-1] for c in _PREV}
-        if not pending_rows and (prev is None or prev["login_us"] + expire_us <= wm_us):
+        if pending is None and (prev is None or prev["login_us"] + expire_us <= wm_us):
             state.remove()
         else:
-            buf = [[int(x[0]), x[1], x[2], None if x[3] != x[3] else float(x[3]),
-                    None if x[4] != x[4] else float(x[4]), x[5]] for x in pending_rows]
             p = prev or {}
             lat, lon = p.get("latitude"), p.get("longitude")
+            if pending is None:
+                buffered = [[]] * len(_COLS)
+            else:
+                buffered = [
+                    pending["login_us"].tolist(),
+                    [None if v is None else str(v) for v in pending["login_id"]],
+                    [None if v is None else str(v) for v in pending["ip_address"]],
+                    pending["latitude"].tolist(),
+                    pending["longitude"].tolist(),
+                    [None if v is None else str(v) for v in pending["city"]],
+                ]
             state.update(
                 (
                     None if prev is None else int(prev["login_us"]),
@@ -176,10 +190,10 @@ def _processor(emit: Emit, expire_ms: int):
                     p.get("ip_address"),
                     None if lat is None or lat != lat else float(lat),
                     None if lon is None or lon != lon else float(lon),
-                    json.dumps(buf) if buf else None,
+                    *buffered,
                 )
             )
-            nxt_us = buf[0][0] if buf else int(prev["login_us"]) + expire_us
+            nxt_us = int(pending["login_us"][0]) if pending is not None else int(prev["login_us"]) + expire_us
             # A row is ready once the watermark reaches it; Spark fires a timeout only when the
             # watermark passes it, hence one millisecond earlier.
             state.setTimeoutTimestamp(max(-(-nxt_us // 1000) - 1, wm_us // 1000))
