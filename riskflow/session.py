@@ -48,6 +48,7 @@ def get_spark(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -96,3 +97,36 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
     }
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``riskflow`` importable on the executors' Python workers (streaming state processors
+    and the external scorer run there). Zips the installed package once per application and adds
+    it like ``--py-files``: the driver serves the archive to every executor, so no executor reads
+    a driver-local path. A no-op when already shipped."""
+    import shutil
+
+    key = spark.sparkContext.applicationId if _has_context(spark) else id(spark)
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="riskflow-pkg-")
+    archive = shutil.make_archive(
+        os.path.join(out_dir, "riskflow"), "zip", root_dir=os.path.dirname(pkg_dir), base_dir="riskflow"
+    )
+    if _has_context(spark):
+        spark.sparkContext.addPyFile(archive)
+    else:  # remote session
+        spark.addArtifacts(archive, pyfile=True)
+    _SHIPPED.add(key)
+
+
+def _has_context(spark: SparkSession) -> bool:
+    try:
+        spark.sparkContext
+        return True
+    except Exception:  # noqa: BLE001 - remote session
+        return False
