@@ -105,3 +105,25 @@ def test_column_types_match_the_oracle(spark):
         rel = con.sql(sql)
         duck_types = {c: _duck_type(t) for c, t in zip(rel.columns, rel.types)}
         assert spark_types == duck_types, name
+
+
+def test_entry_works_from_another_directory_with_a_plain_session(tmp_path):
+    """Like the driver: a plain session in a process whose working directory is not the repo,
+    running a query whose Python workers must import the package."""
+    import subprocess
+    import sys as _sys
+
+    from tests.conftest import ROOT
+
+    script = tmp_path / "drive.py"
+    script.write_text(
+        "import importlib.util\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        f"spec = importlib.util.spec_from_file_location('__spark_entry__', r'{ROOT}/__spark_entry__.py')\n"
+        "m = importlib.util.module_from_spec(spec); spec.loader.exec_module(m)\n"
+        "print('ENTRY', m.entry(spark).count())\n"
+        f"print('STREAM', m.queries()['travel_stream'](spark, r'{SF001}').count())\n"
+    )
+    done = subprocess.run([_sys.executable, str(script)], cwd=tmp_path, capture_output=True, text=True, timeout=600)
+    assert "ENTRY " in done.stdout and "STREAM " in done.stdout, done.stderr[-2000:]
