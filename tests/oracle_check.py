@@ -2,7 +2,7 @@
 
 Usage: python tests/oracle_check.py [sf_dir] [name ...]
 Compares row count, column names, and an order-insensitive hash of values with columns sorted by
-name. Floats are compared after rounding to 9 significant digits.
+name. Floats are compared exactly.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.9g}")
+        return repr(v)  # exact: every registered query matches its oracle bit for bit
     if isinstance(v, pd.Timestamp):
         return v.to_pydatetime().replace(tzinfo=None).isoformat()
     if hasattr(v, "isoformat"):
