@@ -127,3 +127,9 @@ def test_entry_works_from_another_directory_with_a_plain_session(tmp_path):
     )
     done = subprocess.run([_sys.executable, str(script)], cwd=tmp_path, capture_output=True, text=True, timeout=600)
     assert "ENTRY " in done.stdout and "STREAM " in done.stdout, done.stderr[-2000:]
+
+
+@pytest.mark.skipif(not __import__("os").environ.get("RISKFLOW_SLOW"), reason="set RISKFLOW_SLOW=1 (sf0.1, ~5 min)")
+def test_all_queries_match_oracle_sf01(spark):
+    res = compare(spark, "/root/testdata/sf0.1")
+    assert all(r["ok"] for r in res.values()), {n: r for n, r in res.items() if not r["ok"]}
