@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import language_id, sentencepiece_bpe, token_files, url_rules
+from riskflow.llm import language_id, near_dup, pii, sentencepiece_bpe, token_files, url_rules
 from riskflow.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,12 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.checksums(token_files.read(shards))
 
 
+def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's class of near duplicates; the smallest id of a class stays."""
+    got = near_dup.classes(table(spark, sf_dir, "documents"))
+    return got.withColumn("kept", F.col("doc_id") == F.col("class_id"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages of all documents, learned from those outside the held-out fold."""
     docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False)))
@@ -33,6 +39,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model, keep=("held_out",)).select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: base counts and digest, and all spans."""
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict on every page's url."""
     rules = spark.createDataFrame(url_rules.RULES, "host string, path string, verdict string")
@@ -42,7 +53,9 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES: dict[str, Query] = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_token_files": op4_token_files,
+    "op5_near_dup": op5_near_dup,
     "op6_language_id": op6_language_id,
+    "op9_pii": op9_pii,
     "op10_url_rules": op10_url_rules,
 }
 
