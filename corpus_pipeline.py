@@ -1,36 +1,77 @@
-"""Corpus pipeline: each stage's decisions take effect on what its predecessor kept."""
+"""Corpus pipeline over ``documents``: language, repeated lines, near duplicates, benchmark passages, token ids.
+
+Each stage's decisions take effect on what its predecessor kept; all but the last return the columns
+of the documents that they got.
+"""
 
 from __future__ import annotations
 
 import os
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskflow.llm import language_id
-from riskflow.llm.common import prepare
+from riskflow.llm import decontaminate, language_id, line_dedup, near_dup, sentencepiece_bpe
+from riskflow.llm.common import fresh, prepare, table
 from riskflow.session import scratch_path
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that language identification does not reject. It learns from the documents with a language."""
+    """Documents that language identification does not reject; it learns from those with a language."""
+    prepare(spark)
+    judged = language_id.predict(docs, language_id.fit(docs), keep=tuple(c for c in docs.columns if c != "doc_id"), prefix="__judged_")
+    return judged.filter("not __judged_rejected").select(*docs.columns)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without their recurring lines; a document that loses its last words goes."""
+    prepare(spark)
+    left = line_dedup.dedup(docs, prefix="__lines_")
+    left = left.filter((F.col("__lines_n_dropped") == 0) | (F.btrim("text", F.lit(" \t\r\n")) != ""))
+    if "n_chars" in docs.columns:
+        changed = F.when(F.col("__lines_n_dropped") == 0, F.col("n_chars")).otherwise(F.length("text"))
+        left = left.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
+    return left.select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near duplicates the document with the smallest id."""
+    prepare(spark)
+    key = fresh(docs, "__gone")[0]
+    gone = near_dup.classes(docs).filter("doc_id <> class_id").select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col(key), "left_anti")
+
+
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that cover no benchmark item."""
+    prepare(spark)
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, decoded) of each document."""
     prepare(spark)
-    names = docs.columns
-    model = language_id.fit(docs)
-    judged = language_id.predict(docs, model, keep=tuple(c for c in names if c not in ("doc_id", "text")) + ("text",))
-    return judged.filter("not rejected").select(*names)
+    return sentencepiece_bpe.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
 #: (name, function): each takes (spark, docs, sf_dir) and returns a DataFrame.
-STAGES = [("language_id", language)]
+STAGES = [
+    ("language", language),
+    ("lines", lines),
+    ("near_duplicates", near_duplicates),
+    ("benchmark_passages", benchmark_passages),
+    ("token_ids", token_ids),
+]
 
 #: Learned models and tokenizers have no SQL form; the tests hold each stage against a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``; each result is written as Parquet and read again."""
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    """Apply the stages to ``documents``; each result but the last is written as Parquet and read again."""
+    docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:

@@ -44,6 +44,16 @@ def doc_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until no column of ``df`` has it."""
+    out = []
+    for name in names:
+        while name.lower() in {c.lower() for c in df.columns}:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

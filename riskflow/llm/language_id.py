@@ -165,19 +165,20 @@ def fit(labelled: DataFrame) -> Model | None:
     return train(rows) if rows else None
 
 
-def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, ``keep``..., lang_pred, score, rejected), a row for each row of ``docs``.
+def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), prefix: str = "") -> DataFrame:
+    """(doc_id, ``keep``..., lang_pred, score, rejected), a row for each row of ``docs``; ``prefix`` goes
+    before the last three names, where ``keep`` has columns of these names.
 
     A null or empty text, or one without a letter, has the language ``und``, score 0 and is rejected;
     so is every text if nothing could be learned. Other texts get the likeliest language, and are
     rejected if its calibrated probability is below the model's threshold. Whole texts are read.
     """
-    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *keep)
-    out = T.StructType([src.schema["doc_id"], *(src.schema[c] for c in keep), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
+    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("__text"), *keep)
+    out = T.StructType([src.schema["doc_id"], *(src.schema[c] for c in keep), T.StructField(f"{prefix}lang_pred", T.StringType()), T.StructField(f"{prefix}score", T.DoubleType()), T.StructField(f"{prefix}rejected", T.BooleanType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            col = column(b, "text")
+            col = column(b, "__text")
             offsets, data = text_bytes(col)
             known = np.array([x is not None and _LETTER.search(x) is not None for x in col.to_pylist()], bool)
             lang, score = np.full(len(col), UNDETERMINED, object), np.zeros(len(col))

@@ -8,12 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import language_id, near_dup, pii, sentencepiece_bpe, token_files, url_rules
+from riskflow.llm import decontaminate, language_id, line_dedup, near_dup, pii, sentencepiece_bpe, suffix_dedup, syncmers, token_files, url_rules
 from riskflow.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the strings of documents before it."""
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op2_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text."""
+    return syncmers.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's digest of ids and of the decoded text."""
     got = sentencepiece_bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -39,6 +49,18 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model, keep=("held_out",)).select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's lines, dropped lines, and digest of the text that is left."""
+    got = line_dedup.dedup(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items that they cover."""
+    got = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return got.select("doc_id", "item_id", "coverage", "n_tiles", "longest", "item_words")
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document: base counts and digest, and all spans."""
     return pii.find(table(spark, sf_dir, "documents"))
@@ -51,15 +73,50 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES: dict[str, Query] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_syncmers": op2_syncmers,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_token_files": op4_token_files,
     "op5_near_dup": op5_near_dup,
     "op6_language_id": op6_language_id,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_decontaminate": op8_decontaminate,
     "op9_pii": op9_pii,
     "op10_url_rules": op10_url_rules,
 }
 
 _SQL = {
+    "op7_line_dedup": r"""
+WITH lines AS (
+  SELECT doc_id, text, unnest(range(len(l))) AS line_no, unnest(l) AS line
+  FROM (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL)),
+parsed AS (
+  SELECT doc_id, text, line_no, list_transform(string_split_regex(trim(line, ' ' || chr(9) || chr(13)), '[ \t]+'), lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS toks
+  FROM lines),
+long AS (SELECT *, len(toks) || ' ' || array_to_string(toks[1:3], ' ') AS leaf FROM parsed WHERE len(toks) >= 4),
+per AS (SELECT leaf, toks, count(DISTINCT doc_id) AS docs, min(doc_id) AS first_doc FROM long GROUP BY ALL),
+cells AS (SELECT leaf, toks, docs, first_doc, unnest(range(len(toks))) AS place, unnest(toks) AS tok FROM per),
+often AS (SELECT leaf, place, tok FROM cells GROUP BY ALL HAVING sum(docs) >= 5),
+made AS (
+  SELECT c.leaf, c.toks, any_value(c.docs) AS docs, any_value(c.first_doc) AS first_doc, count(*) AS n,
+         sum(CASE WHEN o.tok IS NOT NULL AND c.tok <> '<*>' THEN 1 ELSE 0 END) AS fixed,
+         list(CASE WHEN o.tok IS NOT NULL THEN c.tok ELSE '<*>' END ORDER BY c.place) AS template
+  FROM cells c LEFT JOIN often o USING (leaf, place, tok) GROUP BY c.leaf, c.toks),
+templates AS (SELECT leaf, template, min(first_doc) AS first_doc FROM made WHERE fixed >= 4 AND fixed >= 0.8 * n GROUP BY ALL HAVING sum(docs) >= 5),
+drops AS (
+  SELECT leaf, toks, min(first_doc) AS first_doc FROM (
+    SELECT leaf, toks, first_doc FROM per WHERE docs >= 5
+    UNION ALL
+    SELECT m.leaf, m.toks, t.first_doc FROM made m JOIN templates t USING (leaf, template) WHERE fixed >= 4 AND fixed >= 0.8 * n)
+  GROUP BY ALL),
+gone AS (SELECT DISTINCT l.doc_id, l.text, l.line_no FROM long l JOIN drops d USING (leaf, toks) WHERE l.doc_id > d.first_doc),
+kept AS (
+  SELECT l.doc_id, l.text, count(*) AS n_lines, count(g.line_no) AS n_dropped, coalesce(string_agg(CASE WHEN g.line_no IS NULL THEN l.line END, chr(10) ORDER BY l.line_no), '') AS left_text
+  FROM lines l LEFT JOIN gone g USING (doc_id, text, line_no) GROUP BY l.doc_id, l.text)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN 0 ELSE coalesce(k.n_lines, len(string_split(d.text, chr(10)))) END::BIGINT AS n_lines, coalesce(k.n_dropped, 0)::BIGINT AS n_dropped,
+       sha256(coalesce(k.left_text, d.text)) AS kept_sha256
+FROM documents d LEFT JOIN kept k USING (doc_id, text)
+""",
     "op10_url_rules": r"""
 WITH parts AS (
   SELECT page_id,
