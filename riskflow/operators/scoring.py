@@ -27,7 +27,6 @@ from riskflow.constants import (
     PROMPT_FOOTER,
     PROMPT_SIGNATURES_HEADER,
     PROMPT_TRANSACTION_HEADER,
-    RISK_LEVELS,
     SUMMARY_AMOUNT_PREFIX,
     SUMMARY_FALLBACK,
     SUMMARY_IP,
@@ -174,7 +173,7 @@ _REPLY_JSON = StructType(
         StructField("risk_score", StringType()),
         StructField("risk_level", StringType()),
         StructField("reason", StringType()),
-        StructField("matched_signatures", ArrayType(StringType())),
+        StructField("matched_signatures", StringType()),  # JSON text: its type does not matter to the rest
         StructField("_corrupt", StringType()),
     ]
 )
@@ -189,17 +188,19 @@ def _strip(text: Column) -> Column:
 
 def strip_fence(reply: Column) -> Column:
     """Strip whitespace; if the reply starts with a Markdown fence keep the text after it (up to
-    the next fence) and drop a leading ``json`` tag."""
+    the next fence) and drop a ``json`` tag at its start."""
     t = _strip(reply)
-    inner = F.when(t.startswith("```"), F.split(t, "```", -1).getItem(1)).otherwise(t)
-    return F.when(inner.startswith("json"), inner.substr(F.lit(5), F.lit(1 << 30))).otherwise(inner)
+    inner = F.split(t, "```", -1).getItem(1)
+    untagged = F.when(inner.startswith("json"), inner.substr(F.lit(5), F.lit(1 << 30))).otherwise(inner)
+    return F.when(t.startswith("```"), untagged).otherwise(t)
 
 
 def parse_reply(df: DataFrame, reply_col: str = "reply") -> DataFrame:
     """Parse a JSON reply into risk_score (double), risk_level, reason, matched_signatures and
     ``parse_error`` (NULL when the reply is usable).
 
-    Unusable: no reply, a reply that is not a JSON object, or a risk_score that is not a number.
+    Unusable: no reply, a reply that is not a JSON object, or a risk_score that is null or not a number.
+    matched_signatures that are not a list are NULL and do not matter to the rest.
     An object without a risk_score scores 0 (as the source's default), and numeric strings are
     accepted. The level is not validated here (see ``quality``)."""
     text = strip_fence(F.col(reply_col))
@@ -219,13 +220,14 @@ def parse_reply(df: DataFrame, reply_col: str = "reply") -> DataFrame:
             F.concat(F.lit("unparseable reply ("), F.length(F.col(reply_col)).cast("string"), F.lit(" chars)")),
         )
         .when(raw_score.isNotNull() & score.isNull(), F.concat(F.lit("invalid risk_score: "), raw_score))
+        .when(raw_score.isNull() & F.array_contains(F.json_object_keys(text), "risk_score"), F.lit("invalid risk_score: null"))
     )
     return df.select(
         "*",
         F.coalesce(score, F.lit(0.0)).alias("risk_score"),
         parsed.getField("risk_level").alias("risk_level"),
         parsed.getField("reason").alias("reason"),
-        parsed.getField("matched_signatures").alias("matched_signatures"),
+        F.from_json(parsed.getField("matched_signatures"), ArrayType(StringType())).alias("matched_signatures"),
         error.alias("parse_error"),
     )
 
@@ -261,8 +263,7 @@ def with_action_and_fallback(parsed: DataFrame, error_prefix: str = "") -> DataF
 
 
 def prompt_text(summary, hits_json) -> Column:
-    """The user message sent with ``constants.SYSTEM_PROMPT``: the summary and the similar
-    signatures (JSON)."""
+    """The text for an external scorer: the summary and the similar signatures (JSON)."""
     return F.concat(
         F.lit(PROMPT_TRANSACTION_HEADER),
         _c(summary),
@@ -278,8 +279,8 @@ ExternalScorer = Callable[[pd.DataFrame], pd.Series]
 def score_external(activity: DataFrame, scorer: ExternalScorer, hits: DataFrame | None = None) -> DataFrame:
     """Score with an external function of a pandas batch (columns transaction_id, summary, hits,
     signatures_searched, prompt) returning one reply string per row. Runs per Arrow batch on the
-    executors via ``mapInPandas``; a batch that raises gets the error text as its replies (→
-    fallback rows). ``hits``: ``similarity.collect_hits`` output keyed by transaction_id.
+    executors via ``mapInPandas``; a row that raises gets the error text as its reply (→ a
+    fallback row); the other rows of its batch are scored. ``hits``: ``similarity.collect_hits`` output keyed by transaction_id.
     The result keeps ``transaction_query_text`` and ``signatures_searched`` as in the source."""
     q = activity.select("transaction_id", summary_text().alias("summary"))
     if hits is not None:
@@ -290,16 +291,22 @@ def score_external(activity: DataFrame, scorer: ExternalScorer, hits: DataFrame
         q = q.withColumns({"hits": F.lit(None).cast("string"), "signatures_searched": F.lit(0)})
     q = q.withColumn("prompt", prompt_text("summary", "hits"))
 
+    def ask(pdf: pd.DataFrame) -> tuple[list, list]:
+        """(replies, errors): a batch that raises is halved, down to the rows that raise alone."""
+        try:
+            return list(pd.Series(scorer(pdf), index=pdf.index).astype("object")), [None] * len(pdf)
+        except Exception as e:  # noqa: BLE001 - the error text becomes the fallback reason
+            if len(pdf) < 2:
+                return [None] * len(pdf), [str(e)] * len(pdf)
+        half = len(pdf) // 2
+        first, second = ask(pdf.iloc[:half]), ask(pdf.iloc[half:])
+        return first[0] + second[0], first[1] + second[1]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            try:
-                replies = pd.Series(scorer(pdf), index=pdf.index).astype("object")
-            except Exception as e:  # noqa: BLE001 - the error text becomes the fallback reason
-                replies = pd.Series([None] * len(pdf), index=pdf.index, dtype="object")
-                pdf = pdf.assign(error=str(e))
-            else:
-                pdf = pdf.assign(error=None)
-            yield pdf.assign(reply=replies)[["transaction_id", "summary", "signatures_searched", "reply", "error"]]
+            replies, errors = ask(pdf)
+            done = pdf.assign(reply=pd.Series(replies, index=pdf.index, dtype="object"), error=pd.Series(errors, index=pdf.index, dtype="object"))
+            yield done[["transaction_id", "summary", "signatures_searched", "reply", "error"]]
 
     replies = q.mapInPandas(
         run, "transaction_id string, summary string, signatures_searched int, reply string, error string"
@@ -309,7 +316,3 @@ def score_external(activity: DataFrame, scorer: ExternalScorer, hits: DataFrame
     ).drop("error")
     return parsed.withColumnRenamed("summary", "transaction_query_text")
 
-
-def validate_levels(df: DataFrame) -> Column:
-    """True when ``risk_level`` is one of the four known levels."""
-    return F.col("risk_level").isin(*RISK_LEVELS)

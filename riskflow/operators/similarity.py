@@ -12,8 +12,15 @@ sends more than k rows per task.
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from riskflow.constants import DEFAULT_TOP_K
 
@@ -96,6 +103,51 @@ def text_topk(
     return _top_k(scored, "query_id", [F.col("score").desc(), F.col("doc_id").asc()], k)
 
 
+def literal_text_topk(
+    queries: DataFrame,
+    corpus: DataFrame,
+    query_id: str,
+    query_text: str,
+    doc_id: str,
+    doc_text: str,
+    k: int = DEFAULT_TOP_K,
+    max_rows: int = 1000,
+) -> DataFrame:
+    """``text_topk`` against a small dimension: always its ``k`` best rows (all of fewer), scores of 0
+    included, each query row scored where it lies, without a join or a shuffle.
+
+    The dimension is read to the driver (more than ``max_rows`` rows are refused: use ``text_topk``)
+    and becomes literals. A text without a token scores 0 everywhere.
+    """
+    docs = corpus.groupBy(F.col(doc_id).alias("d")).agg(F.flatten(F.collect_list(tokens(doc_text))).alias("t")).limit(max_rows + 1).collect()
+    if len(docs) > max_rows:
+        raise ValueError(f"the dimension has more than {max_rows} rows; use text_topk")
+    terms = {r["d"]: Counter(r["t"] or []) for r in docs}
+    df = Counter(t for c in terms.values() for t in c)
+    idf = {t: math.log((len(docs) + 1.0) / (n + 1.0)) + 1.0 for t, n in df.items()}
+    unknown = math.log(len(docs) + 1.0) + 1.0
+    weights = F.create_map(*(F.lit(x) for t, w in idf.items() for x in (t, w))) if idf else F.create_map().cast("map<string,double>")
+    q = queries.select(F.col(query_id).alias("query_id"), tokens(query_text).alias("__t"))
+    tf = lambda term: F.size(F.filter("__t", lambda x: x == term)).cast("double")
+    own = F.transform(F.array_distinct("__t"), lambda t: F.struct(t.alias("t"), (F.size(F.filter("__t", lambda x: x == t)) * F.coalesce(F.try_element_at(weights, t), F.lit(unknown))).alias("w")))
+    q = q.withColumn("__w", own)
+    q = q.withColumn("__norm", F.sqrt(F.aggregate("__w", F.lit(0.0), lambda s, x: s + x.getField("w") * x.getField("w"))))
+    scores = []
+    for d, counted in terms.items():
+        norm = math.sqrt(sum((n * idf[t]) ** 2 for t, n in counted.items()))
+        dot = F.lit(0.0)
+        for t, n in sorted(counted.items()):
+            dot = dot + tf(t) * F.lit(idf[t] * n * idf[t])
+        score = F.round(F.coalesce(dot / F.nullif(F.col("__norm") * F.lit(norm), F.lit(0.0)), F.lit(0.0)), SCORE_DIGITS)
+        scores.append(F.struct((-score).alias("below"), F.lit(d).alias("doc_id")))
+    if not scores:
+        return q.select("query_id", F.lit(None).cast(corpus.schema[doc_id].dataType).alias("doc_id"), F.lit(0.0).alias("score"), F.lit(1).cast("long").alias("rank")).limit(0)
+    best = F.slice(F.sort_array(F.array(*scores)), 1, k)
+    return q.select("query_id", F.posexplode(best).alias("pos", "hit")).select(
+        "query_id", F.col("hit.doc_id").alias("doc_id"), (F.lit(0.0) - F.col("hit.below")).alias("score"), (F.col("pos") + 1).cast("long").alias("rank")
+    )
+
+
 def cosine(a, b) -> Column:
     """Cosine similarity of two numeric arrays (NULL if either norm is 0 or an input is NULL)."""
     a = F.col(a) if isinstance(a, str) else a
@@ -136,62 +188,70 @@ def vector_topk(
     doc_vec: str,
     k: int = DEFAULT_TOP_K,
     by: str | None = None,
-    max_index_rows: int = 10_000,
+    block_bytes: int = 32 << 20,
 ) -> DataFrame:
-    """Exact cosine top-k (scores rounded to 6 places, ties by ``doc_id``).
+    """Exact cosine top-k (scores rounded to 6 places, ties by ``doc_id``; a NULL or zero vector scores
+    NULL, last; so do vectors of other lengths than the query's).
 
     With ``by``, queries only meet corpus rows of the same ``by`` value (an equi-join, e.g. a
     partitioned index), and the top k per query come from a per-task group limit.
 
-    Without ``by`` the corpus is a small index (like the signature index): its row count is checked
-    first (a larger index is refused, never truncated), it is collected into one array by a scalar
-    subquery, and every query row scores the array with array functions and keeps its k best — no
-    join and no (query, index) pair rows. Columns: query_id, doc_id, score, rank.
+    Without ``by`` the whole corpus is searched. The queries are a stated set: they are sent to the
+    tasks in blocks of at most ``block_bytes``; each task scores its corpus rows against the block in
+    numpy and keeps k per query, and the k best of all tasks stay. Columns: query_id, doc_id, score, rank.
     """
     q = queries.select(F.col(query_id).alias("query_id"), F.col(query_vec).alias("__qv"), *([F.col(by)] if by else []))
     d = corpus.select(F.col(doc_id).alias("doc_id"), F.col(doc_vec).alias("__dv"), *([F.col(by)] if by else []))
+    order = [F.col("score").desc_nulls_last(), F.col("doc_id").asc()]
     if by:
         scored = q.join(d, by).select(
             "query_id", "doc_id", F.round(cosine("__qv", "__dv"), SCORE_DIGITS).alias("score")
         )
-        return _top_k(scored, "query_id", [F.col("score").desc_nulls_last(), F.col("doc_id").asc()], k)
+        return _top_k(scored, "query_id", order, k)
 
-    n = corpus.count()
-    if n > max_index_rows:
-        raise ValueError(
-            f"vector index has {n} rows (> {max_index_rows}); partition it with `by` instead of attaching it"
-        )
-    index = d.agg(F.collect_list(F.struct("doc_id", "__dv")).alias("idx")).scalar()
-    q = q.withColumn("__idx", index)  # the subquery runs once; its result is a constant per task
-    scores = F.transform(
-        F.col("__idx"),
-        lambda e: F.struct(
-            F.round(cosine(F.col("__qv"), e.getField("__dv")), SCORE_DIGITS).alias("score"),
-            e.getField("doc_id").alias("doc_id"),
-        ),
-    )
+    total = q.agg(F.coalesce(F.sum(F.coalesce(F.size("__qv"), F.lit(0)) * 8 + 64), F.lit(0))).first()[0]
+    blocks = max(1, -(-total // block_bytes))
+    schema = StructType([q.schema["query_id"], d.schema["doc_id"], StructField("score", DoubleType())])
+    found = None
+    for b in range(blocks):
+        block = q.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b).collect()
+        sent = q.sparkSession.sparkContext.broadcast([(r[0], None if r[1] is None else [float("nan") if x is None else float(x) for x in r[1]]) for r in block])
+        part = d.mapInPandas(_block_search(sent, k), schema)
+        found = part if found is None else found.unionByName(part)
+    return _top_k(found, "query_id", order, k)
 
-    def better(a, b):
-        # Best first: higher score (NULL last), then smaller doc_id.
-        sa, sb = a.getField("score"), b.getField("score")
-        return (
-            F.when(sa.isNull() & sb.isNull(), 0)
-            .when(sa.isNull(), 1)
-            .when(sb.isNull(), -1)
-            .when(sa > sb, -1)
-            .when(sa < sb, 1)
-            .when(a.getField("doc_id") < b.getField("doc_id"), -1)
-            .when(a.getField("doc_id") > b.getField("doc_id"), 1)
-            .otherwise(0)
-        )
 
-    best = F.slice(F.array_sort(scores, better), 1, k)
-    return q.select("query_id", F.posexplode(best).alias("pos", "hit")).select(
-        "query_id",
-        F.col("hit.doc_id").alias("doc_id"),
-        F.col("hit.score").alias("score"),
-        (F.col("pos") + 1).cast("long").alias("rank"),
-    )
+def _block_search(sent, k: int):
+    """Scores of a block of queries against a task's rows: the k best of each query."""
+
+    def unit(rows: list, size: int) -> np.ndarray:
+        m = np.full((len(rows), size), np.nan)
+        for i, v in enumerate(rows):
+            if v is not None and len(v) == size:
+                m[i] = v
+        norm = np.sqrt((m * m).sum(axis=1, keepdims=True))
+        return m / np.where(norm == 0, np.nan, norm)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        asked: dict[int, list] = {}
+        for i, v in sent.value:
+            asked.setdefault(-1 if v is None else len(v), []).append((i, v))
+        units = {n: unit([v for _, v in rows], max(n, 0)) for n, rows in asked.items()}
+        best: pd.DataFrame | None = None
+        for pdf in batches:
+            for a in range(0, len(pdf), 2048):
+                ids, vecs = pdf["doc_id"].to_numpy()[a : a + 2048], list(pdf["__dv"])[a : a + 2048]
+                for n, rows in asked.items():
+                    sim = np.round(units[n] @ unit(vecs, max(n, 0)).T, SCORE_DIGITS) if n > 0 else np.full((len(rows), len(ids)), np.nan)
+                    rank = np.lexsort((np.broadcast_to(ids, sim.shape), np.where(np.isnan(sim), np.inf, -sim)), axis=1)[:, :k]
+                    got = pd.DataFrame({"query_id": np.repeat([i for i, _ in rows], rank.shape[1]), "doc_id": ids[rank].ravel(), "score": np.take_along_axis(sim, rank, 1).ravel()})
+                    best = got if best is None else pd.concat([best, got], ignore_index=True)
+            if best is not None:
+                best = best.sort_values(["query_id", "score", "doc_id"], ascending=[True, False, True], na_position="last").groupby("query_id", sort=False).head(k)
+        if best is not None:
+            yield best.assign(score=best["score"].astype("object").where(best["score"].notna(), None))
+
+    return run
 
 
 def collect_hits(hits: DataFrame, query_id: str, fields: list[str]) -> DataFrame:

@@ -113,15 +113,17 @@ def q_silver_fanout(spark, sf_dir):
     return _activity(spark, sf_dir, ip_mode="all")
 
 
-@register(
-    "wire_after_ip_change_interval",
+_WIRE_INTERVAL_SQL = (
     oracle.BASE
     + f"""SELECT t.transaction_id, t.user_id, t.amount, t.transaction_time, c.new_ip, c.ip_change_time,
        round({oracle._minutes('t.transaction_time', 'c.ip_change_time')}, 2) AS minutes_since_ip_change
 FROM tx t JOIN ipc c ON t.user_id = c.user_id AND t.transaction_time >= c.ip_change_time
  AND {oracle._minutes('t.transaction_time', 'c.ip_change_time')} <= 60
-WHERE t.transaction_type = 'wire' AND t.amount >= 10000""",
+WHERE t.transaction_type = 'wire' AND t.amount >= 10000"""
 )
+
+
+@register("wire_after_ip_change_interval", _WIRE_INTERVAL_SQL)
 def q_wire_interval(spark, sf_dir):
     r = _rel(spark, sf_dir)
     wires = r["transactions"].filter(silver.high_value_wire())
@@ -362,7 +364,8 @@ def q_incremental_sync(spark, sf_dir):
 # ---- step 7: similarity ----------------------------------------------------------------------------
 
 
-def _text_topk_sql(q_sql: str, q_id: str, q_text: str, d_sql: str, d_id: str, d_text: str, k: int = 5) -> str:
+def _text_topk_sql(q_sql: str, q_id: str, q_text: str, d_sql: str, d_id: str, d_text: str, k: int = 5, every: bool = False) -> str:
+    pairs = "q_norm CROSS JOIN d_norm LEFT JOIN dots USING (q, d)" if every else "dots JOIN q_norm USING (q) JOIN d_norm USING (d)"
     return f"""
 q_src AS ({q_sql}), d_src AS ({d_sql}),
 d_tok AS (SELECT {d_id} AS d, t AS term FROM (SELECT {d_id}, unnest(regexp_split_to_array(lower({d_text}), '[^a-z0-9]+')) AS t FROM d_src) WHERE t <> ''),
@@ -376,8 +379,8 @@ q_tf AS (SELECT q, term, count(*) AS tf FROM q_tok GROUP BY q, term),
 q_w AS (SELECT q, term, tf * coalesce(idf, ln(n + 1.0) + 1.0) AS qw FROM q_tf LEFT JOIN idf USING (term), n_docs),
 q_norm AS (SELECT q, sqrt(sum(qw * qw)) AS q_norm FROM q_w GROUP BY q),
 dots AS (SELECT q, d, sum(qw * w) AS dot FROM q_w JOIN d_w USING (term) GROUP BY q, d),
-scores AS (SELECT q AS query_id, d AS doc_id, round(dot / (q_norm * d_norm), 6) AS score
-           FROM dots JOIN q_norm USING (q) JOIN d_norm USING (d)),
+scores AS (SELECT q AS query_id, d AS doc_id, round(coalesce(dot, 0) / (q_norm * d_norm), 6) AS score
+           FROM {pairs}),
 topk AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank
                         FROM scores) WHERE rank <= {k})"""
 
@@ -400,7 +403,7 @@ def q_document_topk(spark, sf_dir):
     + ", "
     + _text_topk_sql(
         f"SELECT transaction_id, {oracle.SUMMARY} AS summary FROM silver", "transaction_id", "summary",
-        oracle._signature_values(), "signature_id", "description",
+        oracle._signature_values(), "signature_id", "description", every=True,
     )
     + """, sig AS (""" + oracle._signature_values() + """)
 SELECT topk.query_id AS transaction_id, topk.doc_id AS signature_id, sig.signature_type, sig.risk_weight,
@@ -409,7 +412,7 @@ SELECT topk.query_id AS transaction_id, topk.doc_id AS signature_id, sig.signatu
 def q_signature_topk(spark, sf_dir):
     sigs = fixtures.fraud_signatures(spark)
     summaries = scoring.transaction_summary(_activity(spark, sf_dir))
-    hits = similarity.text_topk(summaries, sigs, "transaction_id", "summary", "signature_id", "description")
+    hits = similarity.literal_text_topk(summaries, sigs, "transaction_id", "summary", "signature_id", "description")
     # The signature dimension is a 6-row literal: its size is bounded by the code, so broadcast it.
     return hits.join(
         F.broadcast(sigs.select(F.col("signature_id").alias("doc_id"), "signature_type", "risk_weight")), "doc_id"
@@ -429,7 +432,7 @@ def q_signature_topk(spark, sf_dir):
     + ", "
     + _text_topk_sql(
         f"SELECT transaction_id, {oracle.SUMMARY} AS summary FROM silver", "transaction_id", "summary",
-        oracle._signature_values(), "signature_id", "description",
+        oracle._signature_values(), "signature_id", "description", every=True,
     )
     + """
 SELECT query_id AS transaction_id, CAST(count(*) AS INTEGER) AS signatures_searched,
@@ -467,6 +470,22 @@ def q_vector_topk(spark, sf_dir):
     return similarity.vector_topk(cents, emb, "label", "centroid", "vec_id", "embedding", by="label")
 
 
+@register(
+    "vector_topk_open",
+    """WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+n AS (SELECT vec_id, v, sqrt(list_dot_product(v, v)) AS norm FROM e),
+sc AS (SELECT q.vec_id AS query_id, d.vec_id AS doc_id, round(list_dot_product(q.v, d.v) / nullif(q.norm * d.norm, 0), 6) AS score
+       FROM n q, n d WHERE q.vec_id % 20 = 0)
+SELECT query_id, doc_id, score, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC NULLS LAST, doc_id) AS rank FROM sc)
+WHERE rank <= 5""",
+)
+def q_vector_open(spark, sf_dir):
+    """For each embedding whose id is divisible by 20, the 5 closest (cosine) of all stored embeddings."""
+    emb = fixtures.table(spark, sf_dir, "embeddings")
+    return similarity.vector_topk(emb.filter("vec_id % 20 = 0"), emb, "vec_id", "embedding", "vec_id", "embedding")
+
+
 # ---- step 8: quality and masking -------------------------------------------------------------------
 
 
@@ -547,18 +566,38 @@ def q_bronze_logins(spark, sf_dir):
     return ingest.read_logins(spark, path)
 
 
-# ---- step 10: streaming twins (rows-only check: stateful streaming has no SQL form) ---------------
+# ---- step 10: streaming twins (the batch twins' SQL, with zone-free times) ------------------------
+
+STREAM_DELAY = "10 minutes"
+
+
+def _is_dir(spark, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory()
 
 
-def _stream_logins(spark, sf_dir):
-    events = fixtures.table(spark, sf_dir, "events")
-    src = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    return fixtures.logins_from_events(src), fixtures.transactions_from_events(src)
+def _stream_events(spark, sf_dir):
+    """The events table as a stream: a folder of part files by its own path; of a single file, which
+    Spark does not stream, its folder with a name filter."""
+    schema, path = fixtures.table(spark, sf_dir, "events").schema, f"{sf_dir.rstrip('/')}/events.parquet"
+    reader = spark.readStream.schema(schema)
+    if _is_dir(spark, path):
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
-def _drain(spark, stream_df, name: str) -> DataFrame:
-    """Run a stream over everything available into a Parquet sink under the shared checkpoint
-    folder, then return the sink's contents."""
+def _ended(spark, logins: DataFrame) -> DataFrame:
+    """The stream with a login far in the future at its end, which moves the watermark past every
+    real one; its user has no other login, so that it gives no result."""
+    path = _roundtrip_dir(spark, "end-marker")
+    values = {"login_time": "2261-12-31 00:00:00", "user_id": "end-of-input", "login_id": "end-of-input"}
+    marker = spark.range(1).select(*(F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in logins.schema))
+    marker.write.parquet(path)
+    return logins.unionByName(spark.readStream.schema(marker.schema).parquet(path))
+
+
+def _drain(spark, stream_df, name: str) -> str:
+    """Run a stream over everything available into a Parquet sink under the shared checkpoint folder."""
     out = _roundtrip_dir(spark, f"stream-{name}")
     q = (
         stream_df.writeStream.format("parquet")
@@ -569,29 +608,32 @@ def _drain(spark, stream_df, name: str) -> DataFrame:
         .start()
     )
     q.awaitTermination()
-    return spark.read.schema(stream_df.schema).parquet(out + "/data")
+    return out + "/data"
+
+
+def _drained(spark, stream_df, name: str) -> DataFrame:
+    got = spark.read.schema(stream_df.schema).parquet(_drain(spark, stream_df, name))
+    return got.select(*(F.col(c).cast("timestamp_ntz").alias(c) if t == "timestamp" else F.col(c) for c, t in got.dtypes))
 
 
-@register("ip_change_stream")
+@register("ip_change_stream", oracle.BASE + "SELECT user_id, new_ip, ip_change_time, ip_lat, ip_lon, login_id FROM ipc")
 def q_ip_change_stream(spark, sf_dir):
-    """Streaming IP-change detection (watermark 0 s: input is complete; only logins at the very
-    last event time stay buffered, as they would until more data arrives)."""
-    logins, _ = _stream_logins(spark, sf_dir)
-    return _drain(spark, ip_change_stream(logins, watermark="0 seconds"), "ip-changes")
+    """Streaming IP-change detection over all logins."""
+    logins = _ended(spark, fixtures.logins_from_events(_stream_events(spark, sf_dir)))
+    return _drained(spark, ip_change_stream(logins, watermark=STREAM_DELAY), "ip-changes")
 
 
-@register("travel_stream")
+@register("travel_stream", oracle.BASE + "SELECT * FROM travel")
 def q_travel_stream(spark, sf_dir):
-    logins, _ = _stream_logins(spark, sf_dir)
-    return _drain(spark, travel_stream(logins, watermark="0 seconds"), "travel")
+    logins = _ended(spark, fixtures.logins_from_events(_stream_events(spark, sf_dir)))
+    return _drained(spark, travel_stream(logins, watermark=STREAM_DELAY), "travel")
 
 
-@register("wire_after_ip_change_stream")
+@register("wire_after_ip_change_stream", _WIRE_INTERVAL_SQL)
 def q_wire_stream(spark, sf_dir):
-    """Stream–stream interval join of high-value wires with IP changes (changes read from the
-    batch feature table as a stream)."""
-    changes_dir = _roundtrip_dir(spark, "ip-changes-table")
-    features.ip_changes(_rel(spark, sf_dir)["logins"]).write.parquet(changes_dir)
-    changes = spark.readStream.schema(spark.read.parquet(changes_dir).schema).parquet(changes_dir)
-    _, txns = _stream_logins(spark, sf_dir)
-    return _drain(spark, wire_after_ip_change_stream(txns, changes, watermark="90 days"), "wire-rule")
+    """Stream–stream interval join of high-value wires with the IP changes that the first stream wrote."""
+    events = _stream_events(spark, sf_dir)
+    found = ip_change_stream(_ended(spark, fixtures.logins_from_events(events)), watermark=STREAM_DELAY)
+    changes = spark.readStream.schema(found.schema).parquet(_drain(spark, found, "ip-changes"))
+    wires = fixtures.transactions_from_events(events)
+    return _drained(spark, wire_after_ip_change_stream(wires, changes, watermark=STREAM_DELAY), "wire-rule")

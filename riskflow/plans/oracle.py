@@ -26,12 +26,12 @@ SELECT 'LOGIN-' || lpad(CAST(event_id AS VARCHAR), 8, '0') AS login_id,
        '10.0.0.' || CAST({_K} % 8 AS VARCHAR) AS ip_address,
        ts AS login_time,
        event_type = 'signup' AS mfa_changed,
-       CASE event_id % 5 WHEN 0 THEN 40.71e0 WHEN 1 THEN 22.28e0 WHEN 2 THEN 51.51e0
-            WHEN 3 THEN 34.05e0 ELSE 41.88e0 END AS latitude,
-       CASE event_id % 5 WHEN 0 THEN -74.01e0 WHEN 1 THEN 114.16e0 WHEN 2 THEN -0.13e0
-            WHEN 3 THEN -118.24e0 ELSE -87.63e0 END AS longitude,
-       CASE event_id % 5 WHEN 0 THEN 'New York' WHEN 1 THEN 'Hong Kong' WHEN 2 THEN 'London'
-            WHEN 3 THEN 'LA' ELSE 'Chicago' END AS city,
+       CASE event_id % 5 WHEN 0 THEN 38.72e0 WHEN 1 THEN -1.29e0 WHEN 2 THEN 43.65e0
+            WHEN 3 THEN 34.69e0 ELSE -12.05e0 END AS latitude,
+       CASE event_id % 5 WHEN 0 THEN -9.14e0 WHEN 1 THEN 36.82e0 WHEN 2 THEN -79.38e0
+            WHEN 3 THEN 135.5e0 ELSE -77.04e0 END AS longitude,
+       CASE event_id % 5 WHEN 0 THEN 'Lisbon' WHEN 1 THEN 'Nairobi' WHEN 2 THEN 'Toronto'
+            WHEN 3 THEN 'Osaka' ELSE 'Lima' END AS city,
        'device-' || lpad(CAST({_K} % 20 AS VARCHAR), 3, '0') AS device_id
 FROM events WHERE event_type <> 'purchase'
 """

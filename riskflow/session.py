@@ -8,6 +8,7 @@ AQE with skew-join splitting) and resolve the cluster's checkpoint folder.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -66,6 +67,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if sc is None or not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="riskflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if sc is not None:

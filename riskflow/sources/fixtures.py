@@ -67,9 +67,9 @@ def logins_from_events(events: DataFrame) -> DataFrame:
         F.concat(F.lit("10.0.0."), (k % 8).cast("string")).alias("ip_address"),
         F.col("ts").alias("login_time"),
         (F.col("event_type") == "signup").alias("mfa_changed"),
-        _by_event_mod5([40.71, 22.28, 51.51, 34.05, 41.88]).cast("double").alias("latitude"),
-        _by_event_mod5([-74.01, 114.16, -0.13, -118.24, -87.63]).cast("double").alias("longitude"),
-        _by_event_mod5(["New York", "Hong Kong", "London", "LA", "Chicago"]).alias("city"),
+        _by_event_mod5([38.72, -1.29, 43.65, 34.69, -12.05]).cast("double").alias("latitude"),
+        _by_event_mod5([-9.14, 36.82, -79.38, 135.5, -77.04]).cast("double").alias("longitude"),
+        _by_event_mod5(["Lisbon", "Nairobi", "Toronto", "Osaka", "Lima"]).alias("city"),
         _padded("device-", k % 20, 3).alias("device_id"),
     )
 

@@ -114,8 +114,8 @@ def _arrays(frames: list[pd.DataFrame]) -> dict:
     }
 
 
-def _processor(emit: Emit, expire_ms: int):
-    expire_us = expire_ms * 1000
+def _processor(emit: Emit, expire_ms: int | None):
+    expire_us = None if expire_ms is None else expire_ms * 1000
 
     def fn(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         user = key[0]
@@ -164,10 +164,11 @@ def _processor(emit: Emit, expire_ms: int):
                 r["has_prev"][0] = prev is not None
                 # A login more than ``expire_after`` after the previous one starts a new sequence,
                 # however the rows were split into micro-batches.
-                r["has_prev"] &= (r["login_us"] - r["prev_login_us"]) <= expire_us
+                if expire_us is not None:
+                    r["has_prev"] &= (r["login_us"] - r["prev_login_us"]) <= expire_us
                 out = emit(user, r)
                 prev = {c: r[c][-1] for c in _PREV}
-        if pending is None and (prev is None or prev["login_us"] + expire_us <= wm_us):
+        if pending is None and (prev is None or expire_us is not None and prev["login_us"] + expire_us <= wm_us):
             state.remove()
         else:
             p = prev or {}
@@ -193,10 +194,13 @@ def _processor(emit: Emit, expire_ms: int):
                     *buffered,
                 )
             )
-            nxt_us = int(pending["login_us"][0]) if pending is not None else int(prev["login_us"]) + expire_us
+            nxt_us = int(pending["login_us"][0]) if pending is not None else None
+            if nxt_us is None and expire_us is not None:
+                nxt_us = int(prev["login_us"]) + expire_us
             # A row is ready once the watermark reaches it; Spark fires a timeout only when the
             # watermark passes it, hence one millisecond earlier.
-            state.setTimeoutTimestamp(max(-(-nxt_us // 1000) - 1, wm_us // 1000))
+            if nxt_us is not None:
+                state.setTimeoutTimestamp(max(-(-nxt_us // 1000) - 1, wm_us // 1000))
         if out is not None and len(out):
             yield out
 
@@ -217,16 +221,15 @@ def _prepared(logins: DataFrame, watermark: str) -> DataFrame:
     )
 
 
-def ip_change_stream(logins: DataFrame, watermark: str = "10 minutes", expire_after: str = "365 days") -> DataFrame:
-    """Streaming twin of ``operators.features.ip_changes`` (append mode). A login more than
-    ``expire_after`` after the user's previous one has no predecessor (the batch form has no
-    limit); state is one row per user active within that time, plus the rows awaiting the
-    watermark."""
+def ip_change_stream(logins: DataFrame, watermark: str = "10 minutes", expire_after: str | None = None) -> DataFrame:
+    """Streaming twin of ``operators.features.ip_changes`` (append mode). State is the last login of
+    each user, plus the rows awaiting the watermark. With ``expire_after`` a user's state goes after
+    that time, and a later login has no predecessor (the batch form has no limit)."""
     return (
         _prepared(logins, watermark)
         .groupBy("user_id")
         .applyInPandasWithState(
-            _processor(_ip_change, _ms(expire_after)), IP_CHANGE_SCHEMA, STATE_SCHEMA, "append",
+            _processor(_ip_change, None if expire_after is None else _ms(expire_after)), IP_CHANGE_SCHEMA, STATE_SCHEMA, "append",
             GroupStateTimeout.EventTimeTimeout,
         )
     )

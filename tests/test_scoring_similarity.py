@@ -120,24 +120,26 @@ def test_text_topk_matches_brute_force(spark):
     assert got == _brute_text_topk(queries, docs, 3)
 
 
-def test_vector_topk_matches_numpy_and_guards_index_size(spark):
+def test_vector_topk_matches_numpy_in_any_blocks(spark):
     rng = np.random.default_rng(0)
     corpus = [(i, rng.normal(size=8).astype(float).tolist(), i % 2) for i in range(40)]
     queries = [(100 + j, rng.normal(size=8).astype(float).tolist(), j % 2) for j in range(5)]
     c_df = spark.createDataFrame(corpus, "id long, v array<double>, g int")
     q_df = spark.createDataFrame(queries, "qid long, qv array<double>, g int")
-    got = similarity.vector_topk(q_df, c_df, "qid", "qv", "id", "v", k=4)
-    got = {(r["query_id"], r["doc_id"], r["rank"]) for r in got.collect()}
     want = set()
     for qid, qv, _ in queries:
         s = [(round(float(np.dot(qv, v) / (np.linalg.norm(qv) * np.linalg.norm(v))), 6), i) for i, v, _ in corpus]
         s.sort(key=lambda x: (-x[0], x[1]))
         want |= {(qid, i, r + 1) for r, (_, i) in enumerate(s[:4])}
-    assert got == want
+    for size in (32 << 20, 100):
+        got = similarity.vector_topk(q_df, c_df.repartition(5), "qid", "qv", "id", "v", k=4, block_bytes=size)
+        assert {(r["query_id"], r["doc_id"], r["rank"]) for r in got.collect()} == want
+    odd = spark.createDataFrame([(1, None, 0), (2, [0.0] * 8, 0), (3, [1.0], 0), (4, [1.0] + [0.0] * 7, 0)], c_df.schema)
+    r = similarity.vector_topk(odd.select(F.col("id").alias("qid"), F.col("v").alias("qv")), odd, "qid", "qv", "id", "v", k=3).collect()
+    assert sorted((x["query_id"], x["rank"], x["doc_id"], x["score"]) for x in r if x["query_id"] in (1, 4)) == [(1, 1, 1, None), (1, 2, 2, None), (1, 3, 3, None), (4, 1, 4, 1.0), (4, 2, 1, None), (4, 3, 2, None)]
+    assert similarity.vector_topk(q_df, c_df.limit(0), "qid", "qv", "id", "v").count() == 0
     by_group = similarity.vector_topk(q_df, c_df, "qid", "qv", "id", "v", k=4, by="g").collect()
     assert all((r["doc_id"] % 2) == ((r["query_id"] - 100) % 2) for r in by_group)
-    with pytest.raises(ValueError, match="vector index has"):
-        similarity.vector_topk(q_df, c_df, "qid", "qv", "id", "v", max_index_rows=10)
 
 
 def test_centroids(spark):
@@ -179,3 +181,44 @@ def test_strict_reply_parsing_and_mixed_length_centroids(spark):
     assert (out["d"]["risk_score"], out["d"]["automated_action"]) == (91.0, "BLOCK")
     mixed = spark.createDataFrame([(0, [1.0, 2.0]), (0, [3.0])], "g int, v array<double>")
     assert similarity.centroids(mixed, "g", "v").collect()[0]["centroid"] is None
+
+
+def test_literal_topk_always_gives_k_hits(spark):
+    docs = [(1, "wire transfer of high value"), (2, "wire wire"), (3, ""), (4, None), (5, "login from a new place")]
+    queries = [(10, "a high value wire"), (11, "nothing here"), (12, ""), (13, None)]
+    d = spark.createDataFrame(docs, "d long, t string")
+    q = spark.createDataFrame(queries, "q long, s string")
+    got = similarity.literal_text_topk(q, d, "q", "s", "d", "t", k=3)
+    rows = {(r["query_id"], r["rank"]): (r["doc_id"], r["score"]) for r in got.collect()}
+    assert len(rows) == 12 and [rows[11, k] for k in (1, 2, 3)] == [(1, 0.0), (2, 0.0), (3, 0.0)] == [rows[13, k] for k in (1, 2, 3)]
+    general = {(r["query_id"], r["doc_id"]): r["score"] for r in similarity.text_topk(q, d.filter("t is not null"), "q", "s", "d", "t", k=9).collect()}
+    exact = {(r["query_id"], r["doc_id"]): r["score"] for r in similarity.literal_text_topk(q, d.filter("t is not null"), "q", "s", "d", "t", k=9).collect() if r["score"]}
+    assert exact == general
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange") == 0
+
+
+def test_reply_tags_null_scores_and_signature_types(spark):
+    replies = ['json{"risk_score": 90}', '```json\n{"risk_score": 90}\n```', '{"risk_score": 50, "matched_signatures": "one"}', '{"risk_score": null}', '{"risk_score": 5, "matched_signatures": ["a", "b"]}', '{"risk_level": "LOW"}']
+    df = spark.createDataFrame(list(enumerate(replies)), "i int, reply string")
+    got = {r["i"]: r for r in scoring.parse_reply(df).collect()}
+    assert got[0]["parse_error"].startswith("unparseable") and got[1]["risk_score"] == 90 and got[1]["parse_error"] is None
+    assert got[2]["risk_score"] == 50 and got[2]["parse_error"] is None and got[2]["matched_signatures"] is None
+    assert got[3]["parse_error"] == "invalid risk_score: null"
+    assert got[4]["matched_signatures"] == ["a", "b"] and got[5]["risk_score"] == 0 and got[5]["parse_error"] is None
+
+
+def test_one_failing_row_gives_one_fallback(spark):
+    from riskflow.plans import silver
+    from riskflow.sources import fixtures
+
+    rel = fixtures.load(spark, "/root/testdata/sf0.001")
+    activity = silver.user_activity(rel["transactions"], rel["logins"]).orderBy("transaction_id").limit(100)
+    bad = activity.agg({"transaction_id": "max"}).first()[0]
+
+    def scorer(pdf):
+        if (pdf["transaction_id"] == bad).any():
+            raise RuntimeError("no answer")
+        return pdf["transaction_id"].map(lambda _: '{"risk_score": 7}')
+
+    got = scoring.score_external(activity.coalesce(1), scorer).collect()
+    assert len(got) == 100 and [r["transaction_id"] for r in got if r["parse_error"]] == [bad]
