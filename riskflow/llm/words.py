@@ -31,25 +31,33 @@ def _pow(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, row, start byte, end byte) of each word; ``offsets`` has n + 1 row borders in ``data``."""
-    n = len(data)
-    if not n:
-        z = np.zeros(0, np.int64)
-        return np.zeros(0, np.uint64), z, z, z
-    inside = _WORD[data]
+def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) of each maximal run of ``inside`` bytes within a row; ``offsets`` are the row borders."""
+    n = len(inside)
     border = np.zeros(n + 1, bool)
     border[offsets] = True
     first = inside.copy()
     first[1:] &= ~inside[:-1] | border[1:n]
     last = inside.copy()
     last[:-1] &= ~inside[1:] | border[1:n]
-    start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-    up, down = _pow(n + 1)
-    acc = np.zeros(n + 1, np.uint64)
-    np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * up[:n], out=acc[1:])
-    h = mixed((acc[end] - acc[start]) * down[start])
-    return h, np.searchsorted(offsets, start, side="right") - 1, start, end
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each byte run."""
+    up, down = _pow(len(data) + 1)
+    acc = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=acc[1:])
+    return mixed((acc[end] - acc[start]) * down[start])
+
+
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, row, start byte, end byte) of each word; ``offsets`` has n + 1 row borders in ``data``."""
+    if not len(data):
+        z = np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), z, z, z
+    start, end = spans(_WORD[data], offsets)
+    return hashes(_LOWER[data], start, end), np.searchsorted(offsets, start, side="right") - 1, start, end
 
 
 def shingles(h: np.ndarray, row: np.ndarray, n_rows: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -52,7 +52,10 @@ def test_encode_rows(spark, docs):
 def test_chunked_tokens_equal_the_library():
     lib, own = Tokenizer.from_file(WORD), tf.Tokens(WORD)
     texts = ODD + _random_texts(800, 3)
-    ids, size = own.encode(texts)
+    texts = texts + texts[::-1]
+    raw = [t.encode() for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    ids, size = own.encode(np.frombuffer(b"".join(raw), np.uint8), offsets)
     ends = np.cumsum(size)
     got = [ids[e - n : e].tolist() for e, n in zip(ends, size, strict=True)]
     assert got == [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
