@@ -26,7 +26,7 @@ from riskflow.llm.common import column, doc_text, runs, text_bytes
 MIN_MATCH = 5
 COVERAGE = 0.5
 BLOCK_BYTES = 8 << 20
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 _TABLE_LOG2 = 20
 
 

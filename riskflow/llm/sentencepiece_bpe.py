@@ -26,7 +26,7 @@ SPACE = "▁"
 #: Words of more symbols go through a heap each, as a round merges one pair of a word.
 LONG_WORD = 400
 #: Encoded words that a task keeps for its next batches; beyond it, it starts anew.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 
 codecs.register_error("each_byte", lambda e: ("�" * (e.end - e.start), e.end))
 
