@@ -9,7 +9,8 @@ drawn in rounds, only while they can still fall below the largest register of th
 
 Equal texts collapse to one row first. Signatures are banded; in a band's bucket a maximum spanning
 forest over the estimated similarities proposes links, which are verified by the exact multiset
-overlap; then all pairs of a bucket whose documents are still apart are proposed, in blocks.
+overlap; then all pairs of a bucket whose documents are still apart are verified where they meet, in
+blocks, each in the first band that it shares, and only links that join two components leave a block.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,8 +37,8 @@ SIMILARITY = 0.8
 ESTIMATE = 0.71
 #: Bytes of text whose shingles are worked on at once.
 CHUNK = 1 << 19
-#: Rows of a bucket that are compared with each other in one block.
-BLOCK = 1024
+#: Rows of a bucket, and about so many bytes of multisets, that are compared with each other in one block.
+BLOCK, BLOCK_BYTES = 1024, 32 << 20
 
 
 def multiset(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -134,12 +135,36 @@ def forest(low: np.ndarray) -> list[tuple[int, int]]:
     return links
 
 
-def across(low: np.ndarray, root: np.ndarray, asks: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs of an asking row with any base row of another component, of estimates of at least ESTIMATE."""
+def across(g: pd.DataFrame, least: float) -> list[tuple[int, int]]:
+    """Verified links between rows of different components: of an asking row (``ask``) with a base row.
+
+    A pair is verified in the first band that it shares, once if both rows ask, and not if the links
+    found so far in the block join its components or if the sizes alone rule it out."""
+    ids, root, asking = g["id"].to_numpy(), g["root"].to_numpy(), g["asks"].to_numpy(bool)
+    ask, size, key = g["ask"].to_numpy(bool), g["n_shingles"].to_numpy(), g["key"].iloc[0]
+    low = np.frombuffer(b"".join(g["low"]), np.uint8).reshape(len(g), -1)
+    keys = np.stack(g["keys"].to_list())
+    bag = g["bag"].to_list()
+    joined: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while joined.setdefault(x, x) != x:
+            joined[x] = joined[joined[x]]
+            x = joined[x]
+        return x
+
     links = []
-    for i in np.flatnonzero(asks):
-        near = np.flatnonzero((root != root[i]) & ~asks & (_agree(low[i], low) >= ESTIMATE))
-        links += [(int(i), int(j)) for j in near]
+    for i in np.flatnonzero(ask):
+        agree = _agree(low[i], low)
+        fit = np.minimum(size, size[i]) >= least * np.maximum(size, size[i]) - 1e-9
+        near = np.flatnonzero(~ask & (root != root[i]) & (agree >= ESTIMATE) & fit & ~(asking & (ids < ids[i])))
+        near = near[keys[near, (keys[near] == keys[i]).argmax(axis=1)] == key]
+        own = _unpack(bag[i])
+        for j in near[np.argsort(-agree[near], kind="stable")].tolist():
+            x, y = find(int(root[i])), find(int(root[j]))
+            if x != y and overlap(*own, *_unpack(bag[j])) >= least:
+                joined[x] = y
+                links.append((int(ids[i]), int(ids[j])))
     return links
 
 
@@ -193,28 +218,30 @@ def first_pairs(rows: DataFrame) -> DataFrame:
     return _ordered(_in_blocks(dealt, ["key", "block"]).mapInArrow(run, "a long, b long"))
 
 
-def later_pairs(rows: DataFrame) -> DataFrame:
-    """All pairs of a bucket whose rows are in different components; ``rows`` has key, id, low, root.
-    Rows outside their bucket's largest component ask; they are compared with all rows of the bucket,
-    in blocks of asking rows against blocks of all rows."""
-    per = rows.groupBy("key", "root").agg(F.count("*").alias("n"))
-    size = per.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).filter("roots > 1")
-    got = rows.join(size.select("key", "n", F.col("main.root").alias("main"), (F.col("n") - F.col("main.n")).alias("n_ask")), "key")
-    got = got.withColumn("asks", F.col("root") != F.col("main")).withColumn("nb", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("na", F.ceil(F.col("n_ask") / BLOCK).cast("int"))
+def later_links(rows: DataFrame, packed: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """Verified links of all pairs of a bucket whose rows are in different components, but for those that
+    other links of their block join already; ``rows`` has key, id, low, keys, n_shingles, root. Rows
+    outside their bucket's largest component ask; they are compared with all rows of the bucket, in
+    blocks of asking rows against blocks of all rows."""
+    per = rows.groupBy("key", "root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("w"))
+    size = per.groupBy("key").agg(F.sum("n").alias("n"), F.sum("w").alias("w"), F.max(F.struct("n", "root", "w")).alias("m"), F.count("*").alias("roots")).filter("roots > 1")
+
+    def blocks(n: Column, w: Column) -> Column:
+        return F.greatest(F.ceil(n / BLOCK), F.ceil(w * 8 / BLOCK_BYTES)).cast("int")
+
+    size = size.select("key", F.col("m.root").alias("main"), blocks(F.col("n"), F.col("w")).alias("nb"), blocks(F.col("n") - F.col("m.n"), F.col("w") - F.col("m.w")).alias("na"))
+    got = rows.join(size, "key").join(packed, "id").withColumn("asks", F.col("root") != F.col("main"))
     own_b, own_a = F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"), F.pmod(F.xxhash64("id", F.lit(1)), F.col("na")).cast("int")
-    as_base = got.select("key", own_b.alias("bb"), F.explode(F.sequence(F.lit(0), F.col("na") - 1)).alias("ab"), "id", "low", "root", F.lit(False).alias("asks"))
-    as_ask = got.filter("asks").select("key", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("bb"), own_a.alias("ab"), "id", "low", "root", "asks")
+    # Each row as a base row in every block of asking rows, an asking row also in every block of base rows.
+    base = F.transform(F.sequence(F.lit(0), F.col("na") - 1), lambda x: F.struct(own_b.alias("bb"), x.alias("ab"), F.lit(False).alias("ask")))
+    ask = F.transform(F.sequence(F.lit(0), F.col("nb") - 1), lambda x: F.struct(x.alias("bb"), own_a.alias("ab"), F.lit(True).alias("ask")))
+    dealt = got.withColumn("at", F.explode(F.when(F.col("asks"), F.concat(base, ask)).otherwise(base)))
+    dealt = dealt.select("key", "at.bb", "at.ab", "at.ask", "id", "low", "keys", "n_shingles", "root", "asks", "bag")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def links() -> Iterator[list[tuple[int, int]]]:
-            for g in _grouped(batches, ["key", "bb", "ab"]):
-                ids, root, asks = g["id"].to_numpy(), g["root"].to_numpy(), g["asks"].to_numpy(bool)
-                low = np.frombuffer(b"".join(g["low"]), np.uint8).reshape(len(g), -1)
-                yield [(int(ids[i]), int(ids[j])) for i, j in across(low, root, asks)]
-
-        yield from _pairs(links())
+        yield from _pairs(across(g, least) for g in _grouped(batches, ["key", "bb", "ab"]) if len(g) > 1)
 
-    return _ordered(_in_blocks(as_base.unionByName(as_ask), ["key", "bb", "ab"]).mapInArrow(run, "a long, b long"))
+    return _ordered(_in_blocks(dealt, ["key", "bb", "ab"]).mapInArrow(run, "a long, b long"))
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -287,17 +314,16 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
     whole = reps.filter("n_shingles > 0")
     keyed = whole.select("id", F.explode("keys").alias("key"))
     crowded = keyed.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
-    rows = stage(keyed.join(crowded, "key").join(whole.select("id", "low"), "id"), "buckets")
+    rows = stage(keyed.join(crowded, "key").join(whole.select("id", "low", "keys", "n_shingles"), "id"), "buckets")
     wanted = rows.select("id").distinct().join(reps.select("id", "rep", "same"), "id")
     packed = stage(bags(src, wanted), "bags")
     first = stage(first_pairs(rows), "pairs")
     links = stage(verify(first, packed, least), "verified")
     roots = components(links.select("a", "b"))
     named = rows.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    second = stage(later_pairs(named).join(first, ["a", "b"], "left_anti"), "pairs")
-    if not second.isEmpty():
-        links = stage(links.unionByName(verify(second, packed, least)), "verified")
-        roots = components(links.select("a", "b"))
+    later = stage(later_links(named, packed, least), "later")
+    if not later.isEmpty():
+        roots = components(links.select("a", "b").unionByName(later))
     member = reps.select("id", "same", "rep").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     least_id = member.groupBy("root").agg(F.min("rep").alias("class_id"))
     named = member.join(least_id, "root").select("same", "class_id")

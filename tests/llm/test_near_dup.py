@@ -79,6 +79,38 @@ def test_a_large_bucket_in_blocks(spark, docs, monkeypatch):
     assert sorted(map(tuple, nd.classes(docs(rows)).collect())) == _classes(rows)
 
 
+def _block(n=60):
+    """A bucket's rows that all stand alone, as both base and asking rows but for the first."""
+    rnd = random.Random(8)
+    base = [f"w{rnd.randrange(300)}" for _ in range(100)]
+    texts = [" ".join(f"n{rnd.randrange(99)}" if rnd.random() < 0.03 else w for w in base) for _ in range(n)]
+    sets = [nd.multiset(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())])) for t in texts]
+    low = [(nd.signatures(r, s, c, 1)[0] >> np.uint64(24)).astype(np.uint8).tobytes() for r, s, c in sets]
+    bag = [(s & ~np.uint64(0xFFFF) | c.astype(np.uint64)).tobytes() for _, s, c in sets]
+    rows = [{"key": 5, "id": i, "root": i, "asks": i > 0, "ask": ask, "n_shingles": int(sets[i][2].sum()), "low": low[i], "keys": np.array([9, 5]) if i % 2 else np.array([3, 5]), "bag": bag[i]} for i in range(n) for ask in ([False, True] if i else [False])]
+    near = {(i, j) for i in range(n) for j in range(i) if nd.overlap(*sets[i][1:], *sets[j][1:]) >= 0.8}
+    return nd.pd.DataFrame(rows), near
+
+
+def test_links_between_components_are_whole_and_few():
+    frame, near = _block()
+    got = [(max(p), min(p)) for p in nd.across(frame, 0.8)]
+    # Rows of equal parity share the band with key 9 or 3 first: their pairs belong to that bucket.
+    due = {(i, j) for i, j in near if (i - j) % 2}
+    assert due and set(got) <= due
+
+    def groups(links):
+        root = list(range(60))
+        for _ in range(60):
+            for a, b in links:
+                root[a] = root[b] = min(root[a], root[b])
+        return root
+
+    assert groups(got) == groups(due) and len(got) < 60
+    assert len(set(groups(due))) > 1
+    assert nd.across(frame.assign(root=0), 0.8) == []
+
+
 @pytest.mark.parametrize("weights", [(1, 1), (3, 2), (40, 33), (1000, 1)])
 def test_signatures_estimate_the_weighted_similarity(weights):
     rng = np.random.default_rng(5)
