@@ -86,13 +86,14 @@ def score_and_store(spark: SparkSession, names: Names, as_of, bucket_count: int
     tables.publish(spark, new_state, names.operational, bucket_by=bucket)
 
 
-def apply_review_decisions(spark: SparkSession, names: Names, decisions: DataFrame, as_of) -> None:
+def apply_review_decisions(spark: SparkSession, names: Names, decisions: DataFrame, as_of, bucket_count: int | None = None) -> None:
     """Apply analyst decisions to the operational state, then copy the review fields to gold so
     the false-positive view sees them (the source pipeline never copies them back)."""
     reviewed = triage.apply_reviews(tables.read_state(spark, names.operational), decisions, as_of)
-    tables.publish(spark, reviewed, names.operational)
+    bucket = (bucket_count, [triage.KEY]) if bucket_count else None
+    tables.publish(spark, reviewed, names.operational, bucket_by=bucket)
     synced = triage.sync_reviews(tables.read_state(spark, names.gold), spark.table(names.operational))
-    tables.publish(spark, synced, names.gold)
+    tables.publish(spark, synced, names.gold, bucket_by=bucket)
 
 
 def create_kpi_views(spark: SparkSession, names: Names) -> None:
@@ -131,6 +132,6 @@ def run_pipeline(
     build_silver(spark, transactions, logins, names)
     score_and_store(spark, names, as_of, bucket_count)
     if decisions is not None:
-        apply_review_decisions(spark, names, decisions, as_of)
+        apply_review_decisions(spark, names, decisions, as_of, bucket_count)
     create_kpi_views(spark, names)
     return names
