@@ -16,7 +16,7 @@ from riskflow.session import scratch_path, ship_package
 
 # Arrow batches sent to Python workers hold at most this many bytes, so that a run of very long
 # texts cannot fill a worker's memory (the row bound alone would allow 10,000 long texts at once).
-ARROW_BATCH_BYTES = 16 << 20
+ARROW_BATCH_BYTES = 4 << 20
 
 
 def prepare(spark: SparkSession) -> None:

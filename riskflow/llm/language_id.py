@@ -180,7 +180,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
         for b in batches:
             col = column(b, "__text")
             offsets, data = text_bytes(col)
-            known = np.array([x is not None and _LETTER.search(x) is not None for x in col.to_pylist()], bool)
+            known = np.array([x.is_valid and _LETTER.search(x.as_py()) is not None for x in col], bool)
             lang, score = np.full(len(col), UNDETERMINED, object), np.zeros(len(col))
             if model is not None:
                 for i, j in runs(offsets, 1 << 18):

@@ -20,13 +20,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import column, gather
+from riskflow.llm.common import column, gather, runs, text_bytes
 
 SPACE = "▁"
 #: Words of more symbols go through a heap each, as a round merges one pair of a word.
 LONG_WORD = 400
 #: Encoded words that a task keeps for its next batches; beyond it, it starts anew.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
+#: Bytes of text that are encoded and decoded at once.
+CHUNK = 1 << 18
 
 codecs.register_error("each_byte", lambda e: ("�" * (e.end - e.start), e.end))
 
@@ -255,9 +257,9 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
         c = codec(model_path)
         names = ["doc_id", *keep, "n_tokens", "ids", "decoded"]
         for b in batches:
-            texts = [t or "" for t in column(b, "text").to_pylist()]
-            for i in range(0, len(texts), 512):
-                part = texts[i : i + 512]
+            texts = column(b, "text")
+            for i, j in runs(text_bytes(texts)[0], CHUNK):
+                part = [t or "" for t in texts.slice(i, j - i).to_pylist()]
                 ids, offsets = c.encode(part)
                 data = ids.astype("<u4").tobytes()
                 back = c.decode(ids, offsets) if decode else [None] * len(part)
