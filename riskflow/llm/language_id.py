@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,15 +90,17 @@ class Model:
 
 def sample(labelled: DataFrame) -> list[tuple[str, list[tuple[np.ndarray, np.ndarray]], int]]:
     """(lang, n-gram counts of the whole text and of short windows of it, fold) of a bounded sample,
-    picked by a hash of the text, so that it does not depend on the order or the layout of the rows."""
+    picked by a hash of the text, so that it does not depend on the order or the layout of the rows.
+    Copies of a text count once, and each language has the same number of texts, or all that it has."""
     rows = labelled.filter("lang is not null and length(text) > 0").select("lang", "text", F.xxhash64("text").alias("pick"))
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(SAMPLE_MAX // 2).collect()
+    sizes = rows.groupBy("lang").agg(F.countDistinct("pick").alias("count")).orderBy(F.desc("count"), "lang").limit(SAMPLE_MAX // 2).collect()
     if not sizes:
         return []
     each = min(SAMPLE_PER_LANG, SAMPLE_MAX // len(sizes))
     keep = F.lit(False)
     for r in sizes:
-        share = min(1.0, 1.2 * each / r["count"])
+        # Eight standard deviations more than wanted, so that the cut below finds enough.
+        share = min(1.0, (each + 8 * each**0.5 + 32) / r["count"])
         keep = keep | ((F.col("lang") == r["lang"]) & (F.col("pick") <= F.lit(min(2**63 - 1, int(share * 2**64) - 2**63))))
 
     def featurise(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,8 +115,10 @@ def sample(labelled: DataFrame) -> list[tuple[str, list[tuple[np.ndarray, np.nda
                     ["lang", "pick", "grams", "counts"],
                 )
 
-    made = rows.filter(keep).mapInArrow(featurise, "lang string, pick long, grams array<binary>, counts array<binary>")
-    got = made.orderBy("pick", "lang").limit(SAMPLE_MAX).collect()
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("pick"))
+    picked = rows.filter(keep).dropDuplicates(["lang", "pick"]).withColumn("nth", nth).filter(F.col("nth") <= each).drop("nth")
+    made = picked.mapInArrow(featurise, "lang string, pick long, grams array<binary>, counts array<binary>")
+    got = made.orderBy("pick", "lang").collect()
     return [(r["lang"], [(np.frombuffer(g, np.int32), np.frombuffer(c, np.int32)) for g, c in zip(r["grams"], r["counts"], strict=True)], r["pick"] % 5) for r in got]
 
 

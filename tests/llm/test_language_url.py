@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -42,6 +43,18 @@ def test_scores_do_not_depend_on_the_batch(spark, docs):
         assert abs(r["score"] - one[texts[r["doc_id"]]]) < 1e-6
 
 
+def test_every_language_keeps_its_share_of_distinct_texts(spark):
+    rows = [(f"l{k:02}", f"text {i} of language {k}") for k in range(19) for i in range(2000)]
+    rows += [("rare", f"rare text {i}") for i in range(50)] + [("l00", "one text in very many copies")] * 3000
+    rows += [("copies", f"copied {i % 40}") for i in range(4000)]
+    frame = spark.createDataFrame(rows, "lang string, text string")
+    got = Counter(r[0] for r in language_id.sample(frame.repartition(7)))
+    each = language_id.SAMPLE_MAX // 21
+    assert got == {"rare": 50, "copies": 40} | {f"l{k:02}": each for k in range(19)}
+    one = frame.filter("lang = 'l00'")
+    assert len(language_id.sample(one)) == language_id.SAMPLE_PER_LANG
+
+
 def _plain(url, rules, default="allow"):
     m = re.match(r"(?s)^.*?://([^/?#]*)([^?#]*)", url or "")
     host, path = (re.sub("[A-Z]", lambda x: x[0].lower(), m[1]), m[2]) if m else ("", "")
