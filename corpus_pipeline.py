@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.llm import decontaminate, language_id, line_dedup, near_dup, sentencepiece_bpe
-from riskflow.llm.common import fresh, prepare, table
+from riskflow.llm.common import fresh, prepare, stage, table
 from riskflow.session import scratch_path
 
 
@@ -37,11 +37,15 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates the document with the smallest id."""
+    """Of each class of near duplicates the document with the smallest id, or one row if none has an id."""
     prepare(spark)
-    key = fresh(docs, "__gone")[0]
-    gone = near_dup.classes(docs).filter("doc_id <> class_id").select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col(key), "left_anti")
+    key, text, own = fresh(docs, "__gone", "__gone_text", "__text")
+    gone = near_dup.members(docs).filter("not kept").select(F.col("doc_id").alias(key), F.col("same").alias(text)).distinct()
+    gone = stage(gone, "gone")
+    rows = docs.withColumn(own, near_dup.digest(F.col("text")))
+    named = rows.filter("doc_id is not null").join(gone, (F.col("doc_id") == F.col(key)) & (F.col(own) == F.col(text)), "left_anti")
+    bare = rows.filter("doc_id is null").dropDuplicates([own]).join(gone.filter(F.col(key).isNull()), F.col(own) == F.col(text), "left_anti")
+    return named.unionByName(bare).select(*docs.columns)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,7 +15,6 @@ blocks, each in the first band that it shares, and only links that join two comp
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -88,15 +87,18 @@ def signatures(row: np.ndarray, shingle: np.ndarray, count: np.ndarray, n_rows:
     return got
 
 
-def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, same, n_shingles, keys, low): ``same`` identifies equal texts, ``keys`` are band keys,
+def digest(text: Column) -> Column:
+    """16 bytes that identify equal texts; a null text counts as the empty text."""
+    return F.substring(F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)), 1, 16)
+
+
+def sketch(docs: DataFrame) -> DataFrame:
+    """(doc_id, same, n_shingles, keys, low) of rows with doc_id, text and same: ``keys`` are band keys,
     ``low`` has the low byte of each register."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = column(b, "text")
-            offsets, data = text_bytes(texts)
-            raw = data.tobytes()
+            offsets, data = text_bytes(column(b, "text"))
             for i, j in runs(offsets, CHUNK):
                 cut = offsets[i : j + 1] - offsets[i]
                 row, sh, count = multiset(data[offsets[i] : offsets[j]], cut)
@@ -105,12 +107,11 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 key = sig[:, :BANDED].reshape(j - i, bands, ROWS)
                 key = mixed(key @ np.array([pow(0xD1342543DE82EF95, e + 1, 1 << 64) for e in range(ROWS)], np.uint64) + np.arange(bands, dtype=np.uint64))
                 size = np.bincount(row, weights=count, minlength=j - i).astype(np.int64)
-                same = [hashlib.blake2b(raw[a:z], digest_size=16).digest() for a, z in zip(offsets[i:j].tolist(), offsets[i + 1 : j + 1].tolist(), strict=True)]
                 flat = pa.ListArray.from_arrays(pa.array(np.arange(0, (j - i) * bands + 1, bands), pa.int32()), pa.array(key.reshape(-1).view(np.int64)))
                 low = (sig >> np.uint64(24)).astype(np.uint8)
-                yield pa.RecordBatch.from_arrays([column(b, "doc_id").slice(i, j - i), pa.array(same, pa.binary()), pa.array(size), flat, pa.array([r.tobytes() for r in low], pa.binary())], ["doc_id", "same", "n_shingles", "keys", "low"])
+                yield pa.RecordBatch.from_arrays([column(b, "doc_id").slice(i, j - i), column(b, "same").slice(i, j - i), pa.array(size), flat, pa.array([r.tobytes() for r in low], pa.binary())], ["doc_id", "same", "n_shingles", "keys", "low"])
 
-    return doc_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, same binary, n_shingles long, keys array<long>, low binary")
+    return docs.select("doc_id", "text", "same").mapInArrow(run, "doc_id long, same binary, n_shingles long, keys array<long>, low binary")
 
 
 def _agree(one: np.ndarray, many: np.ndarray) -> np.ndarray:
@@ -257,13 +258,12 @@ def overlap(ha: np.ndarray, ca: np.ndarray, hb: np.ndarray, cb: np.ndarray) -> f
 
 
 def bags(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, bag): the packed multiset of each wanted text; ``docs`` has doc_id, text, ``wanted`` has id, rep
-    (a doc_id with that text) and same (its digest, as a doc_id can have rows with other texts)."""
+    """(id, bag): the packed multiset of each wanted text; ``docs`` has doc_id, text, same, ``wanted`` has
+    id, same and rep (a doc_id with that text, null if it has none)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             offsets, data = text_bytes(column(b, "text"))
-            raw, same = data.tobytes(), column(b, "same").to_pylist()
             for i, j in runs(offsets, CHUNK):
                 row, sh, count = multiset(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 # 48 bits of the hash and 16 of the count; a larger count goes on in further items.
@@ -273,10 +273,12 @@ def bags(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 sh = sh + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
                 packed = sh & ~np.uint64(0xFFFF) | np.minimum(count, 0xFFFF).astype(np.uint64)
                 at = np.searchsorted(row, np.arange(j - i + 1))
-                right = [k for k in range(i, j) if hashlib.blake2b(raw[offsets[k] : offsets[k + 1]], digest_size=16).digest() == same[k]]
-                yield pa.RecordBatch.from_arrays([column(b, "id").take(pa.array(right, pa.int64())), pa.array([packed[at[k - i] : at[k - i + 1]].tobytes() for k in right], pa.binary())], ["id", "bag"])
+                yield pa.RecordBatch.from_arrays([column(b, "id").slice(i, j - i), pa.array([packed[a:z].tobytes() for a, z in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], pa.binary())], ["id", "bag"])
 
-    got = docs.join(wanted, docs["doc_id"] == wanted["rep"]).select("id", "same", "text")
+    named = docs.filter("doc_id is not null").join(wanted.withColumnRenamed("rep", "doc_id"), ["doc_id", "same"]).select("id", "text")
+    # Rows without an id can be very many copies of a text.
+    bare = docs.filter("doc_id is null").select("same", "text").dropDuplicates(["same"])
+    got = named.unionByName(bare.join(wanted.filter("rep is null"), "same").select("id", "text"))
     return got.mapInArrow(run, "id long, bag binary")
 
 
@@ -297,18 +299,21 @@ def verify(pairs: DataFrame, packed: DataFrame, least: float = SIMILARITY) -> Da
     return both.select("a", "b", likeness("one", "two").alias("similarity")).filter(F.col("similarity") >= least).distinct()
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
-    """(doc_id, class_id), a row for each row of ``docs``: the smallest id of the documents that it is
-    linked to, over any path, by equal text or a similarity of at least ``least``.
+def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
+    """(doc_id, same, class_id, class_key, kept), a row for each row of ``docs``; ``same`` is the digest of
+    the row's text. ``class_id`` is the smallest id of the documents that the row is linked to, over any path,
+    by equal text or a similarity of at least ``least``, and null only if none of them has an id;
+    ``class_key`` is the smallest digest of their texts. ``kept`` marks the rows of the document that stands
+    for the class: those with its ``class_id``, or the text of its ``class_key`` if that is null.
 
     Null texts count as empty; all empty texts are equal, texts without words else only to themselves.
     A text of fewer than five words has one shingle of all its words. Rows of one doc_id are taken as
-    one document's versions: each is classed by its text. Rows with a null id are classed as id -2^63.
+    one document's versions: each is classed by its text. So are rows without an id.
     """
-    src = doc_text(docs, id_col, text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(-(2**63))))
+    src = doc_text(docs, id_col, text_col).withColumn("same", digest(F.col("text")))
     marks = stage(sketch(src), "sketches")
     # Equal texts, and rows of one id with different texts, by their smallest id.
-    same = marks.select("doc_id", "same", "n_shingles")
+    same = marks.select("doc_id", "same")
     reps = marks.groupBy("same").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"), F.first("keys").alias("keys"), F.first("low").alias("low"))
     reps = stage(reps.withColumn("id", F.xxhash64("same")), "reps")
     whole = reps.filter("n_shingles > 0")
@@ -325,8 +330,13 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
     if not later.isEmpty():
         roots = components(links.select("a", "b").unionByName(later))
     member = reps.select("id", "same", "rep").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    least_id = member.groupBy("root").agg(F.min("rep").alias("class_id"))
-    named = member.join(least_id, "root").select("same", "class_id")
-    null = F.lit(-(2**63))
-    return same.select("doc_id", "same").join(named, "same").select(F.nullif("doc_id", null).alias("doc_id"), F.nullif("class_id", null).alias("class_id"))
+    least_id = member.groupBy("root").agg(F.min("rep").alias("class_id"), F.min("same").alias("class_key"))
+    named = member.join(least_id, "root").select("same", "class_id", "class_key")
+    kept = F.when(F.col("class_id").isNull(), F.col("same") == F.col("class_key")).otherwise(F.col("doc_id").eqNullSafe(F.col("class_id")))
+    return same.join(named, "same").select("doc_id", "same", "class_id", "class_key", kept.alias("kept"))
+
+
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
+    """(doc_id, class_id) of ``members``."""
+    return members(docs, id_col, text_col, least).select("doc_id", "class_id")
 

@@ -37,9 +37,9 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each document's class of near duplicates; the smallest id of a class stays."""
-    got = near_dup.classes(table(spark, sf_dir, "documents"))
-    return got.withColumn("kept", F.col("doc_id") == F.col("class_id"))
+    """Each document's class of near duplicates; the smallest id of a class stays, of a class without ids one text."""
+    got = near_dup.members(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "class_id", "kept", F.hex("class_key").alias("class_key"))
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

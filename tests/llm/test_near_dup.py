@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from riskflow.llm import near_dup as nd
 from riskflow.llm.components import components
@@ -61,6 +62,21 @@ def test_classes_equal_all_pairs(spark, docs):
     assert got == _classes(rows)
 
 
+def test_a_row_without_an_id_never_stands_for_rows_with_one(spark, docs):
+    near = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, "the dog and the cat"), (4, "the dog and the cat"), (3, "the dog and the cat"), (3, "other words"), (2, "other words")]
+    rows += [(None, near), (None, near + " end"), (None, near + " end"), (None, "all alone it is here"), (-(2**63), "smallest id of all")]
+    got = nd.members(docs(rows)).collect()
+    text = {bytes(r["same"]): t for t in {t for _, t in rows} for r in docs([(0, t)]).select(nd.digest(F.col("text")).alias("same")).collect()}
+    seen = sorted(((r["doc_id"], text[bytes(r["same"])], r["class_id"], r["kept"]) for r in got if r["class_id"] is not None), key=str)
+    want = [(None, "the dog and the cat", 3, False), (4, "the dog and the cat", 3, False), (3, "the dog and the cat", 3, True), (3, "other words", 2, False), (2, "other words", 2, True), (-(2**63), "smallest id of all", -(2**63), True)]
+    assert seen == sorted(want, key=str)
+    bare = [r for r in got if r["class_id"] is None]
+    groups = {text[bytes(r["same"])]: bytes(r["class_key"]) for r in bare}
+    assert len(bare) == 4 and groups[near] == groups[near + " end"] != groups["all alone it is here"]
+    assert len({text[bytes(r["same"])] for r in bare if r["kept"]}) == 2
+
+
 def test_empty_table_and_no_links(spark, docs):
     assert nd.classes(docs([])).count() == 0
     assert sorted(map(tuple, nd.classes(docs([(1, "a b c"), (2, "d e f")])).collect())) == [(1, 1), (2, 2)]

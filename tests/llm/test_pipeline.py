@@ -44,3 +44,12 @@ def test_empty_and_odd_documents(spark):
             out = stage(spark, docs, SF)
             assert docs is odd or out.count() == 0
             out.collect()
+
+
+def test_one_row_of_each_class_is_left(spark):
+    rows = [(None, "the dog and the cat"), (4, "the dog and the cat"), (4, "the dog and the cat"), (5, "the dog and the cat"), (5, "clean words of its own"), (None, "no id at all here")] + [(None, "copied without an id")] * 3
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = cp.near_duplicates(spark, docs, SF)
+    assert out.columns == docs.columns
+    want = [(4, "the dog and the cat"), (4, "the dog and the cat"), (5, "clean words of its own"), (None, "no id at all here"), (None, "copied without an id")]
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str) == sorted(want, key=str)
