@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import decontaminate, language_id, line_dedup, near_dup, pii, sentencepiece_bpe, suffix_dedup, syncmers, token_files, url_rules
+from riskflow.llm import collocations, decontaminate, language_id, line_dedup, near_dup, pii, sentencepiece_bpe, suffix_dedup, syncmers, token_files, url_rules
 from riskflow.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,11 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), rules)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best-scoring phrases of two or three words of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 _QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_syncmers": op2_syncmers,
@@ -83,6 +88,7 @@ _QUERIES: dict[str, Query] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_pii": op9_pii,
     "op10_url_rules": op10_url_rules,
+    "op11_collocations": op11_collocations,
 }
 
 _SQL = {
@@ -128,6 +134,34 @@ SELECT page_id, host, path,
        (SELECT h || p FROM rules WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) ORDER BY length(h) + length(p) DESC LIMIT 1) AS rule,
        coalesce((SELECT v FROM rules WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) ORDER BY length(h) + length(p) DESC LIMIT 1), 'allow') AS verdict
 FROM parts
+""",
+    "op11_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+split AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+places AS (SELECT lang, unnest(w) AS w1, unnest(list_append(w[2:], NULL)) AS w2, unnest(list_append(list_append(w[3:], NULL), NULL)) AS w3 FROM split WHERE len(w) > 0),
+c1 AS (SELECT lang, w1, count(*) AS f FROM places WHERE w1 IS NOT NULL GROUP BY ALL),
+c2 AS (SELECT lang, w1, w2, count(*) AS f FROM places WHERE w1 IS NOT NULL AND w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+c3 AS (SELECT lang, w1, w2, w3, count(*) AS f FROM places WHERE w1 IS NOT NULL AND w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+cover AS (SELECT lang, w1, w2, max(f) AS f FROM (SELECT lang, w1, w2, f FROM c3 UNION ALL SELECT lang, w2, w3, f FROM c3) GROUP BY ALL),
+twos AS (
+  SELECT lang, p.w1 || ' ' || p.w2 AS phrase, p.f AS a, x.f AS l, y.f AS r
+  FROM c2 p JOIN c1 x USING (lang, w1) JOIN (SELECT lang, w1 AS w2, f FROM c1) y USING (lang, w2) LEFT JOIN cover c USING (lang, w1, w2)
+  WHERE c.f IS NULL OR 100 * c.f < 50 * p.f),
+cuts AS (
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3 AS phrase, t.f AS a, x1.f AS l1, p23.f AS r1, p12.f AS l2, x3.f AS r2,
+         1000000::HUGEINT * t.f * t.f // (x1.f::HUGEINT * p23.f) AS s1, 1000000::HUGEINT * t.f * t.f // (p12.f::HUGEINT * x3.f) AS s2
+  FROM c3 t JOIN c1 x1 ON x1.lang = t.lang AND x1.w1 = t.w1 JOIN c1 x3 ON x3.lang = t.lang AND x3.w1 = t.w3
+       JOIN c2 p12 ON p12.lang = t.lang AND p12.w1 = t.w1 AND p12.w2 = t.w2 JOIN c2 p23 ON p23.lang = t.lang AND p23.w1 = t.w2 AND p23.w2 = t.w3),
+scored AS (
+  SELECT lang, phrase, a, l, r, (1000000::HUGEINT * a * a // (l::HUGEINT * r))::BIGINT AS score FROM twos
+  UNION ALL
+  SELECT lang, phrase, a, CASE WHEN s1 <= s2 THEN l1 ELSE l2 END, CASE WHEN s1 <= s2 THEN r1 ELSE r2 END, least(s1, s2)::BIGINT FROM cuts),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM scored)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, s.n::BIGINT AS n, score
+FROM best JOIN (SELECT lang, sum(f) AS n FROM c1 GROUP BY lang) s USING (lang) WHERE rank <= 2000
 """,
 }
 
