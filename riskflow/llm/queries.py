@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import collocations, decontaminate, language_id, line_dedup, near_dup, pii, sentencepiece_bpe, suffix_dedup, syncmers, token_files, url_rules
+from riskflow.llm import collocations, decontaminate, language_id, line_dedup, near_dup, pii, sentencepiece_bpe, suffix_dedup, syncmers, token_files, toxicity, url_rules
 from riskflow.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +77,15 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from labels outside the held-out fold."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    model = toxicity.fit(docs.filter(fold != 0), labels.filter(fold != 0))
+    docs = docs.withColumn("held_out", F.coalesce(fold == 0, F.lit(False)))
+    return toxicity.predict(docs, model, keep=("held_out",))
+
+
 _QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_syncmers": op2_syncmers,
@@ -89,6 +98,7 @@ _QUERIES: dict[str, Query] = {
     "op9_pii": op9_pii,
     "op10_url_rules": op10_url_rules,
     "op11_collocations": op11_collocations,
+    "op12_toxicity": op12_toxicity,
 }
 
 _SQL = {
