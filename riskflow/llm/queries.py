@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import collocations, decontaminate, language_id, line_dedup, near_dup, pii, sentencepiece_bpe, suffix_dedup, syncmers, token_files, toxicity, url_rules
+from riskflow.llm import collocations, decontaminate, language_id, line_dedup, near_dup, pii, sentencepiece_bpe, suffix_dedup, syncmers, token_files, toxicity, url_rules, whitening
 from riskflow.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +86,11 @@ def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predict(docs, model, keep=("held_out",))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whitened components of all embeddings."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 _QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_syncmers": op2_syncmers,
@@ -99,6 +104,7 @@ _QUERIES: dict[str, Query] = {
     "op10_url_rules": op10_url_rules,
     "op11_collocations": op11_collocations,
     "op12_toxicity": op12_toxicity,
+    "op13_whitening": op13_whitening,
 }
 
 _SQL = {
