@@ -18,8 +18,7 @@ from riskflow.operators.sequence import interval_join
 from riskflow.plans import kpis, oracle, silver
 from riskflow.session import scratch_path
 from riskflow.sources import fixtures, ingest
-from riskflow.streaming.pipeline import wire_after_ip_change_stream
-from riskflow.streaming.stateful import ip_change_stream, travel_stream
+from riskflow.streaming.timeline import ip_change_stream, travel_stream, wire_rule_stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -586,54 +585,55 @@ def _stream_events(spark, sf_dir):
     return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
-def _ended(spark, logins: DataFrame) -> DataFrame:
-    """The stream with a login far in the future at its end, which moves the watermark past every
-    real one; its user has no other login, so that it gives no result."""
+_END = "2261-12-31 00:00:00"
+
+
+def _ended(spark, rows: DataFrame, **values: str) -> DataFrame:
+    """The stream with one more row (``values``, in the far future) after all others, which moves the watermark past
+    them. It comes in a micro-batch of its own: its source gives a file a batch, an empty one to the batch that
+    reads the given stream, which takes all its files at once."""
     path = _roundtrip_dir(spark, "end-marker")
-    values = {"login_time": "2261-12-31 00:00:00", "user_id": "end-of-input", "login_id": "end-of-input"}
-    marker = spark.range(1).select(*(F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in logins.schema))
-    marker.write.parquet(path)
-    return logins.unionByName(spark.readStream.schema(marker.schema).parquet(path))
+    end = spark.range(1).select(*(F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in rows.schema))
+    end.limit(0).write.parquet(path)
+    end.write.mode("append").parquet(path)
+    return rows.unionByName(spark.readStream.schema(end.schema).option("maxFilesPerTrigger", 1).parquet(path))
+
 
+def _stream_logins(spark, sf_dir) -> DataFrame:
+    logins = fixtures.logins_from_events(_stream_events(spark, sf_dir))
+    return _ended(spark, logins, login_time=_END, user_id="end-of-input", login_id="end-of-input")
 
-def _drain(spark, stream_df, name: str) -> str:
+
+def _drained(spark, stream: DataFrame, name: str) -> DataFrame:
     """Run a stream over everything available into a Parquet sink under the shared checkpoint folder."""
     out = _roundtrip_dir(spark, f"stream-{name}")
-    q = (
-        stream_df.writeStream.format("parquet")
+    query = (
+        stream.writeStream.format("parquet")
         .option("path", out + "/data")
         .option("checkpointLocation", out + "/checkpoint")
         .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
-    q.awaitTermination()
-    return out + "/data"
-
-
-def _drained(spark, stream_df, name: str) -> DataFrame:
-    got = spark.read.schema(stream_df.schema).parquet(_drain(spark, stream_df, name))
+    query.awaitTermination()
+    got = spark.read.schema(stream.schema).parquet(out + "/data")
     return got.select(*(F.col(c).cast("timestamp_ntz").alias(c) if t == "timestamp" else F.col(c) for c, t in got.dtypes))
 
 
 @register("ip_change_stream", oracle.BASE + "SELECT user_id, new_ip, ip_change_time, ip_lat, ip_lon, login_id FROM ipc")
 def q_ip_change_stream(spark, sf_dir):
     """Streaming IP-change detection over all logins."""
-    logins = _ended(spark, fixtures.logins_from_events(_stream_events(spark, sf_dir)))
-    return _drained(spark, ip_change_stream(logins, watermark=STREAM_DELAY), "ip-changes")
+    return _drained(spark, ip_change_stream(_stream_logins(spark, sf_dir), watermark=STREAM_DELAY), "ip-changes")
 
 
 @register("travel_stream", oracle.BASE + "SELECT * FROM travel")
 def q_travel_stream(spark, sf_dir):
-    logins = _ended(spark, fixtures.logins_from_events(_stream_events(spark, sf_dir)))
-    return _drained(spark, travel_stream(logins, watermark=STREAM_DELAY), "travel")
+    return _drained(spark, travel_stream(_stream_logins(spark, sf_dir), watermark=STREAM_DELAY), "travel")
 
 
 @register("wire_after_ip_change_stream", _WIRE_INTERVAL_SQL)
 def q_wire_stream(spark, sf_dir):
-    """Stream–stream interval join of high-value wires with the IP changes that the first stream wrote."""
-    events = _stream_events(spark, sf_dir)
-    found = ip_change_stream(_ended(spark, fixtures.logins_from_events(events)), watermark=STREAM_DELAY)
-    changes = spark.readStream.schema(found.schema).parquet(_drain(spark, found, "ip-changes"))
-    wires = fixtures.transactions_from_events(events)
-    return _drained(spark, wire_after_ip_change_stream(wires, changes, watermark=STREAM_DELAY), "wire-rule")
+    """The wire rule as one continuous query from raw logins and transactions."""
+    wires = fixtures.transactions_from_events(_stream_events(spark, sf_dir))
+    wires = _ended(spark, wires, transaction_time=_END, user_id="end-of-input", transaction_id="end-of-input", transaction_type="wire")
+    return _drained(spark, wire_rule_stream(wires, _stream_logins(spark, sf_dir), watermark=STREAM_DELAY), "wire-rule")

@@ -21,7 +21,7 @@ from riskflow.streaming.pipeline import (
     start_triage_sink,
     wire_after_ip_change_stream,
 )
-from riskflow.streaming.stateful import ip_change_stream, travel_stream
+from riskflow.streaming.timeline import ip_change_stream, travel_stream, wire_rule_stream
 from tests.conftest import SF01
 
 
@@ -220,3 +220,112 @@ def test_registered_streams_on_a_folder_of_shuffled_parts(spark, tmp_path):
             got = qs[stream](spark, at)
             assert sorted(got.columns) == sorted(want.columns)
             assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect())), (stream, at)
+
+
+def _skewed(spark, rel, d: str):
+    """A third of the logins on one user, logins and wires in four micro-batches by time, rows of the last two
+    minutes of each a batch late, and end markers."""
+    lg = rel["logins"].withColumn("user_id", F.when(F.xxhash64("login_id") % 3 == 0, "USER-00001").otherwise(F.col("user_id")))
+    tx = rel["transactions"].withColumn("user_id", F.when(F.xxhash64("transaction_id") % 3 == 0, "USER-00001").otherwise(F.col("user_id")))
+    tx = tx.withColumn("transaction_type", F.lit("wire")).withColumn("amount", F.lit(20000.0))
+    lo, hi = lg.agg(F.min("login_time"), F.max("login_time")).collect()[0]
+    out = []
+    for name, rows, time in (("lg", lg, "login_time"), ("tx", tx, "transaction_time")):
+        rows.write.parquet(f"{d}/{name}")
+        late = F.col(time) - F.expr("INTERVAL 2 MINUTES") * (F.xxhash64(time) % 2 + 1)
+        cut = F.least(F.floor(4 * (F.unix_micros(late.cast("timestamp")) - F.lit(int(lo.timestamp() * 1e6))) / F.lit(int((hi - lo).total_seconds() * 1e6) + 1)), F.lit(3))
+        made = spark.read.parquet(f"{d}/{name}").withColumn("k", F.greatest(cut, F.lit(0)))
+        for k in range(4):
+            made.filter(F.col("k") == k).drop("k").coalesce(1).write.parquet(f"{d}/{name}-parts/{k}")
+        end = made.limit(1).drop("k").withColumn(time, F.lit(hi + dt.timedelta(days=900)).cast(dict(made.dtypes)[time])).withColumn("user_id", F.lit("end"))
+        end.coalesce(1).write.parquet(f"{d}/{name}-parts/4")
+        out += [spark.read.parquet(f"{d}/{name}"), spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{d}/{name}-parts/*")]
+    return out
+
+
+def _as_batch(df, want):
+    kinds = dict(want.dtypes)
+    return sorted(map(str, df.select(*(F.col(c).cast(kinds[c]).alias(c) for c in want.columns)).collect()))
+
+
+def test_a_user_with_a_third_of_the_rows_in_several_batches(spark, rel):
+    """IP changes, travel and the wire rule equal the batch forms, and the state ends."""
+    from riskflow.operators.sequence import interval_join
+
+    d = tempfile.mkdtemp(prefix="riskflow-skew-")
+    logins, login_stream, wires, wire_stream = _skewed(spark, rel, d)
+    for name, stream, want in (
+        ("skew_ip", ip_change_stream(login_stream, bucket="2 days"), ip_changes(logins)),
+        ("skew_travel", travel_stream(login_stream), impossible_travel(logins)),
+    ):
+        q = _run_memory(stream, name, f"{d}/{name}")
+        assert len([p for p in q.recentProgress if p["numInputRows"]]) == 5
+        assert _as_batch(spark.table(name), want) == sorted(map(str, want.collect()))
+        users, buckets = (op["numRowsTotal"] for op in q.recentProgress[-1]["stateOperators"])
+        assert buckets <= 2 and users <= 151
+
+    stream = wire_rule_stream(wire_stream, login_stream)
+    q = _run_memory(stream, "skew_wire", f"{d}/wire")
+    changes = ip_changes(logins).select(F.col("user_id").alias("ip_user_id"), "new_ip", "ip_change_time")
+    pairs = interval_join(wires, changes, by="user_id", right_by="ip_user_id", left_time="transaction_time", right_time="ip_change_time", lookback_seconds=3600)
+    want = pairs.select("transaction_id", "user_id", "new_ip", "ip_change_time")
+    got = _as_batch(spark.table("skew_wire"), want)
+    assert got == sorted(map(str, want.collect())) and len(got) > 100
+    hours = q.recentProgress[-1]["stateOperators"][0]["numRowsTotal"]
+    assert hours <= 4
+
+
+def test_no_call_sees_more_than_a_bucket(spark):
+    """The operators with plain stand-ins for state: what one call reads and keeps."""
+    from riskflow.streaming import timeline as tl
+
+    class Handle:
+        def __init__(self):
+            self.timers, self.lists, self.values = [], {}, {}
+
+        def registerTimer(self, ms):
+            self.timers.append(ms)
+
+        def getListState(self, name, schema):
+            held = self.lists.setdefault(name, [])
+
+            class State:
+                appendList, clear, get = held.extend, held.clear, lambda self: list(held)
+
+                def put(self, rows):
+                    held[:] = rows
+
+            return State()
+
+        def getValueState(self, name, schema):
+            held = self.values.setdefault(name, [])
+
+            class State:
+                exists, get, clear = (lambda self: bool(held)), (lambda self: held[0]), held.clear
+
+                def update(self, row):
+                    held[:] = [row]
+
+            return State()
+
+    class Times:
+        def __init__(self, now):
+            self.getCurrentWatermarkInMs = lambda: now
+
+    import json
+
+    from pyspark.sql import Row
+
+    handle = Handle()
+    p = tl._Buckets(tl._changed, None, tl._us("1 day"))
+    p.init(handle)
+    rows = [Row(us=k * 1_000_000, row=json.dumps({"us": k * 1_000_000, "login_id": str(k), "ip": str(k % 2)})) for k in range(5000)]
+    list(p.handleInputRows(("u", 0), iter(rows[::-1]), Times(0)))
+    assert len(handle.lists["pending"]) == 5 and all(len(x[0].split("\n")) == tl.CHUNK for x in handle.lists["pending"])
+    assert handle.timers == [1]
+    out = list(p.handleExpiredTimer(("u", 0), Times(2_500_000), None))
+    kinds = [r.kind for r in out]
+    assert kinds.count(tl._RESULT) == 2499 and kinds[0] == tl._FIRST and kinds[-1] == tl._LAST
+    assert sum(len(x[0].split("\n")) for x in handle.lists["pending"]) == 2500
+    out = list(p.handleExpiredTimer(("u", 0), Times(90_000_000), None))
+    assert [r.kind for r in out].count(tl._RESULT) == 2500 and not handle.lists["pending"] and not handle.values["last"]
