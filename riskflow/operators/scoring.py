@@ -127,7 +127,7 @@ def default_score(activity: DataFrame, travel: DataFrame | None = None) -> DataF
     matched signature weight), rounded to 2, where base = 30·high-value wire + 15·recent IP change
     + 5·MFA flag. Level from the score bands. Everything is a row-local expression except the
     optional travel membership: a ``has_travel_flag`` column when the activity carries one
-    (``silver.user_activity(..., user_attrs=silver.travel_flags(travel))``, no extra shuffle),
+    (``silver.user_activity(..., with_travel=True)``, no extra shuffle),
     else a join with the distinct flagged users.
     """
     df = activity

@@ -2,9 +2,10 @@
 
 A plain ``Window.partitionBy(user)`` puts every row of a user into one task, so a user with a third
 of all logins becomes a third of the job in one task. Both operators here partition by
-``(key, time bucket)`` instead. The only per-key step runs on a one-row-per-bucket summary, which is
-tiny next to the rows (a year of hourly buckets is 8,760 rows for the hottest key), and the big
-side is shuffled once, on ``(key, bucket)``; the joins back to the summary reuse that partitioning.
+``(key, time bucket)`` instead. The only per-key step runs on a one-row-per-bucket summary, and the big
+side is shuffled once, on ``(key, bucket)``; the joins back to the summary reuse that partitioning. Results
+are the same for any width. A week, the default, leaves few summaries where a key has several rows a week;
+a narrower bucket spreads a hot key over more tasks.
 
 Rows whose key or time is NULL are not ordered and take part in no sequence.
 """
@@ -19,7 +20,7 @@ from pyspark.sql.types import StructField, StructType
 
 from riskflow.functions.timefn import time_bucket
 
-DEFAULT_BUCKET_SECONDS = 3600
+DEFAULT_BUCKET_SECONDS = 7 * 86_400
 
 _B = "__bucket"
 _NO_TIME_BUCKET = -(2**62)

@@ -192,8 +192,7 @@ AS_OF = oracle.AS_OF
 
 def _activity_with_travel(spark, sf_dir) -> DataFrame:
     r = _rel(spark, sf_dir)
-    flags = silver.travel_flags(travel.impossible_travel(r["logins"]))
-    return silver.user_activity(r["transactions"], r["logins"], user_attrs=flags)
+    return silver.user_activity(r["transactions"], r["logins"], with_travel=True)
 
 
 def _scored(spark, sf_dir) -> DataFrame:

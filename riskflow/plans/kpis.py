@@ -35,7 +35,7 @@ def account_takeover_rate(activity: DataFrame, travel: DataFrame | None = None)
     The ``IN (subquery)`` under ``OR`` becomes a left-semi membership column: the distinct flagged
     users (an aggregate of the travel table) are left-joined as a marker, which Spark plans as a
     shuffle or a broadcast depending on the runtime size of that user set. When the activity
-    already carries ``has_travel_flag`` (see ``silver.travel_flags``) no join is needed.
+    already carries ``has_travel_flag`` (see ``silver.user_activity(..., with_travel=True)``) no join is needed.
     """
     if "has_travel_flag" in activity.columns:
         marked, flag = activity, F.col("has_travel_flag")

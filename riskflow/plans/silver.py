@@ -23,6 +23,7 @@ from riskflow.constants import (
 )
 from riskflow.functions.timefn import day_diff, minutes_between
 from riskflow.operators.features import ip_changes, user_login_state
+from riskflow.operators.ordered import ordered_context
 from riskflow.operators.sequence import DEFAULT_BUCKET_SECONDS, asof_join, interval_join
 
 ACTIVITY_COLUMNS = [
@@ -105,40 +106,31 @@ def user_activity(
     ip_mode: str = "asof",
     mfa_mode: str = "calendar",
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    user_attrs: DataFrame | None = None,
+    with_travel: bool = False,
 ) -> DataFrame:
-    """``silver_user_activity`` (15 columns, then any ``user_attrs`` columns).
+    """``silver_user_activity`` (15 columns; ``with_travel`` adds the user's ``has_travel_flag``).
 
     ``ip_address``/``device_id`` come from the user's latest login overall and ``ip_latitude``/
     ``ip_longitude`` from the matched IP change, as in the source pipeline. ``mfa_mode='calendar'``
     keeps the source rule (latest MFA change at most one calendar day before — or any time after —
     the transaction); ``'trailing_24h'`` uses the latest MFA change in the 24 hours before it.
     """
+    if ip_mode == "asof":
+        # One ordered pass over both inputs gives the change, the latest login and the travel flag.
+        enriched = ordered_context(transactions, logins, bucket_seconds)
+        if mfa_mode == "trailing_24h":
+            enriched = enriched.drop("last_mfa_change")
+        extra = ["has_travel_flag"] if with_travel else []
+        return _with_flags(_trailing_mfa(enriched, logins, mfa_mode, bucket_seconds), mfa_mode, extra)
+    if with_travel:
+        raise ValueError("with_travel needs ip_mode='asof'")
     state = user_login_state(logins).select("user_id", "ip_address", "device_id", "last_mfa_change")
     if mfa_mode == "trailing_24h":
         state = state.drop("last_mfa_change")
-    extra: list[str] = []
-    if user_attrs is not None:
-        # Per-user attributes ride along with the login state (both keyed by user), so they reach
-        # every transaction through the same small per-key join instead of another full shuffle.
-        extra = [c for c in user_attrs.columns if c != "user_id"]
-        state = state.join(user_attrs, "user_id", "full_outer")
     changes = ip_changes(logins, bucket_seconds).select(
         "user_id", "ip_change_time", "ip_lat", "ip_lon", F.col("login_id").alias("change_login_id")
     )
-    if ip_mode == "asof":
-        enriched = asof_join(
-            transactions,
-            changes,
-            by="user_id",
-            left_time="transaction_time",
-            right_time="ip_change_time",
-            right_cols=["ip_change_time", "ip_lat", "ip_lon"],
-            right_tie="change_login_id",
-            key_attrs=state,
-            bucket_seconds=bucket_seconds,
-        )
-    elif ip_mode == "all":
+    if ip_mode == "all":
         ch = changes.withColumnRenamed("user_id", "ip_user_id").drop("change_login_id")
         with_state = transactions.join(state, "user_id", "left")
         cond = (with_state["user_id"] == ch["ip_user_id"]) & (
@@ -161,18 +153,17 @@ def user_activity(
     else:
         raise ValueError(f"unknown ip_mode {ip_mode!r}")
 
-    if mfa_mode == "trailing_24h":
-        mfa_events = logins.filter(F.col("mfa_changed")).select(
-            "user_id", F.col("login_time").alias("last_mfa_change"), F.col("login_id").alias("mfa_login_id")
-        )
-        enriched = asof_join(
-            enriched,
-            mfa_events,
-            by="user_id",
-            left_time="transaction_time",
-            right_time="last_mfa_change",
-            right_cols=["last_mfa_change"],
-            right_tie="mfa_login_id",
-            bucket_seconds=bucket_seconds,
-        )
-    return _with_flags(enriched, mfa_mode, extra)
+    return _with_flags(_trailing_mfa(enriched, logins, mfa_mode, bucket_seconds), mfa_mode)
+
+
+def _trailing_mfa(enriched: DataFrame, logins: DataFrame, mfa_mode: str, bucket_seconds: int) -> DataFrame:
+    """For ``trailing_24h``: the latest MFA change at or before each transaction."""
+    if mfa_mode != "trailing_24h":
+        return enriched
+    mfa_events = logins.filter(F.col("mfa_changed")).select(
+        "user_id", F.col("login_time").alias("last_mfa_change"), F.col("login_id").alias("mfa_login_id")
+    )
+    return asof_join(
+        enriched, mfa_events, by="user_id", left_time="transaction_time", right_time="last_mfa_change",
+        right_cols=["last_mfa_change"], right_tie="mfa_login_id", bucket_seconds=bucket_seconds,
+    )

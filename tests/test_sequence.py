@@ -135,7 +135,7 @@ def test_hot_key_is_spread_over_tasks(spark):
     df = spark.createDataFrame(rows, EV)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        out = previous_in_sequence(df, "k", "t", "id", ["v"]).withColumn("pid", F.spark_partition_id())
+        out = previous_in_sequence(df, "k", "t", "id", ["v"], bucket_seconds=3600).withColumn("pid", F.spark_partition_id())
         hot = out.filter(F.col("k") == "hot")
         parts = hot.select("pid").distinct().count()
         total = hot.count()
