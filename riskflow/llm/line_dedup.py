@@ -3,8 +3,9 @@
 A line's tokens with a digit are variable fields (``<*>``). The tree has a fixed depth: token count,
 then the leading tokens. In a leaf, a token at a place that fewer than ``min_docs`` documents of the
 leaf have there is variable too; a line whose other tokens are enough (``FIXED_SHARE``, and at least
-``MIN_TOKENS``) has the template that is left. Templates in at least ``min_docs`` documents recur: their
-lines are dropped from all documents but the first that has them.
+``MIN_TOKENS``) has the template that is left. Lines and templates in at least ``min_docs`` different documents
+recur: they are dropped from all documents but the first that has them. A line of any length recurs as
+it is; only a template with variable tokens needs ``MIN_TOKENS``.
 
 Only hashes are shuffled to count lines. Texts of lines are read for leaves that recur and hold lines
 which do not recur as they are, one line for each distinct masked line.
@@ -33,9 +34,9 @@ def _line_no(text: Column) -> Column:
 
 
 def _parsed(lines: DataFrame) -> DataFrame:
-    """Adds toks (masked tokens), leaf and full (hashes) to rows with a line; blank and short lines go."""
+    """Adds toks (masked tokens) to rows with a line; blank lines go."""
     body = lines.withColumn("toks", F.split(F.regexp_replace(F.btrim("line", F.lit(" \t\r")), _VARIABLE, WILD), "[ \t]+"))
-    return body.filter(F.size("toks") >= MIN_TOKENS)
+    return body.filter(F.element_at("toks", 1) != "")
 
 
 def _leaf() -> Column:
@@ -45,15 +46,16 @@ def _leaf() -> Column:
 def recurring(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, DataFrame]:
     """(lines, drops) of rows with doc_id, rid and text: lines has doc_id, rid, line_no, leaf, full; drops
     has leaf, full and the first document of their template."""
-    spark = docs.sparkSession
     parsed = _parsed(docs.select("doc_id", "rid", _line_no(F.col("text"))))
-    lines = stage(parsed.select("doc_id", "rid", "line_no", _leaf().alias("leaf"), F.xxhash64("toks").alias("full")), "lines")
-    per = lines.groupBy("leaf", "full", "doc_id").agg(F.min("rid").alias("rid")).groupBy("leaf", "full")
-    per = stage(per.agg(F.count("doc_id").alias("docs"), F.min(F.struct("doc_id", "rid")).alias("first")), "line-counts")
-    leaves = per.groupBy("leaf").agg(F.sum("docs").alias("docs"), F.min("docs").alias("least")).filter((F.col("docs") >= min_docs) & (F.col("least") < min_docs)).select("leaf")
+    lines = stage(parsed.select("doc_id", "rid", "line_no", _leaf().alias("leaf"), F.xxhash64("toks").alias("full"), (F.size("toks") >= MIN_TOKENS).alias("long")), "lines")
+    per = lines.groupBy("leaf", "full", "doc_id").agg(F.min("rid").alias("rid"), F.first("long").alias("long")).groupBy("leaf", "full")
+    per = stage(per.agg(F.count("doc_id").alias("docs"), F.min(F.struct("doc_id", "rid")).alias("first"), F.first("long").alias("long")), "line-counts")
     whole = per.filter(F.col("docs") >= min_docs).select("leaf", "full", F.col("first.doc_id").alias("first_doc"))
 
-    wanted = stage(per.join(leaves, "leaf").select("leaf", "full", "docs", "first.doc_id", "first.rid"), "wanted-lines")
+    # Leaves whose lines may come together to a template.
+    leaves = per.filter("long").groupBy("leaf").agg(F.sum("docs").alias("docs"), F.min("docs").alias("least"))
+    leaves = leaves.filter((F.col("docs") >= min_docs) & (F.col("least") < min_docs)).select("leaf")
+    wanted = stage(per.filter("long").join(leaves, "leaf").select("leaf", "full", "docs", "first.doc_id", "first.rid"), "wanted-lines")
     keys = wanted.select("doc_id", "rid").distinct()
     if wanted.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
         keys = F.broadcast(keys)
@@ -62,7 +64,7 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, Dat
     reps = read.join(wanted, ["leaf", "full", "doc_id", "rid"]).dropDuplicates(["leaf", "full"])
     reps = stage(reps.select("leaf", "full", "docs", "doc_id", "toks"), "line-texts")
     cells = reps.select("leaf", "full", "docs", "doc_id", F.posexplode("toks").alias("at", "tok"))
-    often = cells.groupBy("leaf", "at", "tok").agg(F.sum("docs").alias("seen")).filter(F.col("seen") >= min_docs).select("leaf", "at", "tok", F.lit(True).alias("fixed"))
+    often = _in_documents(cells, ["leaf", "at", "tok"], lines, min_docs).select("leaf", "at", "tok", F.lit(True).alias("fixed"))
     marked = cells.join(often, ["leaf", "at", "tok"], "left")
     shown = F.when(F.col("fixed"), F.col("tok")).otherwise(F.lit(WILD))
     made = marked.groupBy("leaf", "full").agg(
@@ -73,19 +75,31 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, Dat
         F.sort_array(F.collect_list(F.struct("at", shown.alias("tok")))).alias("cells"),
     )
     made = made.filter((F.col("n_fixed") >= MIN_TOKENS) & (F.col("n_fixed") >= FIXED_SHARE * F.col("n")))
-    made = made.select("leaf", "full", "docs", "doc_id", F.xxhash64("cells.tok").alias("template"))
-    common = made.groupBy("leaf", "template").agg(F.sum("docs").alias("docs"), F.min("doc_id").alias("first_doc")).filter(F.col("docs") >= min_docs)
+    made = stage(made.select("leaf", "full", "docs", "doc_id", F.xxhash64("cells.tok").alias("template")), "line-templates")
+    common = _in_documents(made, ["leaf", "template"], lines, min_docs)
     varied = made.select("leaf", "full", "template").join(common.select("leaf", "template", "first_doc"), ["leaf", "template"]).select("leaf", "full", "first_doc")
     drops = whole.unionByName(varied).groupBy("leaf", "full").agg(F.min("first_doc").alias("first_doc"))
     return lines, drops
 
 
+def _in_documents(variants: DataFrame, by: list[str], lines: DataFrame, min_docs: int) -> DataFrame:
+    """(``by``, first_doc) of the groups of line variants that lie in at least ``min_docs`` different documents.
+    One variant may do by itself; where only several together could, their documents are looked up and counted,
+    fewer than ``min_docs`` for each of them."""
+    groups = variants.groupBy(*by).agg(F.sum("docs").alias("most"), F.max("docs").alias("least"), F.min("doc_id").alias("first_doc"))
+    groups = stage(groups.filter(F.col("most") >= min_docs), "line-groups")
+    unsure = stage(variants.join(groups.filter(F.col("least") < min_docs).select(*by), by).select("full", *by), "unsure-lines")
+    own = lines.join(unsure.select("leaf", "full").distinct(), ["leaf", "full"]).select("leaf", "full", "doc_id").distinct()
+    counted = unsure.join(own, ["leaf", "full"]).select(*by, "doc_id").distinct().groupBy(*by).count().filter(F.col("count") >= min_docs)
+    sure = groups.filter(F.col("least") >= min_docs).select(*by, "first_doc")
+    return sure.unionByName(groups.join(counted.select(*by), by).select(*by, "first_doc"))
+
+
 def dedup(docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id", text_col: str = "text", prefix: str = "__") -> DataFrame:
     """All columns of ``docs``, its text without the dropped lines, and n_lines, n_dropped behind ``prefix``,
     a row for each row of ``docs``.
 
-    Null and empty texts stay as they are (0 and 1 lines); blank lines and lines of fewer than
-    ``MIN_TOKENS`` tokens are never dropped; rows of one doc_id count as one document, and repeated rows
+    Null and empty texts stay as they are (0 and 1 lines); blank lines are never dropped; rows of one doc_id count as one document, and repeated rows
     are treated alike; rows with a null doc_id are neither counted nor changed.
     """
     rid = F.xxhash64(F.col(id_col), F.col(text_col))

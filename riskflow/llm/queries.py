@@ -115,16 +115,17 @@ WITH lines AS (
 parsed AS (
   SELECT doc_id, text, line_no, list_transform(string_split_regex(trim(line, ' ' || chr(9) || chr(13)), '[ \t]+'), lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS toks
   FROM lines),
-long AS (SELECT *, len(toks) || ' ' || array_to_string(toks[1:3], ' ') AS leaf FROM parsed WHERE len(toks) >= 4),
-per AS (SELECT leaf, toks, count(DISTINCT doc_id) AS docs, min(doc_id) AS first_doc FROM long GROUP BY ALL),
-cells AS (SELECT leaf, toks, docs, first_doc, unnest(range(len(toks))) AS place, unnest(toks) AS tok FROM per),
-often AS (SELECT leaf, place, tok FROM cells GROUP BY ALL HAVING sum(docs) >= 5),
+long AS (SELECT *, len(toks) || ' ' || array_to_string(toks[1:3], ' ') AS leaf FROM parsed WHERE toks[1] <> ''),
+mine AS (SELECT DISTINCT leaf, toks, doc_id FROM long),
+per AS (SELECT leaf, toks, count(*) AS docs, min(doc_id) AS first_doc FROM mine GROUP BY ALL),
+cells AS (SELECT leaf, toks, unnest(range(len(toks))) AS place, unnest(toks) AS tok FROM per WHERE len(toks) >= 4),
+often AS (SELECT leaf, place, tok FROM (SELECT leaf, unnest(range(len(toks))) AS place, unnest(toks) AS tok, doc_id FROM mine WHERE len(toks) >= 4) GROUP BY ALL HAVING count(DISTINCT doc_id) >= 5),
 made AS (
-  SELECT c.leaf, c.toks, any_value(c.docs) AS docs, any_value(c.first_doc) AS first_doc, count(*) AS n,
+  SELECT c.leaf, c.toks, count(*) AS n,
          sum(CASE WHEN o.tok IS NOT NULL AND c.tok <> '<*>' THEN 1 ELSE 0 END) AS fixed,
          list(CASE WHEN o.tok IS NOT NULL THEN c.tok ELSE '<*>' END ORDER BY c.place) AS template
   FROM cells c LEFT JOIN often o USING (leaf, place, tok) GROUP BY c.leaf, c.toks),
-templates AS (SELECT leaf, template, min(first_doc) AS first_doc FROM made WHERE fixed >= 4 AND fixed >= 0.8 * n GROUP BY ALL HAVING sum(docs) >= 5),
+templates AS (SELECT leaf, template, min(doc_id) AS first_doc FROM made JOIN mine USING (leaf, toks) WHERE fixed >= 4 AND fixed >= 0.8 * n GROUP BY ALL HAVING count(DISTINCT doc_id) >= 5),
 drops AS (
   SELECT leaf, toks, min(first_doc) AS first_doc FROM (
     SELECT leaf, toks, first_doc FROM per WHERE docs >= 5

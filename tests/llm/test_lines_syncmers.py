@@ -20,16 +20,16 @@ def _plain_lines(rows, least):
     for i, t in rows:
         for n, line in enumerate((t or "").split("\n")):
             toks = tuple(ld.WILD if re.search("[0-9]", w) else w for w in re.split("[ \t]+", line.strip(" \t\r")))
-            if i is not None and t is not None and len(toks) >= ld.MIN_TOKENS:
+            if i is not None and t is not None and toks[0]:
                 lines.append((i, t, n, (len(toks), toks[:3]), toks))
                 docs[len(toks), toks[:3], toks].add(i)
-    seen = defaultdict(int)
+    seen = defaultdict(set)
     for (n, lead, toks), own in docs.items():
         for at, tok in enumerate(toks):
-            seen[n, lead, at, tok] += len(own)
+            seen[n, lead, at, tok] |= own
     made = {}
     for (n, lead, toks), own in docs.items():
-        fixed = [seen[n, lead, at, tok] >= least for at, tok in enumerate(toks)]
+        fixed = [len(seen[n, lead, at, tok]) >= least for at, tok in enumerate(toks)]
         count = sum(f and t != ld.WILD for f, t in zip(fixed, toks, strict=True))
         if count >= ld.MIN_TOKENS and count >= ld.FIXED_SHARE * n:
             made[n, lead, toks] = (n, lead, tuple(t if f else ld.WILD for f, t in zip(fixed, toks, strict=True)))
@@ -38,7 +38,7 @@ def _plain_lines(rows, least):
         templates[t].append(k)
     first = {k: min(own) for k, own in docs.items() if len(own) >= least}
     for t, ks in templates.items():
-        if sum(len(docs[k]) for k in ks) >= least:
+        if len(set().union(*(docs[k] for k in ks))) >= least:
             low = min(min(docs[k]) for k in ks)
             for k in ks:
                 first[k] = min(first.get(k, low), low)
@@ -51,7 +51,7 @@ def _plain_lines(rows, least):
 
 def test_lines_equal_plain_python(spark, docs):
     rnd = random.Random(1)
-    shapes = ["Posted by user {n} on day {n} of May", "Posted by {w} in the open forum today again", "Read the whole story on our site", "one two {w} four", "share share share", "  Read the whole story\ton our site \r", "log {n}: the job of {w} is done now", "all of it is {w} and {w} too, they said"]
+    shapes = ["Posted by user {n} on day {n} of May", "Posted by {w} in the open forum today again", "Read the whole story on our site", "one two {w} four", "share share share", "  Read the whole story\ton our site \r", "log {n}: the job of {w} is done now", "all of it is {w} and {w} too, they said", "{w}", "All rights reserved.", "日本語", "{w} {w}"]
     rows = [(1, None), (2, ""), (3, "\n\n"), (4, LONG), (5, "Read the whole story on our site"), (5, "x\nRead the whole story on our site"), (None, "Read the whole story on our site")]
     for i in range(6, 60):
         picked = [rnd.choice(shapes).format(n=rnd.randrange(99), w=rnd.choice("ab cd ef gh ij kl".split())) for _ in range(rnd.randrange(6))]
@@ -65,6 +65,15 @@ def test_lines_equal_plain_python(spark, docs):
     assert ld.dedup(docs([])).count() == 0
 
 
+def test_variants_in_one_document_count_once(docs):
+    """Five variants of a line in two documents are no template in five; copies of short lines go."""
+    line = "Posted by user {} in the open forum today again"
+    rows = [(1, "\n".join(line.format(w) for w in "ab cd ef gh".split())), (2, line.format("ij"))] + [(i, "Les.\nown" + "x" * i) for i in range(3, 9)]
+    got = {r["doc_id"]: r["text"] for r in ld.dedup(docs(rows)).collect()}
+    assert got[2] == line.format("ij") and got[1] == rows[0][1]
+    assert got[3] == rows[2][1] and all(got[i] == "own" + "x" * i for i in range(4, 9))
+
+
 def _next(rows):
     order = sorted(range(len(rows)), key=lambda x: (rows[x][0] is not None, rows[x][0] or 0, rows[x][1] or ""), reverse=True)
     return [(x, order[(k + 1) % len(order)]) for k, x in enumerate(order)]
