@@ -25,6 +25,8 @@ from riskflow.llm.common import column, gather, mixed, stage, text_bytes
 
 UNDETERMINED = "und"
 MIN_COUNT, TOP = 10, 2000
+#: Parts in which a language's phrases are ranked first.
+RANK_PARTS = 64
 #: A bigram goes if a longer candidate that holds it has this share (in percent) of its occurrences.
 COVERED = 50
 #: A word is frequent from HOT_LEAST occurrences on and from a 1/HOT_MAX share of all: at most HOT_MAX words.
@@ -314,7 +316,11 @@ def collocations(docs: DataFrame, least: int = MIN_COUNT, top: int = TOP, lang_c
         F.col("x1.lang").alias("lang"), F.concat_ws(" ", "x1.word", "x2.word", "x3.word").alias("phrase"), F.col("n").alias("a"),
         F.when(cut, F.col("x1.n")).otherwise(F.col("n12")).alias("l"), F.when(cut, F.col("n23")).otherwise(F.col("x3.n")).alias("r"), F.least("s1", "s2").alias("score"),
     )
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = twos.unionByName(threes).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    order = F.desc("score"), F.desc("a"), F.col("phrase")
+    # Ranked in parts first, so that a language's last step sees at most RANK_PARTS times ``top`` phrases.
+    part = F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS))
+    best = twos.unionByName(threes).withColumn("part", part)
+    best = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).filter(F.col("rank") <= top)
+    best = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= top)
     sizes = words.groupBy("lang").agg(F.sum("n").alias("n"))
     return best.join(sizes, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
