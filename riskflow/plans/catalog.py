@@ -604,17 +604,23 @@ def _stream_logins(spark, sf_dir) -> DataFrame:
 
 
 def _drained(spark, stream: DataFrame, name: str) -> DataFrame:
-    """Run a stream over everything available into a Parquet sink under the shared checkpoint folder."""
+    """Run a stream over everything available into a Parquet sink under the shared checkpoint folder. Every state
+    partition is a store that each micro-batch opens and commits: there are at most two for each core."""
     out = _roundtrip_dir(spark, f"stream-{name}")
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", out + "/data")
-        .option("checkpointLocation", out + "/checkpoint")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(partitions), 2 * spark.sparkContext.defaultParallelism)))
+    try:
+        query = (
+            stream.writeStream.format("parquet")
+            .option("path", out + "/data")
+            .option("checkpointLocation", out + "/checkpoint")
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
     got = spark.read.schema(stream.schema).parquet(out + "/data")
     return got.select(*(F.col(c).cast("timestamp_ntz").alias(c) if t == "timestamp" else F.col(c) for c, t in got.dtypes))
 

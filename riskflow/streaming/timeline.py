@@ -24,10 +24,12 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import sys
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from itertools import islice
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -327,3 +329,8 @@ def _us(interval: str) -> int:
     n, unit = interval.split()
     mult = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
     return int(float(n) * mult[unit.rstrip("s")] * 1_000_000)
+
+
+# Spark also starts a Python process beside the driver to read the state's layout; it does not see shipped
+# packages. The processors therefore travel by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
