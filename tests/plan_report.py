@@ -35,11 +35,11 @@ def main() -> None:
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = get_spark("local[8]", shuffle_partitions=8)
-    import __spark_entry__ as entry
+    from riskflow.plans import catalog
 
     print(f"| query | shuffles | reused | broadcasts | python ops | scans | pushed filters |")
     print("|---|---|---|---|---|---|---|")
-    for name, fn in entry.queries().items():
+    for name, fn in catalog.queries().items():
         if name in STREAMING:
             continue
         r = summarize(spark, fn(spark, sf))
