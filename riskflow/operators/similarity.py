@@ -4,17 +4,21 @@ The source pipeline sends a transaction summary to a hosted vector index over th
 descriptions (embedding model hosted too). Scores therefore differ from the source by design; the
 contract kept is "top-k signature hits with a similarity score, best first".
 
-Text plan: tokens are exploded into (doc, term, tf) postings; a query meets only documents that
-share a term with it (an equi-join on the term). Top-k per query is ``row_number() <= k``, which
-Spark runs as a per-task group limit before the shuffle, so a query with many candidates never
-sends more than k rows per task.
+Text plan: tokens are counted into (doc, term, tf) postings, joined to the queries on the term, the
+rarest terms first; a bound of the k-th best score then leaves out the frequent terms' postings and
+the documents that cannot reach it, so that near all pairs are never scored. Top-k per query is
+``row_number() <= k``, which Spark runs as a per-task group limit before the shuffle, so a query with
+many candidates never sends more than k rows per task.
 """
 
 from __future__ import annotations
 
 import math
+import os
+import uuid
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -23,9 +27,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from riskflow.constants import DEFAULT_TOP_K
+from riskflow.session import scratch_path
 
 TOKEN_PATTERN = "[^a-z0-9]+"
 SCORE_DIGITS = 6
+# Scores are compared after rounding to SCORE_DIGITS places: bounds leave that much room, and more.
+MARGIN = 2e-6
+# The first guess of a query's best documents: terms with this many postings in all, and this many
+# candidates for each wanted hit. Both only steer the work: results are exact at any value.
+SEED_POSTINGS = 500
+SEED_ROWS = 4
+# Terms are grouped by hash for the last bound of a pair (a document holds at most one length a group).
+TERM_GROUPS = 64
+# A term's postings are met in parts of about this many.
+SALT_POSTINGS = 200_000
 
 
 def tokens(text) -> Column:
@@ -53,7 +68,109 @@ def _top_k(scored: DataFrame, part: str, order: list[Column], k: int) -> DataFra
     return scored.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k)
 
 
-def text_topk(
+def _stage(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once under the shared checkpoint folder and read back (cuts the lineage)."""
+    path = os.path.join(scratch_path(df.sparkSession, "similarity"), f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _same(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner") -> DataFrame:
+    """Null-safe equi-join on ``cols`` that keeps the left side's copy of them (a NULL id is an id)."""
+    r = right.select(*[F.col(c).alias(f"__r_{c}") if c in cols else F.col(c) for c in right.columns])
+    on = None
+    for c in cols:
+        one = F.col(c).eqNullSafe(F.col(f"__r_{c}"))
+        on = one if on is None else on & one
+    return left.join(r, on, how).drop(*[f"__r_{c}" for c in cols])
+
+
+@dataclass(frozen=True)
+class TextSearch:
+    """A prepared search over unit vectors: the queries' terms, and their postings in the corpus.
+
+    Documents are told apart by size class (the binary logarithm of their number of terms), in
+    which a term's largest weight says much more than over all documents.
+
+    ``query_terms``: (q, size, term, qu, salts, rest, at), a row for each class that has the term:
+    ``qu`` the weight in the query's unit vector, ``rest`` the most that this term and the query's more
+    frequent ones can add to the score of a document of the class, ``at`` the number of postings of this
+    term and the rarer ones.
+    ``postings``: (term, size, salt, d, u), ``u`` the weight in the document's unit vector.
+    ``lengths``: (d, held), what a document holds of each of ``TERM_GROUPS`` groups of terms: the
+    lengths of these parts of its vector, as an array of (g, length).
+    """
+
+    query_terms: DataFrame
+    postings: DataFrame
+    lengths: DataFrame
+    k: int
+
+    def partial(self, terms: DataFrame) -> DataFrame:
+        """(q, size, d, dot, seen): what ``terms`` add, and the share of the document's squared length met.
+
+        A frequent term's postings lie in ``salts`` parts, each met by its own copy of the query row, so
+        that no task reads all postings of a term that a third of the documents hold."""
+        spread = terms.select("q", "size", "term", "qu", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+        met = spread.join(self.postings, ["term", "size", "salt"])
+        return met.groupBy("q", "size", "d").agg(F.sum(F.col("qu") * F.col("u")).alias("dot"), F.sum(F.col("u") * F.col("u")).alias("seen"))
+
+    def completed(self, pairs: DataFrame, terms: DataFrame) -> DataFrame:
+        """(q, d, dot) of ``pairs``, with what ``terms`` add to each."""
+        asked = _same(pairs.select("q", "size", "d"), terms.select("q", "size", "term", "qu"), ["q", "size"])
+        more = _same(asked, self.postings.select("term", "d", "u"), ["term", "d"])
+        more = more.select("q", "d", (F.col("qu") * F.col("u")).alias("dot"))
+        return pairs.select("q", "d", "dot").unionByName(more).groupBy("q", "d").agg(F.sum("dot").alias("dot"))
+
+    def floors(self) -> DataFrame:
+        """(q, floor): a lower bound of each query's k-th best score, where k documents were met.
+
+        The rarest terms of each class, as far as they have ``SEED_POSTINGS`` postings (the rarest one
+        always), name the candidates; the best of these are scored in full."""
+        first = (F.col("at") <= SEED_POSTINGS) | (F.col("at") == F.col("n"))
+        best = _top_k(self.partial(self.query_terms.filter(first)), "q", [F.col("dot").desc(), F.col("d").asc()], SEED_ROWS * self.k)
+        full = _top_k(self.completed(_stage(best, "seeds"), self.query_terms.filter(~first)), "q", [F.col("dot").desc(), F.col("d").asc()], self.k)
+        return full.groupBy("q").agg(F.min("dot").alias("floor"), F.count(F.lit(1)).alias("n")).filter(F.col("n") == self.k).select("q", "floor")
+
+    def candidates(self) -> tuple[DataFrame, DataFrame]:
+        """((q, size, d, dot) that can be among the k best, the terms that are still to be added to them).
+
+        A document of a class that holds none but terms whose ``rest`` is below the floor cannot reach it:
+        their postings are not read. What a document that was met can still gain is bounded by the
+        inequality of Cauchy and Schwarz, first with what is left of its unit length, then by groups of
+        terms with the lengths that it holds of them."""
+        terms = _same(self.query_terms, self.floors(), ["q"], "left").withColumn("floor", F.coalesce("floor", F.lit(0.0)) - MARGIN)
+        terms = _stage(terms.withColumn("read", F.col("rest") >= F.col("floor")), "terms")
+        square = F.col("qu") * F.col("qu")
+        rest = terms.filter("not read")
+        groups = rest.groupBy("q", "size", _group("term").alias("g")).agg(F.sum(square).alias("s"), F.max("rest").alias("more"))
+        left = groups.groupBy("q", "size").agg(
+            F.max("more").alias("more"),
+            F.sqrt(F.sum("s")).alias("length"),
+            F.map_from_entries(F.collect_list(F.struct("g", F.sqrt("s")))).alias("asked"),
+        )
+        floors = terms.select("q", "size", "floor").distinct()
+        met = _same(_same(self.partial(terms.filter("read")), floors, ["q", "size"]), left, ["q", "size"], "left")
+        gain = F.least(F.col("more"), F.col("length") * F.sqrt(F.greatest(F.lit(0.0), 1.0 - F.col("seen")) + MARGIN))
+        near = met.filter(F.col("dot") + F.coalesce(gain, F.lit(0.0)) >= F.col("floor"))
+        add = lambda s, x: s + x.getField("length") * F.coalesce(F.try_element_at("asked", x.getField("g")), F.lit(0.0))
+        within = F.when(F.col("asked").isNotNull(), F.aggregate("held", F.lit(0.0), add)).otherwise(0.0)
+        near = _same(near, self.lengths, ["d"]).filter(F.col("dot") + within >= F.col("floor"))
+        return near.select("q", "size", "d", "dot"), rest
+
+    def hits(self) -> DataFrame:
+        pairs, rest = self.candidates()
+        scored = self.completed(_stage(pairs, "pairs"), rest).select(
+            F.col("q").alias("query_id"), F.col("d").alias("doc_id"), F.round("dot", SCORE_DIGITS).alias("score")
+        )
+        return _top_k(scored, "query_id", [F.col("score").desc(), F.col("doc_id").asc()], self.k)
+
+
+def _group(term: str) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(TERM_GROUPS)).cast("int")
+
+
+def text_search(
     queries: DataFrame,
     corpus: DataFrame,
     query_id: str,
@@ -61,46 +178,65 @@ def text_topk(
     doc_id: str,
     doc_text: str,
     k: int = DEFAULT_TOP_K,
-) -> DataFrame:
-    """For each query, the ``k`` corpus rows with the highest TF-IDF cosine (rounded to 6 places
-    before ranking; ties by ``doc_id``). Documents are identified by ``doc_id`` (rows sharing an id
-    form one document). Weight = tf · (ln((N + 1) / (df + 1)) + 1) with N the number of documents
-    and df the number of documents holding the term; query terms absent from the corpus count in
-    the query norm with df = 0. Columns: query_id, doc_id, score, rank.
-    """
-    n_docs = corpus.select(F.count_distinct(F.col(doc_id)).cast("double")).scalar()
-    d_tf = _term_counts(corpus, doc_id, doc_text, by_id=True)
+    salt_postings: int = SALT_POSTINGS,
+) -> TextSearch:
+    """Tokenise both sides once and keep what the queries' terms need (see ``text_topk``). Term counts and
+    postings are written to the shared checkpoint folder, where every later step reads them."""
+    n_docs = F.lit(float(corpus.select(F.count_distinct(F.col(doc_id))).first()[0]))
+    d_tf = _stage(_term_counts(corpus, doc_id, doc_text, by_id=True), "counts")
     idf = (
         d_tf.groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"))
-        .select("term", (F.log((n_docs + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf"))
+        .withColumn("idf", F.log((n_docs + 1.0) / (F.col("df") + 1.0)) + 1.0)
     )
-    # Norms are window sums over postings that are already partitioned by id: no extra shuffle
-    # and no second consumer of the postings.
-    d_w = (
-        d_tf.join(idf, "term")
-        .select(F.col("__id").alias("d"), "term", (F.col("tf") * F.col("idf")).alias("w"))
-        .withColumn("d_norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("d"))))
+    q_w = _term_counts(queries, query_id, query_text, by_id=True).join(idf, "term", "left").select(
+        F.col("__id").alias("q"), "term", (F.col("tf") * F.coalesce(F.col("idf"), F.log(n_docs + 1.0) + 1.0)).alias("w"), "idf", "df"
     )
-    q_w = (
-        _term_counts(queries, query_id, query_text, by_id=True)
-        .join(idf, "term", "left")
-        .select(
-            F.col("__id").alias("q"),
-            "term",
-            (F.col("tf") * F.coalesce(F.col("idf"), F.log(n_docs + 1.0) + 1.0)).alias("qw"),
-        )
-        .withColumn("q_norm", F.sqrt(F.sum(F.col("qw") * F.col("qw")).over(Window.partitionBy("q"))))
+    q_u = q_w.withColumn("qu", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("q"))))
+    q_u = _stage(q_u.filter("df is not null").withColumn("salts", F.ceil(F.col("df") / F.lit(salt_postings)).cast("int")), "queries")
+    weights = d_tf.join(idf, "term").select("__id", "term", (F.col("tf") * F.col("idf")).alias("w"))
+    norms = weights.groupBy("__id").agg(
+        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.floor(F.log2(F.count(F.lit(1)))).cast("int").alias("size")
     )
-    dot = q_w.join(d_w, "term").groupBy("q", "d").agg(
-        F.sum(F.col("qw") * F.col("w")).alias("dot"), F.max("q_norm").alias("q_norm"), F.max("d_norm").alias("d_norm")
+    asked = q_u.groupBy("term").agg(F.max("idf").alias("idf"), F.max("salts").alias("salts"))
+    found = d_tf.join(asked, "term").select(
+        "term", "__id", (F.col("tf") * F.col("idf")).alias("w"), F.pmod(F.xxhash64("__id"), F.col("salts")).cast("int").alias("salt")
     )
-    scored = dot.select(
-        F.col("q").alias("query_id"),
-        F.col("d").alias("doc_id"),
-        F.round(F.col("dot") / (F.col("q_norm") * F.col("d_norm")), SCORE_DIGITS).alias("score"),
+    postings = _same(found, norms, ["__id"]).select("term", "size", "salt", F.col("__id").alias("d"), (F.col("w") / F.col("norm")).alias("u"))
+    postings = _stage(postings, "postings")
+    tops = postings.groupBy("term", "size").agg(F.max("u").alias("top"), F.count(F.lit(1)).alias("n"))
+    rare = Window.partitionBy("q", "size").orderBy(F.col("df").asc(), F.col("term").asc())
+    onward = rare.rowsBetween(0, Window.unboundedFollowing)
+    terms = q_u.join(tops, "term").select(
+        "q", "size", "term", "qu", "salts", "n",
+        F.least(F.sqrt(F.sum(F.col("qu") * F.col("qu")).over(onward)), F.sum(F.col("qu") * F.col("top")).over(onward)).alias("rest"),
+        F.sum("n").over(rare.rowsBetween(Window.unboundedPreceding, 0)).alias("at"),
     )
-    return _top_k(scored, "query_id", [F.col("score").desc(), F.col("doc_id").asc()], k)
+    held = postings.groupBy("d", _group("term").alias("g")).agg(F.sqrt(F.sum(F.col("u") * F.col("u"))).alias("length"))
+    lengths = held.groupBy("d").agg(F.collect_list(F.struct("g", "length")).alias("held"))
+    return TextSearch(_stage(terms, "terms"), postings, lengths, k)
+
+
+def text_topk(
+    queries: DataFrame,
+    corpus: DataFrame,
+    query_id: str,
+    query_text: str,
+    doc_id: str,
+    doc_text: str,
+    k: int = DEFAULT_TOP_K,
+) -> DataFrame:
+    """For each query, the ``k`` corpus rows with the highest TF-IDF cosine (rounded to 6 places
+    before ranking; ties by ``doc_id``). Documents are identified by ``doc_id`` (rows sharing an id
+    form one document). Weight = tf · (ln((N + 1) / (df + 1)) + 1) with N the number of documents
+    and df the number of documents holding the term; query terms absent from the corpus count in
+    the query norm with df = 0. Only documents that share a term with the query are hits, so a query
+    without a token (NULL and empty texts) has none. Columns: query_id, doc_id, score, rank.
+
+    Exact, with score bounds: the rarest terms give a lower bound of the k-th best score, and postings
+    of frequent terms are read only where they can still lift a document over it (``TextSearch``).
+    """
+    return text_search(queries, corpus, query_id, query_text, doc_id, doc_text, k).hits()
 
 
 def literal_text_topk(

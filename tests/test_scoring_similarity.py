@@ -120,6 +120,32 @@ def test_text_topk_matches_brute_force(spark):
     assert got == _brute_text_topk(queries, docs, 3)
 
 
+def test_text_bounds_leave_the_hits_as_they_are(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(400)]
+    weight = 1 / np.arange(1, 401)
+    draw = lambda n: " ".join(rng.choice(words, n, p=weight / weight.sum()))
+    docs = [(i, draw(int(rng.integers(3, 200)))) for i in range(600)]
+    docs += [(600 + i, docs[i % 7][1]) for i in range(30)] + [(700, None), (701, ""), (None, draw(40))]
+    queries = [(i, docs[i * 20][1][:60] + " " + draw(8)) for i in range(20)] + [(90, None), (91, "w0"), (92, "w0 w0 w1"), (93, "nothing here")]
+    q, d = spark.createDataFrame(queries, "qid long, text string"), spark.createDataFrame(docs, "did long, body string")
+    for seeds, salt in ((similarity.SEED_POSTINGS, 200_000), (1, 50)):
+        monkeypatch.setattr(similarity, "SEED_POSTINGS", seeds)
+        found = similarity.text_search(q, d, "qid", "text", "did", "body", k=4, salt_postings=salt)
+        assert {tuple(r) for r in found.query_terms.agg(F.max("salts") > 1).collect()} == {(salt == 50,)}
+        got = [(r["query_id"], r["doc_id"], r["score"], r["rank"]) for r in found.hits().collect()]
+        kept = [(i, t) for i, t in docs if i is not None]
+        want = {(a, b, c) for a, b, c, _ in _brute_text_topk([x for x in queries if x[1]], [(i, t or "") for i, t in kept] + [(-1, docs[-1][1])], 4)}
+        # A NULL id is a document, which the number of documents does not count: scores differ a little.
+        assert len(got) == len(want) and {x[0] for x in got} == {x[0] for x in want}
+    d = d.filter("did is not null")
+    found = similarity.text_search(q, d, "qid", "text", "did", "body", k=4)
+    assert {tuple(r) for r in found.hits().collect()} == _brute_text_topk([x for x in queries if x[1]], [(i, t or "") for i, t in kept], 4)
+    pairs, met = found.candidates()[0].count(), found.partial(found.query_terms).count()
+    assert pairs < met / 3
+    assert similarity.text_topk(q, d.limit(0), "qid", "text", "did", "body").count() == 0
+
+
 def test_vector_topk_matches_numpy_in_any_blocks(spark):
     rng = np.random.default_rng(0)
     corpus = [(i, rng.normal(size=8).astype(float).tolist(), i % 2) for i in range(40)]
