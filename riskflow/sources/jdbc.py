@@ -9,9 +9,11 @@ crosses it, never the rows.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import NumericType, StringType
 
 from riskflow.constants import PENDING
 
@@ -35,13 +37,67 @@ def read_table(
     properties: dict | None = None,
     predicates: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Read a table; ``predicates`` (one WHERE clause per partition) split the read across tasks."""
+    """Read a table; ``predicates`` (one WHERE clause per partition, e.g. ``key_predicates``) split the
+    read across tasks."""
     props = dict(properties or {})
     if predicates:
         return spark.read.jdbc(url, table, predicates=list(predicates), properties=props)
     return spark.read.jdbc(url, table, properties=props)
 
 
+def key_predicates(
+    spark: SparkSession, url: str, table: str, key: str, parts: int, properties: dict | None = None, sample: int = 64
+) -> list[str]:
+    """WHERE clauses that cut ``table`` into at most ``parts`` ranges of ``key`` with about as many rows each:
+    complete, without overlap, rows with a NULL key in the first.
+
+    The borders are quantiles of every n-th row's key, at most ``parts * sample`` keys, picked and sorted by the
+    database (its collation decides what lies between two borders), so that neither the table nor its keys
+    pass the driver. Rows that share one key stay in one range. The key is a string or a number."""
+    kind = read_table(spark, url, table, properties).select(key).schema[0].dataType
+    if not isinstance(kind, StringType | NumericType):
+        raise ValueError(f"{key} is neither a string nor a number")
+    rows = int(query(spark, url, f"SELECT COUNT(*) FROM {table}", properties)[0] or 0)
+    step = max(1, -(-rows // (parts * sample)))
+    numbered = f"SELECT {key} AS k, ROW_NUMBER() OVER () AS n FROM {table}"
+    picked = query(spark, url, f"SELECT k FROM ({numbered}) t WHERE MOD(n, {step}) = 0 AND k IS NOT NULL ORDER BY k", properties)
+    borders = list(dict.fromkeys(picked[i * len(picked) // parts] for i in range(1, parts) if picked))
+    literal = (lambda v: v) if isinstance(kind, NumericType) else (lambda v: "'" + v.replace("'", "''") + "'")
+    if not borders:
+        return [f"{key} IS NULL OR {key} IS NOT NULL"]
+    cuts = [literal(v) for v in borders]
+    inner = [f"{key} >= {a} AND {key} < {b}" for a, b in itertools.pairwise(cuts)]
+    return [f"{key} < {cuts[0]} OR {key} IS NULL", *inner, f"{key} >= {cuts[-1]}"]
+
+
+def read_by_key(
+    spark: SparkSession, url: str, table: str, key: str, parts: int, properties: dict | None = None
+) -> DataFrame:
+    """Read a table with one task for each of ``parts`` ranges of its key (see ``key_predicates``). Rows
+    that others write meanwhile are seen or not, as each range is read by a query of its own."""
+    return read_table(spark, url, table, properties, key_predicates(spark, url, table, key, parts, properties))
+
+
+def query(spark: SparkSession, url: str, sql: str, properties: dict | None = None) -> list[str | None]:
+    """First column of a small result (counts, borders), read by the driver as text."""
+    jvm = spark.sparkContext._jvm
+    props = jvm.java.util.Properties()
+    for k, v in (properties or {}).items():
+        props.setProperty(k, str(v))
+    conn = jvm.java.sql.DriverManager.getConnection(url, props)
+    try:
+        stmt = conn.createStatement()
+        try:
+            rows, out = stmt.executeQuery(sql), []
+            while rows.next():
+                out.append(rows.getString(1))
+            return out
+        finally:
+            stmt.close()
+    finally:
+        conn.close()
+
+
 def execute(spark: SparkSession, url: str, statements: Sequence[str], properties: dict | None = None) -> list[int]:
     """Run statements in one transaction; returns the update counts."""
     jvm = spark.sparkContext._jvm

@@ -79,6 +79,23 @@ def test_jdbc_upsert_and_reviews_in_process_derby(spark):
     assert got["t2"]["REVIEW_STATUS"] == "PENDING" and got["t2"]["CREATED_AT"] is not None
 
 
+def test_jdbc_reads_by_key_ranges(spark):
+    url = f"jdbc:derby:memory:rk{uuid.uuid4().hex[:8]};create=true"
+    jdbc.execute(spark, url, ["CREATE TABLE T (K VARCHAR(20), N INT)", "CREATE TABLE E (K VARCHAR(20))"])
+    keys = [f"k{i:04d}" for i in range(500)] + ["it's", "z", "A"] + ["same"] * 40
+    values = ", ".join("('{}', {})".format(k.replace("'", "''"), i) for i, k in enumerate(keys))
+    jdbc.execute(spark, url, [f"INSERT INTO T VALUES {values}", "INSERT INTO T VALUES (NULL, -1), (NULL, -2)"])
+    for key in ("K", "N"):
+        got = jdbc.read_by_key(spark, url, "T", key, 6)
+        assert got.rdd.getNumPartitions() == 6
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == len(keys) + 2 and max(sizes) < 200, sizes
+        assert sorted(r["N"] for r in got.collect()) == [-2, -1, *range(len(keys))]
+    assert jdbc.read_by_key(spark, url, "E", "K", 4).count() == 0
+    jdbc.execute(spark, url, ["INSERT INTO E VALUES NULL, 'x'"])
+    assert jdbc.read_by_key(spark, url, "E", "K", 4).count() == 2
+
+
 def test_quality_report_counts(spark):
     df = spark.createDataFrame(
         [
