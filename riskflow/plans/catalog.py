@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.functions.timefn import minutes_between
-from riskflow.operators import features, governance, quality, scoring, similarity, travel, triage
+from riskflow.operators import features, governance, quality, scoring, similarity, travel, triage, vector_index
 from riskflow.operators.sequence import interval_join
 from riskflow.plans import kpis, oracle, silver
 from riskflow.session import scratch_path
-from riskflow.sources import fixtures, ingest
+from riskflow.sources import fixtures, ingest, state
 from riskflow.streaming.timeline import ip_change_stream, travel_stream, wire_rule_stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -359,6 +359,20 @@ def q_incremental_sync(spark, sf_dir):
     return triage.apply_changes(old, changes, ["transaction_id"])
 
 
+@register("incremental_state", oracle.FULL + "SELECT * FROM reviewed")
+def q_incremental_state(spark, sf_dir):
+    """Two copies of the operational state in key buckets: decisions rewrite the buckets they touch in one,
+    the other follows by the digests."""
+    r = _rel(spark, sf_dir)
+    run = uuid.uuid4().hex[:8]
+    source, copy = f"state_{run}", f"state_copy_{run}"
+    for name in (source, copy):
+        state.create_state(spark, triage.to_operational(r["triage"]), name, ["transaction_id"], 32, scratch_path(spark, "state"))
+    state.change_state(spark, source, r["decisions"], lambda rows, d: triage.apply_reviews(rows, d, AS_OF))
+    state.sync_state(spark, source, copy)
+    return state.read_buckets(spark, copy)
+
+
 # ---- step 7: similarity ----------------------------------------------------------------------------
 
 
@@ -468,22 +482,30 @@ def q_vector_topk(spark, sf_dir):
     return similarity.vector_topk(cents, emb, "label", "centroid", "vec_id", "embedding", by="label")
 
 
-@register(
-    "vector_topk_open",
-    """WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+_OPEN_TOPK = """WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 n AS (SELECT vec_id, v, sqrt(list_dot_product(v, v)) AS norm FROM e),
 sc AS (SELECT q.vec_id AS query_id, d.vec_id AS doc_id, round(list_dot_product(q.v, d.v) / nullif(q.norm * d.norm, 0), 6) AS score
        FROM n q, n d WHERE q.vec_id % 20 = 0)
 SELECT query_id, doc_id, score, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC NULLS LAST, doc_id) AS rank FROM sc)
-WHERE rank <= 5""",
-)
+WHERE rank <= 5"""
+
+
+@register("vector_topk_open", _OPEN_TOPK)
 def q_vector_open(spark, sf_dir):
     """For each embedding whose id is divisible by 20, the 5 closest (cosine) of all stored embeddings."""
     emb = fixtures.table(spark, sf_dir, "embeddings")
     return similarity.vector_topk(emb.filter("vec_id % 20 = 0"), emb, "vec_id", "embedding", "vec_id", "embedding")
 
 
+@register("vector_topk_index", _OPEN_TOPK)
+def q_vector_index(spark, sf_dir):
+    """The same hits through an index of lists, in its exact form."""
+    emb = fixtures.table(spark, sf_dir, "embeddings")
+    index = vector_index.build_index(emb, "vec_id", "embedding")
+    return vector_index.search(index, emb.filter("vec_id % 20 = 0"), "vec_id", "embedding")
+
+
 # ---- step 8: quality and masking -------------------------------------------------------------------
 
 

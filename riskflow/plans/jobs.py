@@ -17,7 +17,7 @@ from riskflow.operators import scoring, triage
 from riskflow.operators.travel import impossible_travel
 from riskflow.plans import silver
 from riskflow.schemas import OPERATIONAL_TRIAGE, TRIAGE
-from riskflow.sources import tables
+from riskflow.sources import state, tables
 
 
 @dataclass(frozen=True)
@@ -88,7 +88,13 @@ def score_and_store(spark: SparkSession, names: Names, as_of, bucket_count: int
 
 def apply_review_decisions(spark: SparkSession, names: Names, decisions: DataFrame, as_of, bucket_count: int | None = None) -> None:
     """Apply analyst decisions to the operational state, then copy the review fields to gold so
-    the false-positive view sees them (the source pipeline never copies them back)."""
+    the false-positive view sees them (the source pipeline never copies them back). States kept in key
+    buckets (``keep_in_buckets``) have the buckets of the decided keys rewritten, and no others."""
+    if state.is_bucketed(spark, names.operational) and state.is_bucketed(spark, names.gold):
+        touched = state.change_state(spark, names.operational, decisions, lambda rows, d: triage.apply_reviews(rows, d, as_of))
+        decided = state.read_buckets(spark, names.operational, touched).join(decisions.select(triage.KEY).distinct(), triage.KEY, "left_semi")
+        state.change_state(spark, names.gold, decided, triage.sync_reviews)
+        return
     reviewed = triage.apply_reviews(tables.read_state(spark, names.operational), decisions, as_of)
     bucket = (bucket_count, [triage.KEY]) if bucket_count else None
     tables.publish(spark, reviewed, names.operational, bucket_by=bucket)
@@ -96,8 +102,20 @@ def apply_review_decisions(spark: SparkSession, names: Names, decisions: DataFra
     tables.publish(spark, synced, names.gold, bucket_by=bucket)
 
 
+def keep_in_buckets(spark: SparkSession, names: Names, buckets: int) -> None:
+    """Turn the gold and operational tables into states in key buckets (``sources.state``)."""
+    for name in (names.gold, names.operational):
+        if not state.is_bucketed(spark, name):
+            kept = f"{name}__whole"
+            spark.sql(f"DROP TABLE IF EXISTS {kept}")
+            spark.sql(f"ALTER TABLE {name} RENAME TO {kept}")
+            state.create_state(spark, spark.table(kept), name, [triage.KEY], buckets)
+            spark.sql(f"DROP TABLE {kept}")
+
+
 def create_kpi_views(spark: SparkSession, names: Names) -> None:
-    """The three certified queries (``kpis``) as SQL views, which follow the tables as they are republished."""
+    """The three certified queries (``kpis``) as views of the catalog's gold layer. They name their tables, so
+    that they outlive the session and follow the tables as they are republished."""
     quoted = lambda values: ", ".join(f"'{v}'" for v in values)
     views = {
         "v_false_positive_ratio": f"""
@@ -105,16 +123,15 @@ def create_kpi_views(spark: SparkSession, names: Names) -> None:
                    count(*) AS total_flagged
             FROM {names.gold} WHERE review_status IN ({quoted(FPR_REVIEWED_STATUSES)})""",
         "v_account_takeover_rate": f"""
-            WITH travellers AS (SELECT DISTINCT user_id FROM {names.travel}),
-            marked AS (SELECT a.user_id, (a.mfa_change_flag AND a.high_value_wire) OR t.user_id IS NOT NULL AS hit
-                       FROM {names.activity} a LEFT JOIN travellers t ON a.user_id = t.user_id)
-            SELECT count(DISTINCT user_id) FILTER (WHERE hit) AS ato_user_count, count_if(hit) AS ato_event_count FROM marked""",
+            SELECT count(DISTINCT user_id) AS ato_user_count, count(*) AS ato_event_count
+            FROM {names.activity}
+            WHERE (mfa_change_flag AND high_value_wire) OR user_id IN (SELECT user_id FROM {names.travel})""",
         "v_wire_10k_mfa_24h": f"""
             SELECT transaction_id, user_id, amount, transaction_time, mfa_change_flag, ip_changed_recently
             FROM {names.activity} WHERE high_value_wire AND mfa_change_flag""",
     }
     for name, body in views.items():
-        spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {names.prefix}{name} AS {body}")
+        spark.sql(f"CREATE OR REPLACE VIEW {names.view(name)} AS {body}")
 
 
 def run_pipeline(

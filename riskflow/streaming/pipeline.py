@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from riskflow.constants import HIGH_VALUE_AMOUNT, RECENT_IP_CHANGE_MINUTES, WIRE_TYPE
 from riskflow.operators import triage
 from riskflow.sources import ingest
+from riskflow.sources import state as state_tables
 from riskflow.schemas import OPERATIONAL_TRIAGE
 from riskflow.session import scratch_path
 
@@ -91,10 +92,13 @@ class TriageSink:
 
     Per batch: keep the latest update per key, upsert into the current state, publish the new
     state (staged swap) and record the batch id; a replayed batch id is skipped, so the sink is
-    idempotent under retries.
+    idempotent under retries. With ``buckets`` the state is kept in that many key buckets
+    (``sources.state``): a batch reads and writes the buckets of its keys only, and the batch id is a
+    property of the table.
     """
 
-    def __init__(self, spark: SparkSession, table: str, order: list[str], log_table: str | None = None):
+    def __init__(self, spark: SparkSession, table: str, order: list[str], log_table: str | None = None, buckets: int | None = None):
+        self.buckets = buckets
         self.spark = spark
         self.table = table
         self.order = order
@@ -108,12 +112,19 @@ class TriageSink:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         from riskflow.sources.tables import publish, read_state
 
-        if self._done(batch_id):
+        if self.buckets is None and self._done(batch_id):
             return
         batch = batch.persist()  # read twice below (the batch time, then the upsert)
         try:
             as_of = batch.agg(F.max(self.order[0])).collect()[0][0]
             stamp = as_of if as_of is not None else F.current_timestamp()
+            if self.buckets is not None:
+                if not state_tables.is_bucketed(self.spark, self.table):
+                    empty = self.spark.createDataFrame([], OPERATIONAL_TRIAGE)
+                    state_tables.create_state(self.spark, empty, self.table, [triage.KEY], self.buckets)
+                upsert = lambda rows, changes: triage.upsert_triage(rows, changes, stamp, order=self.order)
+                state_tables.change_state(self.spark, self.table, batch, upsert, batch_id)
+                return
             state = read_state(self.spark, self.table, OPERATIONAL_TRIAGE)
             new_state = triage.upsert_triage(state, batch, stamp, order=self.order)
             publish(self.spark, new_state, self.table)

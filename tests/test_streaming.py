@@ -114,7 +114,8 @@ def test_csv_ingest_stream_equals_batch_read(spark, rel):
     assert want.subtract(got).count() == 0
 
 
-def test_triage_sink_is_idempotent_per_batch(spark):
+@pytest.mark.parametrize("buckets", [None, 8])
+def test_triage_sink_is_idempotent_per_batch(spark, buckets):
     name = f"default.triage_{uuid.uuid4().hex[:6]}"
     d = tempfile.mkdtemp(prefix="riskflow-w6-")
     rows = [
@@ -124,7 +125,7 @@ def test_triage_sink_is_idempotent_per_batch(spark):
     ]
     schema = "transaction_id string, user_id string, risk_score double, risk_level string, automated_action string, action_reason string, scored_at timestamp_ntz"
     spark.createDataFrame(rows, schema).write.parquet(f"{d}/updates")
-    sink = TriageSink(spark, name, order=["scored_at"])
+    sink = TriageSink(spark, name, order=["scored_at"], buckets=buckets)
     q = start_triage_sink(spark.readStream.schema(schema).parquet(f"{d}/updates"), sink, f"{d}/ck")
     q.awaitTermination()
     state = {r["transaction_id"]: r for r in spark.table(name).collect()}
