@@ -18,20 +18,36 @@ from riskflow.llm.common import fresh, prepare, stage, table
 from riskflow.session import scratch_path
 
 
+def _prefix(docs: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``docs`` starts with it."""
+    while any(c.lower().startswith(name) for c in docs.columns):
+        name += "_"
+    return name
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that language identification does not reject; it learns from those with a language."""
+    """Documents that language identification does not reject; it learns from those with a language.
+
+    Null and empty texts and texts without a letter go; without a labelled text all go. Repeated rows are
+    judged alike, each on its own; null ids and further columns are kept; an empty table stays empty."""
     prepare(spark)
-    judged = language_id.predict(docs, language_id.fit(docs), keep=tuple(c for c in docs.columns if c != "doc_id"), prefix="__judged_")
-    return judged.filter("not __judged_rejected").select(*docs.columns)
+    own = _prefix(docs, "__judged_")
+    judged = language_id.predict(docs, language_id.fit(docs), keep=tuple(c for c in docs.columns if c != "doc_id"), prefix=own)
+    return judged.filter(f"not `{own}rejected`").select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their recurring lines; a document that loses its last words goes."""
+    """Documents without their recurring lines; a document that loses its last words goes.
+
+    Null and empty texts, from which nothing is dropped, stay; so do null ids, repeated rows and further
+    columns, as ``line_dedup.dedup`` states; an empty table stays empty."""
     prepare(spark)
-    left = line_dedup.dedup(docs, prefix="__lines_")
-    left = left.filter((F.col("__lines_n_dropped") == 0) | (F.btrim("text", F.lit(" \t\r\n")) != ""))
+    own = _prefix(docs, "__lines_")
+    left = line_dedup.dedup(docs, prefix=own)
+    dropped = F.col(f"{own}n_dropped")
+    left = left.filter((dropped == 0) | (F.btrim("text", F.lit(" \t\r\n")) != ""))
     if "n_chars" in docs.columns:
-        changed = F.when(F.col("__lines_n_dropped") == 0, F.col("n_chars")).otherwise(F.length("text"))
+        changed = F.when(dropped == 0, F.col("n_chars")).otherwise(F.length("text"))
         left = left.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
     return left.select(*docs.columns)
 
