@@ -177,12 +177,15 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     so is every text if nothing could be learned. Other texts get the likeliest language, and are
     rejected if its calibrated probability is below the model's threshold. Whole texts are read.
     """
-    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("__text"), *keep)
+    text = "__text"
+    while text.lower() in {c.lower() for c in keep}:
+        text += "_"
+    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias(text), *keep)
     out = T.StructType([src.schema["doc_id"], *(src.schema[c] for c in keep), T.StructField(f"{prefix}lang_pred", T.StringType()), T.StructField(f"{prefix}score", T.DoubleType()), T.StructField(f"{prefix}rejected", T.BooleanType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            col = column(b, "__text")
+            col = column(b, text)
             offsets, data = text_bytes(col)
             known = np.array([x.is_valid and _LETTER.search(x.as_py()) is not None for x in col], bool)
             lang, score = np.full(len(col), UNDETERMINED, object), np.zeros(len(col))

@@ -25,12 +25,16 @@ from pyspark.sql import functions as F
 from riskflow.llm.common import column
 
 KINDS = ("email", "ip", "card", "phone")
+# Each with the characters of its first run. The character after such a run decides for every start in it,
+# so that a run is tried at its start, or where the last match ended within it, and never given back.
 _PATTERN = {
-    "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
-    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
-    "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
-    "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
+    "email": (r"[A-Za-z0-9._%+-]", r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"),
+    "ip": (r"[0-9]", r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"),
+    "card": (None, r"[0-9](?:[\x20-]?[0-9])++"),
+    "phone": (None, r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
+_HERE = {kind: re.compile(body) for kind, (_, body) in _PATTERN.items()}
+_NEXT = {kind: re.compile(f"(?<!{run}){body}" if run else body) for kind, (run, body) in _PATTERN.items()}
 _DIGIT = re.compile(r"[0-9]")
 _TRIGGER = re.compile(r"[0-9@]+")
 _TOKEN = re.compile(r"\S+")
@@ -60,6 +64,14 @@ def _holds(kind: str, s: str) -> bool:
     return 14 <= len(digits) <= 19 and luhn(digits) if kind == "card" else 10 <= len(digits) <= 15
 
 
+def _matches(kind: str, text: str) -> Iterator[re.Match]:
+    """Leftmost non-overlapping matches, in time linear in the text."""
+    at = 0
+    while m := _HERE[kind].match(text, at) or _NEXT[kind].search(text, at):
+        yield m
+        at = m.end()
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, kind's place in KINDS, ...) of the fixed patterns, by start, then kind; in code points."""
     found = []
@@ -67,7 +79,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     for k, kind in enumerate(KINDS):
         if not ("@" in text if kind == "email" else has_digit and (kind != "phone" or "+" in text)):
             continue
-        found += [(m.start(), k, m.end()) for m in _PATTERN[kind].finditer(text) if _holds(kind, m[0])]
+        found += [(m.start(), k, m.end()) for m in _matches(kind, text) if _holds(kind, m[0])]
     return sorted(found)
 
 

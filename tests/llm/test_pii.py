@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 from riskflow.llm import pii
 
@@ -28,12 +29,21 @@ def _plain(text):
 
 def test_base_spans_equal_a_plain_loop():
     rnd = random.Random(1)
-    bits = ["a@b.c", "x.y@z-1.com.de", "@", ".", "1.2.3.4", "256.1.1.1", "1.2.3.4.5", "4111 1111 1111 1111", "4111111111111111", "4111-1111-1111-1112", "+1 (234) 555-6789", "+12", "٣", "é", "\n", " ", "0" * 30, "+", "-", "7"]
+    bits = ["a@b.c_", "_d@", "e.f", "@x.y.", "1.2.3.4a@", "..", "1.2.", "%", "a@b.c", "x.y@z-1.com.de", "@", ".", "1.2.3.4", "256.1.1.1", "1.2.3.4.5", "4111 1111 1111 1111", "4111111111111111", "4111-1111-1111-1112", "+1 (234) 555-6789", "+12", "٣", "é", "\n", " ", "0" * 30, "+", "-", "7"]
     for _ in range(3000):
         t = "".join(rnd.choice(bits) for _ in range(rnd.randrange(7)))
         assert pii.base_spans(t) == _plain(t), t
 
 
+def test_long_runs_take_linear_time():
+    n = 1_000_000
+    runs = ["7" * n, "a" * n + "@", "a@" * (n // 2), "1." * (n // 2), "+" + "1-" * (n // 2), "a@" + "b" * n, "a@b." * (n // 4), "1 " * (n // 2), "+1" + "(" * n, "a." * (n // 2) + "@ 1"]
+    for text in runs:
+        start = time.process_time()
+        pii.base_spans(text)
+        assert time.process_time() - start < 2, text[:10]
+
+
 def test_the_field_on_new_rows():
     crf = pii.train()
     rows = pii.labelled_table(3, seed=12345)

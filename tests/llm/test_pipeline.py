@@ -16,6 +16,8 @@ SF = "/root/testdata/sf0.001"
 
 def test_stages_on_all_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("score", F.lit(1)).withColumn("__rid", F.lit(2))
+    for name in ("__text", "__judged_rejected", "__lines_n_dropped", "__gone"):
+        docs = docs.withColumn(name, F.lit("x"))
     seen = [docs]
     for name, stage in cp.STAGES[:-1]:
         out = stage(spark, seen[-1], SF)
