@@ -330,3 +330,43 @@ def test_no_call_sees_more_than_a_bucket(spark):
     assert sum(len(x[0].split("\n")) for x in handle.lists["pending"]) == 2500
     out = list(p.handleExpiredTimer(("u", 0), Times(90_000_000), None))
     assert [r.kind for r in out].count(tl._RESULT) == 2500 and not handle.lists["pending"] and not handle.values["last"]
+
+
+def test_users_of_a_slot_share_a_call(spark, rel):
+    """One call holds many users (calls and state accesses cost by the key), each with a sequence of its own; results
+    leave in frames of bounded size."""
+    import json
+
+    from pyspark.sql import Row
+
+    from riskflow.operators.sequence import interval_join
+    from riskflow.streaming import timeline as tl
+
+    class Held(list):
+        exists, update = (lambda self: bool(self)), (lambda self, row: self.__init__([row]))
+        get, appendList, put = (lambda self: list(self)), (lambda self, rows: self.extend(rows)), (lambda self, rows: self.__init__(rows))
+
+    class Handle:
+        registerTimer = getListState = getValueState = lambda self, *a: Held()
+
+    class Times:
+        getCurrentWatermarkInMs = lambda self: 10**9
+
+    p = tl._Frames(tl._Buckets(tl._changed, None, tl._us("1 day")), tuple(tl._Step))
+    p.init(Handle())
+    line = lambda k: json.dumps({"us": k, "user": f"u{k % 3}", "login_id": str(k), "ip": "a" if k < 2400 else "b"})
+    frame = spark.createDataFrame([Row(us=k, row=line(k)) for k in range(3000)]).toPandas()
+    list(p.handleInputRows((7, 0), iter([frame[::-1], frame]), Times()))
+    out = list(p.handleExpiredTimer((7, 0), Times(), None))
+    assert all(len(f) <= tl.CHUNK for f in out)
+    rows = [r for f in out for r in f.itertuples()]
+    assert [(r.user_id, json.loads(r.row)["us"], json.loads(r.prev)["us"]) for r in rows if r.kind == tl._RESULT] == [(f"u{k % 3}", k, k - 3) for k in (2400, 2401, 2402)]
+    assert sorted((r.user_id, r.kind) for r in rows if r.kind != tl._RESULT) == [(f"u{u}", k) for u in range(3) for k in (tl._FIRST, tl._LAST)]
+
+    d = tempfile.mkdtemp(prefix="riskflow-slots-")
+    logins, login_stream, wires, wire_stream = _skewed(spark, rel, d)
+    _run_memory(wire_rule_stream(wire_stream, login_stream, slots=2, wire_slots=1), "slot_wire", f"{d}/wire")
+    changes = ip_changes(logins).select(F.col("user_id").alias("ip_user_id"), "new_ip", "ip_change_time")
+    pairs = interval_join(wires, changes, by="user_id", right_by="ip_user_id", left_time="transaction_time", right_time="ip_change_time", lookback_seconds=3600)
+    want = pairs.select("transaction_id", "user_id", "amount", "transaction_time", "new_ip", "ip_change_time")
+    assert _as_batch(spark.table("slot_wire"), want) == sorted(map(str, want.collect()))
