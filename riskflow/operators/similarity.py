@@ -351,41 +351,70 @@ def vector_topk(
     found = None
     for b in range(blocks):
         block = q.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b).collect()
-        sent = q.sparkSession.sparkContext.broadcast([(r[0], None if r[1] is None else [float("nan") if x is None else float(x) for x in r[1]]) for r in block])
+        sent = q.sparkSession.sparkContext.broadcast(_by_length([(r[0], None if r[1] is None else [float("nan") if x is None else float(x) for x in r[1]]) for r in block]))
         part = d.mapInPandas(_block_search(sent, k), schema)
         found = part if found is None else found.unionByName(part)
     return _top_k(found, "query_id", order, k)
 
 
-def _block_search(sent, k: int):
-    """Scores of a block of queries against a task's rows: the k best of each query."""
+#: Queries and corpus rows that are scored at once.
+SCORE_QUERIES, SCORE_ROWS = 256, 2048
+
+
+def _matrix(rows: list, size: int) -> np.ndarray:
+    """The vectors, those that are NULL or have another length as NaN."""
+    m = np.full((len(rows), size), np.nan)
+    for i, v in enumerate(rows):
+        if v is not None and len(v) == size:
+            m[i] = v
+    return m
+
+
+def _by_length(rows: list) -> list[tuple[int, list, np.ndarray]]:
+    """(length, ids, vectors as one array) of (id, vector) rows; -1 is the length of NULL."""
+    found: dict[int, list] = {}
+    for r in rows:
+        found.setdefault(-1 if r[1] is None else len(r[1]), []).append(r)
+    return [(n, [r[0] for r in some], _matrix([r[1] for r in some], max(n, 0))) for n, some in found.items()]
 
-    def unit(rows: list, size: int) -> np.ndarray:
-        m = np.full((len(rows), size), np.nan)
-        for i, v in enumerate(rows):
-            if v is not None and len(v) == size:
-                m[i] = v
-        norm = np.sqrt((m * m).sum(axis=1, keepdims=True))
-        return m / np.where(norm == 0, np.nan, norm)
+
+def _unit(m: np.ndarray) -> np.ndarray:
+    norm = np.sqrt((m * m).sum(axis=1, keepdims=True))
+    return m / np.where(norm == 0, np.nan, norm)
+
+
+def _block_search(sent, k: int):
+    """Scores of a block of queries against a task's rows: the k best of each query. A task holds the block and its
+    hits as arrays, and the scores of ``SCORE_QUERIES`` queries against ``SCORE_ROWS`` rows."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        asked: dict[int, list] = {}
-        for i, v in sent.value:
-            asked.setdefault(-1 if v is None else len(v), []).append((i, v))
-        units = {n: unit([v for _, v in rows], max(n, 0)) for n, rows in asked.items()}
-        best: pd.DataFrame | None = None
+        asked = [(n, ids, _unit(m)) for n, ids, m in sent.value]
+        best: list = [None] * len(asked)
         for pdf in batches:
-            for a in range(0, len(pdf), 2048):
-                ids, vecs = pdf["doc_id"].to_numpy()[a : a + 2048], list(pdf["__dv"])[a : a + 2048]
-                for n, rows in asked.items():
-                    sim = np.round(units[n] @ unit(vecs, max(n, 0)).T, SCORE_DIGITS) if n > 0 else np.full((len(rows), len(ids)), np.nan)
-                    rank = np.lexsort((np.broadcast_to(ids, sim.shape), np.where(np.isnan(sim), np.inf, -sim)), axis=1)[:, :k]
-                    got = pd.DataFrame({"query_id": np.repeat([i for i, _ in rows], rank.shape[1]), "doc_id": ids[rank].ravel(), "score": np.take_along_axis(sim, rank, 1).ravel()})
-                    best = got if best is None else pd.concat([best, got], ignore_index=True)
-            if best is not None:
-                best = best.sort_values(["query_id", "score", "doc_id"], ascending=[True, False, True], na_position="last").groupby("query_id", sort=False).head(k)
-        if best is not None:
-            yield best.assign(score=best["score"].astype("object").where(best["score"].notna(), None))
+            for a in range(0, len(pdf), SCORE_ROWS):
+                some = pdf.iloc[a : a + SCORE_ROWS].sort_values("doc_id", kind="stable")
+                ids, vecs = some["doc_id"].to_numpy(), list(some["__dv"])
+                for at, (n, queries, units) in enumerate(asked):
+                    docs = _unit(_matrix(vecs, max(n, 0)))
+                    if best[at] is None:
+                        best[at] = np.zeros((len(queries), 0)), np.zeros((len(queries), 0), ids.dtype)
+                    width = min(k, best[at][0].shape[1] + len(ids))
+                    score, doc = np.empty((len(queries), width)), np.empty((len(queries), width), np.result_type(ids, best[at][1]))
+                    for i in range(0, len(queries), SCORE_QUERIES):
+                        j = min(len(queries), i + SCORE_QUERIES)
+                        sim = np.round(units[i:j] @ docs.T, SCORE_DIGITS) if n > 0 else np.full((j - i, len(ids)), np.nan)
+                        # Rows lie by id, so that of equal scores the smallest ids stay.
+                        top = np.argsort(np.where(np.isnan(sim), np.inf, -sim), axis=1, kind="stable")[:, :k]
+                        new = np.concatenate([best[at][0][i:j], np.take_along_axis(sim, top, 1)], axis=1)
+                        who = np.concatenate([best[at][1][i:j], ids[top]], axis=1)
+                        order = np.lexsort((who, np.where(np.isnan(new), np.inf, -new)), axis=1)[:, :width]
+                        score[i:j], doc[i:j] = np.take_along_axis(new, order, 1), np.take_along_axis(who, order, 1)
+                    best[at] = score, doc
+        for at, (_, queries, _) in enumerate(asked):
+            for i in range(0, len(queries) if best[at] is not None else 0, SCORE_ROWS):
+                score, doc = best[at][0][i : i + SCORE_ROWS], best[at][1][i : i + SCORE_ROWS]
+                got = pd.DataFrame({"query_id": pd.Series(queries[i : i + SCORE_ROWS], dtype=object).repeat(score.shape[1]).to_numpy(), "doc_id": doc.ravel(), "score": score.ravel()})
+                yield got.assign(score=got["score"].astype("object").where(got["score"].notna(), None))
 
     return run
 

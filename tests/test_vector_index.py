@@ -52,3 +52,33 @@ def test_odd_vectors_and_empty_tables(spark):
     none = vector_index.build_index(corpus.limit(0), "id", "v")
     assert vector_index.search(none, corpus, "id", "v").count() == 0
     assert vector_index.search(index, corpus.limit(0), "id", "v").count() == 0
+
+
+def test_open_search_holds_few_scores_at_once():
+    """A task's memory follows the block of queries and its hits, not queries times rows; hits equal brute force."""
+    import tracemalloc
+
+    import pandas as pd
+
+    from riskflow.operators import similarity
+
+    rng = np.random.default_rng(3)
+    queries, docs = rng.integers(-3, 4, (6000, 8)).astype(float), rng.integers(-3, 4, (3000, 8)).astype(float)
+    docs[:3] = 0
+    asked = [(i, list(v)) for i, v in enumerate(queries)] + [(None, list(queries[0])), (-1, None), (-2, [1.0])]
+
+    class Sent:
+        value = similarity._by_length(asked)
+
+    frames = [pd.DataFrame({"doc_id": np.arange(a, a + 1000)[::-1], "__dv": list(docs[a : a + 1000][::-1])}) for a in range(0, 3000, 1000)]
+    tracemalloc.start()
+    got = pd.concat(similarity._block_search(Sent, 5)(iter(frames)), ignore_index=True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6, peak
+    assert len(got) == 5 * len(asked) and got[got.query_id.isin([-1, -2])].score.isna().all()
+    unit = lambda m: m / np.where((m * m).sum(1) == 0, np.nan, np.sqrt((m * m).sum(1)))[:, None]
+    sim = np.round(unit(queries) @ unit(docs).T, similarity.SCORE_DIGITS)
+    for i in (0, 1, 77, 5999):
+        best = np.lexsort((np.arange(3000), np.where(np.isnan(sim[i]), np.inf, -sim[i])))[:5]
+        assert got[got.query_id == i].doc_id.tolist() == best.tolist()
