@@ -39,6 +39,8 @@ SEED_POSTINGS = 500
 SEED_ROWS = 4
 # Terms are grouped by hash for the last bound of a pair (a document holds at most one length a group).
 TERM_GROUPS = 64
+# Text of a task that counts terms.
+PART_BYTES = 8 << 20
 # A term's postings are met in parts of about this many.
 SALT_POSTINGS = 200_000
 
@@ -56,9 +58,10 @@ def _term_counts(df: DataFrame, id_col: str, text_col: str, by_id: bool = False)
     reuses without another exchange."""
     src = df.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
     if by_id:
-        # No explicit count: AQE sizes this shuffle to the data (a 200-row query set must not
-        # become hundreds of thousands of tasks on a large cluster).
-        src = src.repartition("__id")
+        # A task's term counts take tens of times its text: the number of tasks follows the bytes of text (a
+        # 200-row query set must not become hundreds of thousands of tasks on a large cluster).
+        size = src.agg(F.sum(F.octet_length(F.col("__text").cast("string")))).first()[0] or 0
+        src = src.repartition(int(-(-size // PART_BYTES)) or 1, "__id")
     toks = src.select("__id", F.explode(tokens("__text")).alias("term"))
     return toks.groupBy("__id", "term").agg(F.count(F.lit(1)).alias("tf"))
 

@@ -248,3 +248,18 @@ def test_one_failing_row_gives_one_fallback(spark):
 
     got = scoring.score_external(activity.coalesce(1), scorer).collect()
     assert len(got) == 100 and [r["transaction_id"] for r in got if r["parse_error"]] == [bad]
+
+
+def test_term_counting_tasks_follow_the_bytes_of_text(spark, monkeypatch):
+    """A task counts the terms of a bounded amount of text, however Spark would size the shuffle."""
+    from riskflow.operators import similarity
+
+    monkeypatch.setattr(similarity, "PART_BYTES", 10_000)
+    docs = spark.createDataFrame([(i, f"word{i % 7} common " * 100) for i in range(40)] + [(None, "null id"), (99, None)], "id long, text string")
+    got = similarity._term_counts(docs, "id", "text", by_id=True)
+    size = sum(len(f"word{i % 7} common " * 100) for i in range(40)) + 7
+    assert got.select("__id", F.spark_partition_id().alias("p")).agg(F.max("p")).first()[0] >= size // 10_000 // 2
+    assert got.rdd.getNumPartitions() == -(-size // 10_000)
+    assert sorted(map(tuple, got.filter("__id = 8").collect())) == [(8, "common", 100), (8, "word1", 100)]
+    empty = similarity._term_counts(docs.limit(0), "id", "text", by_id=True)
+    assert empty.count() == 0
