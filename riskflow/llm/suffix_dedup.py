@@ -29,6 +29,8 @@ from riskflow.llm.common import column, mixed, runs, text_bytes
 LENGTH, SEED = 50, 16
 #: Bytes of text in a batch of documents, keys in a key range, windows in an index batch.
 BATCH_BYTES, RANGE_KEYS, INDEX_WINDOWS = 8 << 20, 400_000, 1 << 16
+#: Windows of a key range that are indexed at once (more only if they share one key).
+INDEX_MOST = 1 << 20
 #: Bytes whose hashes are worked on at once.
 CHUNK = 1 << 20
 _NULL_ID = 2**63 - 1
@@ -60,19 +62,24 @@ def _smallest(h: np.ndarray, width: int) -> np.ndarray:
     return h
 
 
-def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(key, row, first window, end window) of each segment; windows are numbered by their first byte."""
-    none = np.zeros(0, np.int64)
-    size = np.diff(offsets)
-    if len(data) < LENGTH or size.max() < LENGTH:
-        return np.zeros(0, np.uint64), none, none, none
+def _window_keys(data: np.ndarray) -> np.ndarray:
+    """The smallest hash of the SEED-byte strings in each window of LENGTH bytes."""
     w = _words_at(data)
     h = w[: len(w) - SEED + 8] * np.uint64(0xA0761D6478BD642F)
     h ^= h >> np.uint64(32)
     h += w[SEED - 8 :]
     h *= np.uint64(0xE7037ED1A0B428DB)
     h ^= h >> np.uint64(29)
-    m = _smallest(h, LENGTH - SEED + 1)
+    return _smallest(h, LENGTH - SEED + 1)
+
+
+def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(key, row, first window, end window) of each segment; windows are numbered by their first byte."""
+    none = np.zeros(0, np.int64)
+    size = np.diff(offsets)
+    if len(data) < LENGTH or size.max() < LENGTH:
+        return np.zeros(0, np.uint64), none, none, none
+    m = _window_keys(data)
     rows = np.flatnonzero(size >= LENGTH)
     begin, stop = offsets[rows], offsets[rows + 1] - LENGTH + 1
     cut = np.zeros(len(m) + 1, bool)
@@ -193,6 +200,29 @@ def covered(data: np.ndarray, at: np.ndarray, size: np.ndarray, doc: np.ndarray)
         i = j
 
 
+def covered_by_keys(data: np.ndarray, at: np.ndarray, size: np.ndarray, doc: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """``covered`` for segments in any order, each of one key, with an index for some of the keys at a time:
+    equal windows have equal keys, so that none is missed. The index holds about INDEX_MOST windows, however
+    many the segments have."""
+    parts = -(-int((size - LENGTH + 1).sum()) // INDEX_MOST)
+    part = np.zeros(len(at), np.int64)
+    order = np.argsort(at, kind="stable") if parts > 1 else part[:0]
+    ends = at[order] + size[order]
+    i = 0
+    while i < len(order):
+        low = at[order[i]]
+        j = max(i + 1, int(np.searchsorted(ends, low + CHUNK, side="right")))
+        own = order[i:j]
+        key = _window_keys(data[low : int(ends[i:j].max())])[at[own] - low]
+        part[own] = (mixed(key) % np.uint64(parts)).astype(np.int64)
+        i = j
+    order = np.argsort(doc, kind="stable")
+    for p in range(parts):
+        own = order[part[order] == p]
+        for s, windows in covered(data, at[own], size[own], doc[own]):
+            yield int(own[s]), windows
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False, batch_bytes: int = BATCH_BYTES, range_keys: int = RANGE_KEYS) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept, spans]), a row for each row of ``docs``: what is
     left of each text when the bytes covered by a LENGTH-byte string go that also starts in a document
@@ -292,20 +322,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         own = back[which]
         least = np.full(len(uniq), np.iinfo(np.int64).max)
         np.minimum.at(least, own, doc)
-        order = np.argsort(least, kind="stable")
-        partial: dict[int, np.ndarray] = {}
-        for s, windows in covered(data, at[first][order], size[first][order], least[order]):
-            partial[int(order[s])] = windows
+        partial: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for s, wins in covered_by_keys(data, at[first], size[first], least):
+            edge = np.flatnonzero(np.concatenate([[True], wins[1:] > wins[:-1] + LENGTH]))
+            stop = np.append(edge[1:], len(wins)) - 1
+            partial[s] = wins[edge], wins[stop] + LENGTH
         later = np.flatnonzero(doc > least[own])
         spans = [(batch[later], row[later], pos[later], pos[later] + size[first][own[later]])]
         some = np.zeros(len(uniq), bool)
         some[list(partial)] = True
         for o in np.flatnonzero(some[own] & (doc == least[own])).tolist():
-            wins = partial[int(own[o])]
-            edge = np.flatnonzero(np.concatenate([[True], wins[1:] > wins[:-1] + LENGTH]))
-            stop = np.append(edge[1:], len(wins)) - 1
-            m = len(edge)
-            spans.append((np.full(m, batch[o]), np.full(m, row[o]), pos[o] + wins[edge], pos[o] + wins[stop] + LENGTH))
+            begin, end = partial[int(own[o])]
+            m = len(begin)
+            spans.append((np.full(m, batch[o]), np.full(m, row[o]), pos[o] + begin, pos[o] + end))
         b, r, x, y = (np.concatenate(v).astype(np.int64) for v in zip(*spans, strict=True))
         order = np.argsort(b, kind="stable")
         b, r, x, y = b[order], r[order], x[order], y[order]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -84,6 +85,33 @@ def test_index_levels_in_small_batches(spark, docs, monkeypatch):
     assert got == {i: w for i, w in want.items() if w}
 
 
+def test_index_of_some_keys_at_a_time(monkeypatch):
+    """The same windows as with one index, in memory that the number of windows does not set."""
+    rng = np.random.default_rng(3)
+    text = rng.integers(97, 123, 2_000_000, np.uint8).tobytes()
+    texts = [text[i : i + 40_000] for i in rng.integers(0, len(text) - 40_000, 100)]
+    data = np.frombuffer(b"".join(texts) + bytes(8), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    _, row, at, end = sd.segments(data[: offsets[-1]], offsets)
+    size, doc = end - at + sd.LENGTH - 1, rng.permutation(100)[row]
+    order = np.argsort(doc, kind="stable")
+    want = {int(order[s]): w.tolist() for s, w in sd.covered(data, at[order], size[order], doc[order])}
+    monkeypatch.setattr(sd, "INDEX_MOST", 1 << 17)
+    monkeypatch.setattr(sd, "INDEX_WINDOWS", 1 << 13)
+    tracemalloc.start()
+    got = {}
+    for s, w in sd.covered_by_keys(data, at, size, doc):
+        got[s] = w.tolist()
+        w = None
+        if len(got) == 1:
+            tracemalloc.reset_peak()
+            before = tracemalloc.get_traced_memory()[0]
+    peak = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    assert got == want and len(got) > 1000
+    assert peak < 60 << 20
+
+
 def test_kept_text_and_spans(spark, docs):
     text = "".join(chr(97 + i * i * 3 % 26) for i in range(90)) + "0123456789" * 6
     r = sd.remove_repeats(docs([(1, text), (2, "<<" + text[10:75] + ">>")]), with_text=True).filter("doc_id = 2").first()
