@@ -22,7 +22,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from riskflow.llm import words as W
 from riskflow.llm.common import column, doc_text, mixed, runs, shuffle_partitions, stage, text_bytes
@@ -288,15 +287,20 @@ def _unpack(bag: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def verify(pairs: DataFrame, packed: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """(a, b, similarity) of the pairs that reach ``least``; AQE splits the rows of a text in very many pairs."""
+    """(a, b, similarity) of the pairs that reach ``least``; AQE splits the rows of a text in very many pairs.
 
-    @F.pandas_udf(T.DoubleType())
-    def likeness(one: pd.Series, two: pd.Series) -> pd.Series:
-        return pd.Series([overlap(*_unpack(a), *_unpack(b)) for a, b in zip(one, two, strict=True)], dtype="float64")
+    Each pair is compared once: a filter on a column UDF would be pushed below it and take a second run
+    of the UDF, in a second Python worker for each core."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            found = np.array([overlap(*_unpack(one.as_py()), *_unpack(two.as_py())) for one, two in zip(column(x, "one"), column(x, "two"), strict=True)], float)
+            fit = pa.array(np.flatnonzero(found >= least))
+            yield pa.RecordBatch.from_arrays([column(x, "a").take(fit), column(x, "b").take(fit), pa.array(found).take(fit)], ["a", "b", "similarity"])
 
     left = pairs.join(packed.select(F.col("id").alias("a"), F.col("bag").alias("one")), "a")
     both = left.join(packed.select(F.col("id").alias("b"), F.col("bag").alias("two")), "b")
-    return both.select("a", "b", likeness("one", "two").alias("similarity")).filter(F.col("similarity") >= least).distinct()
+    return both.select("a", "b", "one", "two").mapInArrow(run, "a long, b long, similarity double").distinct()
 
 
 def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:

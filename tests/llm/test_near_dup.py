@@ -95,6 +95,18 @@ def test_a_large_bucket_in_blocks(spark, docs, monkeypatch):
     assert sorted(map(tuple, nd.classes(docs(rows)).collect())) == _classes(rows)
 
 
+def test_a_pair_is_compared_once(spark):
+    """One Python run in the plan; a filter on a column UDF was pushed down and took a second one."""
+    bag = lambda *shingles: np.array([x << 16 | 1 for x in shingles], np.uint64).tobytes()
+    packed = spark.createDataFrame([(1, bag(1, 2, 3, 4, 5)), (2, bag(1, 2, 3, 4, 6)), (3, bag(1, 2, 3, 4, 5)), (4, bag(2, 3, 4, 5))], "id long, bag binary")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (1, 3), (1, 4), (2, 4)], "a long, b long")
+    got = nd.verify(pairs, packed)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(plan.count(x) for x in ("ArrowEvalPython", "MapInArrow")) == 1
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 3, 1.0), (1, 4, 0.8)]
+    assert nd.verify(pairs.limit(0), packed).count() == 0
+
+
 def _block(n=60):
     """A bucket's rows that all stand alone, as both base and asking rows but for the first."""
     rnd = random.Random(8)
