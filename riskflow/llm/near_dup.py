@@ -323,8 +323,8 @@ def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
     whole = reps.filter("n_shingles > 0")
     keyed = whole.select("id", F.explode("keys").alias("key"))
     crowded = keyed.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
-    rows = stage(keyed.join(crowded, "key").join(whole.select("id", "low", "keys", "n_shingles"), "id"), "buckets")
-    wanted = rows.select("id").distinct().join(reps.select("id", "rep", "same"), "id")
+    rows = stage(keyed.join(crowded, "key").join(whole.select("id", "rep", "same", "low", "keys", "n_shingles"), "id"), "buckets")
+    wanted = rows.select("id", "rep", "same").distinct()
     packed = stage(bags(src, wanted), "bags")
     first = stage(first_pairs(rows), "pairs")
     links = stage(verify(first, packed, least), "verified")
@@ -332,7 +332,8 @@ def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
     named = rows.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     later = stage(later_links(named, packed, least), "later")
     if not later.isEmpty():
-        roots = components(links.select("a", "b").unionByName(later))
+        # The stars of the first links, not those links again.
+        roots = components(roots.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(later))
     member = reps.select("id", "same", "rep").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     least_id = member.groupBy("root").agg(F.min("rep").alias("class_id"), F.min("same").alias("class_key"))
     named = member.join(least_id, "root").select("same", "class_id", "class_key")

@@ -174,3 +174,28 @@ def test_components(spark):
             root[max(x, y)] = min(x, y)
     assert got == {x: find(x) for x in list(root)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_links_of_a_batch_take_no_step(spark, monkeypatch):
+    """A path in one batch is joined where it lies, without a star step; a scattered one still ends in the same root."""
+    from riskflow.llm import components as cc
+
+    steps = []
+    monkeypatch.setattr(cc, "_star", lambda *a, star=cc._star: steps.append(1) or star(*a))
+    ids = list(range(-40, 160))
+    path = list(zip(ids, ids[1:], strict=False))
+    random.Random(9).shuffle(path)
+    links = spark.createDataFrame(path, "a long, b long")
+    want = {i: -40 for i in ids}
+    assert {tuple(r) for r in components(links.coalesce(1)).collect()} == set(want.items()) and not steps
+    assert dict(tuple(r) for r in components(links.repartition(8)).collect()) == want
+
+
+def test_open_links_are_seen(spark):
+    from riskflow.llm import components as cc
+
+    open_ = lambda links: cc._open(spark.createDataFrame(links, "a long, b long"))
+    assert open_([(3, 1), (3, 1), (2, 1), (9, 7)]) == 0
+    assert open_([(3, 1), (4, 3)]) == 1 and open_([(3, 1), (3, 2)]) == 1
+    a, b = cc.smallest(np.array([5, 9, 2, 7, 7]), np.array([9, 2, 5, 8, 7]))
+    assert (a.tolist(), b.tolist()) == ([5, 8, 9], [2, 7, 2])
