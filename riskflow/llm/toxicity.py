@@ -2,15 +2,17 @@
 
 A word's embedding is the mean of the hashed embeddings of itself, its first three, four and five bytes and
 its last three. Filters of several widths run over the whole text; each filter's largest responses (k-max
-pooling: one odd word is no evidence yet) go through a rectifier and one linear layer. Training is Adagrad in numpy over a bounded, hash-picked sample
-of labelled rows; the first embedding dimension starts from the words' log-odds in that sample. A fifth of the
-sample is kept back to calibrate the scores: one logistic curve for each language, where enough
-of its rows are kept back, so that 0.5 is each language's own threshold. The language is predicted from the text.
+pooling: one odd word is no evidence yet) go through a rectifier and one linear layer. Training is Adagrad in numpy
+over all labelled rows, in shards that are trained on side by side and averaged after each epoch; the first embedding
+dimension starts from the words' log-odds in all these rows. A fifth of them is kept back to calibrate the scores: one
+logistic curve for each language, where enough of its rows are kept back, so that 0.5 is each language's own threshold.
+The language is predicted from the text.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import zlib
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -21,10 +23,10 @@ from pyspark.sql import types as T
 
 from riskflow.llm import language_id
 from riskflow.llm.byte_words import LOWER, WordHash, tokens
-from riskflow.llm.common import column, gather, runs, text_bytes
+from riskflow.llm.common import column, gather, runs, stage, text_bytes
 
-#: Bounds of the training sample: rows of each label, and words of a text (longer ones are not trained on).
-SAMPLE_PER_LABEL, SAMPLE_WORDS = 1500, 2000
+#: Bytes of labelled texts that are trained on one after another.
+SHARD_BYTES = 8 << 20
 BUCKETS_LOG2, DIM = 16, 16
 WIDTHS, FILTERS, LARGEST = (1, 2, 3), 12, 3
 EPOCHS = 3
@@ -34,6 +36,8 @@ TRUST, SMOOTHING = 0.7, 4
 CALIBRATION_ROWS = 10
 #: Words scored at once.
 BLOCK = 1 << 16
+#: Parts in which the shards' values are added up, binary digits that these keep, and steps of a score for the curves.
+PARTS, FRACTION, STEPS = 64, 32, 64
 _HASH_SEED = 12
 _KINDS = 5
 
@@ -128,41 +132,106 @@ def _languages(model: language_id.Model | None, data: np.ndarray, offsets: np.nd
     return out
 
 
-def sample(docs: DataFrame, labels: DataFrame, languages: language_id.Model | None) -> list[tuple[int, str, int, np.ndarray]]:
-    """(label, language, fold, word features) of at most ``SAMPLE_PER_LABEL`` labelled rows for each label, picked by a
-    hash of the id; copies of a text count once for each label."""
-    marked = labels.filter("toxic in (0, 1) and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("label"), F.xxhash64("doc_id", F.lit("toxic")).alias("pick"))
-    sizes = {r["label"]: r["count"] for r in marked.groupBy("label").count().collect()}
-    wanted = F.lit(False)
-    for label, size in sizes.items():
-        share = min(1.0, SAMPLE_PER_LABEL / size)
-        wanted = wanted | ((F.col("label") == label) & (F.col("pick") <= F.lit(min(2**63 - 1, int(share * 2**64) - 2**63))))
-    # At most about SAMPLE_PER_LABEL ids for each of two labels: this side is bounded.
-    picked = F.broadcast(marked.filter(wanted).groupBy("doc_id", "label").agg(F.min("pick").alias("pick")).withColumnRenamed("doc_id", "__id"))
-    rows = docs.select(F.col("doc_id").alias("own"), "text").join(picked, F.col("own") == F.col("__id")).select("label", "text", F.xxhash64("text").alias("pick")).filter("length(text) > 0")
-    rows = rows.dropDuplicates(["label", "pick"])
-
-    def featurise(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHash(_HASH_SEED)
-        for b in batches:
-            offsets, data = text_bytes(column(b, "text"))
+@dataclass
+class Shard:
+    """Labelled texts that one task trains on at a time: which distinct word each word is, and their features."""
+
+    number: int
+    label: np.ndarray
+    fold: np.ndarray
+    lang: np.ndarray
+    cuts: np.ndarray
+    which: np.ndarray
+    feats: np.ndarray
+
+    def words(self, i: int) -> np.ndarray:
+        return self.feats[self.which[self.cuts[i] : self.cuts[i + 1]]]
+
+    def fit(self, short: bool) -> np.ndarray:
+        """Rows to train on; a fifth is kept back for the curves, unless there are too few in all."""
+        return np.flatnonzero((self.fold != 0) | short)
+
+    def held(self, short: bool) -> np.ndarray:
+        return np.flatnonzero((self.fold == 0) | short)
+
+
+_SHARD = "shard int, label binary, fold binary, lang array<string>, cuts binary, which binary, feats binary, clean long, toxic long, held_clean long, held_toxic long"
+
+
+def _shards(batches: Iterable[pa.RecordBatch]) -> Iterator[Shard]:
+    for b in batches:
+        for r in b.to_pylist():
+            ints = [np.frombuffer(r[c], kind) for c, kind in (("label", np.int8), ("fold", np.int8))]
+            yield Shard(r["shard"], *ints, np.array(r["lang"], object), np.frombuffer(r["cuts"], np.int64), np.frombuffer(r["which"], np.int32), np.frombuffer(r["feats"], np.uint16).reshape(-1, _KINDS))
+
+
+def labelled(docs: DataFrame, labels: DataFrame, languages: language_id.Model | None) -> DataFrame:
+    """All labelled texts that have words, whole, in shards of about ``SHARD_BYTES``, dealt by a hash of the id; copies of
+    a text count once for each label."""
+    marked = labels.filter("toxic in (0, 1) and doc_id is not null").select(F.col("doc_id").cast("long").alias("__id"), F.col("toxic").cast("int").alias("label")).distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("own"), F.xxhash64("text").alias("pick"), "text").filter("own is not null and length(text) > 0")
+    chosen = texts.select("own", "pick", F.octet_length("text").alias("size")).join(marked, F.col("own") == F.col("__id"))
+    chosen = stage(chosen.groupBy("label", "pick").agg(F.min("own").alias("own"), F.max("size").alias("size")), "chosen")
+    size = chosen.agg(F.sum("size")).first()[0] or 0
+    shard = F.pmod(F.xxhash64("own"), F.lit(size // SHARD_BYTES + 1)).cast("int").alias("shard")
+
+    def pack(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows = left.select(["own", "pick"]).to_pandas().drop_duplicates().reset_index(names="at")
+        rows = right.to_pandas().merge(rows, on=["own", "pick"]).sort_values(["pick", "label"])
+        found: dict[str, list] = {c.split()[0]: [] for c in _SHARD.split(", ")}
+        if len(rows):
+            texts = left["text"].take(pa.array(rows["at"].to_numpy())).combine_chunks()
+            offsets, data = text_bytes(texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts)
             langs = _languages(languages, data, offsets)
-            doc, which, feats = _batch_words(LOWER[data], offsets, hasher)
+            doc, which, feats = _batch_words(LOWER[data], offsets, WordHash(_HASH_SEED))
             cuts = np.searchsorted(doc, np.arange(len(offsets)))
-            few = np.flatnonzero((np.diff(cuts) <= SAMPLE_WORDS) & (np.diff(cuts) > 0)).tolist()
-            raw = [feats[which[cuts[i] : cuts[i + 1]]].tobytes() for i in few]
-            at = pa.array(few, pa.int64())
-            yield pa.RecordBatch.from_arrays([column(b, "label").take(at), pa.array(langs[few], pa.string()), column(b, "pick").take(at), pa.array(raw, pa.binary())], ["label", "lang", "pick", "words"])
+            has = np.flatnonzero(np.diff(cuts))  # texts without words take no place in ``which``
+            label, fold = rows["label"].to_numpy(np.int8)[has], (rows["pick"].to_numpy()[has] % 5).astype(np.int8)
+            counts = [int(((label == k) & ((fold == 0) == held)).sum()) for held in (False, True) for k in (0, 1)]
+            row = [int(right["shard"][0].as_py()), label.tobytes(), fold.tobytes(), langs[has].tolist(), np.append(cuts[has], len(which)).astype(np.int64).tobytes(), which.astype(np.int32).tobytes(), feats.tobytes(), *counts]
+            found = {c: [v] for c, v in zip(found, row, strict=True)}
+        kinds = [pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.string()), pa.binary(), pa.binary(), pa.binary(), *[pa.int64()] * 4]
+        return pa.table([pa.array(v, k) for v, k in zip(found.values(), kinds, strict=True)], names=list(found))
+
+    return texts.select(shard, "own", "pick", "text").groupBy("shard").cogroup(chosen.select(shard, "own", "pick", "label").groupBy("shard")).applyInArrow(pack, _SHARD)
+
+
+def total(shards: DataFrame, each: Callable[[Shard], np.ndarray], size: int) -> np.ndarray:
+    """Sum of ``size`` long values over all shards: added up in each task, then by parts; integers, so that the sum
+    does not depend on how the shards lie."""
+    edges = np.linspace(0, size, PARTS + 1).astype(np.int64)
 
-    got = rows.mapInArrow(featurise, "label int, lang string, pick long, words binary").orderBy("pick", "label").collect()
-    return [(r["label"], r["lang"], r["pick"] % 5, np.frombuffer(r["words"], np.uint16).reshape(-1, _KINDS)) for r in got]
+    def packed(v: np.ndarray) -> bytes:
+        return zlib.compress(np.ascontiguousarray(v.view(np.uint8).reshape(-1, 8).T), 1)
 
+    def unpacked(raw: bytes) -> np.ndarray:
+        return np.ascontiguousarray(np.frombuffer(zlib.decompress(raw), np.uint8).reshape(8, -1).T).reshape(-1).view(np.int64)
 
-def _curve(raw: np.ndarray, label: np.ndarray, prior: tuple[float, float] | None = None) -> tuple[float, float]:
-    """Slope and shift of the logistic curve of least log loss, both labels weighing the same; a prior curve counts
-    as a few rows more."""
-    weight = np.where(label == 1, 0.5 / max((label == 1).sum(), 1), 0.5 / max((label == 0).sum(), 1))
-    centres = np.unique(np.quantile(raw, np.linspace(0, 1, 101)))
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros(size, np.int64)
+        for x in _shards(batches):
+            own += each(x)
+        if own.any():
+            yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([packed(own[a:z]) for a, z in zip(edges[:-1], edges[1:], strict=True)], pa.binary())], ["part", "data"])
+
+    def add(rows: pa.Table) -> pa.Table:
+        own = sum(unpacked(x.as_py()) for x in rows["data"])
+        return pa.table([pa.array([rows["part"][0].as_py()], pa.int32()), pa.array([packed(own)], pa.binary())], ["part", "data"])
+
+    kind = "part int, data binary"
+    out = np.zeros(size, np.int64)
+    for r in shards.mapInArrow(run, kind).groupBy("part").applyInArrow(add, kind).collect():
+        out[edges[r["part"]] : edges[r["part"] + 1]] = unpacked(r["data"])
+    return out
+
+
+def _curve(raw: np.ndarray, label: np.ndarray, count: np.ndarray, prior: tuple[float, float] | None = None) -> tuple[float, float]:
+    """Slope and shift of the logistic curve of least log loss over ``count`` rows of each score and label, both labels
+    weighing the same; a prior curve counts as a few rows more."""
+    weight = count * np.where(label == 1, 0.5 / max(count[label == 1].sum(), 1), 0.5 / max(count[label == 0].sum(), 1))
+    order = np.argsort(raw, kind="stable")
+    below = np.cumsum(count[order])
+    centres = np.unique(raw[order][np.searchsorted(below, np.linspace(0, 1, 101) * below[-1]).clip(0, len(raw) - 1)])
     centres = np.concatenate([centres, (centres[1:] + centres[:-1]) / 2, [0.0] if prior is None else [-prior[1] / prior[0]]])
     best = (np.inf, 1.0, 0.0)
     for slope in np.geomspace(0.1, 10, 41):
@@ -176,94 +245,140 @@ def _curve(raw: np.ndarray, label: np.ndarray, prior: tuple[float, float] | None
     return best[1], best[2]
 
 
-def train(rows: list[tuple[int, str, int, np.ndarray]], languages: language_id.Model | None, seed: int = 1) -> Model:
+def start(shards: DataFrame, per: np.ndarray, short: bool, seed: int = 1) -> dict[str, np.ndarray]:
+    """Parameters before the first epoch; ``per`` are the rows of each label that are trained on."""
+
+    def seen(x: Shard) -> np.ndarray:
+        out = np.zeros((2, 1 << BUCKETS_LOG2), np.int64)
+        for i in x.fit(short):
+            out[x.label[i], np.unique(x.words(i))] += 1
+        return out.ravel()
+
     draw = np.random.default_rng(seed)
-    short = len(rows) < 50 or {r[0] for r in rows if r[2] == 0} != {0, 1}
-    fit = [r for r in rows if short or r[2] != 0]
-    label = np.array([r[0] for r in fit])
-    seen = np.zeros((2, 1 << BUCKETS_LOG2))
-    for r in fit:
-        seen[r[0], np.unique(r[3])] += 1
-    per = np.array([(label == 0).sum(), (label == 1).sum()])
-    share = per[1] / max(per.sum(), 1)
-    odds = np.log(seen[1] + SMOOTHING * share) - np.log(seen[0] + SMOOTHING * (1 - share)) - np.log(share / (1 - share))
+    found = total(shards, seen, 2 << BUCKETS_LOG2).reshape(2, -1)
+    share = per[1] / per.sum()
     emb = draw.normal(0, 0.1, (1 << BUCKETS_LOG2, DIM))
-    emb[:, 0] = odds
+    emb[:, 0] = np.log(found[1] + SMOOTHING * share) - np.log(found[0] + SMOOTHING * (1 - share)) - np.log(share / (1 - share))
     filters = [draw.normal(0, 0.1, (w, DIM, FILTERS)) for w in WIDTHS]
     for f in filters:
         f[:, 0, : FILTERS // 2] += 1 / len(f)
     made = len(WIDTHS) * FILTERS
-    bias, out, out_bias = np.zeros(LARGEST * made), draw.normal(0, 0.05, LARGEST * made), -1.0
+    out = draw.normal(0, 0.05, LARGEST * made)
     out.reshape(-1, FILTERS)[:, : FILTERS // 2] += 0.1
-    params = {"emb": emb, "bias": bias, "out": out} | {f"f{k}": f for k, f in enumerate(filters)}
+    return {"emb": emb, "bias": np.zeros(LARGEST * made), "out": out, "shift": np.array([-1.0])} | {f"f{k}": f for k, f in enumerate(filters)}
+
+
+def epoch(shard: Shard, params: dict[str, np.ndarray], memory: dict[str, np.ndarray], weight: np.ndarray, rate: float, short: bool, draw: np.random.Generator) -> None:
+    """Adagrad over the shard's rows, one at a time, in place."""
+    emb, bias, out, filters = params["emb"], params["bias"], params["out"], [params[f"f{k}"] for k in range(len(WIDTHS))]
+    made, wide = len(WIDTHS) * FILTERS, max(WIDTHS)
+    for i in draw.permutation(shard.fit(short)):
+        truth, feats = int(shard.label[i]), shard.words(i)
+        n = len(feats)
+        x = np.zeros((n + wide - 1, DIM))
+        x[:n] = emb[feats].mean(axis=1)
+        top, ranks = min(LARGEST, n), np.arange(min(LARGEST, n))[:, None]
+        best, place = np.zeros((LARGEST, made)), np.zeros((LARGEST, made), np.int64)
+        for k, f in enumerate(filters):
+            r = x[:n] @ f[0]
+            for j in range(1, len(f)):
+                r += x[j : n + j] @ f[j]
+            high = np.argpartition(-r, top - 1, axis=0)[:top] if n > top else np.repeat(np.arange(n)[:, None], FILTERS, axis=1)
+            value = np.take_along_axis(r, high, axis=0)
+            order = np.argsort(-value, axis=0, kind="stable")
+            own = slice(k * FILTERS, (k + 1) * FILTERS)
+            place[ranks, np.arange(made)[own]] = np.take_along_axis(high, order, axis=0)
+            best[ranks, np.arange(made)[own]] = np.take_along_axis(value, order, axis=0)
+        hidden = np.maximum(best.ravel() + bias, 0)
+        p = 1 / (1 + np.exp(-np.clip(hidden @ out + params["shift"][0], -30, 30)))
+        # A text that the model finds unlike its label moves it less: labels may be wrong.
+        g = (p - truth) * weight[truth] * (p if truth else 1 - p) ** TRUST
+        back = g * out * (hidden > 0)
+        grads = {"out": g * hidden, "bias": back}
+        spread = back.reshape(LARGEST, made)[:top]
+        rows_at, rows_g = [], []
+        for k, f in enumerate(filters):
+            own = slice(k * FILTERS, (k + 1) * FILTERS)
+            b, spots = spread[:, own], place[:top, own]
+            grads[f"f{k}"] = np.stack([np.einsum("rfd,rf->df", x[spots + j], b) for j in range(len(f))])
+            for j in range(len(f)):
+                ok = (spots + j < n) & (b != 0)
+                rank, col = np.nonzero(ok)
+                rows_at.append(feats[(spots + j)[ok]].ravel())
+                rows_g.append(np.repeat(f[j][:, col].T * b[rank, col][:, None] / _KINDS, _KINDS, axis=0))
+        for name, grad in grads.items():
+            memory[name] += grad**2
+            params[name] -= rate * grad / np.sqrt(memory[name])
+        params["shift"] -= rate * g
+        at, grad = np.concatenate(rows_at), np.concatenate(rows_g)
+        if len(at):
+            own, inv = np.unique(at, return_inverse=True)
+            total = np.zeros((len(own), DIM))
+            np.add.at(total, inv, grad)
+            memory["emb"][own] += total**2
+            emb[own] -= rate * total / np.sqrt(memory["emb"][own])
+
+
+def train(shards: DataFrame, per: np.ndarray, languages: language_id.Model | None, short: bool, seed: int = 1) -> Model:
+    """Epochs over all shards: each shard goes on by itself from the same parameters, and what they change is averaged, an
+    embedding over the shards that change it; then the curves, from the scores of all rows kept back."""
+    params = start(shards, per, short, seed)
     memory = {k: np.full(v.shape, 1e-2) for k, v in params.items()}
-    weight = len(fit) / np.maximum(2 * per, 1)
-    wide = max(WIDTHS)
-    for epoch in range(EPOCHS):
-        rate = 0.05 / (1 + epoch)
-        for i in draw.permutation(len(fit)):
-            truth, _, _, feats = fit[i]
-            n = len(feats)
-            x = np.zeros((n + wide - 1, DIM))
-            x[:n] = emb[feats].mean(axis=1)
-            top, ranks = min(LARGEST, n), np.arange(min(LARGEST, n))[:, None]
-            best, place = np.zeros((LARGEST, made)), np.zeros((LARGEST, made), np.int64)
-            for k, f in enumerate(filters):
-                r = x[:n] @ f[0]
-                for j in range(1, len(f)):
-                    r += x[j : n + j] @ f[j]
-                high = np.argpartition(-r, top - 1, axis=0)[:top] if n > top else np.repeat(np.arange(n)[:, None], FILTERS, axis=1)
-                value = np.take_along_axis(r, high, axis=0)
-                order = np.argsort(-value, axis=0, kind="stable")
-                own = slice(k * FILTERS, (k + 1) * FILTERS)
-                place[ranks, np.arange(made)[own]] = np.take_along_axis(high, order, axis=0)
-                best[ranks, np.arange(made)[own]] = np.take_along_axis(value, order, axis=0)
-            hidden = np.maximum(best.ravel() + bias, 0)
-            p = 1 / (1 + np.exp(-np.clip(hidden @ out + out_bias, -30, 30)))
-            # A text that the model finds unlike its label moves it less: labels may be wrong.
-            g = (p - truth) * weight[truth] * (p if truth else 1 - p) ** TRUST
-            back = g * out * (hidden > 0)
-            grads = {"out": g * hidden, "bias": back}
-            spread = back.reshape(LARGEST, made)[:top]
-            rows_at, rows_g = [], []
-            for k, f in enumerate(filters):
-                own = slice(k * FILTERS, (k + 1) * FILTERS)
-                b, spots = spread[:, own], place[:top, own]
-                grads[f"f{k}"] = np.stack([np.einsum("rfd,rf->df", x[spots + j], b) for j in range(len(f))])
-                for j in range(len(f)):
-                    ok = (spots + j < n) & (b != 0)
-                    rank, col = np.nonzero(ok)
-                    rows_at.append(feats[(spots + j)[ok]].ravel())
-                    rows_g.append(np.repeat(f[j][:, col].T * b[rank, col][:, None] / _KINDS, _KINDS, axis=0))
-            for name, grad in grads.items():
-                memory[name] += grad**2
-                params[name] -= rate * grad / np.sqrt(memory[name])
-            out_bias -= rate * g
-            at, grad = np.concatenate(rows_at), np.concatenate(rows_g)
-            if len(at):
-                own, inv = np.unique(at, return_inverse=True)
-                total = np.zeros((len(own), DIM))
-                np.add.at(total, inv, grad)
-                memory["emb"][own] += total**2
-                emb[own] -= rate * total / np.sqrt(memory["emb"][own])
-    model = Model(emb.astype(np.float32), filters, bias, out, float(out_bias), languages)
-    held = rows if short else [r for r in rows if r[2] == 0]
-    raw = np.array([model.raw(np.zeros(len(r[3]), np.int64), np.arange(len(r[3])), r[3], 1)[0] for r in held])
-    label, langs = np.array([r[0] for r in held]), np.array([r[1] for r in held], object)
-    model.common = _curve(raw, label)
+    names, shapes = list(params), [v.shape for v in params.values()]
+    sizes = [v.size for v in params.values()]
+    weight = per.sum() / np.maximum(2 * per, 1)
+    for nth in range(EPOCHS):
+
+        def changes(x: Shard, nth: int = nth, params: dict = params, memory: dict = memory) -> np.ndarray:
+            p, m = ({k: v.copy() for k, v in d.items()} for d in (params, memory))
+            epoch(x, p, m, weight, 0.05 / (1 + nth), short, np.random.default_rng([seed, nth, x.number]))
+            changed = [np.concatenate([(d[k] - before[k]).ravel() for k in names]) for d, before in ((p, params), (m, memory))]
+            touched = (m["emb"] != memory["emb"]).any(axis=1)
+            return np.concatenate([*(np.rint(v * 2.0**FRACTION).astype(np.int64) for v in changed), touched.astype(np.int64), [1]])
+
+        got = total(shards, changes, 2 * sum(sizes) + (1 << BUCKETS_LOG2) + 1)
+        touched, n = got[2 * sum(sizes) : -1], got[-1]
+        moved = [np.split(v / 2.0**FRACTION, np.cumsum(sizes)[:-1]) for v in (got[: sum(sizes)], got[sum(sizes) : 2 * sum(sizes)])]
+        by = {k: np.maximum(touched, 1)[:, None] if k == "emb" else n for k in names}
+        params, memory = ({k: d[k] + v.reshape(s) / by[k] for k, v, s in zip(names, change, shapes, strict=True)} for d, change in zip((params, memory), moved, strict=True))
+    model = Model(params["emb"].astype(np.float32), [params[f"f{k}"] for k in range(len(WIDTHS))], params["bias"], params["out"], float(params["shift"][0]), languages)
+
+    def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in _shards(batches):
+            rows = x.held(short)
+            n = x.cuts[rows + 1] - x.cuts[rows]
+            raw = model.raw(np.repeat(np.arange(len(rows)), n), x.which[gather(x.cuts[rows], n)], x.feats, len(rows)) if len(rows) else np.zeros(0)
+            step = np.rint(np.clip(raw, -60, 60) * STEPS).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(x.lang[rows], pa.string()), pa.array(x.label[rows].astype(np.int32)), pa.array(step)], ["lang", "label", "step"])
+
+    # At most a row for each language, label and step.
+    held = shards.mapInArrow(scored, "lang string, label int, step int").groupBy("lang", "label", "step").count().orderBy("lang", "label", "step").collect()
+    raw, label, count, langs = np.array([r["step"] / STEPS for r in held]), np.array([r["label"] for r in held]), np.array([r["count"] for r in held], float), np.array([r["lang"] for r in held], object)
+    model.common = _curve(raw, label, count)
+    clean = count * (label == 0)
     for lang in sorted(set(langs)):
         own = langs == lang
-        if min((label[own] == 1).sum(), (label[own] == 0).sum()) >= CALIBRATION_ROWS:
-            model.curves[lang] = _curve(raw[own], label[own], model.common)
+        n = clean[own].sum()
+        if min(n, count[own & (label == 1)].sum()) >= CALIBRATION_ROWS:
+            model.curves[lang] = _curve(raw[own], label[own], count[own], model.common)
+        elif n:  # the common curve, moved by how far the language's texts with label 0 lie from all such texts
+            gap = (raw[own] @ clean[own] / n - raw @ clean / clean.sum()) * n / (n + CALIBRATION_ROWS)
+            model.curves[lang] = (model.common[0], model.common[1] - model.common[0] * gap)
     return model
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model | float | None:
-    """A model from ``docs`` (doc_id, text, lang) and ``labels`` (doc_id, toxic); the one label that there is, or None."""
+    """A model from ``docs`` (doc_id, text, lang) and ``labels`` (doc_id, toxic); the one label that there is, or None.
+    All labelled texts are learned from, whole."""
     languages = language_id.fit(docs)
-    rows = sample(docs, labels, languages)
-    found = {r[0] for r in rows}
-    return train(rows, languages) if len(found) == 2 else float(found.pop()) if found else None
+    shards = stage(labelled(docs, labels, languages), "shards")
+    kinds = ("clean", "toxic", "held_clean", "held_toxic")
+    n = np.array([int(x or 0) for x in shards.agg(*(F.sum(c) for c in kinds)).first()])
+    every = n[:2] + n[2:]
+    if not every.all():
+        return float(every.argmax()) if every.any() else None
+    short = bool(every.sum() < 50 or not n.all())
+    return train(shards, every if short else n[:2], languages, short)
 
 
 def predict(docs: DataFrame, model: Model | float | None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -283,8 +398,10 @@ def predict(docs: DataFrame, model: Model | float | None, id_col: str = "doc_id"
             n = len(offsets) - 1
             score = np.full(n, model if isinstance(model, float) else 0.0)
             if isinstance(model, Model):
+                words = _batch_words(LOWER[data], offsets, hasher)
                 langs = _languages(model.languages, data, offsets)
-                score = model.scores(model.raw(*_batch_words(LOWER[data], offsets, hasher), n), langs)
+                langs[np.bincount(words[0], minlength=n) == 0] = ""  # no words, no language: the common curve
+                score = model.scores(model.raw(*words, n), langs)
             yield pa.RecordBatch.from_arrays([column(b, "doc_id"), *(column(b, c) for c in keep), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], out.names)
 
     return src.mapInArrow(run, out)

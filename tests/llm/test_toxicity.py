@@ -101,3 +101,33 @@ def test_labels_of_the_held_out_fold_are_not_read(spark, tmp_path):
         labels.write.parquet(f"{tmp_path}/{k}/labels.parquet")
         made.append(sorted(queries.queries()["op12_toxicity"](spark, f"{tmp_path}/{k}").collect()))
     assert made[0] == made[1] and len(made[0]) == 150
+
+
+def test_all_labelled_texts_are_learned_from_whole(spark):
+    """More rows of a label than 1,500 and texts of more than 2,000 words: each is in a shard once, with all its words."""
+    rows = [(i, f"river stone w{i}", "en", 0) for i in range(1600)] + [(5000 + i, "green window " * 1500 + f"scum w{i}", "en", 1) for i in range(12)]
+    docs, labels = _tables(spark, rows + [(9000, "river stone w7", "en", 0), (9001, "...", "en", 0), (9002, "no label", "en", None)])
+    shards = [x for b in tx.labelled(docs, labels, None).toArrow().to_batches() for x in tx._shards(iter([b]))]
+    assert sum(len(x.label) for x in shards) == 1612 and sum(int((x.label == 1).sum()) for x in shards) == 12
+    sizes = sorted(n for x in shards for n in np.diff(x.cuts).tolist())
+    assert sizes == [3] * 1600 + [3002] * 12
+
+
+def test_shards_are_added_and_averaged(spark, monkeypatch):
+    """Many shards: counts are exact, however the shards lie, and the model made of all of them is right on new rows."""
+    monkeypatch.setattr(tx, "SHARD_BYTES", 20_000)
+    train, new = _rows(600, 6), _rows(150, 7, 5000)
+    docs, labels = _tables(spark, train)
+    shards = tx.stage(tx.labelled(docs, labels, None), "shards")
+    rows = [x for b in shards.toArrow().to_batches() for x in tx._shards(iter([b]))]
+    assert len(rows) > 5 and len({x.number for x in rows}) == len(rows)
+    each = lambda x: np.bincount(x.label, minlength=1000) * -(2**40)
+    got = tx.total(shards, each, 1000)
+    assert (got == tx.total(shards.repartition(3), each, 1000)).all()
+    assert (got[:2] // -(2**40)).tolist() == [sum(r[3] == k for r in train) for k in (0, 1)]
+    model = tx.fit(docs, labels)
+    seen = tx.predict(_tables(spark, new)[0], model).collect()
+    truth = {r[0]: r[3] for r in new}
+    assert np.mean([r["predicted"] == truth[r["doc_id"]] for r in seen]) > 0.97
+    again = tx.predict(_tables(spark, new)[0], tx.fit(docs.repartition(5), labels.repartition(2))).collect()
+    assert sorted(tuple(r) for r in seen) == sorted(tuple(r) for r in again)
