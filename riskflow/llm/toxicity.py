@@ -11,7 +11,7 @@ The language is predicted from the text.
 
 from __future__ import annotations
 
-import zlib
+import functools
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -36,6 +36,8 @@ TRUST, SMOOTHING = 0.7, 4
 CALIBRATION_ROWS = 10
 #: Words scored at once.
 BLOCK = 1 << 16
+#: Rows of responses whose largest are found together, a power of two.
+STRIDE = 32
 #: Parts in which the shards' values are added up, binary digits that these keep, and steps of a score for the curves.
 PARTS, FRACTION, STEPS = 64, 32, 64
 _HASH_SEED = 12
@@ -61,9 +63,33 @@ def _batch_words(data: np.ndarray, offsets: np.ndarray, hasher: WordHash) -> tup
     return doc, which, np.concatenate(feats) if feats else np.zeros((0, _KINDS), np.uint16)
 
 
+def _merged(a: list[np.ndarray], b: list[np.ndarray]) -> list[np.ndarray]:
+    """The ``LARGEST`` largest of two falling lists, element by element."""
+    out = []
+    for k in range(min(LARGEST, len(a) + len(b))):
+        found = [v[k] for v in (a, b) if k < len(v)]
+        found += [np.minimum(a[i], b[k - 1 - i]) for i in range(k) if i < len(a) and k - 1 - i < len(b)]
+        out.append(functools.reduce(np.maximum, found))
+    return out
+
+
 def _top(r: np.ndarray, first: np.ndarray) -> np.ndarray:
     """The ``LARGEST`` largest values of each column in each run of rows, equal ones as often as they occur."""
     size = np.diff(np.append(first, len(r)))
+    whole = size // STRIDE
+    if whole.any():
+        # Of each full stride of rows only the largest values go on.
+        run, nth = np.repeat(np.arange(len(first)), whole), np.arange(whole.sum()) - np.repeat(np.cumsum(whole) - whole, whole)
+        best = [r[((first[run] + nth * STRIDE)[:, None] + np.arange(STRIDE)).ravel()].reshape(len(run), STRIDE, -1)]
+        while best[0].shape[1] > 1:
+            half = best[0].shape[1] // 2
+            best = _merged([v[:, :half] for v in best], [v[:, half:] for v in best])
+        rest = size - whole * STRIDE
+        of = np.concatenate([np.tile(run, len(best)), np.repeat(np.arange(len(first)), rest)])
+        order = np.argsort(of, kind="stable")
+        r = np.concatenate([*(v[:, 0] for v in best), r[gather(first + whole * STRIDE, rest)]])[order]
+        size = np.bincount(of, minlength=len(first))
+        first = np.cumsum(size) - size
     out = np.full((LARGEST, len(first), r.shape[1]), -np.inf, np.float32)
     filled = np.zeros((len(first), r.shape[1]), np.int64)
     for _ in range(LARGEST):
@@ -77,6 +103,14 @@ def _top(r: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
+def _placed(filters: list[np.ndarray]) -> np.ndarray:
+    """place x DIM x all filters: a filter's weights for the word at each place, 0 past its width."""
+    out = np.zeros((max(WIDTHS), DIM, len(filters) * FILTERS))
+    for k, f in enumerate(filters):
+        out[: len(f), :, k * FILTERS : (k + 1) * FILTERS] = f
+    return out
+
+
 @dataclass
 class Model:
     emb: np.ndarray
@@ -91,25 +125,28 @@ class Model:
     def largest(self, doc: np.ndarray, which: np.ndarray, feats: np.ndarray, n: int) -> np.ndarray:
         """The ``LARGEST`` largest responses of each filter in each of ``n`` texts, falling; past a text's end there
         are zero vectors, and a response that a short text does not have is 0."""
-        flat = np.concatenate([f[j] for f in self.filters for j in range(len(f))], axis=1).astype(np.float32)
-        each = np.concatenate([self.emb[feats[i : i + BLOCK]].mean(axis=1) @ flat for i in range(0, len(feats), BLOCK)]) if len(feats) else np.zeros((0, flat.shape[1]), np.float32)
-        best = np.full((LARGEST, n, len(self.filters) * FILTERS), -np.inf, np.float32)
-        most = max(WIDTHS) - 1
+        made, most = len(self.filters) * FILTERS, max(WIDTHS) - 1
+        # What a word adds to the responses that start at it, one word before it, and so on; 0 where a filter is narrower.
+        flat = _placed(self.filters).astype(np.float32)
+        each = [np.zeros((len(feats), made), np.float32) for _ in flat]
+        for i in range(0, len(feats), BLOCK):
+            emb = sum(self.emb.take(feats[i : i + BLOCK, k], axis=0) for k in range(_KINDS)) / np.float32(_KINDS)
+            for k, f in enumerate(flat):
+                each[k][i : i + BLOCK] = emb @ f
+        best = np.full((LARGEST, n, made), -np.inf, np.float32)
         for i in range(0, len(which), BLOCK):
             j = min(len(which), i + BLOCK)
-            r, own = each[which[i : j + most]], doc[i : j + most]
-            at, got = 0, []
-            for w in WIDTHS:
-                total = r[: j - i, at : at + FILTERS].copy()
-                for k in range(1, w):
-                    m = min(j - i, len(own) - k)
-                    same = (own[k : k + m] == own[:m])[:, None]
-                    total[:m] += same * r[k : k + m, at + k * FILTERS : at + (k + 1) * FILTERS]
-                got.append(total)
-                at += w * FILTERS
+            at, own = which[i : j + most], doc[i : j + most]
+            r = each[0][at[: j - i]]
+            for k in range(1, most + 1):
+                m = min(j - i, len(own) - k)
+                other = np.flatnonzero(own[k : k + m] != own[:m])
+                kept = r[other]
+                r[:m] += each[k][at[k : k + m]]
+                r[other] = kept
             first = np.flatnonzero(np.diff(own[: j - i], prepend=-1))
             rows = own[first]
-            top = _top(np.concatenate(got, axis=1), first)
+            top = _top(r, first)
             best[:, rows[1:]] = top[:, 1:]  # only the first text of a block may go on from the block before
             best[:, rows[0]] = -np.sort(-np.concatenate([best[:, rows[0]], top[:, 0]]), axis=0)[:LARGEST]
         best[np.isinf(best)] = 0
@@ -202,10 +239,11 @@ def total(shards: DataFrame, each: Callable[[Shard], np.ndarray], size: int) ->
     edges = np.linspace(0, size, PARTS + 1).astype(np.int64)
 
     def packed(v: np.ndarray) -> bytes:
-        return zlib.compress(np.ascontiguousarray(v.view(np.uint8).reshape(-1, 8).T), 1)
+        return pa.Codec("zstd", 1).compress(np.ascontiguousarray(v.view(np.uint8).reshape(-1, 8).T), asbytes=True)
 
-    def unpacked(raw: bytes) -> np.ndarray:
-        return np.ascontiguousarray(np.frombuffer(zlib.decompress(raw), np.uint8).reshape(8, -1).T).reshape(-1).view(np.int64)
+    def unpacked(part: int, raw: bytes) -> np.ndarray:
+        n = int(edges[part + 1] - edges[part])
+        return np.ascontiguousarray(np.frombuffer(pa.Codec("zstd").decompress(raw, 8 * n, asbytes=True), np.uint8).reshape(8, n).T).reshape(-1).view(np.int64)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.zeros(size, np.int64)
@@ -215,13 +253,14 @@ def total(shards: DataFrame, each: Callable[[Shard], np.ndarray], size: int) ->
             yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([packed(own[a:z]) for a, z in zip(edges[:-1], edges[1:], strict=True)], pa.binary())], ["part", "data"])
 
     def add(rows: pa.Table) -> pa.Table:
-        own = sum(unpacked(x.as_py()) for x in rows["data"])
-        return pa.table([pa.array([rows["part"][0].as_py()], pa.int32()), pa.array([packed(own)], pa.binary())], ["part", "data"])
+        part = rows["part"][0].as_py()
+        own = sum(unpacked(part, x.as_py()) for x in rows["data"])
+        return pa.table([pa.array([part], pa.int32()), pa.array([packed(own)], pa.binary())], ["part", "data"])
 
     kind = "part int, data binary"
     out = np.zeros(size, np.int64)
     for r in shards.mapInArrow(run, kind).groupBy("part").applyInArrow(add, kind).collect():
-        out[edges[r["part"]] : edges[r["part"] + 1]] = unpacked(r["data"])
+        out[edges[r["part"]] : edges[r["part"] + 1]] = unpacked(r["part"], r["data"])
     return out
 
 
@@ -265,30 +304,29 @@ def start(shards: DataFrame, per: np.ndarray, short: bool, seed: int = 1) -> dic
     made = len(WIDTHS) * FILTERS
     out = draw.normal(0, 0.05, LARGEST * made)
     out.reshape(-1, FILTERS)[:, : FILTERS // 2] += 0.1
-    return {"emb": emb, "bias": np.zeros(LARGEST * made), "out": out, "shift": np.array([-1.0])} | {f"f{k}": f for k, f in enumerate(filters)}
+    return {"emb": emb.astype(np.float32), "bias": np.zeros(LARGEST * made), "out": out, "shift": np.array([-1.0])} | {f"f{k}": f for k, f in enumerate(filters)}
 
 
 def epoch(shard: Shard, params: dict[str, np.ndarray], memory: dict[str, np.ndarray], weight: np.ndarray, rate: float, short: bool, draw: np.random.Generator) -> None:
     """Adagrad over the shard's rows, one at a time, in place."""
     emb, bias, out, filters = params["emb"], params["bias"], params["out"], [params[f"f{k}"] for k in range(len(WIDTHS))]
     made, wide = len(WIDTHS) * FILTERS, max(WIDTHS)
+    every = np.arange(made)
     for i in draw.permutation(shard.fit(short)):
         truth, feats = int(shard.label[i]), shard.words(i)
         n = len(feats)
-        x = np.zeros((n + wide - 1, DIM))
-        x[:n] = emb[feats].mean(axis=1)
-        top, ranks = min(LARGEST, n), np.arange(min(LARGEST, n))[:, None]
+        x = np.zeros((n + wide - 1, DIM), np.float32)
+        for k in range(_KINDS):
+            x[:n] += emb.take(feats[:, k], axis=0)
+        x /= _KINDS
+        flat = _placed(filters).reshape(wide * DIM, made).astype(np.float32)
+        r = flat.T @ np.concatenate([x[j : n + j] for j in range(wide)], axis=1).T
+        top = min(LARGEST, n)
         best, place = np.zeros((LARGEST, made)), np.zeros((LARGEST, made), np.int64)
-        for k, f in enumerate(filters):
-            r = x[:n] @ f[0]
-            for j in range(1, len(f)):
-                r += x[j : n + j] @ f[j]
-            high = np.argpartition(-r, top - 1, axis=0)[:top] if n > top else np.repeat(np.arange(n)[:, None], FILTERS, axis=1)
-            value = np.take_along_axis(r, high, axis=0)
-            order = np.argsort(-value, axis=0, kind="stable")
-            own = slice(k * FILTERS, (k + 1) * FILTERS)
-            place[ranks, np.arange(made)[own]] = np.take_along_axis(high, order, axis=0)
-            best[ranks, np.arange(made)[own]] = np.take_along_axis(value, order, axis=0)
+        for k in range(top):
+            place[k] = r.argmax(axis=1)
+            best[k] = r[every, place[k]]
+            r[every, place[k]] = -np.inf
         hidden = np.maximum(best.ravel() + bias, 0)
         p = 1 / (1 + np.exp(-np.clip(hidden @ out + params["shift"][0], -30, 30)))
         # A text that the model finds unlike its label moves it less: labels may be wrong.
@@ -312,18 +350,19 @@ def epoch(shard: Shard, params: dict[str, np.ndarray], memory: dict[str, np.ndar
         params["shift"] -= rate * g
         at, grad = np.concatenate(rows_at), np.concatenate(rows_g)
         if len(at):
-            own, inv = np.unique(at, return_inverse=True)
-            total = np.zeros((len(own), DIM))
-            np.add.at(total, inv, grad)
-            memory["emb"][own] += total**2
-            emb[own] -= rate * total / np.sqrt(memory["emb"][own])
+            order = np.argsort(at, kind="stable")
+            first = np.flatnonzero(np.diff(at[order], prepend=-1))
+            own, moved = at[order[first]], np.add.reduceat(grad[order], first, axis=0)
+            power = memory["emb"][own] + moved**2
+            memory["emb"][own] = power
+            emb[own] -= rate * moved / np.sqrt(power)
 
 
 def train(shards: DataFrame, per: np.ndarray, languages: language_id.Model | None, short: bool, seed: int = 1) -> Model:
     """Epochs over all shards: each shard goes on by itself from the same parameters, and what they change is averaged, an
     embedding over the shards that change it; then the curves, from the scores of all rows kept back."""
     params = start(shards, per, short, seed)
-    memory = {k: np.full(v.shape, 1e-2) for k, v in params.items()}
+    memory = {k: np.full(v.shape, 1e-2, v.dtype) for k, v in params.items()}
     names, shapes = list(params), [v.shape for v in params.values()]
     sizes = [v.size for v in params.values()]
     weight = per.sum() / np.maximum(2 * per, 1)
@@ -340,8 +379,8 @@ def train(shards: DataFrame, per: np.ndarray, languages: language_id.Model | Non
         touched, n = got[2 * sum(sizes) : -1], got[-1]
         moved = [np.split(v / 2.0**FRACTION, np.cumsum(sizes)[:-1]) for v in (got[: sum(sizes)], got[sum(sizes) : 2 * sum(sizes)])]
         by = {k: np.maximum(touched, 1)[:, None] if k == "emb" else n for k in names}
-        params, memory = ({k: d[k] + v.reshape(s) / by[k] for k, v, s in zip(names, change, shapes, strict=True)} for d, change in zip((params, memory), moved, strict=True))
-    model = Model(params["emb"].astype(np.float32), [params[f"f{k}"] for k in range(len(WIDTHS))], params["bias"], params["out"], float(params["shift"][0]), languages)
+        params, memory = ({k: (d[k] + v.reshape(s) / by[k]).astype(d[k].dtype) for k, v, s in zip(names, change, shapes, strict=True)} for d, change in zip((params, memory), moved, strict=True))
+    model = Model(params["emb"], [params[f"f{k}"] for k in range(len(WIDTHS))], params["bias"], params["out"], float(params["shift"][0]), languages)
 
     def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in _shards(batches):
