@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.llm import decontaminate, language_id, line_dedup, near_dup, sentencepiece_bpe
-from riskflow.llm.common import fresh, prepare, stage, table
+from riskflow.llm.common import fresh, parted, prepare, stage, table
 from riskflow.session import scratch_path
 
 
@@ -59,7 +59,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     gone = near_dup.members(docs).filter("not kept").select(F.col("doc_id").alias(key), F.col("same").alias(text)).distinct()
     gone = stage(gone, "gone")
     rows = docs.withColumn(own, near_dup.digest(F.col("text")))
-    named = rows.filter("doc_id is not null").join(gone, (F.col("doc_id") == F.col(key)) & (F.col(own) == F.col(text)), "left_anti")
+    # Few rows go: those that surely stay are not shuffled.
+    hashes = gone.filter(F.col(key).isNotNull()).select(near_dup.row_hash(F.col(key), F.col(text)))
+    likely, stay = parted(rows.filter("doc_id is not null"), near_dup.row_hash(F.col("doc_id"), F.col(own)), hashes)
+    named = stay.unionByName(likely.join(gone, (F.col("doc_id") == F.col(key)) & (F.col(own) == F.col(text)), "left_anti"))
     bare = rows.filter("doc_id is null").dropDuplicates([own]).join(gone.filter(F.col(key).isNull()), F.col(own) == F.col(text), "left_anti")
     return named.unionByName(bare).select(*docs.columns)
 

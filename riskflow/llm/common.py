@@ -17,6 +17,8 @@ from riskflow.session import scratch_path, ship_package
 # Arrow batches sent to Python workers hold at most this many bytes, so that a run of very long
 # texts cannot fill a worker's memory (the row bound alone would allow 10,000 long texts at once).
 ARROW_BATCH_BYTES = 4 << 20
+#: A filter of keys has at most two to this power words of 64 bits; up to that it has a word for each WORD_KEYS keys.
+FILTER_LOG2, WORD_KEYS = 17, 4
 
 
 def prepare(spark: SparkSession) -> None:
@@ -54,6 +56,30 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def _marks(h: Column) -> Column:
+    """Four bits of a 64-bit word, picked by the upper half of a hash."""
+    picked = [F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, n).bitwiseAND(F.lit(63)).cast("int")) for n in (40, 46, 52, 58)]
+    return picked[0].bitwiseOR(picked[1]).bitwiseOR(picked[2]).bitwiseOR(picked[3])
+
+
+def parted(rows: DataFrame, by: Column, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows whose hash ``by`` may be in ``keys``, the others): what is joined with the keys of few rows need
+    not shuffle all of them. ``keys`` has one column of hashes without nulls, ``by`` has none either.
+
+    A Bloom filter, which is broadcast, parts them. Its size is bounded: the more keys there are beyond that, the
+    more rows without a key are among the first; none with a key is among the others."""
+    keys = stage(keys.toDF("h"), "keys")
+    n = min(FILTER_LOG2, (keys.count() // WORD_KEYS).bit_length())
+    slot, bits, hashed = fresh(rows, "__slot", "__bits", "__hash")
+    spot = F.lit((1 << n) - 1).cast("long")
+    words = keys.groupBy(F.col("h").bitwiseAND(spot).alias(slot)).agg(F.bit_or(_marks(F.col("h"))).alias(bits))
+    words = F.broadcast(stage(words, "key-words"))
+    at = rows.withColumn(hashed, by).join(words, F.col(hashed).bitwiseAND(spot) == F.col(slot), "left")
+    marks = _marks(F.col(hashed))
+    maybe = F.coalesce(F.col(bits).bitwiseAND(marks) == marks, F.lit(False))
+    return at.filter(maybe).select(*rows.columns), at.filter(~maybe).select(*rows.columns)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.llm import words as W
-from riskflow.llm.common import column, doc_text, mixed, runs, shuffle_partitions, stage, text_bytes
+from riskflow.llm.common import column, doc_text, mixed, parted, runs, shuffle_partitions, stage, text_bytes
 from riskflow.llm.components import components
 
 SHINGLE = 5
@@ -91,6 +91,11 @@ def digest(text: Column) -> Column:
     return F.substring(F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)), 1, 16)
 
 
+def row_hash(doc_id: Column, same: Column) -> Column:
+    """Hash of an id and the digest of its text, never null."""
+    return F.xxhash64(doc_id.cast("long"), same)
+
+
 def sketch(docs: DataFrame) -> DataFrame:
     """(doc_id, same, n_shingles, keys, low) of rows with doc_id, text and same: ``keys`` are band keys,
     ``low`` has the low byte of each register."""
@@ -274,7 +279,9 @@ def bags(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 at = np.searchsorted(row, np.arange(j - i + 1))
                 yield pa.RecordBatch.from_arrays([column(b, "id").slice(i, j - i), pa.array([packed[a:z].tobytes() for a, z in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], pa.binary())], ["id", "bag"])
 
-    named = docs.filter("doc_id is not null").join(wanted.withColumnRenamed("rep", "doc_id"), ["doc_id", "same"]).select("id", "text")
+    # Few texts are wanted: the others are not shuffled.
+    likely, _ = parted(docs.filter("doc_id is not null"), row_hash(F.col("doc_id"), F.col("same")), wanted.filter("rep is not null").select(row_hash(F.col("rep"), F.col("same"))))
+    named = likely.join(wanted.withColumnRenamed("rep", "doc_id"), ["doc_id", "same"]).select("id", "text")
     # Rows without an id can be very many copies of a text.
     bare = docs.filter("doc_id is null").select("same", "text").dropDuplicates(["same"])
     got = named.unionByName(bare.join(wanted.filter("rep is null"), "same").select("id", "text"))
@@ -324,7 +331,7 @@ def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
     keyed = whole.select("id", F.explode("keys").alias("key"))
     crowded = keyed.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
     rows = stage(keyed.join(crowded, "key").join(whole.select("id", "rep", "same", "low", "keys", "n_shingles"), "id"), "buckets")
-    wanted = rows.select("id", "rep", "same").distinct()
+    wanted = stage(rows.select("id", "rep", "same").distinct(), "wanted")
     packed = stage(bags(src, wanted), "bags")
     first = stage(first_pairs(rows), "pairs")
     links = stage(verify(first, packed, least), "verified")

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from riskflow.llm import common
 from riskflow.llm import near_dup as nd
 from riskflow.llm.components import components
 
@@ -77,6 +78,19 @@ def test_a_row_without_an_id_never_stands_for_rows_with_one(spark, docs):
     assert len({text[bytes(r["same"])] for r in bare if r["kept"]}) == 2
 
 
+def test_rows_with_a_key_are_all_likely_few_others_are(spark, monkeypatch):
+    rows = spark.range(4000).select("id", F.lit("x").alias("__bits"))
+    keys = spark.range(0, 4000, 40).select(F.xxhash64("id"))
+    for log2, most in ((17, 60), (2, 3900)):  # few words hold too many keys, and still none is lost
+        monkeypatch.setattr(common, "FILTER_LOG2", log2)
+        likely, others = common.parted(rows, F.xxhash64("id"), keys)
+        assert likely.columns == others.columns == rows.columns
+        a, b = {r["id"] for r in likely.collect()}, {r["id"] for r in others.collect()}
+        assert not a & b and a | b == set(range(4000)) and a >= set(range(0, 4000, 40)) and len(a) <= 100 + most
+    likely, others = common.parted(rows, F.xxhash64("id"), keys.limit(0))
+    assert likely.isEmpty() and others.count() == 4000
+
+
 def test_empty_table_and_no_links(spark, docs):
     assert nd.classes(docs([])).count() == 0
     assert sorted(map(tuple, nd.classes(docs([(1, "a b c"), (2, "d e f")])).collect())) == [(1, 1), (2, 2)]

@@ -55,3 +55,19 @@ def test_one_row_of_each_class_is_left(spark):
     assert out.columns == docs.columns
     want = [(4, "the dog and the cat"), (4, "the dog and the cat"), (5, "clean words of its own"), (None, "no id at all here"), (None, "copied without an id")]
     assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str) == sorted(want, key=str)
+
+
+def test_rows_that_stay_are_not_shuffled(spark):
+    rows = [(i, " ".join(f"w{i * k % 97}" for k in range(20))) for i in range(1, 60)]
+    docs = spark.createDataFrame(rows + [(70 + i, t) for i, t in rows[:5]], "doc_id long, text string")
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if very many rows went
+    try:
+        out = cp.near_duplicates(spark, docs, SF)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r["doc_id"] for r in out.collect()) == list(range(1, 60))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    stay = plan[plan.index("Union") : plan.index("LeftAnti")]
+    assert "LeftOuter" in stay and "text" in stay.split("LeftOuter")[0]
+    assert "hashpartitioning" not in stay.split("SortMergeJoin")[0]
