@@ -78,7 +78,7 @@ class Model:
             # Row r has the n-grams [start, end - k + 1); the gaps between are those over a border.
             cuts = np.column_stack([offsets[ok], offsets[ok + 1] - k + 1]).ravel()
             cuts = cuts[:-1] if cuts[-1] == len(h) else cuts
-            total[ok] += np.add.reduceat(self.scores[h], cuts, axis=0)[::2]
+            total[ok] += np.add.reduceat(self.scores.take(h, axis=0), cuts, axis=0)[::2]
             weight[ok] += size[ok] - k + 1
         return total / np.maximum(weight, 1)[:, None] + self.bias
 

@@ -137,12 +137,12 @@ class Model:
         for i in range(0, len(which), BLOCK):
             j = min(len(which), i + BLOCK)
             at, own = which[i : j + most], doc[i : j + most]
-            r = each[0][at[: j - i]]
+            r = each[0].take(at[: j - i], axis=0)
             for k in range(1, most + 1):
                 m = min(j - i, len(own) - k)
                 other = np.flatnonzero(own[k : k + m] != own[:m])
                 kept = r[other]
-                r[:m] += each[k][at[k : k + m]]
+                r[:m] += each[k].take(at[k : k + m], axis=0)
                 r[other] = kept
             first = np.flatnonzero(np.diff(own[: j - i], prepend=-1))
             rows = own[first]
@@ -182,7 +182,7 @@ class Shard:
     feats: np.ndarray
 
     def words(self, i: int) -> np.ndarray:
-        return self.feats[self.which[self.cuts[i] : self.cuts[i + 1]]]
+        return self.feats.take(self.which[self.cuts[i] : self.cuts[i + 1]], axis=0)
 
     def fit(self, short: bool) -> np.ndarray:
         """Rows to train on; a fifth is kept back for the curves, unless there are too few in all."""
@@ -202,9 +202,9 @@ def _shards(batches: Iterable[pa.RecordBatch]) -> Iterator[Shard]:
             yield Shard(r["shard"], *ints, np.array(r["lang"], object), np.frombuffer(r["cuts"], np.int64), np.frombuffer(r["which"], np.int32), np.frombuffer(r["feats"], np.uint16).reshape(-1, _KINDS))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, languages: language_id.Model | None) -> DataFrame:
+def labelled(docs: DataFrame, labels: DataFrame, languages: language_id.Model | None, short: bool = False) -> DataFrame:
     """All labelled texts that have words, whole, in shards of about ``SHARD_BYTES``, dealt by a hash of the id; copies of
-    a text count once for each label."""
+    a text count once for each label. Only rows that the curves are fitted on, all if ``short``, have a language."""
     marked = labels.filter("toxic in (0, 1) and doc_id is not null").select(F.col("doc_id").cast("long").alias("__id"), F.col("toxic").cast("int").alias("label")).distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("own"), F.xxhash64("text").alias("pick"), "text").filter("own is not null and length(text) > 0")
     chosen = texts.select("own", "pick", F.octet_length("text").alias("size")).join(marked, F.col("own") == F.col("__id"))
@@ -218,12 +218,16 @@ def labelled(docs: DataFrame, labels: DataFrame, languages: language_id.Model |
         found: dict[str, list] = {c.split()[0]: [] for c in _SHARD.split(", ")}
         if len(rows):
             texts = left["text"].take(pa.array(rows["at"].to_numpy())).combine_chunks()
-            offsets, data = text_bytes(texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts)
-            langs = _languages(languages, data, offsets)
+            texts = texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts
+            offsets, data = text_bytes(texts)
+            fold = (rows["pick"].to_numpy() % 5).astype(np.int8)
+            judged = np.flatnonzero((fold == 0) | short)
+            langs, (cut, part) = np.full(len(rows), "", object), text_bytes(texts.take(pa.array(judged)))
+            langs[judged] = _languages(languages, part, cut)
             doc, which, feats = _batch_words(LOWER[data], offsets, WordHash(_HASH_SEED))
             cuts = np.searchsorted(doc, np.arange(len(offsets)))
             has = np.flatnonzero(np.diff(cuts))  # texts without words take no place in ``which``
-            label, fold = rows["label"].to_numpy(np.int8)[has], (rows["pick"].to_numpy()[has] % 5).astype(np.int8)
+            label, fold = rows["label"].to_numpy(np.int8)[has], fold[has]
             counts = [int(((label == k) & ((fold == 0) == held)).sum()) for held in (False, True) for k in (0, 1)]
             row = [int(right["shard"][0].as_py()), label.tobytes(), fold.tobytes(), langs[has].tolist(), np.append(cuts[has], len(which)).astype(np.int64).tobytes(), which.astype(np.int32).tobytes(), feats.tobytes(), *counts]
             found = {c: [v] for c, v in zip(found, row, strict=True)}
@@ -309,8 +313,12 @@ def start(shards: DataFrame, per: np.ndarray, short: bool, seed: int = 1) -> dic
 
 def epoch(shard: Shard, params: dict[str, np.ndarray], memory: dict[str, np.ndarray], weight: np.ndarray, rate: float, short: bool, draw: np.random.Generator) -> None:
     """Adagrad over the shard's rows, one at a time, in place."""
-    emb, bias, out, filters = params["emb"], params["bias"], params["out"], [params[f"f{k}"] for k in range(len(WIDTHS))]
+    emb, bias, out = params["emb"], params["bias"], params["out"]
     made, wide = len(WIDTHS) * FILTERS, max(WIDTHS)
+    # The first filter that reaches to each place; filters and their memory as one array, 0 past a filter's width.
+    reach = [FILTERS * sum(w <= j for w in WIDTHS) for j in range(wide)]
+    placed, past = (_placed([d[f"f{k}"] for k in range(len(WIDTHS))]) for d in (params, memory))
+    past[past == 0] = 1
     every = np.arange(made)
     for i in draw.permutation(shard.fit(short)):
         truth, feats = int(shard.label[i]), shard.words(i)
@@ -319,7 +327,7 @@ def epoch(shard: Shard, params: dict[str, np.ndarray], memory: dict[str, np.ndar
         for k in range(_KINDS):
             x[:n] += emb.take(feats[:, k], axis=0)
         x /= _KINDS
-        flat = _placed(filters).reshape(wide * DIM, made).astype(np.float32)
+        flat = placed.reshape(wide * DIM, made).astype(np.float32)
         r = flat.T @ np.concatenate([x[j : n + j] for j in range(wide)], axis=1).T
         top = min(LARGEST, n)
         best, place = np.zeros((LARGEST, made)), np.zeros((LARGEST, made), np.int64)
@@ -332,30 +340,32 @@ def epoch(shard: Shard, params: dict[str, np.ndarray], memory: dict[str, np.ndar
         # A text that the model finds unlike its label moves it less: labels may be wrong.
         g = (p - truth) * weight[truth] * (p if truth else 1 - p) ** TRUST
         back = g * out * (hidden > 0)
-        grads = {"out": g * hidden, "bias": back}
         spread = back.reshape(LARGEST, made)[:top]
+        steep = np.zeros(placed.shape)
         rows_at, rows_g = [], []
-        for k, f in enumerate(filters):
-            own = slice(k * FILTERS, (k + 1) * FILTERS)
-            b, spots = spread[:, own], place[:top, own]
-            grads[f"f{k}"] = np.stack([np.einsum("rfd,rf->df", x[spots + j], b) for j in range(len(f))])
-            for j in range(len(f)):
-                ok = (spots + j < n) & (b != 0)
-                rank, col = np.nonzero(ok)
-                rows_at.append(feats[(spots + j)[ok]].ravel())
-                rows_g.append(np.repeat(f[j][:, col].T * b[rank, col][:, None] / _KINDS, _KINDS, axis=0))
-        for name, grad in grads.items():
-            memory[name] += grad**2
-            params[name] -= rate * grad / np.sqrt(memory[name])
+        for j, f in enumerate(reach):
+            b, spots = spread[:, f:], place[:top, f:] + j
+            steep[j, :, f:] = (x.take(spots, axis=0) * b[:, :, None]).sum(axis=0).T
+            ok = (spots < n) & (b != 0)
+            rows_at.append(feats.take(spots[ok], axis=0))
+            rows_g.append(placed[j].T.take(f + np.nonzero(ok)[1], axis=0) * b[ok][:, None] / _KINDS)
+        for now, was, grad in ((placed, past, steep), (out, memory["out"], g * hidden), (bias, memory["bias"], back)):
+            was += grad**2
+            now -= rate * grad / np.sqrt(was)
         params["shift"] -= rate * g
-        at, grad = np.concatenate(rows_at), np.concatenate(rows_g)
+        # The same for each feature of a word.
+        at, grad = np.concatenate(rows_at).ravel(), np.concatenate(rows_g)
         if len(at):
             order = np.argsort(at, kind="stable")
-            first = np.flatnonzero(np.diff(at[order], prepend=-1))
-            own, moved = at[order[first]], np.add.reduceat(grad[order], first, axis=0)
-            power = memory["emb"][own] + moved**2
+            own = at.take(order)
+            first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+            own, moved = own[first], np.add.reduceat(grad.take(order // _KINDS, axis=0), first, axis=0)
+            power = memory["emb"].take(own, axis=0) + moved**2
             memory["emb"][own] = power
-            emb[own] -= rate * moved / np.sqrt(power)
+            emb[own] = emb.take(own, axis=0) - rate * moved / np.sqrt(power)
+    for k, w in enumerate(WIDTHS):
+        for d, v in ((params, placed), (memory, past)):
+            d[f"f{k}"][:] = v[:w, :, k * FILTERS : (k + 1) * FILTERS]
 
 
 def train(shards: DataFrame, per: np.ndarray, languages: language_id.Model | None, short: bool, seed: int = 1) -> Model:
@@ -417,6 +427,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | float | None:
     if not every.all():
         return float(every.argmax()) if every.any() else None
     short = bool(every.sum() < 50 or not n.all())
+    if short:
+        shards = stage(labelled(docs, labels, languages, short), "shards")
     return train(shards, every if short else n[:2], languages, short)
 
 

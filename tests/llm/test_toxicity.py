@@ -131,3 +131,15 @@ def test_shards_are_added_and_averaged(spark, monkeypatch):
     assert np.mean([r["predicted"] == truth[r["doc_id"]] for r in seen]) > 0.97
     again = tx.predict(_tables(spark, new)[0], tx.fit(docs.repartition(5), labels.repartition(2))).collect()
     assert sorted(tuple(r) for r in seen) == sorted(tuple(r) for r in again)
+
+
+def test_languages_are_read_where_a_curve_needs_them(spark):
+    docs, labels = _tables(spark, _rows(60, 11))
+    languages = tx.language_id.fit(docs)
+    for short in (False, True):
+        shards = [x for b in tx.labelled(docs, labels, languages, short).toArrow().to_batches() for x in tx._shards(iter([b]))]
+        judged = {r["text"]: r["lang_pred"] for r in tx.language_id.predict(docs, languages, keep=("text",)).collect()}
+        seen = sorted(x for s in shards for x in s.lang[s.held(short)])
+        kept = docs.selectExpr("text", "xxhash64(text) as pick").collect()
+        assert seen == sorted(judged[r["text"]] for r in kept if short or r["pick"] % 5 == 0)
+        assert sum(bool(x) for s in shards for x in s.lang) == len(seen) and 0 < len(seen) <= 60
