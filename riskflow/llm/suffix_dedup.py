@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.llm import words as W
-from riskflow.llm.common import column, mixed, runs, text_bytes
+from riskflow.llm.common import gather, mixed, runs, text_bytes
 
 LENGTH, SEED = 50, 16
 #: Bytes of text in a batch of documents, keys in a key range, windows in an index batch.
@@ -130,10 +130,60 @@ def _table(cols: dict[str, tuple[list, pa.DataType]]) -> pa.Table:
     return pa.table({k: pa.array(v, t) for k, (v, t) in cols.items()})
 
 
-def _by_range(part: np.ndarray, ranges: int) -> list[tuple[int, int, int]]:
-    """(range, from, to) of sorted range numbers."""
+def _by_range(part: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ranges that occur, their borders) of sorted range numbers; the last border is their count."""
     edge = np.searchsorted(part, np.arange(ranges + 1))
-    return [(r, int(edge[r]), int(edge[r + 1])) for r in np.flatnonzero(np.diff(edge)).tolist()]
+    found = np.flatnonzero(np.diff(edge))
+    return found, np.append(edge[found], len(part))
+
+
+def _blobs(data: np.ndarray, borders: np.ndarray) -> pa.Array | pa.ChunkedArray:
+    """A binary value for each run of ``data`` between two neighbouring borders; the runs cover it."""
+    at = borders * data.itemsize
+    if at[-1] >= 2**31:
+        return pa.array([data[a:z].tobytes() for a, z in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True)], pa.binary())
+    buffers = [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))]
+    return pa.Array.from_buffers(pa.binary(), len(at) - 1, buffers)
+
+
+def _flat(table: pa.Table, name: str, kind: str = "u1") -> tuple[np.ndarray, np.ndarray]:
+    """(borders, items) of the values of a binary column, one after the other."""
+    parts = [text_bytes(c) for c in table.column(name).chunks if len(c)]
+    width = np.dtype(kind).itemsize
+    size = np.concatenate([np.zeros(0, np.int64), *(np.diff(o) for o, _ in parts)])
+    data = parts[0][1] if len(parts) == 1 else np.concatenate([np.zeros(0, np.uint8), *(d for _, d in parts)])
+    data = np.frombuffer(data, kind) if len(data) else np.zeros(0, kind)
+    return np.concatenate([[0], np.cumsum(size)]) // width, data
+
+
+def _packed(bits: np.ndarray, borders: np.ndarray) -> pa.Array | pa.ChunkedArray:
+    """The bits between two neighbouring borders as a binary value of whole bytes."""
+    n = np.diff(borders)
+    at = np.concatenate([[0], np.cumsum(-(-n // 8))])
+    wide = np.zeros(8 * int(at[-1]), bool)
+    wide[gather(8 * at[:-1], n)] = bits
+    return _blobs(np.packbits(wide), at)
+
+
+def _unpacked(table: pa.Table, name: str, n: np.ndarray) -> np.ndarray:
+    """The first ``n`` bits of each value of a binary column, one after the other."""
+    at, data = _flat(table, name)
+    return np.unpackbits(data)[gather(8 * at[:-1], n)].astype(bool)
+
+
+def shared_keys(table: pa.Table) -> pa.Table:
+    """(batch, range, mask): which of each batch's keys of a range have another document. All batches' keys are
+    sorted once: the work follows the keys, not the batches times the keys. 32 bits of a key suffice to find
+    them, as a key that is let through by chance only costs a segment that matches nothing."""
+    borders, key = _flat(table, "keys", "<u4")
+    n = np.diff(borders)
+    on = _unpacked(table, "many", n)
+    order = np.argsort(key)
+    key, owner = key[order], np.repeat(np.arange(len(n), dtype=np.int32), n)[order]
+    edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    more = (np.minimum.reduceat(owner, edge) != np.maximum.reduceat(owner, edge)) | np.logical_or.reduceat(on[order], edge)
+    on[order] = np.repeat(more, np.diff(np.append(edge, len(key))))
+    return pa.table({"batch": table.column("batch"), "range": table.column("range"), "mask": _packed(on, borders)})
 
 
 class Levels:
@@ -194,9 +244,10 @@ def covered(data: np.ndarray, at: np.ndarray, size: np.ndarray, doc: np.ndarray)
             hits[order[hit[same]]] = True
         index.add(sfp, sdoc, sstart)
         got = np.flatnonzero(hits)
-        for s in np.unique(seg[got]):
-            mine = got[seg[got] == s]
-            yield int(s), start[mine] - at[s]
+        edge = np.flatnonzero(np.diff(seg[got], prepend=-1, append=-1)) if len(got) else got
+        for a, z in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+            s = int(seg[got[a]])
+            yield s, start[got[a:z]] - at[s]
         i = j
 
 
@@ -242,27 +293,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         ids, offsets, data = _rows(table)
         key, many = _batch_keys(ids, offsets, data)
         b = table.column("batch")[0].as_py()
-        cuts = _by_range(_range_of(key, ranges), ranges)
-        low = key.astype(np.uint32)
-        return _table({
-            "range": ([r for r, _, _ in cuts], pa.int32()),
-            "batch": ([b] * len(cuts), pa.int32()),
-            "keys": ([low[x:y].tobytes() for _, x, y in cuts], pa.binary()),
-            "many": ([np.packbits(many[x:y]).tobytes() for _, x, y in cuts], pa.binary()),
+        found, borders = _by_range(_range_of(key, ranges), ranges)
+        if not len(found):
+            return _table({"range": ([], pa.int32()), "batch": ([], pa.int32()), "keys": ([], pa.binary()), "many": ([], pa.binary())})
+        return pa.table({
+            "range": pa.array(found, pa.int32()),
+            "batch": pa.array(np.full(len(found), b), pa.int32()),
+            "keys": _blobs(key.astype("<u4"), borders),
+            "many": _packed(many, borders),
         })
 
-    def shared(table: pa.Table) -> pa.Table:
-        """Which of each batch's keys have another document; 32 bits of a key suffice to find them, as
-        a key that is let through by chance only costs a segment that matches nothing."""
-        blobs = [np.frombuffer(x, np.uint32) for x in table.column("keys").to_pylist()]
-        many = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(k)).astype(bool) for x, k in zip(table.column("many").to_pylist(), blobs, strict=True)]
-        every = np.concatenate([np.unique(k) for k in blobs])
-        every.sort()
-        more = every[1:][every[1:] == every[:-1]]
-        more = np.unique(np.concatenate([more, *(k[m] for k, m in zip(blobs, many, strict=True))]))
-        masks = [np.packbits(m | np.isin(k, more)).tobytes() for m, k in zip(many, blobs, strict=True)]
-        return _table({"batch": (table.column("batch").to_pylist(), pa.int32()), "range": (table.column("range").to_pylist(), pa.int32()), "mask": (masks, pa.binary())})
-
     def cut(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         out: dict[str, tuple[list, pa.DataType]] = {"range": ([], pa.int32()), "batch": ([], pa.int32()), "size": ([], pa.binary()), "bytes": ([], pa.binary()), "which": ([], pa.binary()), "row": ([], pa.binary()), "doc": ([], pa.binary()), "at": ([], pa.binary())}
         if not left.num_rows or not right.num_rows:
@@ -272,8 +312,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         part = _range_of(every, ranges)
         on = np.zeros(len(every), bool)
         edge = np.searchsorted(part, np.arange(ranges + 1))
-        for r, mask in zip(right.column("range").to_pylist(), right.column("mask").to_pylist(), strict=True):
-            on[edge[r] : edge[r + 1]] = np.unpackbits(np.frombuffer(mask, np.uint8), count=int(edge[r + 1] - edge[r])).astype(bool)
+        r = right.column("range").to_numpy()
+        n = edge[r + 1] - edge[r]
+        on[gather(edge[r], n)] = _unpacked(right, "mask", n)
         live = every[on]
         if not len(live):
             return _table(out)
@@ -294,62 +335,72 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         new = np.concatenate([[True], (k[1:] != k[:-1]) | (content[1:] != content[:-1])])
         which = np.cumsum(new) - 1
         doc = np.array(ids, np.int64)
-        for r, x, y in _by_range(_range_of(k, ranges), ranges):
-            heads = np.flatnonzero(new[x:y]) + x
-            raw = b"".join(data[p : p + s].tobytes() for p, s in zip(a[heads].tolist(), size[heads].tolist(), strict=True))
-            values = (r, int(key[0].as_py()), size[heads].astype("<i4").tobytes(), raw, (which[x:y] - which[x]).astype("<i4").tobytes(), row[x:y].astype("<i4").tobytes(), doc[row[x:y]].astype("<i8").tobytes(), (a[x:y] - offsets[row[x:y]]).astype("<i4").tobytes())
-            for (column_, _), v in zip(out.values(), values, strict=True):
-                column_.append(v)
-        return _table(out)
+        parts, borders = _by_range(_range_of(k, ranges), ranges)
+        heads = np.flatnonzero(new)
+        first = np.searchsorted(heads, borders)
+        view = memoryview(data)
+        raw = b"".join([view[p : p + s] for p, s in zip(a[heads].tolist(), size[heads].tolist(), strict=True)])
+        return pa.table({
+            "range": pa.array(parts, pa.int32()),
+            "batch": pa.array(np.full(len(parts), key[0].as_py()), pa.int32()),
+            "size": _blobs(size[heads].astype("<i4"), first),
+            "bytes": _blobs(np.frombuffer(raw, np.uint8), np.concatenate([[0], np.cumsum(size[heads])])[first]),
+            "which": _blobs((which - np.repeat(which[borders[:-1]], np.diff(borders))).astype("<i4"), borders),
+            "row": _blobs(row.astype("<i4"), borders),
+            "doc": _blobs(doc[row].astype("<i8"), borders),
+            "at": _blobs((a - offsets[row]).astype("<i4"), borders),
+        })
 
     def match(table: pa.Table) -> pa.Table:
-        size = [np.frombuffer(x, "<i4").astype(np.int64) for x in table.column("size").to_pylist()]
-        raw = b"".join(table.column("bytes").to_pylist())
-        data = np.frombuffer(raw, np.uint8)
-        counts = [len(s) for s in size]
-        size = np.concatenate(size)
+        segment, size = _flat(table, "size", "<i4")
+        size = size.astype(np.int64)
+        _, data = _flat(table, "bytes")
         at = np.cumsum(size) - size
-        base = np.cumsum(counts) - counts
-        which = [np.frombuffer(x, "<i4") + o for x, o in zip(table.column("which").to_pylist(), base.tolist(), strict=True)]
-        n = [len(x) for x in which]
-        which = np.concatenate(which)
-        row, doc, pos = (np.concatenate([np.frombuffer(x, kind) for x in table.column(c).to_pylist()]) for c, kind in (("row", "<i4"), ("doc", "<i8"), ("at", "<i4")))
-        batch = np.repeat(np.array(table.column("batch").to_pylist(), np.int64), n)
+        borders, which = _flat(table, "which", "<i4")
+        n = np.diff(borders)
+        which = which + np.repeat(segment[:-1], n)
+        row, doc, pos = (_flat(table, c, kind)[1] for c, kind in (("row", "<i4"), ("doc", "<i8"), ("at", "<i4")))
+        batch = np.repeat(table.column("batch").to_numpy().astype(np.int64), n)
         # Equal segments of several batches are one; its smallest document stands for it in the index.
-        name = np.array([hashlib.blake2b(raw[a : a + s], digest_size=8).digest() for a, s in zip(at.tolist(), size.tolist(), strict=True)], "S8").view(np.uint64)
+        raw = memoryview(data)
+        name = np.frombuffer(b"".join([hashlib.blake2b(raw[a : a + s], digest_size=8).digest() for a, s in zip(at.tolist(), size.tolist(), strict=True)]), np.uint64).copy()
         name ^= size.astype(np.uint64)
         uniq, first, back = np.unique(name, return_index=True, return_inverse=True)
         own = back[which]
         least = np.full(len(uniq), np.iinfo(np.int64).max)
         np.minimum.at(least, own, doc)
-        partial: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        found: list[tuple[int, np.ndarray, np.ndarray]] = []
         for s, wins in covered_by_keys(data, at[first], size[first], least):
             edge = np.flatnonzero(np.concatenate([[True], wins[1:] > wins[:-1] + LENGTH]))
             stop = np.append(edge[1:], len(wins)) - 1
-            partial[s] = wins[edge], wins[stop] + LENGTH
+            found.append((s, wins[edge], wins[stop] + LENGTH))
+        found.sort(key=lambda f: f[0])
+        some = np.zeros(len(uniq), np.int64)
+        some[[s for s, _, _ in found]] = [len(x) for _, x, _ in found]
+        begin, end = (np.concatenate([np.zeros(0, np.int64), *(f[c] for f in found)]) for c in (1, 2))
         later = np.flatnonzero(doc > least[own])
-        spans = [(batch[later], row[later], pos[later], pos[later] + size[first][own[later]])]
-        some = np.zeros(len(uniq), bool)
-        some[list(partial)] = True
-        for o in np.flatnonzero(some[own] & (doc == least[own])).tolist():
-            begin, end = partial[int(own[o])]
-            m = len(begin)
-            spans.append((np.full(m, batch[o]), np.full(m, row[o]), pos[o] + begin, pos[o] + end))
-        b, r, x, y = (np.concatenate(v).astype(np.int64) for v in zip(*spans, strict=True))
-        order = np.argsort(b, kind="stable")
-        b, r, x, y = b[order], r[order], x[order], y[order]
-        edge = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1]])) if len(b) else []
-        stop = np.append(edge[1:], len(b)) if len(b) else []
-        return _table({"batch": ([int(b[e]) for e in edge], pa.int32()), "spans": ([np.column_stack([r[e:z], x[e:z], y[e:z]]).astype("<i4").tobytes() for e, z in zip(edge, stop, strict=True)], pa.binary())})
+        least_of = np.flatnonzero((some[own] > 0) & (doc == least[own]))
+        m = some[own[least_of]]
+        part = gather((np.cumsum(some) - some)[own[least_of]], m)
+        o = np.concatenate([later, np.repeat(least_of, m)])
+        x = np.concatenate([np.zeros(len(later), np.int64), begin[part]])
+        y = np.concatenate([size[first][own[later]], end[part]])
+        order = np.argsort(batch[o], kind="stable")
+        o, x, y = o[order], x[order], y[order]
+        b = batch[o]
+        edge = np.flatnonzero(np.diff(b, prepend=-1))
+        if not len(edge):
+            return _table({"batch": ([], pa.int32()), "spans": ([], pa.binary())})
+        triples = np.column_stack([row[o], pos[o] + x, pos[o] + y]).astype("<i4")
+        return pa.table({"batch": pa.array(b[edge], pa.int32()), "spans": _blobs(triples.ravel(), 3 * np.append(edge, len(b)))})
 
     def apply(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         ids, offsets, data = _rows(left)
-        found = [np.frombuffer(x, "<i4").reshape(-1, 3).astype(np.int64) for x in right.column("spans").to_pylist()] if right.num_rows else []
-        spans = np.concatenate(found) if found else np.zeros((0, 3), np.int64)
+        spans = _flat(right, "spans", "<i4")[1].reshape(-1, 3).astype(np.int64)
         depth = np.zeros(len(data) + 1, np.int32)
         np.add.at(depth, offsets[spans[:, 0]] + spans[:, 1], 1)
         np.add.at(depth, offsets[spans[:, 0]] + spans[:, 2], -1)
-        gone = np.cumsum(depth)[:-1] > 0
+        gone = np.cumsum(depth, dtype=np.int32, out=depth)[:-1] > 0
         hit = set(np.unique(spans[:, 0]).tolist())
         out: dict[str, list] = {c: [] for c in ("n_removed", "n_spans", "kept_sha256", "kept", "spans")}
         for i, (a, z) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
@@ -370,7 +421,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return _table({"doc_id": (names, pa.int64()), "n_bytes": (np.diff(offsets).tolist(), pa.int64()), **{c: (v, kinds[c]) for c, v in out.items()}})
 
     counted = dealt.groupBy("batch").applyInArrow(keys, "range int, batch int, keys binary, many binary")
-    masks = counted.groupBy("range").applyInArrow(shared, "batch int, range int, mask binary")
+    masks = counted.groupBy("range").applyInArrow(shared_keys, "batch int, range int, mask binary")
     pieces = dealt.groupBy("batch").cogroup(masks.groupBy("batch")).applyInArrow(cut, "range int, batch int, size binary, bytes binary, which binary, row binary, doc binary, at binary")
     spans = pieces.groupBy("range").applyInArrow(match, "batch int, spans binary")
     done = dealt.groupBy("batch").cogroup(spans.groupBy("batch")).applyInArrow(apply, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, spans array<struct<start:long,stop:long>>")
